@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import mixing, quality, sharding, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": simhash.op1_simhash}
+    return {"op1_simhash": simhash.op1_simhash, "op3_mixing": mixing.op3_mixing, "op5_quality": quality.op5_quality, "op6_sharding": sharding.op6_sharding, "op7_substrings": substrings.op7_substrings}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": mixing.OP3_SQL}
