@@ -76,4 +76,4 @@ def raw_texts(batch, name: str = "text") -> list:
 
 
 def schema(**fields: str) -> T.StructType:
-    return T.StructType([T.StructField(k, T._parse_datatype_string(v)) for k, v in fields.items()])
+    return T.StructType([T.StructField(k, T.DataType.fromDDL(v)) for k, v in fields.items()])

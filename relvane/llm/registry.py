@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, sharding, simhash, substrings
+from . import lines, mixing, quality, sentencepiece_fst, sharding, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": simhash.op1_simhash, "op3_mixing": mixing.op3_mixing, "op5_quality": quality.op5_quality, "op6_sharding": sharding.op6_sharding, "op7_substrings": substrings.op7_substrings}
+    return {"op1_simhash": simhash.op1_simhash, "op3_mixing": mixing.op3_mixing, "op4_lines": lines.op4_lines, "op5_quality": quality.op5_quality, "op6_sharding": sharding.op6_sharding, "op7_substrings": substrings.op7_substrings, "op10_sentencepiece": sentencepiece_fst.op10_sentencepiece}
 
 
 def oracle_sql() -> dict[str, str]:
