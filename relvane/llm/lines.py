@@ -24,7 +24,8 @@ WORDS, RADIUS, SIMILARITY, LIMIT = 3, 3, 0.8, 2048
 
 
 def line_hashes(lines: list[list[bytes]], codes: Codes) -> np.ndarray:
-    """SimHashes of lines by their words; no line is empty."""
+    """SimHashes of lines by their different words (a separator that fills a table would else outvote all others); no line is empty."""
+    lines = [list(dict.fromkeys(x)) for x in lines]
     out, at = np.zeros(len(lines), np.uint64), 0
     while at < len(lines):
         end, n = at, 0
@@ -182,13 +183,12 @@ def fuzzy_links(texts: DataFrame, radius: int, similarity: float, limit: int) ->
             norms = rows.column("norm").to_pylist()
             root = np.arange(len(f))
             for i, j in near_pairs(f, starts[keep], ends[keep], radius):
-                while len(i):  # pairs that are still apart, a few at a time
-                    apart = root[i] != root[j]
-                    i, j = i[apart], j[apart]
-                    part = [(x, y) for x, y in zip(i[:64].tolist(), j[:64].tolist()) if within(norms[x], norms[y], int((1 - similarity) * max(len(norms[x]), len(norms[y])) + 1e-9))]
+                for at in range(0, len(i), 64):  # a few at a time: what the first ones tie together isn't compared again
+                    x, y = i[at : at + 64], j[at : at + 64]
+                    apart = root[x] != root[y]
+                    part = [(x, y) for x, y in zip(x[apart].tolist(), y[apart].tolist()) if within(norms[x], norms[y], int((1 - similarity) * max(len(norms[x]), len(norms[y])) + 1e-9))]
                     if part:
                         root = unite(root, *np.array(part).T)
-                    i, j = i[64:], j[64:]
             tied = np.flatnonzero(root != np.arange(len(f)))
             doc, line = (rows.column(c).to_numpy() for c in ("doc_id", "line"))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[tied], line[tied], doc[root[tied]], line[root[tied]])], ["d1", "l1", "d2", "l2"])
