@@ -86,7 +86,7 @@ def positions(df: DataFrame, keys: list[str], s: Strategy = Strategy(), z: str =
     """(keys, dt, z, position): flat, long (1) or short (-1) by z with hysteresis.
 
     A key's rows are folded in order of dt in the JVM. A null z is flat and forgets; an exit and a new entry never
-    share a row; a stop isn't tested on entry.
+    share a row; a stop isn't tested on entry. For keys of up to a few thousand rows, as a forward window has.
     """
     state = lambda pos, hold: F.struct(pos.alias("pos"), hold.alias("hold"))
     flat = state(F.lit(0), F.lit(0))
@@ -131,5 +131,5 @@ def forward_pnl(panel: DataFrame, chosen: DataFrame, keys: list[str], z_window:
     both = aligned(panel, chosen, "lp", keys, z_window + 1).withColumn("spread", F.col("asset1") - F.col("beta") * F.col("asset2"))
     from .panel import rolling_zscore
 
-    z = rolling_zscore(both, "spread", "z", z_window, k).select(*k, "dt", "spread", F.round("z", 9).alias("z"))
+    z = rolling_zscore(both, "spread", "z", z_window, k).select(*k, "dt", "spread", F.round("z", 9).alias("z")).cache()
     return pair_pnl(z.join(positions(z, k, s).select(*k, "dt", "position"), [*k, "dt"]), k)

@@ -438,7 +438,7 @@ SMALL = (Windows(52, 104, 8), STRATEGY, Selection(10, 0.2, 1, 60, 40))
 
 
 def walks(spark, d):
-    return view(spark, d, "fx_walk")
+    return view(spark, d, "fx_walk").cache()
 
 
 @query()
