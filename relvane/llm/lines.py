@@ -23,6 +23,10 @@ from .simhash import bucket_masks, near_pairs, unite
 WORDS, RADIUS, SIMILARITY, LIMIT = 3, 3, 0.8, 2048
 
 
+#: For each byte, its eight bits as the bytes of a word, lowest first: eight counters are added at once.
+LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
 def line_hashes(lines: list[list[bytes]], codes: Codes) -> np.ndarray:
     """SimHashes of lines by their different words (a separator that fills a table would else outvote all others); no line is empty."""
     lines = [list(dict.fromkeys(x)) for x in lines]
@@ -33,9 +37,14 @@ def line_hashes(lines: list[list[bytes]], codes: Codes) -> np.ndarray:
             n += len(lines[end])
             end += 1
         size = np.array([len(x) for x in lines[at:end]])
-        bits = np.unpackbits(codes.of([w for x in lines[at:end] for w in x]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        over = 2 * np.add.reduceat(bits, np.r_[0, size.cumsum()[:-1]], axis=0, dtype=np.int32) > size[:, None]
-        out[at:end] = np.packbits(over, axis=1, bitorder="little").view(np.uint64).ravel()
+        first = np.r_[0, size.cumsum()[:-1]]
+        lanes = LANES[codes.of([w for x in lines[at:end] for w in x]).view(np.uint8).reshape(-1, 8)]
+        parts = -(-size // 255)  # a byte holds the sum of 255 words
+        start = np.repeat(first, parts) + 255 * (np.arange(parts.sum()) - np.repeat(np.r_[0, parts.cumsum()[:-1]], parts))
+        sums = np.add.reduceat(lanes, start, axis=0).view(np.uint8)
+        if (parts > 1).any():
+            sums = np.add.reduceat(sums, np.r_[0, parts.cumsum()[:-1]], axis=0, dtype=np.int32)
+        out[at:end] = np.packbits(2 * sums.astype(np.int32) > size[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
         at = end
     return out
 
