@@ -6,11 +6,15 @@ multinomial logistic regression is trained on the templates, whole and in halves
 the corpus that resemble no template, as class "unknown". The least family probability that counts is calibrated on
 held-out paragraphs of that sample. A prediction is confirmed if the paragraph holds enough of the bigrams of one of
 the family's templates. Scoring explodes all bigrams of all paragraphs and joins the few that a template knows with
-their weights: the sparse dot product is a sum by paragraph.
+their weights: the sparse dot product is a sum by paragraph. Texts that cannot match a template are left out before.
 """
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +88,33 @@ def similarity(grams, template):
     return F.size(F.array_intersect(inner, grams)) / F.size(inner)
 
 
+def anchors(given: dict | None = None, at_least: float = SIMILARITY) -> list[str]:
+    """Words of which any paragraph holds one that matches a template.
+
+    A match misses at most (1 - at_least) of a template's bigrams; a template's anchors touch more of them than that. So a text
+    without any anchor has no match, and the scan need not take it apart.
+    """
+    out: list[str] = []
+    for text in (t for ts in (given or TEMPLATES).values() for t in ts):
+        words = re.findall(r"[^\W_]+(?:[.+-]+[^\W_]+)*", text.lower())
+        left = set(zip(words, words[1:]))
+        need, touched = (1 - at_least) * len(left) + 1e-9, 0
+        for w in sorted(set(words), key=lambda w: (w not in out, -len(w), w)):
+            if touched > need:
+                break
+            hit = {b for b in left if w in b}
+            if hit:
+                out.append(w)
+                touched += len(hit)
+                left -= hit
+    return sorted(set(out))
+
+
+def any_of(text, words: list[str]):
+    low = F.lower(text)
+    return reduce(or_, [F.contains(low, F.lit(w)) for w in words])
+
+
 class Model:
     """Weights of bigrams by class (gram, w array), biases, classes and the calibrated least probability."""
 
@@ -144,7 +175,8 @@ def scan(docs: DataFrame, model: Model, given: dict | None = None, at_least: flo
     family is a family that the classifier predicts with the calibrated probability and whose templates confirm it, or "unknown" where a
     template matches but the classifier doesn't agree. Null and empty texts have no paragraphs. Equal rows of docs count once.
     """
-    rows = paragraphs(docs).select("doc_id", "row", "paragraph", bigrams(words_of(F.col("text"))).alias("grams"))
+    words = anchors(given, at_least)
+    rows = paragraphs(docs.where(any_of(F.col("text").cast("string"), words))).where(any_of(F.col("text"), words)).select("doc_id", "row", "paragraph", bigrams(words_of(F.col("text"))).alias("grams"))
     found = scored(rows, model, ["doc_id", "row", "paragraph"])
     known = templates(docs.sparkSession, given).select(F.col("family").alias("_f"), F.col("grams").alias("_t"))
     by = F.broadcast(known.groupBy().agg(F.collect_list(F.struct("_f", "_t")).alias("known")))  # one row, of fixed size
