@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..sources.tables import kept
 from .panel import zscore
 
 
@@ -39,7 +40,7 @@ def pca(scaled: DataFrame, keys: list[str], value: str = "z") -> tuple[DataFrame
         _, load, ratio = components_of(x.to_numpy())
         return pd.DataFrame({**{k: [v] * x.shape[1] for k, v in head.items()}, "asset": x.columns.to_numpy(), "vec": list(load), "ratios": [ratio] * x.shape[1]})
 
-    fit = rows.groupBy(*keys).applyInPandas(run, f"{types}, asset long, vec array<double>, ratios array<double>").cache()
+    fit = kept(rows.groupBy(*keys).applyInPandas(run, f"{types}, asset long, vec array<double>, ratios array<double>"))
     loadings = fit.select(*keys, "asset", "vec")
     w = W.partitionBy(*keys).orderBy("pc")
     ratios = fit.groupBy(*keys).agg(F.first("ratios").alias("r")).select(*keys, F.posexplode("r").alias("pc", "ratio")).withColumn("pc", F.col("pc") + 1)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..params import Selection, Strategy
+from ..sources.tables import kept
 from .quotes import finite
 
 
@@ -131,5 +132,5 @@ def forward_pnl(panel: DataFrame, chosen: DataFrame, keys: list[str], z_window:
     both = aligned(panel, chosen, "lp", keys, z_window + 1).withColumn("spread", F.col("asset1") - F.col("beta") * F.col("asset2"))
     from .panel import rolling_zscore
 
-    z = rolling_zscore(both, "spread", "z", z_window, k).select(*k, "dt", "spread", F.round("z", 9).alias("z")).cache()
+    z = kept(rolling_zscore(both, "spread", "z", z_window, k).select(*k, "dt", "spread", F.round("z", 9).alias("z")))
     return pair_pnl(z.join(positions(z, k, s).select(*k, "dt", "position"), [*k, "dt"]), k)

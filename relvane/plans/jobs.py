@@ -1,7 +1,7 @@
 """Jobs over all sectors and all dates at once: screening, the rolling evaluation and portfolios.
 
-Results that several later steps read (loadings, candidates, aligned windows, tests) are cached; they can be recomputed
-from their lineage if an executor is lost, and they hold candidates only, not the panel.
+Results that several later steps read (calendar, windows, loadings, candidates, aligned pairs, tests) are written as tables in
+a shared folder: plans stay short, and what a lost executor had made is read again, not computed again.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql.window import Window as W
 
 from ..operators import models, pairs, panel
 from ..params import Selection, Strategy, Windows
+from ..sources.tables import kept
 
 KEYS = ["sector", "rebal_date"]
 
@@ -28,13 +29,12 @@ def windows_of(prices: DataFrame, cal: DataFrame, dates: DataFrame, n: int, full
 
 def factors(prices: DataFrame, cal: DataFrame, dates: DataFrame, n: int, passes: int = 1):
     """(loadings, ratios) of the scaled returns of each (sector, rebal_date)."""
-    z = windows_of(prices, cal, dates, n).select(*KEYS, "asset", "dt", "price")
+    z = kept(windows_of(prices, cal, dates, n).select(*KEYS, "asset", "dt", "price"))
     for _ in range(passes):
-        z = panel.scaled(z, "price", tuple(KEYS)).withColumnRenamed("z", "price")
+        z = kept(panel.scaled(z, "price", tuple(KEYS)).withColumnRenamed("z", "price"))
     return models.pca(z.withColumnRenamed("price", "z"), KEYS)
 
 
-
 def candidates(labels: DataFrame, loadings: DataFrame, k: int | None = None) -> DataFrame:
     """(keys, a, b, cluster_id, pca_distance) of in-cluster pairs."""
     vec = F.col("vec") if k is None else F.slice("vec", 1, k)
@@ -48,10 +48,10 @@ def screen(prices: DataFrame, cal: DataFrame, dates: DataFrame, cand: DataFrame,
     """Candidates with both-way cointegration, and regression, half-life and deviation in the winning direction."""
     lp = panel.log_price(windows_of(prices, cal, dates, n, full=False)).where(F.col("lp").isNotNull()).select(*KEYS, "asset", "dt", "lp")
     k = [*KEYS, "a", "b"]
-    both = pairs.aligned(lp, cand, "lp", KEYS, min_overlap).cache()
+    both = kept(pairs.aligned(lp, cand, "lp", KEYS, min_overlap))
     arrays = both.groupBy(*k, "cluster_id", "pca_distance").agg(F.array_sort(F.collect_list(F.struct("dt", "asset1", "asset2"))).alias("s"))
     arrays = arrays.select(*k, "cluster_id", "pca_distance", F.transform("s", lambda r: r["asset1"]).alias("y"), F.transform("s", lambda r: r["asset2"]).alias("x"))
-    tested = models.cointegration(arrays).withColumnRenamed("p_value", "pval_min").cache()
+    tested = kept(models.cointegration(arrays).withColumnRenamed("p_value", "pval_min"))
     won = both.join(tested.select(*k, "first"), k).withColumn("u", F.when(F.col("first"), F.col("asset1")).otherwise(F.col("asset2"))).withColumn("v", F.when(F.col("first"), F.col("asset2")).otherwise(F.col("asset1")))
     fits = pairs.ols(won, k, "u", "v")
     spread = won.join(fits.select(*k, "alpha", "beta"), k).withColumn("spread", F.col("u") - F.col("alpha") - F.col("beta") * F.col("v"))
@@ -61,11 +61,12 @@ def screen(prices: DataFrame, cal: DataFrame, dates: DataFrame, cand: DataFrame,
 
 def rolling(prices: DataFrame, dates: DataFrame, w: Windows = Windows(), s: Strategy = Strategy(), sel: Selection = Selection(), k: int = 6, passes: int = 2) -> dict[str, DataFrame]:
     """selected, pair_pnl, portfolio_pnl and equity of a panel (sector, asset, dt, price) at dates (rebal_date, next_date)."""
-    cal = panel.calendar(prices)
+    cal, dates = kept(panel.calendar(prices)), kept(dates)
     loadings, _ = factors(prices, cal, dates, w.pca + 1, passes)
-    loadings = loadings.select(*KEYS, "asset", F.slice("vec", 1, k).alias("vec")).cache()
-    labels = models.cluster(models.scaled_loadings(loadings, KEYS), KEYS)
-    chosen = pairs.select_pairs(screen(prices, cal, dates, candidates(labels, loadings).cache(), w.coint, sel.min_overlap), KEYS, sel).cache()
+    loadings = loadings.select(*KEYS, "asset", F.slice("vec", 1, k).alias("vec"))
+    labels = kept(models.cluster(models.scaled_loadings(loadings, KEYS), KEYS))
+    cand = kept(candidates(labels, loadings))
+    chosen = kept(pairs.select_pairs(screen(prices, cal, dates, cand, w.coint, sel.min_overlap), KEYS, sel))
     ahead = panel.log_price(panel.forward(prices, dates))
     pnl = pairs.forward_pnl(ahead.select(*KEYS, "asset", "dt", "lp"), chosen.select(*KEYS, "a", "b", "beta"), KEYS, w.z, s)
     total = pairs.portfolio_pnl(pnl, KEYS)
@@ -74,19 +75,19 @@ def rolling(prices: DataFrame, dates: DataFrame, w: Windows = Windows(), s: Stra
 
 def portfolio(prices: DataFrame, dates: DataFrame, w: Windows = Windows(), benchmark: float = 0.5, p_most: float = 0.05) -> DataFrame:
     """Cointegrated in-cluster pairs at each date, with regression, spread deviations and half-life over the full history."""
-    cal = panel.calendar(prices)
+    cal, dates = kept(panel.calendar(prices)), kept(dates)
     loadings, ratios = factors(prices, cal, dates, w.pca + 1)
-    loadings = loadings.cache()
     cut = models.relevant(ratios, KEYS, benchmark)
-    loadings = loadings.join(cut, KEYS).select(*KEYS, "asset", F.slice("vec", F.lit(1), F.col("k")).alias("vec")).cache()
-    cand = candidates(models.cluster(models.scaled_loadings(loadings, KEYS), KEYS), loadings).cache()
+    loadings = kept(loadings.join(cut, KEYS).select(*KEYS, "asset", F.slice("vec", F.lit(1), F.col("k")).alias("vec")))
+    labels = kept(models.cluster(models.scaled_loadings(loadings, KEYS), KEYS))
+    cand = kept(candidates(labels, loadings))
     k = [*KEYS, "a", "b"]
     lp = panel.log_price(prices).where(F.col("lp").isNotNull())
     window = panel.trailing(lp, cal, dates, w.coint).select(*KEYS, "asset", "dt", "lp")
     both = pairs.aligned(window, cand, "lp", KEYS)
     arrays = both.groupBy(*k).agg(F.array_sort(F.collect_list(F.struct("dt", "asset1", "asset2"))).alias("s")).select(*k, F.transform("s", lambda r: r["asset1"]).alias("y"), F.transform("s", lambda r: r["asset2"]).alias("x"))
-    tested = models.cointegration(arrays, tie_first=False).withColumn("cointegrated", F.col("p_value") < p_most).where("cointegrated").cache()
-    full = pairs.aligned(lp.select("sector", "asset", "dt", "lp"), tested.select(*k, "p_value"), "lp", ["sector"]).drop("n_obs").cache()
+    tested = kept(models.cointegration(arrays, tie_first=False).withColumn("cointegrated", F.col("p_value") < p_most).where("cointegrated"))
+    full = kept(pairs.aligned(lp.select("sector", "asset", "dt", "lp"), tested.select(*k, "p_value"), "lp", ["sector"]).drop("n_obs"))
     fits = pairs.ols(full, k)
     stats = pairs.spread_stats(pairs.with_spread(full, fits, k), k)
     return tested.join(fits.drop("n_obs"), k).join(stats, k)

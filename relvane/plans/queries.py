@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,11 +40,6 @@ def r9(name: str):
     return (F.round(name, 9) + 0.0).alias(name)
 
 
-def folder(spark: SparkSession) -> str:
-    """A new folder for a round trip: under spark.checkpoint.dir where that is set, else in the warehouse."""
-    return f"{spark.sparkContext.getConf().get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}/trip-{uuid.uuid4().hex}"
-
-
 # quotes and reference data
 
 
@@ -56,14 +50,14 @@ def quotes_scan(spark, d):
 
 @query("select cast(year(date) as integer) as year, count(*) as n from fx_daily group by 1")
 def quotes_by_year(spark, d):
-    at = folder(spark)
+    at = tables.new_folder(spark)
     tables.write_by_year(view(spark, d, "fx_daily"), at)
     return spark.read.parquet(at).groupBy("year").agg(F.count("*").alias("n"))
 
 
 @query("select cast(year(date) as integer) as year, count(*) as n, count(distinct permno) as permnos from fx_daily where year(date) between 1994 and 1996 group by 1")
 def year_pruned_scan(spark, d):
-    at = folder(spark)
+    at = tables.new_folder(spark)
     tables.write_by_year(view(spark, d, "fx_daily"), at)
     return tables.read_quotes(spark, at, 1994, 1996).groupBy("year").agg(F.count("*").alias("n"), F.countDistinct("permno").alias("permnos"))
 
@@ -158,7 +152,7 @@ def build_panel(spark, d):
 
 @query("select asset, dt, price from fx_panel where sector = '1'")
 def panel_sector(spark, d):
-    at = folder(spark)
+    at = tables.new_folder(spark)
     tables.write_panel(view(spark, d, "fx_panel"), at)
     return tables.read_panel(spark, at, "1").select("asset", "dt", "price")
 
@@ -262,7 +256,7 @@ def forward_windows(spark, d):
 
 @query("select sector, count(*) as n, round(sum(price), 4) as total from fx_panel group by 1")
 def sink_roundtrip(spark, d):
-    at = folder(spark)
+    at = tables.new_folder(spark)
     tables.write_csv(view(spark, d, "fx_panel"), at)
     back = spark.read.csv(at, header=True, schema="dt date, asset long, sector string, price double")
     return back.groupBy("sector").agg(F.count("*").alias("n"), F.round(F.sum("price"), 4).alias("total"))
@@ -372,7 +366,7 @@ def select_pairs(spark, d):
 
 @query(f"with {SCREENED} select sector, a, b, pval_min from sc where pval_min < 0.05")
 def cointegrated_union(spark, d):
-    at = folder(spark)
+    at = tables.new_folder(spark)
     tables.write_panel(screened(spark, d).withColumn("cointegrated", F.col("pval_min") < 0.05), at)
     return tables.read_panel(spark, at).where("cointegrated").select(*PAIR, "pval_min")
 
@@ -438,17 +432,22 @@ SMALL = (Windows(52, 104, 8), STRATEGY, Selection(10, 0.2, 1, 60, 40))
 
 
 def walks(spark, d):
-    return view(spark, d, "fx_walk").cache()
+    return tables.kept(view(spark, d, "fx_walk"))
+
+
+def factored(spark, d):
+    p = walks(spark, d)
+    return jobs.factors(p, panel.calendar(p), dates_of(spark, d), 53)
 
 
 @query()
 def pca_evr(spark, d):
-    return jobs.factors(walks(spark, d), panel.calendar(walks(spark, d)), dates_of(spark, d), 53)[1]
+    return factored(spark, d)[1]
 
 
 @query()
 def pca_loadings(spark, d):
-    return jobs.factors(walks(spark, d), panel.calendar(walks(spark, d)), dates_of(spark, d), 53)[0]
+    return factored(spark, d)[0]
 
 
 @query()

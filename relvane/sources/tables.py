@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A new folder under spark.checkpoint.dir where that is set, else in the warehouse: both are shared by all executors."""
+    return f"{spark.sparkContext.getConf().get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}/kept-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df, evaluated once into a table that later steps read: their plans start there, and a lost executor loses none of it."""
+    path = new_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_quotes(spark: SparkSession, path: str, start=None, end=None, fmt: str = "parquet", schema=None) -> DataFrame:
     """Quotes from a table partitioned by year; only the years from start to end are read."""
     df = spark.read.format(fmt).options(**({"header": True} if fmt == "csv" else {}))
