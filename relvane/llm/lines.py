@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from .common import raw_texts, schema, stash, table
 from .components import connected_components
-from .quality import Codes
 from .simhash import bucket_masks, near_pairs, unite
 
 WORDS, RADIUS, SIMILARITY, LIMIT = 3, 3, 0.8, 2048
@@ -25,41 +24,84 @@ WORDS, RADIUS, SIMILARITY, LIMIT = 3, 3, 0.8, 2048
 
 #: For each byte, its eight bits as the bytes of a word, lowest first: eight counters are added at once.
 LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+#: White space but the line break to spaces.
+BLANKS = bytes.maketrans(b"\t\r\x0b\x0c", b"    ")
+#: Codes of bytes, and the base of the words' polynomials (odd, so it has an inverse).
+BYTES, BASE = np.random.default_rng(11).integers(0, 2**64, 256, np.uint64), 0x9E3779B97F4A7C15
+CHUNK = 1 << 19
 
 
-def line_hashes(lines: list[list[bytes]], codes: Codes) -> np.ndarray:
-    """SimHashes of lines by their different words (a separator that fills a table would else outvote all others); no line is empty."""
-    lines = [list(dict.fromkeys(x)) for x in lines]
+def normal_lines(text: bytes | None) -> list[bytes]:
+    """The text's lines with A-Z as lower case, white space as one space, none at the ends."""
+    lines = [x.strip(b" ") for x in (text or b"").lower().translate(BLANKS).split(b"\n")]
+    return [b" ".join(x.split()) if b"  " in x else x for x in lines]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit (Steele et al., 2014)."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out)
+
+
+def line_hashes(lines: list[bytes]) -> np.ndarray:
+    """SimHashes of normal lines by their different words (a separator that fills a table would else outvote all others).
+
+    A word's code is 40 bits of a polynomial of its bytes, from sums over a whole chunk of lines; no line is empty.
+    """
     out, at = np.zeros(len(lines), np.uint64), 0
+    up, down = powers(BASE, CHUNK), powers(pow(BASE, -1, 2**64), CHUNK)
     while at < len(lines):
         end, n = at, 0
-        while end < len(lines) and (end == at or n + len(lines[end]) <= 200_000):
-            n += len(lines[end])
+        while end < len(lines) and (end == at or n + len(lines[end]) < CHUNK):
+            n += len(lines[end]) + 1
             end += 1
-        size = np.array([len(x) for x in lines[at:end]])
+        own = lines[at:end]
+        text = np.frombuffer(b" ".join(own) + b" ", np.uint8)
+        if len(text) > len(up):
+            up, down = powers(BASE, len(text)), powers(pow(BASE, -1, 2**64), len(text))
+        sums = np.cumsum(BYTES[text] * up[: len(text)])
+        stop = np.flatnonzero(text == 32)
+        start = np.r_[0, stop[:-1] + 1]
+        words = (sums[stop - 1] - np.where(start > 0, sums[start - 1], np.uint64(0))) * down[start]
+        line = np.repeat(np.arange(len(own), dtype=np.uint64), [x.count(b" ") + 1 for x in own])
+        codes = np.sort(line << np.uint64(40) | mixed(words) >> np.uint64(24))
+        codes = codes[np.r_[True, codes[1:] != codes[:-1]]]
+        size = np.bincount((codes >> np.uint64(40)).astype(np.int64), minlength=len(own))
         first = np.r_[0, size.cumsum()[:-1]]
-        lanes = LANES[codes.of([w for x in lines[at:end] for w in x]).view(np.uint8).reshape(-1, 8)]
+        lanes = LANES[mixed(codes & np.uint64((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)]
         parts = -(-size // 255)  # a byte holds the sum of 255 words
-        start = np.repeat(first, parts) + 255 * (np.arange(parts.sum()) - np.repeat(np.r_[0, parts.cumsum()[:-1]], parts))
-        sums = np.add.reduceat(lanes, start, axis=0).view(np.uint8)
+        begin = np.repeat(first, parts) + 255 * (np.arange(parts.sum()) - np.repeat(np.r_[0, parts.cumsum()[:-1]], parts))
+        counts = np.add.reduceat(lanes, begin, axis=0).view(np.uint8)
         if (parts > 1).any():
-            sums = np.add.reduceat(sums, np.r_[0, parts.cumsum()[:-1]], axis=0, dtype=np.int32)
-        out[at:end] = np.packbits(2 * sums.astype(np.int32) > size[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+            counts = np.add.reduceat(counts, np.r_[0, parts.cumsum()[:-1]], axis=0, dtype=np.int32)
+        out[at:end] = np.packbits(2 * counts.astype(np.int32) > size[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
         at = end
     return out
 
 
+def shared(a: str, b: str) -> int:
+    """How many characters a and b share at their start."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
+    return low
+
+
 def within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance is at most `most` (bit-parallel, Myers 1999, after cutting what both ends share)."""
     if abs(len(a) - len(b)) > most:
         return False
-    i, n = 0, min(len(a), len(b))
-    while i < n and a[i] == b[i]:
-        i += 1
-    a, b, n = a[i:], b[i:], n - i
-    i = 0
-    while i < n and a[-1 - i] == b[-1 - i]:
-        i += 1
+    i = shared(a, b)
+    a, b = a[i:], b[i:]
+    i = shared(a[::-1], b[::-1])
     a, b = a[: len(a) - i], b[: len(b) - i]
     if not a or not b:
         return max(len(a), len(b)) <= most
@@ -87,15 +129,14 @@ def all_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
-        codes = Codes(11)
         for batch in batches:
-            ids, numbers, keys, split = [], [], [], []
+            ids, numbers, norms = [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), raw_texts(batch)):
-                for k, line in enumerate((text or b"").lower().split(b"\n")):
-                    if len(ws := line.split()) >= words:
-                        ids.append(doc), numbers.append(k), split.append(ws), keys.append(xxhash.xxh3_128_digest(b" ".join(ws)))
+                for k, line in enumerate(normal_lines(text)):
+                    if line.count(b" ") + 1 >= words and line:
+                        ids.append(doc), numbers.append(k), norms.append(line)
             if ids:
-                fps = line_hashes(split, codes).view(np.int64)
+                keys, fps = [xxhash.xxh3_128_digest(x) for x in norms], line_hashes(norms).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()), pa.array(fps)], ["doc_id", "line", "key", "fp"])
 
     return docs.where(F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id long, line int, key binary, fp long")
@@ -169,10 +210,10 @@ def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
         for batch in batches:
             ids, numbers, fps, norms = [], [], [], []
             for doc, text, asked in zip(batch.column("doc_id").to_pylist(), raw_texts(batch), batch.column("lines").to_pylist()):
-                own = (text or b"").lower().split(b"\n")
+                own = normal_lines(text)
                 for x in asked:
                     if x["line"] < len(own):
-                        ids.append(doc), numbers.append(x["line"]), fps.append(x["fp"]), norms.append(b" ".join(own[x["line"]].split()).decode())
+                        ids.append(doc), numbers.append(x["line"]), fps.append(x["fp"]), norms.append(own[x["line"]].decode())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(fps, pa.int64()), pa.array(norms, pa.string())], ["doc_id", "line", "fp", "norm"])
 
     return docs.join(wanted, "doc_id").mapInArrow(run, "doc_id long, line int, fp long, norm string")

@@ -1,7 +1,6 @@
 import random
 
 from relvane.llm import lines
-from relvane.llm.quality import Codes
 
 from .brute import components, frame, odd_docs, prose
 
@@ -25,7 +24,7 @@ def expected(rows, radius=3, similarity=0.8):
                     n = b" ".join(ws).decode()
                     first[n] = min(first.get(n, (d, k)), (d, k))
     norms = sorted(first, key=first.get)
-    fps = lines.line_hashes([n.encode().split() for n in norms], Codes(11)).tolist()
+    fps = lines.line_hashes([n.encode() for n in norms]).tolist()
     links = []
     for i in range(len(norms)):
         for j in range(i):
@@ -74,6 +73,20 @@ def test_distance():
             assert lines.within(a, b, most) == (distance(a, b) <= most)
 
 
+def test_hashes_do_not_depend_on_the_chunk(monkeypatch):
+    own = [x.lower() for x in (prose(i, 3 + 40 * (i % 9)).encode() for i in range(60))] + [b" ".join(b"v%d" % i for i in range(900))]
+    whole = lines.line_hashes(own).tolist()
+    monkeypatch.setattr(lines, "CHUNK", 64)
+    assert whole == lines.line_hashes(own).tolist() and len(set(whole)) == len(own)
+    assert lines.line_hashes([b"a b b c"])[0] == lines.line_hashes([b"c a b"])[0]
+
+
+def test_lines_are_split_as_words_are():
+    text = b"  Two\t words \r\n\n\x0bA\x0c\x0cb  c\n"
+    assert lines.normal_lines(text) == [b" ".join(x.split()) for x in text.lower().split(b"\n")]
+    assert lines.normal_lines(None) == [b""]
+
+
 def test_very_long_lines(spark):
     x = prose(1, 8000)
     got = lines.deduplicated(frame(spark, [(1, x), (2, x + " more"), (3, x.upper())])).collect()
