@@ -114,10 +114,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int =
     return w
 
 
-def scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """docs with score, the chance that quality is 1 by the text alone. Null and empty texts get the bias's score."""
+def scored(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFrame:
+    """docs with score, the chance that quality is 1 by the text alone, in place of a column of that name. Null and empty texts get the bias's score."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     bits = len(weights).bit_length() - 1
+    docs = docs.drop(name)
     names = docs.columns
 
     def run(batches):
@@ -127,17 +128,15 @@ def scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
         for batch in batches:
             got = (features(x, codes, bits) for x in raw_texts(batch))
             s = np.array([w[at] @ x + w[-1] for at, x in got], np.float64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(1 / (1 + np.exp(-np.clip(s, -35, 35))))], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(1 / (1 + np.exp(-np.clip(s, -35, 35))))], [*names, name])
 
-    return docs.mapInArrow(run, docs.select("*", F.lit(0.0).alias("score")).schema)
+    return docs.mapInArrow(run, docs.select("*", F.lit(0.0).alias(name)).schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, known: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs whose score is at least the threshold; the classifier is trained on the labelled rows of `known`."""
-    plain = docs.drop("score") if "score" in docs.columns else docs
-    if plain is not docs:
-        raise ValueError("docs already has a column score")
-    return scored(docs, train(known, labels)).where(F.col("score") >= threshold).drop("score")
+    """docs whose score is at least the threshold, all columns as they are; the classifier is trained on the labelled rows of `known`."""
+    name = max(docs.columns, key=len) + "_score"  # longer than any other name
+    return scored(docs, train(known, labels), name).where(F.col(name) >= threshold).drop(name)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,6 +41,14 @@ def test_odd_texts_get_scores(spark, labelled):
     assert quality.scored(frame(spark, []), w).collect() == []
 
 
+def test_a_column_named_score_stays(spark, labelled):
+    rows, labels = labelled
+    docs = frame(spark, rows, score="mine")
+    got = quality.keep_good(docs, labels, docs)
+    assert got.columns == docs.columns and {r.score for r in got.collect()} == {"mine"}
+    assert quality.scored(docs, quality.train(docs, labels)).columns == ["doc_id", "text", "score"]
+
+
 def test_without_labels_scores_are_even(spark, labelled):
     rows, labels = labelled
     w = quality.train(frame(spark, rows), labels.limit(0))
