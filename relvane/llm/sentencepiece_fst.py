@@ -77,7 +77,7 @@ class Transducer:
         self.ids = {p: i for i, (p, _, kind) in enumerate(pieces) if kind == NORMAL}
         self.score = [s for _, s, _ in pieces]
         self.text = [p for p, _, _ in pieces]
-        self.longest = max(map(len, self.ids), default=1)
+        self.heads = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE}
         self.unknown = next((i for i, (_, _, kind) in enumerate(pieces) if kind == 2), 0)
         self.spoken = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() if kind == NORMAL else " ⁇ ".encode() if kind == 2 else b"" for p, _, kind in pieces]
@@ -128,8 +128,10 @@ class Transducer:
             if text[at] not in self.ids:
                 last[at + 1] = (None, at)
                 continue
-            for end in range(at + 1, min(n, at + self.longest) + 1):
-                i = self.ids.get(text[at:end])
+            for end in range(at + 1, n + 1):
+                if (part := text[at:end]) not in self.heads:
+                    break  # no piece goes on like this
+                i = self.ids.get(part)
                 if i is not None and last[end] is None and self.whole(i) and (before is None or self.junction(before, i)):
                     last[end] = (i, at)
         out: list[int] = []
