@@ -5,8 +5,8 @@ Composed with an input it is a lattice: states are places in the text together w
 A BPE result is known by its neighbours: it is the one path whose every two neighbouring pieces are themselves
 what BPE makes of their joined characters (Berglund and van der Merwe, 2023). Such a junction has weight 0, any other
 weight infinity, and a character without a piece goes through its bytes. The tropical-semiring shortest path is then the
-path of weight 0, found by one pass over the places; as prefixes of BPE results are BPE results of prefixes, each place has
-one state of finite weight.
+path of weight 0, found by a depth-first search of arcs of weight 0; as prefixes of BPE results are BPE results of prefixes,
+each place has one state of finite weight, so the search leaves no place twice.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 import struct
 from array import array
-from itertools import chain
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +69,21 @@ def read_model(path: str) -> dict:
     return {"pieces": pieces}
 
 
+class Known(dict):
+    """Paths of stretches, as bytes of 32-bit ids; a bounded number of short ones is kept."""
+
+    def __init__(self, fst: Transducer):
+        self.fst = fst
+
+    def __missing__(self, part: str) -> bytes:
+        ids = array("i", self.fst.path(part)).tobytes()
+        if len(part) <= 64:
+            if len(self) >= self.fst.most:
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class Transducer:
     """Encodes and decodes; built once for each Python worker from the model's pieces."""
 
@@ -77,14 +92,24 @@ class Transducer:
         self.ids = {p: i for i, (p, _, kind) in enumerate(pieces) if kind == NORMAL}
         self.score = [s for _, s, _ in pieces]
         self.text = [p for p, _, _ in pieces]
-        self.heads = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        self.length = [len(p) for p in self.text]
+        self.letters = {p for p in self.ids if len(p) == 1}
+        self.trie: dict = {}  # a node: its next characters, and under None the piece that ends there
+        for p, i in self.ids.items():
+            node = self.trie
+            for c in p:
+                node = node.setdefault(c, {})
+            node[None] = i
+        self.shorter = [-1] * len(pieces)  # the longest other piece that a piece starts with
+        for p, i in self.ids.items():
+            self.shorter[i] = next((j for k in range(len(p) - 1, 0, -1) if (j := self.ids.get(p[:k])) is not None), -1)
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE}
         self.unknown = next((i for i, (_, _, kind) in enumerate(pieces) if kind == 2), 0)
         self.spoken = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() if kind == NORMAL else " ⁇ ".encode() if kind == 2 else b"" for p, _, kind in pieces]
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.reached: dict[int, bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
         self.most = most
+        self.known = Known(self)
         inner = {c for p in self.ids if len(p) > 1 for c in p}
         alone = "".join(re.escape(c) for c in map(chr, range(33)) if c not in inner)
         if any(MARK in p.lstrip(MARK) for p in self.ids):
@@ -108,53 +133,65 @@ class Transducer:
         return ok
 
     def junction(self, a: int, b: int) -> bool:
-        """Whether piece b may follow piece a: weight 0 or infinity."""
-        if (ok := self.fits.get((a, b))) is None:
-            ok = self.merged(list(self.text[a] + self.text[b])) == [self.text[a], self.text[b]]
-            if len(self.fits) > 4 * self.most:
-                self.fits.clear()
-            self.fits[a, b] = ok
+        """Whether piece b may follow piece a (below 0: no piece): weight 0 or infinity."""
+        ok = self.whole(b) and (a < 0 or self.merged(list(self.text[a] + self.text[b])) == [self.text[a], self.text[b]])
+        if len(self.fits) > 4 * self.most:
+            self.fits.clear()
+        self.fits[a * len(self.text) + b] = ok
         return ok
 
-    def path(self, text: str) -> tuple[int, ...]:
-        """The shortest path through one stretch of normalised text."""
-        n = len(text)
-        last: list = [None] * (n + 1)  # the piece of the state of weight 0 at a place: (id or None for bytes, place before)
-        last[0] = (None, -1)
-        for at in range(n):
-            if last[at] is None:
-                continue
-            before = last[at][0]
-            if text[at] not in self.ids:
-                last[at + 1] = (None, at)
-                continue
-            for end in range(at + 1, n + 1):
-                if (part := text[at:end]) not in self.heads:
-                    break  # no piece goes on like this
-                i = self.ids.get(part)
-                if i is not None and last[end] is None and self.whole(i) and (before is None or self.junction(before, i)):
-                    last[end] = (i, at)
+    def longest(self, text: str, at: int) -> int:
+        """The longest piece that starts at a place."""
+        node, found = self.trie, -1
+        for k in range(at, len(text)):
+            if (node := node.get(text[k])) is None:
+                break
+            found = node.get(None, found)
+        return found
+
+    def pieces(self, text: str) -> list[int]:
+        """The shortest path through characters that all have pieces.
+
+        Every finite path weighs 0, so the search takes arcs of weight 0 until one path ends the text, long pieces first. A
+        place has one state of finite weight: one that leads nowhere is dead, and no place is left twice.
+        """
+        out, dead, fits, many = [], bytearray(len(text) + 1), self.fits, len(self.text)
+        at, before, i = 0, -1, self.longest(text, 0)
+        while True:
+            while i >= 0:
+                end = at + self.length[i]
+                if not dead[end]:
+                    ok = fits.get(before * many + i)
+                    if ok is None:
+                        ok = self.junction(before, i)
+                    if ok:
+                        break
+                i = self.shorter[i]
+            if i >= 0:
+                out.append(i)
+                if end == len(text):
+                    return out
+                at, before, i = end, i, self.longest(text, end)
+            else:
+                dead[at] = 1
+                last = out.pop()
+                at, before, i = at - self.length[last], out[-1] if out else -1, self.shorter[last]
+
+    def path(self, text: str) -> list[int]:
+        """The shortest path through one stretch of normalised text; characters without a piece go through their bytes."""
+        if self.letters.issuperset(text):
+            return self.pieces(text)
         out: list[int] = []
-        at = n
-        while at > 0:
-            i, start = last[at]
-            out[:0] = [i] if i is not None else [self.bytes.get(x, self.unknown) for x in text[start:at].encode("utf-8", "surrogatepass")]
-            at = start
-        return tuple(out)
-
-    def of(self, part: str) -> tuple[int, ...]:
-        if (ids := self.known.get(part)) is None:
-            ids = self.path(part)
-            if len(part) <= 64:
-                if len(self.known) >= self.most:
-                    self.known.clear()
-                self.known[part] = ids
-        return ids
+        for known, run in groupby(text, self.letters.__contains__):
+            part = "".join(run)
+            out += self.pieces(part) if known else [self.bytes.get(x, self.unknown) for x in part.encode("utf-8", "surrogatepass")]
+        return out
 
     def encode(self, text: str) -> array:
-        if not text:
-            return array("i")
-        return array("i", chain.from_iterable(map(self.of, self.split.findall(MARK + text.replace(" ", MARK)))))
+        out = array("i")
+        if text:
+            out.frombytes(b"".join(map(self.known.__getitem__, self.split.findall(MARK + text.replace(" ", MARK)))))
+        return out
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.spoken.__getitem__, ids)).decode("utf-8", "replace")
