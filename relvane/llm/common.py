@@ -68,6 +68,20 @@ def ranked(df: DataFrame, keys: list[str], order: list, name: str, weight: Colum
     return rows.join(parts, on).withColumn(name, (F.col("_before") + F.col("_inside")).cast("long")).drop("_w", "_inside", "_b", "_before", *[f"_{k}" for k in keys])
 
 
+def marked(rows: DataFrame, key: str, ids: DataFrame, name: str, bits: int = 1 << 24) -> DataFrame:
+    """Adds a boolean `name`: whether the row's key may be in the only column of ids; false means that it is not.
+
+    The table that is broadcast is a bitmap of hashes: bits / 64 rows of two longs at most (4 MB), whatever ids holds. Joins with
+    wide rows shuffle only what it lets through; when it is full, they shuffle all rows, with the same results.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(bits))
+    word, bit = lambda c: F.shiftright(place(c), 6), lambda c: F.pmod(place(c), F.lit(64)).cast("int")
+    own = F.col(ids.columns[0])
+    words = ids.groupBy(word(own).alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit(own))).alias("_bits"))
+    both = rows.join(F.broadcast(words), word(rows[key]) == F.col("_word"), "left")
+    return both.select(*rows.columns, F.coalesce(F.bit_get("_bits", bit(rows[key])) == 1, F.lit(False)).alias(name))
+
+
 def raw_texts(batch, name: str = "text") -> list:
     """The column's texts as UTF-8 bytes; None for null."""
     import pyarrow as pa

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import raw_texts, schema, stash, table
+from .common import marked, raw_texts, schema, stash, table
 from .components import connected_components
 from .simhash import bucket_masks, near_pairs, unite
 
@@ -202,7 +202,8 @@ def with_neighbours(fps: DataFrame, radius: int, limit: int) -> DataFrame:
 
 def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(doc_id, line, fp, norm): the normalised texts of lines (doc_id, line, fp)."""
-    wanted = lines.groupBy("doc_id").agg(F.collect_list(F.struct("line", "fp")).alias("lines"))
+    wanted = stash(lines.groupBy("doc_id").agg(F.collect_list(F.struct("line", "fp")).alias("lines")))
+    docs = marked(docs, "doc_id", wanted.select("doc_id"), "_asked").where("_asked").drop("_asked")
 
     def run(batches):
         import pyarrow as pa
@@ -267,7 +268,9 @@ def deduplicated(docs: DataFrame, **params) -> DataFrame:
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     gone = stash(repeated_lines(plain, **params).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line").alias("_gone")))
-    both = docs.join(gone, docs["doc_id"].cast("long") == F.col("_id"), "left").drop("_id")
+    all_docs = marked(docs, "doc_id", gone.select("_id"), "_touched")
+    whole, touched = (all_docs.where(F.col("_touched") == x).drop("_touched") for x in (False, True))
+    both = touched.join(gone, touched["doc_id"].cast("long") == F.col("_id"), "left").drop("_id")
     names = [c for c in both.columns if c not in ("text", "_gone")]
 
     def run(batches):
@@ -289,7 +292,9 @@ def deduplicated(docs: DataFrame, **params) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(kept, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], [*names, "text", "_n_lines", "_n_removed"])
 
     shape = T.StructType([*both.drop("_gone", "text").schema, *schema(text="string", _n_lines="long", _n_removed="long")])
-    return both.mapInArrow(run, shape).select(*docs.columns, "_n_lines", "_n_removed")
+    breaks = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    whole = whole.withColumn("text", F.col("text").cast("string")).withColumn("_n_lines", F.coalesce(breaks + 1, F.lit(0)).cast("long")).withColumn("_n_removed", F.lit(0).cast("long"))
+    return both.mapInArrow(run, shape).select(*docs.columns, "_n_lines", "_n_removed").unionByName(whole)
 
 
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
