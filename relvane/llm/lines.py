@@ -1,10 +1,11 @@
-"""Line dedup (operator 4): fuzzy lines by SimHash, pigeonhole blocks and edit similarity.
+"""Line dedup (operator 4): exact lines by a 128-bit key, fuzzy lines by MinHash bands, sketches and edit similarity.
 
 Lines are normalised (A-Z to lower case, white space to one space); lines of fewer than `words` words always stay. Two different
-normalised lines are linked if their SimHashes of words differ in at most `radius` bits and their edit similarity, 1 - distance
-/ longer length, is at least `similarity`. Links are searched among different lines only, in buckets of lines that agree on one of
-radius + 1 blocks of bits. First the fingerprints alone are dealt, and only lines whose fingerprint has a neighbour are dealt
-again with their texts. A bucket returns a spanning star of what it links. Of each connected group of lines, the
+normalised lines are linked if their edit similarity, 1 - distance / longer length,
+is at least `similarity` and the search finds them: they share both minima of one of BANDS pairs of MinHashes of their windows of
+eight bytes, two of 15 more minima (one byte each), and the lengths allow the similarity. Links are searched among different
+lines only. First keys and sketches alone are dealt, and only lines that have a neighbour are dealt again with their texts, to
+the buckets where they have it. A bucket returns a spanning star of what it links. Of each connected group of lines, the
 occurrence of the smallest (doc_id, line) stays.
 """
 
@@ -17,9 +18,12 @@ from pyspark.sql import types as T
 
 from .common import marked, raw_texts, schema, stash, table
 from .components import connected_components
-from .simhash import bucket_masks, near_pairs, unite
+from .simhash import unite
 
-WORDS, RADIUS, SIMILARITY, LIMIT = 3, 3, 0.8, 2048
+WORDS, CHARS, SIMILARITY, LIMIT = 3, 16, 0.8, 2048
+#: Pairs of MinHashes that name buckets, further MinHashes of a sketch, and how many of these must agree.
+BANDS, CODES, AGREE = 16, 15, 2
+WINDOW, STEP = 8, 1.04
 
 
 #: For each byte, its eight bits as the bytes of a word, lowest first: eight counters are added at once.
@@ -122,8 +126,46 @@ def within(a: str, b: str, most: int) -> bool:
     return score <= most
 
 
-def all_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, line, key, fp): the lines that take part. key: a 128-bit hash of the normalised line."""
+#: An exclusive-or and an odd factor for each MinHash.
+FLIPS, FACTORS = np.random.default_rng(12).integers(0, 2**32, (2, 2 * BANDS + CODES), np.uint32) | np.array([[0], [1]], np.uint32)
+
+
+def minima(lines: list[bytes]) -> np.ndarray:
+    """MinHashes (lines, 2 * BANDS + CODES) of the windows of lines that aren't empty; shorter lines are one window."""
+    out, at = np.zeros((len(lines), 2 * BANDS + CODES), np.uint32), 0
+    while at < len(lines):
+        end, n = at, 0
+        while end < len(lines) and (end == at or n + len(lines[end]) < CHUNK // 8):
+            n += max(len(lines[end]), WINDOW)
+            end += 1
+        own = [x.ljust(WINDOW, b"\n") for x in lines[at:end]]
+        size = np.array([len(x) for x in own])
+        text = b"".join(own)
+        windows = np.ndarray(len(text) - WINDOW + 1, "<u8", text, strides=(1,))
+        count = size - WINDOW + 1
+        first = np.r_[0, count.cumsum()[:-1]]
+        codes = (mixed(windows[np.arange(count.sum()) + np.repeat(np.r_[0, size.cumsum()[:-1]] - first, count)]) >> np.uint64(32)).astype(np.uint32)
+        for p, (flip, factor) in enumerate(zip(FLIPS, FACTORS)):
+            out[at:end, p] = np.minimum.reduceat((codes ^ flip) * factor, first)
+        at = end
+    return out
+
+
+def sketches(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(lines, BANDS) int32: the buckets of lines; (lines, CODES + 1) uint8: bytes of further minima, and the length's logarithm."""
+    m = minima(lines)
+    pairs = m[:, : 2 * BANDS].astype(np.uint64)
+    keys = mixed(mixed(pairs[:, ::2] << np.uint64(32) | pairs[:, 1::2]) + np.arange(BANDS, dtype=np.uint64)) >> np.uint64(32)
+    codes = (m[:, 2 * BANDS :] * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
+    sizes = np.minimum(np.log([max(1, len(x.decode())) for x in lines]) / np.log(STEP), 255).astype(np.uint8)
+    return keys.astype(np.uint32).view(np.int32), np.column_stack([codes, sizes])
+
+
+def all_lines(docs: DataFrame, words: int = WORDS, chars: int = CHARS) -> DataFrame:
+    """(doc_id, line, key, fp, keys, sketch): the lines that aren't empty.
+
+    key: a 128-bit hash of the normalised line; fp: half of it; keys and sketch (bytes): those of sketches(), null if the line isn't searched for fuzzy ones.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -133,48 +175,91 @@ def all_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
             ids, numbers, norms = [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), raw_texts(batch)):
                 for k, line in enumerate(normal_lines(text)):
-                    if line.count(b" ") + 1 >= words and line:
+                    if line and line.count(b" ") + 1 >= words:
                         ids.append(doc), numbers.append(k), norms.append(line)
             if ids:
-                keys, fps = [xxhash.xxh3_128_digest(x) for x in norms], line_hashes(norms).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()), pa.array(fps)], ["doc_id", "line", "key", "fp"])
+                keys = [xxhash.xxh3_128_digest(x) for x in norms]
+                wide = [k for k, x in enumerate(norms) if x.count(b" ") + 1 >= words or len(x.decode()) >= chars]
+                buckets, sketch = [None] * len(norms), [None] * len(norms)
+                if wide:
+                    for k, x, y in zip(wide, *sketches([norms[k] for k in wide])):
+                        buckets[k], sketch[k] = x.tobytes(), y.tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()), pa.array([half(x) for x in keys], pa.int64()), pa.array(buckets, pa.binary()), pa.array(sketch, pa.binary())], ["doc_id", "line", "key", "fp", "keys", "sketch"])
+
+    return docs.where(F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id long, line int, key binary, fp long, keys binary, sketch binary")
 
-    return docs.where(F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id long, line int, key binary, fp long")
 
+def half(key: bytes) -> int:
+    return int.from_bytes(key[:8], "little", signed=True)
 
-def dealt(rows: DataFrame, radius: int, limit: int) -> DataFrame:
-    """rows in buckets (t, k, i, j), sorted, by one block of fp each; buckets over the limit as pairs of chunks."""
-    masks = bucket_masks(radius, radius + 1)
-    parts = rows.withColumn("x", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for t, m in enumerate(masks)]))).select("x.t", "x.k", *rows.columns)
-    large = parts.groupBy("t", "k").count().where(F.col("count") > limit).select("t", "k", F.ceil(F.col("count") / limit).cast("int").alias("c"))
+
+def in_bands(kinds: DataFrame) -> DataFrame:
+    """(k, fp, s1, s2): a row for each bucket of each line; s1 and s2 hold the sketch."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows:
+                k = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.int32)
+                x = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.repeat(batch.column("fp").to_numpy(), BANDS)), *(pa.array(np.repeat(x[:, c], BANDS)) for c in (0, 1))], ["k", "fp", "s1", "s2"])
+
+    return kinds.where(F.col("keys").isNotNull()).select("fp", "keys", "sketch").mapInArrow(run, "k int, fp long, s1 long, s2 long")
+
+
+def dealt(rows: DataFrame, limit: int, share: int = 64) -> DataFrame:
+    """rows (k, fp, ...) in buckets (k, i, j), sorted; buckets over the limit, as a share of the lines shows, as pairs of chunks."""
+    share = min(share, limit)
+    large = rows.where(F.pmod(F.xxhash64("fp"), F.lit(share)) == 0).groupBy("k").count().where(F.col("count") * share > limit).select("k", F.ceil(F.col("count") * share / limit).cast("int").alias("c"))
     many = F.coalesce("c", F.lit(1))
-    parts = parts.join(large, ["t", "k"], "left").withColumn("x", F.pmod(F.xxhash64(F.lit(1), *rows.columns), many).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), many - 1)))
-    parts = parts.select("t", "k", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), *rows.columns)
-    return parts.repartition("t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j")
+    parts = rows.join(F.broadcast(large), "k", "left").withColumn("x", F.pmod(F.xxhash64(F.lit(1), "fp"), many).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), many - 1)))
+    parts = parts.select("k", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), *[c for c in rows.columns if c != "k"])
+    return parts.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
 
 
 def buckets(batches):
     """Record batches that hold whole buckets, with the buckets' starts and ends."""
     import pyarrow as pa
 
-    rest = None
+    rest: list = []
     for batch in chain_last(batches):
         if batch is not None:
-            now = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-        elif rest is None:
+            now = pa.Table.from_batches([batch])
+            keys = [now.column(c).to_numpy().astype(np.int64) for c in ("k", "i", "j")]
+            if all(x[0] == x[-1] for x in keys) and (not rest or all(x[0] == rest[0].column(c)[0].as_py() for x, c in zip(keys, ("k", "i", "j")))):
+                rest.append(now)  # all of one bucket
+                continue
+            now = pa.concat_tables([*rest, now])
+        elif not rest:
             return
         else:
-            now = rest
-        keys = np.stack([now.column(c).to_numpy().astype(np.int64) for c in ("t", "k", "i", "j")])
+            now = pa.concat_tables(rest)
+        keys = np.stack([now.column(c).to_numpy().astype(np.int64) for c in ("k", "i", "j")])
         new = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
         if batch is not None:
-            if not len(new):
-                rest = now
-                continue
-            rest, now, new = now.slice(new[-1]), now.slice(0, new[-1]), new[:-1]
+            rest, now, new = [now.slice(new[-1])], now.slice(0, new[-1]), new[:-1]
         yield now, np.r_[0, new].astype(np.int64), np.r_[new, len(now)].astype(np.int64)
 
 
+def alike(rows, starts: np.ndarray, ends: np.ndarray, similarity: float):
+    """Pairs of indices, in parts, of the runs [start, end) whose sketches agree often enough and whose lengths allow the similarity."""
+    size = ends - starts
+    codes = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("s1", "s2")], axis=1).view(np.uint8)
+    most = -np.log(similarity) / np.log(STEP) + 1
+    at = np.repeat(starts - np.r_[0, size.cumsum()[:-1]], size) + np.arange(size.sum())
+    stop = np.repeat(ends, size)
+    for d in range(1, int(size.max(initial=0))):
+        left = at + d < stop
+        at, stop = at[left], stop[left]
+        for p in range(0, len(at), 1 << 18):
+            i = at[p : p + (1 << 18)]
+            i = i[np.abs(codes[i, CODES].astype(np.int16) - codes[i + d, CODES]) <= most]
+            i = i[(codes[i, :CODES] == codes[i + d, :CODES]).sum(1) >= AGREE]
+            if len(i):
+                yield i, i + d
+
+
 def chain_last(batches):
     for batch in batches:
         if batch.num_rows:
@@ -182,22 +267,21 @@ def chain_last(batches):
     yield None
 
 
-def with_neighbours(fps: DataFrame, radius: int, limit: int) -> DataFrame:
-    """The distinct fingerprints (fp) that have another within the radius, perhaps several times."""
+def with_neighbours(rows: DataFrame, similarity: float, limit: int) -> DataFrame:
+    """(k, i, j, fp, s1, s2): the rows of buckets that have a neighbour there."""
 
     def run(batches):
         import pyarrow as pa
 
         for rows, starts, ends in buckets(batches):
             keep = ends - starts > 1
-            if keep.any():
-                f = rows.column("fp").to_numpy().astype(np.int64).view(np.uint64)
-                seen = np.zeros(len(f), bool)
-                for i, j in near_pairs(f, starts[keep], ends[keep], radius):
-                    seen[i] = seen[j] = True
-                yield pa.RecordBatch.from_arrays([pa.array(f[seen].view(np.int64))], ["fp"])
+            seen = np.zeros(len(rows), bool)
+            for i, j in alike(rows, starts[keep], ends[keep], similarity):
+                seen[i] = seen[j] = True
+            if seen.any():
+                yield from rows.filter(pa.array(seen)).to_batches()
 
-    return dealt(fps, radius, limit).mapInArrow(run, "fp long")
+    return dealt(rows, limit).mapInArrow(run, "k int, i int, j int, fp long, s1 long, s2 long")
 
 
 def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -207,21 +291,22 @@ def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
+        import xxhash
 
         for batch in batches:
             ids, numbers, fps, norms = [], [], [], []
             for doc, text, asked in zip(batch.column("doc_id").to_pylist(), raw_texts(batch), batch.column("lines").to_pylist()):
                 own = normal_lines(text)
                 for x in asked:
-                    if x["line"] < len(own):
+                    if x["line"] < len(own) and half(xxhash.xxh3_128_digest(own[x["line"]])) == x["fp"]:  # rows may share a doc_id
                         ids.append(doc), numbers.append(x["line"]), fps.append(x["fp"]), norms.append(own[x["line"]].decode())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(fps, pa.int64()), pa.array(norms, pa.string())], ["doc_id", "line", "fp", "norm"])
 
     return docs.join(wanted, "doc_id").mapInArrow(run, "doc_id long, line int, fp long, norm string")
 
 
-def fuzzy_links(texts: DataFrame, radius: int, similarity: float, limit: int) -> DataFrame:
-    """Links (a, b) of lines, each a struct (doc_id, line), that connect what linked lines connect."""
+def fuzzy_links(texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) of lines, each a struct (doc_id, line), that connect what linked lines connect. texts: in buckets (k, i, j)."""
 
     def run(batches):
         import pyarrow as pa
@@ -230,34 +315,32 @@ def fuzzy_links(texts: DataFrame, radius: int, similarity: float, limit: int) ->
             keep = ends - starts > 1
             if not keep.any():
                 continue
-            f = rows.column("fp").to_numpy().astype(np.int64).view(np.uint64)
             norms = rows.column("norm").to_pylist()
-            root = np.arange(len(f))
-            for i, j in near_pairs(f, starts[keep], ends[keep], radius):
+            root = np.arange(len(norms))
+            for i, j in alike(rows, starts[keep], ends[keep], similarity):
                 for at in range(0, len(i), 64):  # a few at a time: what the first ones tie together isn't compared again
                     x, y = i[at : at + 64], j[at : at + 64]
                     apart = root[x] != root[y]
                     part = [(x, y) for x, y in zip(x[apart].tolist(), y[apart].tolist()) if within(norms[x], norms[y], int((1 - similarity) * max(len(norms[x]), len(norms[y])) + 1e-9))]
                     if part:
                         root = unite(root, *np.array(part).T)
-            tied = np.flatnonzero(root != np.arange(len(f)))
+            tied = np.flatnonzero(root != np.arange(len(norms)))
             doc, line = (rows.column(c).to_numpy() for c in ("doc_id", "line"))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[tied], line[tied], doc[root[tied]], line[root[tied]])], ["d1", "l1", "d2", "l2"])
 
-    out = dealt(texts, radius, limit).mapInArrow(run, "d1 long, l1 int, d2 long, l2 int")
+    out = texts.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j").mapInArrow(run, "d1 long, l1 int, d2 long, l2 int")
     return out.select(*[F.struct(F.col(f"d{k}").alias("doc_id"), F.col(f"l{k}").alias("line")).alias(x) for k, x in ((1, "a"), (2, "b"))])
 
 
-def repeated_lines(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, similarity: float = SIMILARITY, limit: int = LIMIT) -> DataFrame:
+def repeated_lines(docs: DataFrame, words: int = WORDS, chars: int = CHARS, similarity: float = SIMILARITY, limit: int = LIMIT) -> DataFrame:
     """(doc_id, line): occurrences that are not the first of their group. docs: doc_id long, text string."""
-    lines = stash(all_lines(docs, words))
-    kinds = stash(lines.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"), F.min("fp").alias("fp")))
-    fps = kinds.groupBy("fp").agg(F.count("*").alias("m"))
-    close = with_neighbours(fps.select("fp"), radius, limit).unionByName(fps.where("m > 1").select("fp")).distinct()
-    texts = stash(line_texts(docs, kinds.join(close, "fp", "left_semi").select("first.doc_id", "first.line", "fp")))
-    roots = connected_components(fuzzy_links(texts, radius, similarity, limit))
+    lines = stash(all_lines(docs, words, chars))
+    kinds = stash(lines.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"), F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("sketch").alias("sketch")))
+    close = stash(with_neighbours(in_bands(kinds), similarity, limit))
+    texts = stash(line_texts(docs, kinds.join(close.select("fp").distinct(), "fp", "left_semi").select("first.doc_id", "first.line", "fp")).dropDuplicates(["doc_id", "line", "fp"]))
+    roots = connected_components(fuzzy_links(close.join(texts, "fp"), similarity))
     kept = kinds.join(roots, F.col("first") == F.col("node"), "left").where((F.col("n") > 1) | F.col("root").isNotNull()).select("key", F.coalesce("root", "first").alias("kept"))
-    return lines.join(kept, "key").where((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("line") != F.col("kept.line"))).select("doc_id", "line")
+    return lines.select("doc_id", "line", "key").join(kept, "key").where((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("line") != F.col("kept.line"))).select("doc_id", "line")
 
 
 def deduplicated(docs: DataFrame, **params) -> DataFrame:
