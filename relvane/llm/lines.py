@@ -1,7 +1,7 @@
 """Line dedup (operator 4): exact lines by a 128-bit key, fuzzy lines by MinHash bands, sketches and edit similarity.
 
-Lines are normalised (A-Z to lower case, white space to one space); lines of fewer than `words` words always stay. Two different
-normalised lines are linked if their edit similarity, 1 - distance / longer length,
+Lines are normalised (A-Z to lower case, white space to one space); every line that isn't empty then takes part. Two different
+normalised lines of at least `words` words or `chars` characters are linked if their edit similarity, 1 - distance / longer length,
 is at least `similarity` and the search finds them: they share both minima of one of BANDS pairs of MinHashes of their windows of
 eight bytes, two of 15 more minima (one byte each), and the lengths allow the similarity. Links are searched among different
 lines only. First keys and sketches alone are dealt, and only lines that have a neighbour are dealt again with their texts, to
@@ -175,7 +175,7 @@ def all_lines(docs: DataFrame, words: int = WORDS, chars: int = CHARS) -> DataFr
             ids, numbers, norms = [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), raw_texts(batch)):
                 for k, line in enumerate(normal_lines(text)):
-                    if line and line.count(b" ") + 1 >= words:
+                    if line:
                         ids.append(doc), numbers.append(k), norms.append(line)
             if ids:
                 keys = [xxhash.xxh3_128_digest(x) for x in norms]

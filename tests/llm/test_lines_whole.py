@@ -46,3 +46,15 @@ def test_recall_against_edit_similarity_alone(spark):
         found = {kind: sum(2 * i + 1 in gone for i, m in enumerate(made) if m[0] == kind) / sum(m[0] == kind for m in made) for kind in ("letter", "letters", "words")}
         print(limit, found, len(gone) / len(made))
         assert found["letter"] >= 0.98 and found["words"] >= 0.9 and found["letters"] >= 0.6, found
+
+
+def test_short_lines_go_as_exact_copies(spark):
+    text = "}\nHome\n\nread more\n这是一个没有空格的句子所以只有一个词\n" + "QUJD" * 30
+    got = lines.deduplicated(frame(spark, [(1, text), (2, text + "\n" + prose(1, 9)), (3, "home")])).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(1, text), (2, "\n" + prose(1, 9)), (3, "")]
+
+
+def test_lines_without_spaces_take_part_in_the_fuzzy_search(spark):
+    x = "这是一个没有空格的句子所以只有一个词而且它相当长因此可以模糊比较"
+    got = lines.deduplicated(frame(spark, [(1, x), (2, x + "了"), (3, "这")])).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(1, x), (2, ""), (3, "这")]
