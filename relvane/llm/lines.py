@@ -285,7 +285,7 @@ def with_neighbours(rows: DataFrame, similarity: float, limit: int) -> DataFrame
 
 
 def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(doc_id, line, fp, norm): the normalised texts of lines (doc_id, line, fp)."""
+    """(doc_id, line, fp, norm, keys): the normalised texts of lines (doc_id, line, fp), and their buckets."""
     wanted = stash(lines.groupBy("doc_id").agg(F.collect_list(F.struct("line", "fp")).alias("lines")))
     docs = marked(docs, "doc_id", wanted.select("doc_id"), "_asked").where("_asked").drop("_asked")
 
@@ -300,9 +300,11 @@ def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
                 for x in asked:
                     if x["line"] < len(own) and half(xxhash.xxh3_128_digest(own[x["line"]])) == x["fp"]:  # rows may share a doc_id
                         ids.append(doc), numbers.append(x["line"]), fps.append(x["fp"]), norms.append(own[x["line"]].decode())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(fps, pa.int64()), pa.array(norms, pa.string())], ["doc_id", "line", "fp", "norm"])
+            if ids:
+                keys = [x.tobytes() for x in sketches([x.encode() for x in norms])[0]]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(fps, pa.int64()), pa.array(norms, pa.string()), pa.array(keys, pa.binary())], ["doc_id", "line", "fp", "norm", "keys"])
 
-    return docs.join(wanted, "doc_id").mapInArrow(run, "doc_id long, line int, fp long, norm string")
+    return docs.join(wanted, "doc_id").mapInArrow(run, "doc_id long, line int, fp long, norm string, keys binary")
 
 
 def fuzzy_links(texts: DataFrame, similarity: float) -> DataFrame:
@@ -317,7 +319,10 @@ def fuzzy_links(texts: DataFrame, similarity: float) -> DataFrame:
                 continue
             norms = rows.column("norm").to_pylist()
             root = np.arange(len(norms))
+            keys, here = np.frombuffer(b"".join(rows.column("keys").to_pylist()), np.int32).reshape(-1, BANDS), rows.column("k").to_numpy()
             for i, j in alike(rows, starts[keep], ends[keep], similarity):
+                first = keys[i, (keys[i] == keys[j]).argmax(1)] == here[i]  # a pair is compared in one of its buckets
+                i, j = i[first], j[first]
                 for at in range(0, len(i), 64):  # a few at a time: what the first ones tie together isn't compared again
                     x, y = i[at : at + 64], j[at : at + 64]
                     apart = root[x] != root[y]
