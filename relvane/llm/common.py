@@ -40,10 +40,37 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def stash(df: DataFrame) -> DataFrame:
-    """Evaluates df once into a Parquet table in the shared folder; for large tables."""
-    path = f"{shared_dir(df.sparkSession)}/stash-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Evaluates df once into a Parquet table in the shared folder, for large tables; what it shuffled is of no more use then and goes."""
+    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
+    before = spark.conf.get(cleanup)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stash_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of stash() that nothing reads any more."""
+    for t in tables:
+        sc = t.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(t.stash_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores in front as it takes to be none of the columns (upper and lower case are alike)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def bucket(*cols: Column, n: int = 1024) -> Column:
@@ -68,20 +95,6 @@ def ranked(df: DataFrame, keys: list[str], order: list, name: str, weight: Colum
     return rows.join(parts, on).withColumn(name, (F.col("_before") + F.col("_inside")).cast("long")).drop("_w", "_inside", "_b", "_before", *[f"_{k}" for k in keys])
 
 
-def marked(rows: DataFrame, key: str, ids: DataFrame, name: str, bits: int = 1 << 24) -> DataFrame:
-    """Adds a boolean `name`: whether the row's key may be in the only column of ids; false means that it is not.
-
-    The table that is broadcast is a bitmap of hashes: bits / 64 rows of two longs at most (4 MB), whatever ids holds. Joins with
-    wide rows shuffle only what it lets through; when it is full, they shuffle all rows, with the same results.
-    """
-    place = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(bits))
-    word, bit = lambda c: F.shiftright(place(c), 6), lambda c: F.pmod(place(c), F.lit(64)).cast("int")
-    own = F.col(ids.columns[0])
-    words = ids.groupBy(word(own).alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit(own))).alias("_bits"))
-    both = rows.join(F.broadcast(words), word(rows[key]) == F.col("_word"), "left")
-    return both.select(*rows.columns, F.coalesce(F.bit_get("_bits", bit(rows[key])) == 1, F.lit(False)).alias(name))
-
-
 def raw_texts(batch, name: str = "text") -> list:
     """The column's texts as UTF-8 bytes; None for null."""
     import pyarrow as pa

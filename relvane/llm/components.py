@@ -11,8 +11,9 @@ from .common import cut
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Rows (node, root) for each node that isn't the smallest of its component; root is the smallest.
 
-    Links are never gathered: a step is two joins on a node, whose minimum is aggregated before the
-    shuffle; the driver sees a count and a checksum. Loops and rows with a null end are left out.
+    Links are never gathered: a step is two joins on a node, whose minimum is aggregated before the shuffle and, in the first, checkpointed, so
+    that Spark can split the join at nodes of many links; the driver sees a count and a checksum. Loops and rows with a
+    null end are left out.
     """
     u, v = F.col("u"), F.col("v")
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a).isNull().alias("x"), F.col(b).isNull().alias("y"))
@@ -24,7 +25,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             return e.select(u.alias("node"), v.alias("root"))
         seen = now
         both = e.unionByName(e.select(v.alias("u"), u.alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where(v > u).join(least, "u").select(v.alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where(v > F.col("m")).select(v.alias("u"), F.col("m").alias("v"))

@@ -1,12 +1,14 @@
-"""Line dedup (operator 4): exact lines by a 128-bit key, fuzzy lines by MinHash bands, sketches and edit similarity.
+"""Line dedup (operator 4): exact lines by a 120-bit key, fuzzy lines by MinHash bands and edit similarity.
 
 Lines are normalised (A-Z to lower case, white space to one space); every line that isn't empty then takes part. Two different
 normalised lines of at least `words` words or `chars` characters are linked if their edit similarity, 1 - distance / longer length,
-is at least `similarity` and the search finds them: they share both minima of one of BANDS pairs of MinHashes of their windows of
-eight bytes, two of 15 more minima (one byte each), and the lengths allow the similarity. Links are searched among different
-lines only. First keys and sketches alone are dealt, and only lines that have a neighbour are dealt again with their texts, to
-the buckets where they have it. A bucket returns a spanning star of what it links. Of each connected group of lines, the
-occurrence of the smallest (doc_id, line) stays.
+is at least `similarity` and the search finds them: they share one of BANDS keys and, from SHORT characters on, two of CODES further
+MinHashes of windows of eight bytes (for longer lines up to AGREE, as a wrong candidate costs more there). A key is the minimum of the line's windows of 16 bytes under one hash or, for lines below
+SHORT bytes, a pair of minima of windows of eight bytes; lines around SHORT have both kinds. SimHashes of words within a few bits, the method asked for, find a changed
+letter in one line of fifty, so these keys stand in for its blocks (see the README).
+
+Keys travel alone, packed, and only those that different lines of like length share name lines whose texts are fetched and compared. Of
+each connected group of lines, the occurrence of the smallest (doc_id, row, line) stays; row is a hash of the text.
 """
 
 from __future__ import annotations
@@ -16,23 +18,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import marked, raw_texts, schema, stash, table
+from .common import discard, free, raw_texts, schema, stash, table
 from .components import connected_components
 from .simhash import unite
 
-WORDS, CHARS, SIMILARITY, LIMIT = 3, 16, 0.8, 2048
-#: Pairs of MinHashes that name buckets, further MinHashes of a sketch, and how many of these must agree.
-BANDS, CODES, AGREE = 16, 15, 2
-WINDOW, STEP = 8, 1.04
-
-
-#: For each byte, its eight bits as the bytes of a word, lowest first: eight counters are added at once.
-LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+WORDS, CHARS, SIMILARITY, LIMIT = 3, 16, 0.8, 1024
+#: Keys of a line, MinHashes (one byte each) that a pair is tested by before its texts are compared, and how many of these must agree at most.
+BANDS, CODES, AGREE = 16, 32, 5
+SHORT, SLACK = 64, 1.25
+#: The keys of most lines that are split wherever they go, at most; others hold less than one in HOT of all keys.
+HOT, SAMPLED = 65536, 64
+STEP, CHUNK = 1.04, 1 << 16
 #: White space but the line break to spaces.
 BLANKS = bytes.maketrans(b"\t\r\x0b\x0c", b"    ")
-#: Codes of bytes, and the base of the words' polynomials (odd, so it has an inverse).
-BYTES, BASE = np.random.default_rng(11).integers(0, 2**64, 256, np.uint64), 0x9E3779B97F4A7C15
-CHUNK = 1 << 19
+#: An exclusive-or and an odd factor for each MinHash.
+FLIPS, FACTORS = np.random.default_rng(12).integers(0, 2**32, (2, 2 * BANDS + CODES), np.uint32) | np.array([[0], [1]], np.uint32)
+LONG, PAIRS = range(BANDS), range(2 * BANDS)
+LOW = np.uint64(BANDS - 1)
 
 
 def normal_lines(text: bytes | None) -> list[bytes]:
@@ -48,123 +50,70 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out)
-
-
-def line_hashes(lines: list[bytes]) -> np.ndarray:
-    """SimHashes of normal lines by their different words (a separator that fills a table would else outvote all others).
-
-    A word's code is 40 bits of a polynomial of its bytes, from sums over a whole chunk of lines; no line is empty.
-    """
-    out, at = np.zeros(len(lines), np.uint64), 0
-    up, down = powers(BASE, CHUNK), powers(pow(BASE, -1, 2**64), CHUNK)
+def parts_of(lines: list[bytes], most: int):
+    """Slices of lines of about `most` bytes."""
+    at = 0
     while at < len(lines):
         end, n = at, 0
-        while end < len(lines) and (end == at or n + len(lines[end]) < CHUNK):
-            n += len(lines[end]) + 1
+        while end < len(lines) and (end == at or n + len(lines[end]) < most):
+            n += len(lines[end]) + 16
             end += 1
-        own = lines[at:end]
-        text = np.frombuffer(b" ".join(own) + b" ", np.uint8)
-        if len(text) > len(up):
-            up, down = powers(BASE, len(text)), powers(pow(BASE, -1, 2**64), len(text))
-        sums = np.cumsum(BYTES[text] * up[: len(text)])
-        stop = np.flatnonzero(text == 32)
-        start = np.r_[0, stop[:-1] + 1]
-        words = (sums[stop - 1] - np.where(start > 0, sums[start - 1], np.uint64(0))) * down[start]
-        line = np.repeat(np.arange(len(own), dtype=np.uint64), [x.count(b" ") + 1 for x in own])
-        codes = np.sort(line << np.uint64(40) | mixed(words) >> np.uint64(24))
-        codes = codes[np.r_[True, codes[1:] != codes[:-1]]]
-        size = np.bincount((codes >> np.uint64(40)).astype(np.int64), minlength=len(own))
-        first = np.r_[0, size.cumsum()[:-1]]
-        lanes = LANES[mixed(codes & np.uint64((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)]
-        parts = -(-size // 255)  # a byte holds the sum of 255 words
-        begin = np.repeat(first, parts) + 255 * (np.arange(parts.sum()) - np.repeat(np.r_[0, parts.cumsum()[:-1]], parts))
-        counts = np.add.reduceat(lanes, begin, axis=0).view(np.uint8)
-        if (parts > 1).any():
-            counts = np.add.reduceat(counts, np.r_[0, parts.cumsum()[:-1]], axis=0, dtype=np.int32)
-        out[at:end] = np.packbits(2 * counts.astype(np.int32) > size[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+        yield slice(at, end)
         at = end
-    return out
 
 
-def shared(a: str, b: str) -> int:
-    """How many characters a and b share at their start."""
-    low, high = 0, min(len(a), len(b))
-    while low < high:
-        mid = (low + high + 1) // 2
-        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
-    return low
-
-
-def within(a: str, b: str, most: int) -> bool:
-    """Whether the edit distance is at most `most` (bit-parallel, Myers 1999, after cutting what both ends share)."""
-    if abs(len(a) - len(b)) > most:
-        return False
-    i = shared(a, b)
-    a, b = a[i:], b[i:]
-    i = shared(a[::-1], b[::-1])
-    a, b = a[: len(a) - i], b[: len(b) - i]
-    if not a or not b:
-        return max(len(a), len(b)) <= most
-    at: dict[str, int] = {}
-    for k, c in enumerate(a):
-        at[c] = at.get(c, 0) | 1 << k
-    full, top, up, down, score = (1 << len(a)) - 1, 1 << (len(a) - 1), (1 << len(a)) - 1, 0, len(a)
-    for k, c in enumerate(b):
-        eq = at.get(c, 0)
-        x = eq | down
-        y = ((((eq & up) + up) ^ up) | eq) & full
-        more, less = down | (full & ~(y | up)), up & y
-        score += bool(more & top) - bool(less & top)
-        more, less = (more << 1 | 1) & full, less << 1 & full
-        up, down = less | (full & ~(x | more)), more & x
-        if score - (len(b) - 1 - k) > most:
-            return False
-    return score <= most
-
-
-#: An exclusive-or and an odd factor for each MinHash.
-FLIPS, FACTORS = np.random.default_rng(12).integers(0, 2**32, (2, 2 * BANDS + CODES), np.uint32) | np.array([[0], [1]], np.uint32)
-
-
-def minima(lines: list[bytes]) -> np.ndarray:
-    """MinHashes (lines, 2 * BANDS + CODES) of the windows of lines that aren't empty; shorter lines are one window."""
-    out, at = np.zeros((len(lines), 2 * BANDS + CODES), np.uint32), 0
-    while at < len(lines):
-        end, n = at, 0
-        while end < len(lines) and (end == at or n + len(lines[end]) < CHUNK // 8):
-            n += max(len(lines[end]), WINDOW)
-            end += 1
-        own = [x.ljust(WINDOW, b"\n") for x in lines[at:end]]
+def minima(lines: list[bytes], width: int, which) -> np.ndarray:
+    """(lines, MinHashes) of the windows of `width` (8 or 16) bytes of lines that aren't empty; shorter lines are one window."""
+    out = np.zeros((len(lines), len(which)), np.uint32)
+    for part in parts_of(lines, CHUNK):
+        own = [x.ljust(width, b"\n") for x in lines[part]]
         size = np.array([len(x) for x in own])
         text = b"".join(own)
-        windows = np.ndarray(len(text) - WINDOW + 1, "<u8", text, strides=(1,))
-        count = size - WINDOW + 1
+        codes = mixed(np.ndarray(len(text) - 7, "<u8", text, strides=(1,)))
+        if width > 8:
+            codes = mixed(codes[: 8 - width] * np.uint64(0x9E3779B97F4A7C15) ^ codes[width - 8 :])
+        count = size - width + 1
         first = np.r_[0, count.cumsum()[:-1]]
-        codes = (mixed(windows[np.arange(count.sum()) + np.repeat(np.r_[0, size.cumsum()[:-1]] - first, count)]) >> np.uint64(32)).astype(np.uint32)
-        for p, (flip, factor) in enumerate(zip(FLIPS, FACTORS)):
-            out[at:end, p] = np.minimum.reduceat((codes ^ flip) * factor, first)
-        at = end
+        codes = (codes[np.arange(count.sum()) + np.repeat(np.r_[0, size.cumsum()[:-1]] - first, count)] >> np.uint64(32)).astype(np.uint32)
+        for k, p in enumerate(which):
+            out[part, k] = np.minimum.reduceat((codes ^ FLIPS[p]) * FACTORS[p], first)
     return out
 
 
-def sketches(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(lines, BANDS) int32: the buckets of lines; (lines, CODES + 1) uint8: bytes of further minima, and the length's logarithm."""
-    m = minima(lines)
-    pairs = m[:, : 2 * BANDS].astype(np.uint64)
-    keys = mixed(mixed(pairs[:, ::2] << np.uint64(32) | pairs[:, 1::2]) + np.arange(BANDS, dtype=np.uint64)) >> np.uint64(32)
-    codes = (m[:, 2 * BANDS :] * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
-    sizes = np.minimum(np.log([max(1, len(x.decode())) for x in lines]) / np.log(STEP), 255).astype(np.uint8)
-    return keys.astype(np.uint32).view(np.int32), np.column_stack([codes, sizes])
+def keys_of(lines: list[bytes], bits: int = 64) -> list[bytes]:
+    """Of each line that isn't empty, the first `bits` of BANDS keys for each kind of windows that it has; a key's low bits number the band."""
+    size = np.array([len(x) for x in lines])
+    out = [b""] * len(lines)
+    band = np.arange(BANDS, dtype=np.uint64)
+    for long, those in ((True, size >= SHORT), (False, size < SHORT * SLACK)):
+        at = np.flatnonzero(those).tolist()
+        if at:
+            own = [lines[k] for k in at]
+            m = minima(own, 16, LONG).astype(np.uint64) + (np.uint64(1) << np.uint64(32)) if long else minima(own, 8, PAIRS).astype(np.uint64)
+            if not long:
+                m = m[:, ::2] << np.uint64(32) | m[:, 1::2]
+            keys = mixed(mixed(m) + band) & ~LOW | band
+            flat = (keys if bits == 64 else (keys >> np.uint64(64 - bits)).astype(f"<u{bits // 8}")).tobytes()
+            step = BANDS * bits // 8
+            for n, k in enumerate(at):
+                out[k] += flat[n * step : (n + 1) * step]
+    return out
+
+
+def classes(lines: list[bytes]) -> np.ndarray:
+    """Logarithms of the lengths, as a byte: those of lines similar enough differ by less than reach()."""
+    return np.minimum(np.log([max(1, len(x.decode())) for x in lines]) / np.log(STEP), 255).astype(np.uint64)
+
+
+def reach(similarity: float) -> float:
+    return -np.log(similarity) / np.log(STEP) + 1
 
 
 def all_lines(docs: DataFrame, words: int = WORDS, chars: int = CHARS) -> DataFrame:
-    """(doc_id, line, key, fp, keys, sketch): the lines that aren't empty.
+    """(doc_id, row, line, fp, key, keys): the lines that aren't empty.
 
-    key: a 128-bit hash of the normalised line; fp: half of it; keys and sketch (bytes): those of sketches(), null if the line isn't searched for fuzzy ones.
+    fp and key: 120 bits of a hash of the normalised line, and in fp the class of its length; keys (bytes): those of keys_of(), null for lines
+    that aren't searched for fuzzy ones and where the same line came shortly before.
     """
 
     def run(batches):
@@ -172,92 +121,136 @@ def all_lines(docs: DataFrame, words: int = WORDS, chars: int = CHARS) -> DataFr
         import xxhash
 
         for batch in batches:
-            ids, numbers, norms = [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), raw_texts(batch)):
+            ids, rows, numbers, norms = [], [], [], []
+            for doc, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), raw_texts(batch)):
                 for k, line in enumerate(normal_lines(text)):
                     if line:
-                        ids.append(doc), numbers.append(k), norms.append(line)
-            if ids:
-                keys = [xxhash.xxh3_128_digest(x) for x in norms]
-                wide = [k for k, x in enumerate(norms) if x.count(b" ") + 1 >= words or len(x.decode()) >= chars]
-                buckets, sketch = [None] * len(norms), [None] * len(norms)
-                if wide:
-                    for k, x, y in zip(wide, *sketches([norms[k] for k in wide])):
-                        buckets[k], sketch[k] = x.tobytes(), y.tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()), pa.array([half(x) for x in keys], pa.int64()), pa.array(buckets, pa.binary()), pa.array(sketch, pa.binary())], ["doc_id", "line", "key", "fp", "keys", "sketch"])
+                        ids.append(doc), rows.append(row), numbers.append(k), norms.append(line)
+            if not ids:
+                continue
+            hashes = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x) for x in norms]), np.uint64).reshape(-1, 2)
+            fp = hashes[:, 0] & ~np.uint64(255) | classes(norms)
+            new = np.zeros(len(norms), bool)
+            new[np.unique(fp, return_index=True)[1]] = True
+            wide = [k for k in np.flatnonzero(new).tolist() if norms[k].count(b" ") + 1 >= words or len(norms[k].decode()) >= chars]
+            keys = [None] * len(norms)
+            for k, x in zip(wide, keys_of([norms[k] for k in wide])):
+                keys[k] = x
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(numbers, pa.int32()), pa.array(fp.view(np.int64)), pa.array(hashes[:, 1].copy().view(np.int64)), pa.array(keys, pa.binary())], ["doc_id", "row", "line", "fp", "key", "keys"])
 
-    return docs.where(F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id long, line int, key binary, fp long, keys binary, sketch binary")
+    return docs.mapInArrow(run, "doc_id long, row long, line int, fp long, key long, keys binary")
 
 
-def half(key: bytes) -> int:
-    return int.from_bytes(key[:8], "little", signed=True)
+def entries(batch) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, fps): an entry for each key of the lines of a batch."""
+    keys = batch.column("keys")
+    size = np.diff(np.asarray(keys.offsets)) // 8 if hasattr(keys, "offsets") else np.array([len(x) // 8 for x in keys.to_pylist()], int)
+    return np.frombuffer(b"".join(keys.to_pylist()), np.uint64), np.repeat(batch.column("fp").to_numpy().view(np.uint64), size)
 
 
-def in_bands(kinds: DataFrame) -> DataFrame:
-    """(k, fp, s1, s2): a row for each bucket of each line; s1 and s2 hold the sketch."""
+def hot_keys(searched: DataFrame, limit: int) -> dict[int, int]:
+    """Parts for the keys of most lines, HOT at most, as a share of the lines shows."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             if batch.num_rows:
-                k = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.int32)
-                x = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.repeat(batch.column("fp").to_numpy(), BANDS)), *(pa.array(np.repeat(x[:, c], BANDS)) for c in (0, 1))], ["k", "fp", "s1", "s2"])
+                yield pa.RecordBatch.from_arrays([pa.array(entries(batch)[0].view(np.int64))], ["k"])
+
+    share = min(SAMPLED, limit)
+    some = searched.where(F.pmod("key", F.lit(share)) == 0).select("fp", "keys").distinct().mapInArrow(run, "k long")
+    count = stash(some.groupBy("k").count().where(F.col("count") * share > limit))
+    n = count.count()
+    least = count.approxQuantile("count", [1 - HOT / n], 0.0)[0] + 1 if n > HOT else 0
+    out = {r.k: -(-r["count"] * share // limit) for r in count.where(F.col("count") >= least).collect()}  # HOT rows at most
+    discard(count)
+    return out
+
 
-    return kinds.where(F.col("keys").isNotNull()).select("fp", "keys", "sketch").mapInArrow(run, "k int, fp long, s1 long, s2 long")
+def chunked(keys: np.ndarray, fps: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of keys that are split: a chunk of a key meets each of its chunks under a key of its own."""
+    x = mixed(fps + np.uint64(1)) % parts.astype(np.uint64)
+    at = np.repeat(np.arange(len(keys)), parts)
+    y = (np.arange(len(at)) - np.repeat(parts.cumsum() - parts, parts)).astype(np.uint64)
+    pair = np.minimum(x[at], y) << np.uint64(32) | np.maximum(x[at], y)
+    return mixed(keys[at] ^ mixed(pair + np.uint64(1))) & ~LOW | keys[at] & LOW, fps[at]
 
 
-def dealt(rows: DataFrame, limit: int, share: int = 64) -> DataFrame:
-    """rows (k, fp, ...) in buckets (k, i, j), sorted; buckets over the limit, as a share of the lines shows, as pairs of chunks."""
-    share = min(share, limit)
-    large = rows.where(F.pmod(F.xxhash64("fp"), F.lit(share)) == 0).groupBy("k").count().where(F.col("count") * share > limit).select("k", F.ceil(F.col("count") * share / limit).cast("int").alias("c"))
-    many = F.coalesce("c", F.lit(1))
-    parts = rows.join(F.broadcast(large), "k", "left").withColumn("x", F.pmod(F.xxhash64(F.lit(1), "fp"), many).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), many - 1)))
-    parts = parts.select("k", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), *[c for c in rows.columns if c != "k"])
-    return parts.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
+def shared_keys(lines: DataFrame, similarity: float, limit: int) -> DataFrame:
+    """(k, fp): the keys that a line shares with another one of like length; keys of more than about `limit` lines in chunks."""
+    searched = lines.where(F.col("keys").isNotNull())
+    hot = hot_keys(searched, limit)
+    table_ = np.array(sorted(hot), np.int64)
+    shared = lines.sparkSession.sparkContext.broadcast((table_, np.array([hot[k] for k in table_.tolist()], np.int64)))
+    bits = max(8, (searched.count() * BANDS // (1 << 20)).bit_length())
+
+    def deal(batches):
+        import pyarrow as pa
 
+        known, parts = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k, fp = entries(batch)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, k.view(np.int64)), len(known) - 1)
+                split = known[at] == k.view(np.int64)
+                ck, cf = chunked(k[split], fp[split], parts[at[split]])
+                k, fp = np.r_[k[~split], ck], np.r_[fp[~split], cf]
+            order = np.argsort(k)
+            k, fp = k[order], fp[order]
+            part = (k >> np.uint64(64 - bits)).astype(np.int32)
+            s = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+            offsets = pa.array(np.r_[s, len(k)].astype(np.int32) * 8)
+            blobs = [pa.Array.from_buffers(pa.binary(), len(s), [None, offsets.buffers()[1], pa.py_buffer(x.tobytes())]) for x in (k, fp)]
+            yield pa.RecordBatch.from_arrays([pa.array(part[s]), *blobs], ["part", "k", "fp"])
+
+    def meet(batches):
+        import pyarrow as pa
 
-def buckets(batches):
-    """Record batches that hold whole buckets, with the buckets' starts and ends."""
+        for rows in groups(batches, ["part"]):
+            k, fp = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint64) for c in ("k", "fp"))
+            size = (fp & np.uint64(255)).astype(np.int16)
+            order = np.lexsort((fp, size, k))
+            k, fp, size = k[order], fp[order], size[order]
+            new = np.r_[True, (k[1:] != k[:-1]) | (fp[1:] != fp[:-1])]
+            k, fp, size = k[new], fp[new], size[new]
+            close = (k[1:] == k[:-1]) & (size[1:] - size[:-1] <= reach(similarity))
+            keep = np.r_[False, close] | np.r_[close, False]
+            k, fp = k[keep], fp[keep]
+            start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, int)
+            many = np.diff(np.r_[start, len(k)])
+            parts = np.repeat(-(-many // limit), many)
+            large = parts > 1
+            ck, cf = chunked(k[large], fp[large], parts[large])
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[k[~large], ck].view(np.int64)), pa.array(np.r_[fp[~large], cf].view(np.int64))], ["k", "fp"])
+
+    dealt = searched.select("fp", "keys").mapInArrow(deal, "part int, k binary, fp binary")
+    return dealt.repartition("part").sortWithinPartitions("part").mapInArrow(meet, "k long, fp long")
+
+
+def groups(batches, keys: list[str]):
+    """Tables of whole groups of rows, several groups in one where they are small; the rows come sorted by the keys."""
     import pyarrow as pa
 
     rest: list = []
     for batch in chain_last(batches):
         if batch is not None:
             now = pa.Table.from_batches([batch])
-            keys = [now.column(c).to_numpy().astype(np.int64) for c in ("k", "i", "j")]
-            if all(x[0] == x[-1] for x in keys) and (not rest or all(x[0] == rest[0].column(c)[0].as_py() for x, c in zip(keys, ("k", "i", "j")))):
-                rest.append(now)  # all of one bucket
+            own = [now.column(c).to_numpy() for c in keys]
+            if all(x[0] == x[-1] for x in own) and (not rest or all(x[0] == rest[0].column(c)[0].as_py() for x, c in zip(own, keys))):
+                rest.append(now)  # all of one group
                 continue
             now = pa.concat_tables([*rest, now])
-        elif not rest:
-            return
-        else:
+            own = [now.column(c).to_numpy() for c in keys]
+            last = np.flatnonzero(np.any([x[1:] != x[:-1] for x in own], axis=0))[-1] + 1
+            rest, now = [now.slice(last)], now.slice(0, last)
+        elif rest:
             now = pa.concat_tables(rest)
-        keys = np.stack([now.column(c).to_numpy().astype(np.int64) for c in ("k", "i", "j")])
-        new = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-        if batch is not None:
-            rest, now, new = [now.slice(new[-1])], now.slice(0, new[-1]), new[:-1]
-        yield now, np.r_[0, new].astype(np.int64), np.r_[new, len(now)].astype(np.int64)
-
-
-def alike(rows, starts: np.ndarray, ends: np.ndarray, similarity: float):
-    """Pairs of indices, in parts, of the runs [start, end) whose sketches agree often enough and whose lengths allow the similarity."""
-    size = ends - starts
-    codes = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("s1", "s2")], axis=1).view(np.uint8)
-    most = -np.log(similarity) / np.log(STEP) + 1
-    at = np.repeat(starts - np.r_[0, size.cumsum()[:-1]], size) + np.arange(size.sum())
-    stop = np.repeat(ends, size)
-    for d in range(1, int(size.max(initial=0))):
-        left = at + d < stop
-        at, stop = at[left], stop[left]
-        for p in range(0, len(at), 1 << 18):
-            i = at[p : p + (1 << 18)]
-            i = i[np.abs(codes[i, CODES].astype(np.int16) - codes[i + d, CODES]) <= most]
-            i = i[(codes[i, :CODES] == codes[i + d, :CODES]).sum(1) >= AGREE]
-            if len(i):
-                yield i, i + d
+        else:
+            return
+        yield now
 
 
 def chain_last(batches):
@@ -267,124 +260,189 @@ def chain_last(batches):
     yield None
 
 
-def with_neighbours(rows: DataFrame, similarity: float, limit: int) -> DataFrame:
-    """(k, i, j, fp, s1, s2): the rows of buckets that have a neighbour there."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        for rows, starts, ends in buckets(batches):
-            keep = ends - starts > 1
-            seen = np.zeros(len(rows), bool)
-            for i, j in alike(rows, starts[keep], ends[keep], similarity):
-                seen[i] = seen[j] = True
-            if seen.any():
-                yield from rows.filter(pa.array(seen)).to_batches()
-
-    return dealt(rows, limit).mapInArrow(run, "k int, i int, j int, fp long, s1 long, s2 long")
-
-
 def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(doc_id, line, fp, norm, keys): the normalised texts of lines (doc_id, line, fp), and their buckets."""
-    wanted = stash(lines.groupBy("doc_id").agg(F.collect_list(F.struct("line", "fp")).alias("lines")))
-    docs = marked(docs, "doc_id", wanted.select("doc_id"), "_asked").where("_asked").drop("_asked")
+    """(fp, doc_id, row, line, norm, keys, codes): normalised texts of lines (doc_id, row, line, fp), their keys (32 bits each) and MinHashes."""
+    wanted = lines.groupBy("doc_id", "row").agg(F.collect_list(F.struct("line", "fp")).alias("lines"))
 
     def run(batches):
         import pyarrow as pa
-        import xxhash
 
         for batch in batches:
-            ids, numbers, fps, norms = [], [], [], []
-            for doc, text, asked in zip(batch.column("doc_id").to_pylist(), raw_texts(batch), batch.column("lines").to_pylist()):
+            ids, rows, numbers, fps, norms = [], [], [], [], []
+            for doc, row, text, asked in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), raw_texts(batch), batch.column("lines").to_pylist()):
                 own = normal_lines(text)
                 for x in asked:
-                    if x["line"] < len(own) and half(xxhash.xxh3_128_digest(own[x["line"]])) == x["fp"]:  # rows may share a doc_id
-                        ids.append(doc), numbers.append(x["line"]), fps.append(x["fp"]), norms.append(own[x["line"]].decode())
+                    ids.append(doc), rows.append(row), numbers.append(x["line"]), fps.append(x["fp"]), norms.append(own[x["line"]])
             if ids:
-                keys = [x.tobytes() for x in sketches([x.encode() for x in norms])[0]]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(fps, pa.int64()), pa.array(norms, pa.string()), pa.array(keys, pa.binary())], ["doc_id", "line", "fp", "norm", "keys"])
+                keys = keys_of(norms, 32)
+                codes = (minima(norms, 8, range(2 * BANDS, 2 * BANDS + CODES)) * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(numbers, pa.int32()), pa.array([x.decode() for x in norms], pa.string()), pa.array(keys, pa.binary()), pa.array([x.tobytes() for x in codes], pa.binary())], ["fp", "doc_id", "row", "line", "norm", "keys", "codes"])
+
+    once = docs.join(wanted, ["doc_id", "row"]).select("doc_id", "row", "text", "lines")
+    return once.mapInArrow(run, "fp long, doc_id long, row long, line int, norm string, keys binary, codes binary").dropDuplicates(["fp", "doc_id", "row", "line"])
+
+
+def bound(a: list[str], b: list[str], most: int, far: int = 6) -> int:
+    """An upper bound of the edit distance of lists of words, or a number above `most`: what lies between words that both have is rewritten."""
+    n, m = len(a), len(b)
+    i = j = cost = 0
+    while i < n and j < m:
+        if a[i] == b[j]:
+            i, j = i + 1, j + 1
+            continue
+        step = next(((x, s - x) for s in range(1, 2 * far) for x in range(max(0, s - far), min(s, far) + 1) if i + x < n and j + s - x < m and a[i + x] == b[j + s - x]), None)
+        if step is None:
+            return most + 1
+        x, y = step
+        cost += max(sum(map(len, a[i : i + x])) + x, sum(map(len, b[j : j + y])) + y)
+        if cost > most:
+            return cost
+        i, j = i + x, j + y
+    return cost + max(sum(map(len, a[i:])) + n - i, sum(map(len, b[j:])) + m - j)
+
+
+def same_ends(a: str, b: str) -> int:
+    """How many characters a and b share at their start."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
+    return low
+
+
+def within(a: str, b: str, most: int) -> bool:
+    """Whether the edit distance is at most `most`: by the bound of words, else bit-parallel (Myers, 1999), after cutting what both ends share."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    i = same_ends(a, b)
+    a, b = a[i:], b[i:]
+    i = same_ends(a[::-1], b[::-1])
+    a, b = a[: len(a) - i], b[: len(b) - i]
+    if not a or not b:
+        return max(len(a), len(b)) <= most
+    if max(len(a), len(b)) <= most or bound(a.split(" "), b.split(" "), most) <= most:
+        return True
+    at: dict[str, int] = {}
+    for k, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << k
+    full, top, up, down, score = (1 << len(a)) - 1, 1 << (len(a) - 1), (1 << len(a)) - 1, 0, len(a)
+    for k, c in enumerate(b):
+        eq = at.get(c, 0)
+        x = eq | down
+        y = ((((eq & up) + up) ^ up) | eq) & full
+        more, less = down | (full & ~(y | up)), up & y
+        score += bool(more & top) - bool(less & top)
+        more, less = (more << 1 | 1) & full, less << 1 & full
+        up, down = less | (full & ~(x | more)), more & x
+        if score - (len(b) - 1 - k) > most:
+            return False
+    return score <= most
+
 
-    return docs.join(wanted, "doc_id").mapInArrow(run, "doc_id long, line int, fp long, norm string, keys binary")
+def first_shared(keys: np.ndarray, i: np.ndarray, j: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Whether the first key that lines i and j share is one of `band`; keys: (lines, kinds, BANDS), 0 for none. So a pair is compared in a bucket or two."""
+    same = (keys[i] == keys[j]) & (keys[i] != 0)
+    return same.reshape(len(i), 2 * BANDS).argmax(1) % BANDS == band
+
+
+def tie(k: np.ndarray, norms: list[str], keys: np.ndarray, codes: np.ndarray, similarity: float) -> np.ndarray:
+    """For each line the first one that links of lines of one key k connect it to; lines come sorted by k."""
+    start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    many = np.diff(np.r_[start, len(k)])
+    stop = np.repeat(start + many, many)
+    size = np.array([len(x) for x in norms])
+    band = (k.view(np.uint64) & LOW).astype(np.int64)
+    root, at = np.arange(len(k)), np.arange(len(k))
+    for d in range(1, int(many.max())):
+        at = at[at + d < stop[at]]
+        i = at[root[at] != root[at + d]]
+        most = ((1 - similarity) * np.maximum(size[i], size[i + d]) + 1e-9).astype(int)
+        i, most = (x[np.abs(size[i] - size[i + d]) <= most] for x in (i, most))
+        for ok in (lambda: (codes[i] == codes[i + d]).sum(1) >= np.where(size[i] < SHORT, 0, np.clip(size[i] // SHORT, 2, AGREE)), lambda: first_shared(keys, i, i + d, band[i])):
+            keep = ok()
+            i, most = i[keep], most[keep]
+        tied = np.array([within(norms[x], norms[x + d], m) for x, m in zip(i.tolist(), most.tolist())], bool)
+        if tied.any():
+            root = unite(root, i[tied], i[tied] + d)
+    return root
 
 
 def fuzzy_links(texts: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) of lines, each a struct (doc_id, line), that connect what linked lines connect. texts: in buckets (k, i, j)."""
+    """Links (a, b) of lines, each a struct (doc_id, row, line), that connect what linked lines connect. texts: with their keys k."""
 
     def run(batches):
         import pyarrow as pa
 
-        for rows, starts, ends in buckets(batches):
-            keep = ends - starts > 1
-            if not keep.any():
-                continue
+        for rows in groups(batches, ["k"]):
             norms = rows.column("norm").to_pylist()
-            root = np.arange(len(norms))
-            keys, here = np.frombuffer(b"".join(rows.column("keys").to_pylist()), np.int32).reshape(-1, BANDS), rows.column("k").to_numpy()
-            for i, j in alike(rows, starts[keep], ends[keep], similarity):
-                first = keys[i, (keys[i] == keys[j]).argmax(1)] == here[i]  # a pair is compared in one of its buckets
-                i, j = i[first], j[first]
-                for at in range(0, len(i), 64):  # a few at a time: what the first ones tie together isn't compared again
-                    x, y = i[at : at + 64], j[at : at + 64]
-                    apart = root[x] != root[y]
-                    part = [(x, y) for x, y in zip(x[apart].tolist(), y[apart].tolist()) if within(norms[x], norms[y], int((1 - similarity) * max(len(norms[x]), len(norms[y])) + 1e-9))]
-                    if part:
-                        root = unite(root, *np.array(part).T)
-            tied = np.flatnonzero(root != np.arange(len(norms)))
-            doc, line = (rows.column(c).to_numpy() for c in ("doc_id", "line"))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[tied], line[tied], doc[root[tied]], line[root[tied]])], ["d1", "l1", "d2", "l2"])
-
-    out = texts.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j").mapInArrow(run, "d1 long, l1 int, d2 long, l2 int")
-    return out.select(*[F.struct(F.col(f"d{k}").alias("doc_id"), F.col(f"l{k}").alias("line")).alias(x) for k, x in ((1, "a"), (2, "b"))])
+            codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint8).reshape(-1, CODES)
+            keys = np.zeros((len(norms), 2, BANDS), np.uint32)
+            for n, x in enumerate(rows.column("keys").to_pylist()):
+                own, kind = np.frombuffer(x, np.uint32).reshape(-1, BANDS), int(len(norms[n].encode()) < SHORT)
+                keys[n, kind : kind + len(own)] = own
+            root = tie(rows.column("k").to_numpy(), norms, keys, codes, similarity)
+            tied = np.flatnonzero(root != np.arange(len(root)))
+            own = [rows.column(c).to_numpy() for c in ("doc_id", "row", "line")]
+            yield pa.RecordBatch.from_arrays([pa.array(x[y]) for y in (tied, root[tied]) for x in own], ["d1", "r1", "l1", "d2", "r2", "l2"])
+
+    out = texts.repartition("k").sortWithinPartitions("k").mapInArrow(run, "d1 long, r1 long, l1 int, d2 long, r2 long, l2 int")
+    return out.select(*[F.struct(F.col(f"d{k}").alias("doc_id"), F.col(f"r{k}").alias("row"), F.col(f"l{k}").alias("line")).alias(x) for k, x in ((1, "a"), (2, "b"))])
 
 
 def repeated_lines(docs: DataFrame, words: int = WORDS, chars: int = CHARS, similarity: float = SIMILARITY, limit: int = LIMIT) -> DataFrame:
-    """(doc_id, line): occurrences that are not the first of their group. docs: doc_id long, text string."""
+    """(doc_id, row, line): occurrences that are not the first of their group. docs: doc_id long, row long, text string."""
     lines = stash(all_lines(docs, words, chars))
-    kinds = stash(lines.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"), F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("sketch").alias("sketch")))
-    close = stash(with_neighbours(in_bands(kinds), similarity, limit))
-    texts = stash(line_texts(docs, kinds.join(close.select("fp").distinct(), "fp", "left_semi").select("first.doc_id", "first.line", "fp")).dropDuplicates(["doc_id", "line", "fp"]))
-    roots = connected_components(fuzzy_links(close.join(texts, "fp"), similarity))
-    kept = kinds.join(roots, F.col("first") == F.col("node"), "left").where((F.col("n") > 1) | F.col("root").isNotNull()).select("key", F.coalesce("root", "first").alias("kept"))
-    return lines.select("doc_id", "line", "key").join(kept, "key").where((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("line") != F.col("kept.line"))).select("doc_id", "line")
-
-
-def deduplicated(docs: DataFrame, **params) -> DataFrame:
-    """docs with the repeated lines taken out of text, and _n_lines and _n_removed.
-
-    Null texts stay null, with 0 lines; empty texts have one line, which stays. Rows that share a doc_id count as one
-    document: what they repeat of each other on the same line stays. Rows without a doc_id stay as they are.
+    found = stash(shared_keys(lines, similarity, limit))
+    slim = stash(lines.drop("keys"))
+    discard(lines)
+    place = F.struct("doc_id", "row", "line")
+    kinds = stash(slim.groupBy("fp", "key").agg(F.min(place).alias("first"), F.count("*").alias("n")))
+    texts = stash(line_texts(docs, kinds.join(found.select("fp").distinct(), "fp", "left_semi").select("first.*", "fp")))
+    links = stash(fuzzy_links(found.join(texts, "fp"), similarity))
+    discard(found, texts)
+    roots = connected_components(links)
+    kept = kinds.join(roots, F.col("first") == F.col("node"), "left").where((F.col("n") > 1) | F.col("root").isNotNull()).select("fp", "key", F.coalesce("root", "first").alias("kept"))
+    gone = stash(slim.join(kept, ["fp", "key"]).where(place != F.col("kept")).select("doc_id", "row", "line"))
+    discard(slim, kinds, links)
+    return gone
+
+
+def deduplicated(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed", **params) -> DataFrame:
+    """docs with the repeated lines taken out of text, and how many lines it had and lost under the two names given, which no column of docs has.
+
+    Null texts stay null, with 0 lines; empty texts have one line, which stays. Rows that share a doc_id are documents of their own, in
+    the order of a hash of the text; equal rows count as one and keep the same lines. Rows without a doc_id stay as they are.
     """
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    gone = stash(repeated_lines(plain, **params).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line").alias("_gone")))
-    all_docs = marked(docs, "doc_id", gone.select("_id"), "_touched")
-    whole, touched = (all_docs.where(F.col("_touched") == x).drop("_touched") for x in (False, True))
-    both = touched.join(gone, touched["doc_id"].cast("long") == F.col("_id"), "left").drop("_id")
-    names = [c for c in both.columns if c not in ("text", "_gone")]
+    if {n_lines.lower(), n_removed.lower()} & {c.lower() for c in docs.columns}:
+        raise ValueError("a column has the name of a count")
+    text = F.col("text").cast("string")
+    plain = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
+    names = docs.columns
+    ident, row, ident2, row2, gone = free([*docs.columns, n_lines, n_removed], "id", "row", "id2", "row2", "gone")
+    lost = repeated_lines(plain, **params).groupBy(F.col("doc_id").alias(ident2), F.col("row").alias(row2)).agg(F.collect_set("line").alias(gone))
+    own = docs.withColumn("text", text).withColumns({ident: F.col("doc_id").cast("long"), row: F.xxhash64(text)})
+    both = own.join(lost, (F.col(ident) == F.col(ident2)) & (F.col(row) == F.col(row2)), "left").select(*docs.columns, gone)
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             kept, counts, removed = [], [], []
-            for text, lost in zip(batch.column("text").to_pylist(), batch.column("_gone").to_pylist()):
+            for text, out in zip(batch.column("text").to_pylist(), batch.column(gone).to_pylist()):
                 own = [] if text is None else text.split("\n")
                 counts.append(len(own))
-                if lost:
-                    lost = set(lost)
-                    stay = [x for k, x in enumerate(own) if k not in lost]
-                    text = "\n".join(stay)
-                    removed.append(len(own) - len(stay))
-                else:
-                    removed.append(0)
+                if out:
+                    out = set(out)
+                    own = [x for k, x in enumerate(own) if k not in out]
+                    text = "\n".join(own)
+                removed.append(counts[-1] - len(own))
                 kept.append(text)
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(kept, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], [*names, "text", "_n_lines", "_n_removed"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(kept, pa.string()) if n == "text" else batch.column(n) for n in names), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], [*names, n_lines, n_removed])
 
-    shape = T.StructType([*both.drop("_gone", "text").schema, *schema(text="string", _n_lines="long", _n_removed="long")])
-    breaks = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
-    whole = whole.withColumn("text", F.col("text").cast("string")).withColumn("_n_lines", F.coalesce(breaks + 1, F.lit(0)).cast("long")).withColumn("_n_removed", F.lit(0).cast("long"))
-    return both.mapInArrow(run, shape).select(*docs.columns, "_n_lines", "_n_removed").unionByName(whole)
+    shape = T.StructType([*both.drop(gone).schema, *schema(**{n_lines: "long", n_removed: "long"})])
+    return both.mapInArrow(run, shape)
 
 
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

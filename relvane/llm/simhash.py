@@ -21,8 +21,9 @@ from itertools import accumulate, combinations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from .common import cut, marked, raw_texts, stash, table
+from .common import cut, discard, free, raw_texts, stash, table
 from .components import connected_components
 
 RADIUS, BLOCKS, SHINGLE, LIMIT = 4, 6, 4, 4096
@@ -247,7 +248,7 @@ def bands_of(grams: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, key, bands): a 128-bit hash of each text's shingle set, and its bands as bytes."""
+    """(doc_id, row, key, bands): a 128-bit hash of each text's shingle set, and its bands as bytes."""
 
     def run(batches):
         import pyarrow as pa
@@ -256,9 +257,9 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             sets = [shingle_set(x, width) for x in raw_texts(batch)]
             keys, bands = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets], [bands_of(x).tobytes() for x in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(bands, pa.binary())], ["doc_id", "key", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(keys, pa.binary()), pa.array(bands, pa.binary())], ["doc_id", "row", "key", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, key binary, bands binary")
+    return docs.mapInArrow(run, "doc_id long, row long, key binary, bands binary")
 
 
 def set_buckets(kinds: DataFrame, limit: int) -> DataFrame:
@@ -291,20 +292,15 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
 def jaccard_links(docs: DataFrame, kinds: DataFrame, width: int, similarity: float, limit: int) -> DataFrame:
     """Links (a, b) of keys that connect what pairs of at least that Jaccard similarity connect in the buckets."""
     members = stash(set_buckets(kinds, limit))
-    asked = stash(kinds.join(members.select("key").distinct(), "key", "left_semi").select(F.col("least").alias("doc_id"), "key"))
-    texts = marked(docs, "doc_id", asked.select("doc_id"), "_asked").where("_asked").drop("_asked").join(asked, "doc_id")
+    asked = kinds.join(members.select("key").distinct(), "key", "left_semi").select("least.*", "key")
 
     def own(batches):
         import pyarrow as pa
-        import xxhash
 
         for batch in batches:
-            sets = [shingle_set(x, width).tobytes() for x in raw_texts(batch)]
-            keys = batch.column("key").to_pylist()
-            same = [k for k, x in enumerate(sets) if xxhash.xxh3_128_digest(x) == keys[k]]  # rows may share a doc_id
-            yield pa.RecordBatch.from_arrays([pa.array([keys[k] for k in same], pa.binary()), pa.array([sets[k] for k in same], pa.binary())], ["key", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([shingle_set(x, width).tobytes() for x in raw_texts(batch)], pa.binary())], ["key", "grams"])
 
-    sets = texts.select("key", "text").mapInArrow(own, "key binary, grams binary").dropDuplicates(["key"])
+    sets = stash(docs.join(asked, ["doc_id", "row"]).select("key", "text").mapInArrow(own, "key binary, grams binary").dropDuplicates(["key"]))
 
     def links(keys: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
         root, out = list(range(len(keys))), []
@@ -333,26 +329,34 @@ def jaccard_links(docs: DataFrame, kinds: DataFrame, width: int, similarity: flo
             yield out(pairs)
         yield out(links(keys, held))
 
-    return members.join(sets, "key").repartition("k", "i", "j").sortWithinPartitions("k", "i", "j").mapInArrow(run, "a binary, b binary")
+    out = stash(members.join(sets, "key").repartition("k", "i", "j").sortWithinPartitions("k", "i", "j").mapInArrow(run, "a binary, b binary"))
+    discard(members, sets)
+    return out
 
 
 def keep_first(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY, limit: int = SETS) -> DataFrame:
-    """docs with one document of each group, that of the smallest doc_id; all columns stay.
+    """docs with one document of each group, that of the smallest (doc_id, hash of the text); all columns stay.
 
     Groups are components of links of at least that Jaccard similarity of the sets of word shingles, each link verified. Texts
-    without words are alike. Of rows that share a doc_id one stays; rows without a doc_id all stay and link nothing.
+    without words are alike. Rows that share a doc_id are documents of their own; of those that share the text too, the one of the smallest
+    hash of all columns stays. Rows without a doc_id all stay and link nothing.
     """
+    text = F.col("text").cast("string")
     named = docs.where(F.col("doc_id").isNotNull())
-    plain = named.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    plain = named.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
     own = stash(shingle_sets(plain, width))
-    kinds = stash(own.groupBy("key").agg(F.min("doc_id").alias("least"), F.min("bands").alias("bands")))
+    kinds = stash(own.groupBy("key").agg(F.min(F.struct("doc_id", "row")).alias("least"), F.min("bands").alias("bands")))
     roots = connected_components(jaccard_links(plain, kinds, width, similarity, limit))
     groups = cut(kinds.join(roots, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root")))
     ids = groups.groupBy("root").agg(F.min("least").alias("first"))
     groups = groups.join(ids, "root").select("key", "first")
-    extra = own.select("doc_id", "key").join(groups, "key").where(F.col("doc_id") != F.col("first")).select(F.col("doc_id").alias("_id")).distinct()
-    named = named.join(extra, named["doc_id"] == F.col("_id"), "left_anti").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    ident, row, ident2, row2, place = free(docs.columns, "id", "row", "id2", "row2", "place")
+    extra = stash(own.join(groups, "key").where(F.struct("doc_id", "row") != F.col("first")).select(F.col("doc_id").alias(ident2), F.col("row").alias(row2)).distinct())
+    discard(own, kinds)
+    named = named.withColumns({ident: F.col("doc_id").cast("long"), row: F.xxhash64(text)})
+    named = named.join(extra, (F.col(ident) == F.col(ident2)) & (F.col(row) == F.col(row2)), "left_anti")
+    named = named.withColumn(place, F.row_number().over(W.partitionBy(ident, row).orderBy(F.xxhash64(*docs.columns)))).where(F.col(place) == 1)
+    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
