@@ -4,9 +4,11 @@ Independent codebooks on the two halves of the vectors, of length 1 each, form a
 nearest two centroids. Multi-sequence traversal visits the cells nearest to a vector, in order of the sum of the
 distances of the halves, as many as reach the target recall; what it finds there is verified by the exact cosine.
 
-The codebooks and the number of visits are fitted on a bounded sample, with neighbours planted at cosines from the threshold to 1, so
-the recall does not depend on how many near copies a sample happens to hold. Equal vectors are one vector with a count.
-A cell's members and visitors meet in chunks of bounded size, which return counts and a spanning star, no pairs.
+The codebooks grow with the table, so that a cell keeps about as many members; they and the number of visits are fitted on a bounded
+sample, with neighbours planted at cosines from the threshold to 1, so the recall does not depend on how many near copies a
+sample happens to hold. Equal vectors are one vector with a count, and go by a number of their own, not by vec_id. Vectors
+travel in the type they came in and are compared in double precision. A cell's members and visitors meet in chunks of
+bounded size, which return counts and a spanning star, no pairs.
 """
 
 from __future__ import annotations
@@ -15,13 +17,15 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, stash, table
+from .common import cut, discard, stash, table
 from .components import connected_components
 from .lines import chain_last
 from .simhash import unite
 from .topk import finite
 
-COSINE, CENTROIDS, SAMPLE, RECALL, MEMBERS, VISITORS = 0.9, 32, 4096, 0.98, 1024, 2048
+COSINE, SAMPLE, RECALL, MEMBERS, VISITORS = 0.9, 4096, 0.98, 1024, 2048
+#: Centroids of a half: as many as give about PER_CELL vectors a cell of the grid, between these bounds (a sample can't fit more).
+PER_CELL, LEAST, MOST = 48, 16, 512
 
 
 def distances(x: np.ndarray, book: np.ndarray) -> np.ndarray:
@@ -55,12 +59,15 @@ class Index:
         side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-12)
         c = r.uniform(cosine, 1, (len(x), 1))
         y = c * x + np.sqrt(1 - c * c) * side
-        ranks = []
-        for a, b in ((x, y), (y, x)):
-            own = self.cells(b)
-            order = self.visits(a, len(self.books[0]) * len(self.books[1]))
-            ranks.append((order == own[:, None]).argmax(1))
-        self.n = int(np.quantile(np.minimum(*ranks), recall, method="higher")) + 1 if len(x) else 1
+        ranks = np.minimum(self.rank(x, self.cells(y)), self.rank(y, self.cells(x)))
+        self.n = int(np.quantile(ranks, recall, method="higher")) + 1 if len(x) else 1
+
+    def rank(self, x: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """How many cells come before the given one of each row."""
+        d = [distances(x[:, : self.h], self.books[0]), distances(x[:, self.h :], self.books[1])]
+        k = np.arange(len(x))
+        own = d[0][k, cell // len(self.books[1])] + d[1][k, cell % len(self.books[1])]
+        return np.array([np.searchsorted(np.sort(b), o - a).sum() for a, b, o in zip(*d, own)], np.int64)
 
     def cells(self, x: np.ndarray) -> np.ndarray:
         return distances(x[:, : self.h], self.books[0]).argmin(1) * len(self.books[1]) + distances(x[:, self.h :], self.books[1]).argmin(1)
@@ -87,14 +94,16 @@ def unit(flat: np.ndarray, offsets: np.ndarray, d: int) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
-def fit(reps: DataFrame, cosine: float, centroids: int, sample: int, recall: float) -> Index | None:
-    """The index, from the `sample` vectors of the smallest hashes; None for an empty table."""
-    d = reps.agg(F.max(F.size("v"))).first()[0]
+def fit(reps: DataFrame, cosine: float, centroids: int | None, sample: int, recall: float) -> Index | None:
+    """The index, from about `sample` vectors whose hashes are least; None for an empty table."""
+    n, d = reps.agg(F.count("*"), F.max(F.size("v"))).first()
     if d is None:
         return None
-    rows = reps.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("v").collect()  # at most `sample` vectors
-    flat, offsets = np.concatenate([r.v for r in rows]), np.r_[0, np.cumsum([len(r.v) for r in rows])]
-    return Index(unit(flat, offsets, d), cosine, centroids, recall)
+    cells = 1 << 30
+    least = F.pmod(F.xxhash64(F.lit(5), "rep"), F.lit(cells)) < int(min(1.0, sample / n) * cells) + cells // n
+    rows = reps.where(least).orderBy(F.xxhash64(F.lit(5), "rep"), "rep").limit(sample).select("v").collect()  # about `sample` vectors, at most
+    flat, offsets = np.concatenate([np.asarray(r.v, float) for r in rows]), np.r_[0, np.cumsum([len(r.v) for r in rows])]
+    return Index(unit(flat, offsets, d), cosine, centroids or int(min(MOST, max(LEAST, (n / PER_CELL) ** 0.5))), recall)
 
 
 def groups(batches, keys: list[str]):
@@ -115,15 +124,17 @@ def groups(batches, keys: list[str]):
         rest = now.slice(at[-1])
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, centroids: int = CENTROIDS, sample: int = SAMPLE, recall: float = RECALL, members: int = MEMBERS, visitors: int = VISITORS) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, centroids: int | None = None, sample: int = SAMPLE, recall: float = RECALL, members: int = MEMBERS, visitors: int = VISITORS) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row for each row of vectors.
 
     Vectors that are null, zero or hold null or non-finite components, and rows without vec_id, link with nothing. Shorter
     vectors count as padded with zeros. Rows that share a vec_id are vectors of their own with one name.
     """
-    v = F.when(F.col("vec_id").isNotNull() & finite("embedding") & F.exists("embedding", lambda x: x != 0), F.transform("embedding", lambda x: x.cast("double")))
-    rows = cut(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")))
-    reps = cut(rows.where(F.col("v").isNotNull()).groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
+    v = F.when(F.col("vec_id").isNotNull() & finite("embedding") & F.exists("embedding", lambda x: x != 0), F.col("embedding"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
+    rows = rows.withColumns({f"h{k}": F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(k), "v")) for k in (1, 2)})
+    reps = rows.where(F.col("v").isNotNull()).groupBy("h1", "h2").agg(F.min("v").alias("v"), F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    reps = stash(reps.withColumn("rep", F.monotonically_increasing_id()))  # numbers that stay, as they are written
     index = fit(reps, cosine, centroids, sample, recall)
     if index is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
@@ -137,11 +148,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, centroids: int =
             for s in range(0, batch.num_rows, 2048):
                 part = batch.slice(s, 2048)
                 col = part.column("v")
-                x = unit(col.flatten().to_numpy(), np.asarray(col.offsets), ix.d)
+                x = unit(col.flatten().to_numpy(zero_copy_only=False), np.asarray(col.offsets) - col.offsets[0].as_py(), ix.d)
                 seen = ix.visits(x, ix.n).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column("rep"), part.column("copies"), pa.array(ix.cells(x).astype(np.int32)), pa.FixedSizeListArray.from_arrays(pa.array(seen.ravel()), seen.shape[1]).cast(pa.list_(pa.int32())), col], ["rep", "copies", "cell", "probes", "v"])
 
-    placed = stash(reps.select("rep", "copies", "v").mapInArrow(place, "rep long, copies long, cell int, probes array<int>, v array<double>"))
+    kind = reps.schema["v"].dataType.simpleString()
+    placed = stash(reps.select("rep", "copies", "v").mapInArrow(place, f"rep long, copies long, cell int, probes array<int>, v {kind}"))
     own = placed.select(F.col("cell").alias("at"), F.lit(0).alias("side"), "rep", "copies", "cell", "probes", "v")
     come = placed.select(F.explode("probes").alias("at"), F.lit(1).alias("side"), "rep", "copies", "cell", F.array().cast("array<int>").alias("probes"), "v")
     count = lambda df, n, name: df.groupBy("at").agg(F.ceil(F.count("*") / n).cast("int").alias(name))
@@ -162,7 +174,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, centroids: int =
             side = t.column("side").to_numpy()
             ids, copies, cells = (t.column(c).to_numpy() for c in ("rep", "copies", "cell"))
             col = t.column("v").chunk(0)
-            x = unit(col.flatten().to_numpy(), np.asarray(col.offsets) - col.offsets[0].as_py(), ix.d)
+            x = unit(col.flatten().to_numpy(zero_copy_only=False), np.asarray(col.offsets) - col.offsets[0].as_py(), ix.d)
             m, w = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
             if not len(m) or not len(w):
                 continue
@@ -172,9 +184,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, centroids: int =
                 continue
             p = t.column("probes").chunk(0)
             size = np.diff(np.asarray(p.offsets))
-            sees = np.zeros((len(ids), len(ix.books[0]) * len(ix.books[1])), bool)
-            sees[np.repeat(np.arange(len(ids)), size), p.flatten().to_numpy()] = True
-            alone = ~sees[m[b], cells[w[a]]]  # the member doesn't visit the visitor's cell: this is where it learns of it
+            grid = len(ix.books[0]) * len(ix.books[1])
+            sees = np.repeat(np.arange(len(ids)), size) * grid + p.flatten().to_numpy()
+            alone = ~np.isin(m[b] * grid + cells[w[a]], sees)  # the member doesn't visit the visitor's cell: this is where it learns of it
             n = np.bincount(w[a], copies[m[b]], len(ids)) + np.bincount(m[b[alone]], copies[w[a[alone]]], len(ids))
             same = {}
             first = np.array([same.setdefault(k, i) for i, k in enumerate(ids.tolist())])  # a vector that visits its own cell is here twice
@@ -185,9 +197,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, centroids: int =
     found = stash(met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "rep long, n long, to long"))
     links = found.groupBy("rep").agg(F.sum("n").alias("n"))
     roots = connected_components(found, "rep", "to")
-    named = reps.join(links, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left")
-    named = named.select("v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
-    out = rows.join(named, "v", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    named = reps.drop("v").join(links, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left").withColumn("root", F.coalesce("root", "rep"))
+    named = cut(named.select("h1", "h2", "root", "least", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    ids = cut(named.groupBy("root").agg(F.min("least").alias("component_id")))
+    named = named.join(ids, "root").select("h1", "h2", "n_links", "component_id")
+    out = rows.select("vec_id", "h1", "h2").join(named, ["h1", "h2"], "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    discard(placed, found)
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 

@@ -2,8 +2,8 @@
 
 Lines are normalised (A-Z to lower case, white space to one space); every line that isn't empty then takes part. Two different
 normalised lines of at least `words` words or `chars` characters are linked if their edit similarity, 1 - distance / longer length,
-is at least `similarity` and the search finds them: they share one of BANDS keys and, from SHORT characters on, two of CODES further
-MinHashes of windows of eight bytes (for longer lines up to AGREE, as a wrong candidate costs more there). A key is the minimum of the line's windows of 16 bytes under one hash or, for lines below
+is at least `similarity` and the search finds them: they share one of BANDS keys and AGREE (FEW or MANY of short or long lines) of CODES further
+MinHashes of windows of eight bytes. A key is the minimum of the line's windows of 16 bytes under one hash or, for lines below
 SHORT bytes, a pair of minima of windows of eight bytes; lines around SHORT have both kinds. SimHashes of words within a few bits, the method asked for, find a changed
 letter in one line of fifty, so these keys stand in for its blocks (see the README).
 
@@ -23,9 +23,10 @@ from .components import connected_components
 from .simhash import unite
 
 WORDS, CHARS, SIMILARITY, LIMIT = 3, 16, 0.8, 1024
-#: Keys of a line, MinHashes (one byte each) that a pair is tested by before its texts are compared, and how many of these must agree at most.
-BANDS, CODES, AGREE = 16, 32, 5
-SHORT, SLACK = 64, 1.25
+#: Keys of a line, and the bits that number them; MinHashes (one byte each) that a pair is tested by before its texts are compared, and how many of
+#: these must agree (FEW below SHORT characters, MANY from WIDE on, where a wrong candidate costs most).
+BANDS, BITS, CODES, AGREE, FEW, MANY = 12, 4, 32, 6, 3, 8
+SHORT, SLACK, WIDE = 64, 1.25, 256
 #: The keys of most lines that are split wherever they go, at most; others hold less than one in HOT of all keys.
 HOT, SAMPLED = 65536, 64
 STEP, CHUNK = 1.04, 1 << 16
@@ -34,7 +35,7 @@ BLANKS = bytes.maketrans(b"\t\r\x0b\x0c", b"    ")
 #: An exclusive-or and an odd factor for each MinHash.
 FLIPS, FACTORS = np.random.default_rng(12).integers(0, 2**32, (2, 2 * BANDS + CODES), np.uint32) | np.array([[0], [1]], np.uint32)
 LONG, PAIRS = range(BANDS), range(2 * BANDS)
-LOW = np.uint64(BANDS - 1)
+LOW = np.uint64((1 << BITS) - 1)
 
 
 def normal_lines(text: bytes | None) -> list[bytes]:
@@ -67,16 +68,15 @@ def minima(lines: list[bytes], width: int, which) -> np.ndarray:
     out = np.zeros((len(lines), len(which)), np.uint32)
     for part in parts_of(lines, CHUNK):
         own = [x.ljust(width, b"\n") for x in lines[part]]
-        size = np.array([len(x) for x in own])
+        end = np.cumsum([len(x) for x in own])
         text = b"".join(own)
-        codes = mixed(np.ndarray(len(text) - 7, "<u8", text, strides=(1,)))
+        codes = np.ndarray(len(text) - 7, "<u8", text, strides=(1,)) * np.uint64(0x9E3779B97F4A7C15)
         if width > 8:
-            codes = mixed(codes[: 8 - width] * np.uint64(0x9E3779B97F4A7C15) ^ codes[width - 8 :])
-        count = size - width + 1
-        first = np.r_[0, count.cumsum()[:-1]]
-        codes = (codes[np.arange(count.sum()) + np.repeat(np.r_[0, size.cumsum()[:-1]] - first, count)] >> np.uint64(32)).astype(np.uint32)
+            codes = codes[: 8 - width] * np.uint64(0xBF58476D1CE4E5B9) + codes[width - 8 :]
+        codes = (codes >> np.uint64(32)).astype(np.uint32)
+        bounds = np.column_stack([np.r_[0, end[:-1]], end - width + 1]).ravel()[:-1]  # a line's windows, then those that reach into the next line
         for k, p in enumerate(which):
-            out[part, k] = np.minimum.reduceat((codes ^ FLIPS[p]) * FACTORS[p], first)
+            out[part, k] = np.minimum.reduceat((codes ^ FLIPS[p]) * FACTORS[p], bounds)[::2]
     return out
 
 
@@ -211,13 +211,18 @@ def shared_keys(lines: DataFrame, similarity: float, limit: int) -> DataFrame:
 
         for rows in groups(batches, ["part"]):
             k, fp = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint64) for c in ("k", "fp"))
+            order = np.argsort(k)
+            k, fp = k[order], fp[order]
+            same = k[1:] == k[:-1]
+            several = np.r_[False, same] | np.r_[same, False]
+            k, fp = k[several], fp[several]
             size = (fp & np.uint64(255)).astype(np.int16)
             order = np.lexsort((fp, size, k))
             k, fp, size = k[order], fp[order], size[order]
-            new = np.r_[True, (k[1:] != k[:-1]) | (fp[1:] != fp[:-1])]
+            new = np.r_[True, (k[1:] != k[:-1]) | (fp[1:] != fp[:-1])][: len(k)]
             k, fp, size = k[new], fp[new], size[new]
             close = (k[1:] == k[:-1]) & (size[1:] - size[:-1] <= reach(similarity))
-            keep = np.r_[False, close] | np.r_[close, False]
+            keep = (np.r_[False, close] | np.r_[close, False])[: len(k)]
             k, fp = k[keep], fp[keep]
             start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, int)
             many = np.diff(np.r_[start, len(k)])
@@ -261,7 +266,7 @@ def chain_last(batches):
 
 
 def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(fp, doc_id, row, line, norm, keys, codes): normalised texts of lines (doc_id, row, line, fp), their keys (32 bits each) and MinHashes."""
+    """(fp, doc_id, row, line, norm, size, keys, codes): normalised texts of lines (doc_id, row, line, fp), their keys (32 bits each) and MinHashes."""
     wanted = lines.groupBy("doc_id", "row").agg(F.collect_list(F.struct("line", "fp")).alias("lines"))
 
     def run(batches):
@@ -274,12 +279,12 @@ def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
                 for x in asked:
                     ids.append(doc), rows.append(row), numbers.append(x["line"]), fps.append(x["fp"]), norms.append(own[x["line"]])
             if ids:
-                keys = keys_of(norms, 32)
+                texts, keys = [x.decode() for x in norms], keys_of(norms, 32)
                 codes = (minima(norms, 8, range(2 * BANDS, 2 * BANDS + CODES)) * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(numbers, pa.int32()), pa.array([x.decode() for x in norms], pa.string()), pa.array(keys, pa.binary()), pa.array([x.tobytes() for x in codes], pa.binary())], ["fp", "doc_id", "row", "line", "norm", "keys", "codes"])
+                yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(numbers, pa.int32()), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int32()), pa.array(keys, pa.binary()), pa.array([x.tobytes() for x in codes], pa.binary())], ["fp", "doc_id", "row", "line", "norm", "size", "keys", "codes"])
 
     once = docs.join(wanted, ["doc_id", "row"]).select("doc_id", "row", "text", "lines")
-    return once.mapInArrow(run, "fp long, doc_id long, row long, line int, norm string, keys binary, codes binary").dropDuplicates(["fp", "doc_id", "row", "line"])
+    return once.mapInArrow(run, "fp long, doc_id long, row long, line int, norm string, size int, keys binary, codes binary").dropDuplicates(["fp", "doc_id", "row", "line"])
 
 
 def bound(a: list[str], b: list[str], most: int, far: int = 6) -> int:
@@ -314,19 +319,22 @@ def within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance is at most `most`: by the bound of words, else bit-parallel (Myers, 1999), after cutting what both ends share."""
     if abs(len(a) - len(b)) > most:
         return False
+    if bound(a.split(" "), b.split(" "), most) <= most:
+        return True
     i = same_ends(a, b)
     a, b = a[i:], b[i:]
     i = same_ends(a[::-1], b[::-1])
     a, b = a[: len(a) - i], b[: len(b) - i]
     if not a or not b:
         return max(len(a), len(b)) <= most
-    if max(len(a), len(b)) <= most or bound(a.split(" "), b.split(" "), most) <= most:
+    if max(len(a), len(b)) <= most:
         return True
     at: dict[str, int] = {}
     for k, c in enumerate(a):
         at[c] = at.get(c, 0) | 1 << k
-    full, top, up, down, score = (1 << len(a)) - 1, 1 << (len(a) - 1), (1 << len(a)) - 1, 0, len(a)
-    for k, c in enumerate(b):
+    m, n = len(a), len(b)
+    full, top, up, down, score = (1 << m) - 1, 1 << (m - 1), (1 << m) - 1, 0, m
+    for k, c in enumerate(b, 1):
         eq = at.get(c, 0)
         x = eq | down
         y = ((((eq & up) + up) ^ up) | eq) & full
@@ -334,58 +342,87 @@ def within(a: str, b: str, most: int) -> bool:
         score += bool(more & top) - bool(less & top)
         more, less = (more << 1 | 1) & full, less << 1 & full
         up, down = less | (full & ~(x | more)), more & x
-        if score - (len(b) - 1 - k) > most:
-            return False
+        if k % 64 == 0:  # every way crosses this column in a row that is near one of these
+            rows = range(max(0, k - most) // 32 * 32, min(m, k + most) + 32, 32)
+            if min(k + (up & (1 << i) - 1).bit_count() - (down & (1 << i) - 1).bit_count() + max(0, abs(m - i - n + k) - 32) for i in rows) - 32 > most:
+                return False
     return score <= most
 
 
-def first_shared(keys: np.ndarray, i: np.ndarray, j: np.ndarray, band: np.ndarray) -> np.ndarray:
-    """Whether the first key that lines i and j share is one of `band`; keys: (lines, kinds, BANDS), 0 for none. So a pair is compared in a bucket or two."""
-    same = (keys[i] == keys[j]) & (keys[i] != 0)
-    return same.reshape(len(i), 2 * BANDS).argmax(1) % BANDS == band
-
-
-def tie(k: np.ndarray, norms: list[str], keys: np.ndarray, codes: np.ndarray, similarity: float) -> np.ndarray:
-    """For each line the first one that links of lines of one key k connect it to; lines come sorted by k."""
-    start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-    many = np.diff(np.r_[start, len(k)])
-    stop = np.repeat(start + many, many)
-    size = np.array([len(x) for x in norms])
-    band = (k.view(np.uint64) & LOW).astype(np.int64)
-    root, at = np.arange(len(k)), np.arange(len(k))
-    for d in range(1, int(many.max())):
-        at = at[at + d < stop[at]]
-        i = at[root[at] != root[at + d]]
-        most = ((1 - similarity) * np.maximum(size[i], size[i + d]) + 1e-9).astype(int)
-        i, most = (x[np.abs(size[i] - size[i + d]) <= most] for x in (i, most))
-        for ok in (lambda: (codes[i] == codes[i + d]).sum(1) >= np.where(size[i] < SHORT, 0, np.clip(size[i] // SHORT, 2, AGREE)), lambda: first_shared(keys, i, i + d, band[i])):
-            keep = ok()
-            i, most = i[keep], most[keep]
-        tied = np.array([within(norms[x], norms[x + d], m) for x, m in zip(i.tolist(), most.tolist())], bool)
-        if tied.any():
-            root = unite(root, i[tied], i[tied] + d)
-    return root
-
-
-def fuzzy_links(texts: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) of lines, each a struct (doc_id, row, line), that connect what linked lines connect. texts: with their keys k."""
+class Bucketed:
+    """Lines sorted by their key k, as arrays: sizes, keys by kind of windows (lines, 2, BANDS; 0 for none) and MinHashes."""
+
+    def __init__(self, rows, similarity: float):
+        self.k, self.size, self.similarity = rows.column("k").to_numpy(), rows.column("size").to_numpy(), similarity
+        self.codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint8).reshape(-1, CODES)
+        self.keys = np.zeros((len(self.k), 2, BANDS), np.uint32)
+        own = rows.column("keys").to_pylist()
+        both = np.array([len(x) for x in own]) > 4 * BANDS
+        kind = (rows.column("short").to_numpy() > 0).astype(int)
+        flat = np.frombuffer(b"".join(x[: 4 * BANDS] for x in own), np.uint32).reshape(-1, BANDS)
+        self.keys[np.arange(len(own)), np.where(both, 0, kind)] = flat
+        if both.any():
+            self.keys[both, 1] = np.frombuffer(b"".join(x[4 * BANDS :] for x in own), np.uint32).reshape(-1, BANDS)
+
+    def pairs(self, skip):
+        """(i, j, most) of candidates of one key, in parts; skip(i, j) tells those that need not be looked at.
+
+        Candidates have an edit distance of at most `most` by their sizes, agree in enough MinHashes, and their first common key is in
+        the band of k, so that a pair is compared in one bucket or, with both kinds of keys, two.
+        """
+        start = np.flatnonzero(np.r_[True, self.k[1:] != self.k[:-1]])
+        many = np.diff(np.r_[start, len(self.k)])
+        stop = np.repeat(start + many, many)
+        band = (self.k.view(np.uint64) & LOW).astype(np.int64)
+        at, size = np.arange(len(self.k)), self.size
+        for d in range(1, int(many.max())):
+            at = at[at + d < stop[at]]
+            i = at[~skip(at, at + d)]
+            most = ((1 - self.similarity) * np.maximum(size[i], size[i + d]) + 1e-9).astype(int)
+            i, most = (x[np.abs(size[i] - size[i + d]) <= most] for x in (i, most))
+            ok = (self.codes[i] == self.codes[i + d]).sum(1) >= np.where(size[i] < SHORT, FEW, np.where(size[i] < WIDE, AGREE, MANY))
+            i, most = i[ok], most[ok]
+            same = (self.keys[i] == self.keys[i + d]) & (self.keys[i] != 0)
+            ok = same.reshape(len(i), 2 * BANDS).argmax(1) % BANDS == band[i]
+            if ok.any():
+                yield i[ok], i[ok] + d, most[ok]
+
+
+def candidates(found: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(k, fp): the lines that have a candidate under their key, found without their texts."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for rows in groups(batches, ["k"]):
+            seen = np.zeros(len(rows), bool)
+            for i, j, _ in Bucketed(rows, similarity).pairs(lambda i, j: seen[i] & seen[j]):
+                seen[i] = seen[j] = True
+            if seen.any():
+                yield from rows.select(["k", "fp"]).filter(pa.array(seen)).to_batches()
+
+    sketches = texts.select("fp", "size", (F.octet_length("norm") < SHORT).cast("int").alias("short"), "keys", "codes")
+    return found.join(sketches, "fp").repartition("k").sortWithinPartitions("k").select("k", "fp", "size", "short", "keys", "codes").mapInArrow(run, "k long, fp long")
+
+
+def fuzzy_links(close: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) of lines, each a struct (doc_id, row, line), that connect what linked lines connect. close: (k, fp) of candidates."""
 
     def run(batches):
         import pyarrow as pa
 
         for rows in groups(batches, ["k"]):
-            norms = rows.column("norm").to_pylist()
-            codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint8).reshape(-1, CODES)
-            keys = np.zeros((len(norms), 2, BANDS), np.uint32)
-            for n, x in enumerate(rows.column("keys").to_pylist()):
-                own, kind = np.frombuffer(x, np.uint32).reshape(-1, BANDS), int(len(norms[n].encode()) < SHORT)
-                keys[n, kind : kind + len(own)] = own
-            root = tie(rows.column("k").to_numpy(), norms, keys, codes, similarity)
+            norms, root = rows.column("norm").to_pylist(), np.arange(len(rows))
+            for i, j, most in Bucketed(rows, similarity).pairs(lambda i, j: root[i] == root[j]):
+                tied = np.array([within(norms[x], norms[y], m) for x, y, m in zip(i.tolist(), j.tolist(), most.tolist())], bool)
+                if tied.any():
+                    root[:] = unite(root, i[tied], j[tied])
             tied = np.flatnonzero(root != np.arange(len(root)))
             own = [rows.column(c).to_numpy() for c in ("doc_id", "row", "line")]
             yield pa.RecordBatch.from_arrays([pa.array(x[y]) for y in (tied, root[tied]) for x in own], ["d1", "r1", "l1", "d2", "r2", "l2"])
 
-    out = texts.repartition("k").sortWithinPartitions("k").mapInArrow(run, "d1 long, r1 long, l1 int, d2 long, r2 long, l2 int")
+    both = close.join(texts.withColumn("short", (F.octet_length("norm") < SHORT).cast("int")), "fp")
+    out = both.repartition("k").sortWithinPartitions("k").mapInArrow(run, "d1 long, r1 long, l1 int, d2 long, r2 long, l2 int")
     return out.select(*[F.struct(F.col(f"d{k}").alias("doc_id"), F.col(f"r{k}").alias("row"), F.col(f"l{k}").alias("line")).alias(x) for k, x in ((1, "a"), (2, "b"))])
 
 
@@ -398,8 +435,10 @@ def repeated_lines(docs: DataFrame, words: int = WORDS, chars: int = CHARS, simi
     place = F.struct("doc_id", "row", "line")
     kinds = stash(slim.groupBy("fp", "key").agg(F.min(place).alias("first"), F.count("*").alias("n")))
     texts = stash(line_texts(docs, kinds.join(found.select("fp").distinct(), "fp", "left_semi").select("first.*", "fp")))
-    links = stash(fuzzy_links(found.join(texts, "fp"), similarity))
-    discard(found, texts)
+    close = stash(candidates(found, texts, similarity))
+    discard(found)
+    links = stash(fuzzy_links(close, texts, similarity))
+    discard(close, texts)
     roots = connected_components(links)
     kept = kinds.join(roots, F.col("first") == F.col("node"), "left").where((F.col("n") > 1) | F.col("root").isNotNull()).select("fp", "key", F.coalesce("root", "first").alias("kept"))
     gone = stash(slim.join(kept, ["fp", "key"]).where(place != F.col("kept")).select("doc_id", "row", "line"))

@@ -1,7 +1,7 @@
 """Substring dedup by level-wise doubling (operator 7).
 
 A word is removed if a window of 20 words covers it whose words also start earlier: in a smaller doc_id, or
-in the same document before. Levels of 5, 10 and 20 words find these windows, and only what is repeated at one
+in the same document before. Rows are told apart by (doc_id, row), row being a hash of the text. Levels of 5, 10 and 20 words find these windows, and only what is repeated at one
 level is extended to twice its length:
 
 * Length 5. Of the 5-word windows inside each window of 20 words the one of the smallest hash, the leftmost on ties, is
@@ -11,10 +11,11 @@ level is extended to twice its length:
   their anchor also has another context.
 * Length 10. A window of 20 words with its anchor at its start or up to 10 words on contains the 10 words from the anchor
   on; any other contains the 10 words that end with the anchor. Groups of windows whose 10 words occur once go.
-* Length 20. The windows left are compared, and each but the first of its kind is covered.
+* Length 20. The windows left are compared by the hashes of all their words and of the ten, 128 bits, and each but the first of
+  its kind is covered.
 
-Counts and first positions are aggregated before the shuffle; a repeated context or window meets its first position in
-an ordinary equi-join, whose hot keys Spark splits.
+Counts and first positions are aggregated before the shuffle and written; a repeated context or window meets its first position
+in an ordinary equi-join of two tables, whose hot keys Spark splits.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import raw_texts, stash, table
+from .common import discard, raw_texts, stash, table
 from .quality import Codes
 
 BASE, WINDOW = 5, 20
@@ -89,7 +90,7 @@ def arrow(columns: dict, types: dict):
 
 
 def anchored(docs: DataFrame) -> DataFrame:
-    """(doc_id, lo, hi, anchor, h5, hc): one row for each context."""
+    """(doc_id, row, lo, hi, anchor, h5, hc): one row for each context."""
 
     def run(batches):
         import pyarrow as pa
@@ -97,18 +98,18 @@ def anchored(docs: DataFrame) -> DataFrame:
         codes = Codes(7)
         for batch in batches:
             out = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), raw_texts(batch)):
+            for doc, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), raw_texts(batch)):
                 if text is not None and (got := contexts(codes.of(text.split()))):
-                    out.append((np.full(len(got[0]), doc, np.int64), *got))
+                    out.append((np.full(len(got[0]), doc, np.int64), np.full(len(got[0]), row, np.int64), *got))
             if out:
-                d, lo, hi, a, h5, hc = (np.concatenate(x) for x in zip(*out))
-                yield arrow({"doc_id": d, "lo": lo.astype(np.int32), "hi": hi.astype(np.int32), "anchor": a.astype(np.int32), "h5": h5.view(np.int64), "hc": hc.view(np.int64)}, {"doc_id": pa.int64(), "lo": pa.int32(), "hi": pa.int32(), "anchor": pa.int32(), "h5": pa.int64(), "hc": pa.int64()})
+                d, r, lo, hi, a, h5, hc = (np.concatenate(x) for x in zip(*out))
+                yield arrow({"doc_id": d, "row": r, "lo": lo.astype(np.int32), "hi": hi.astype(np.int32), "anchor": a.astype(np.int32), "h5": h5.view(np.int64), "hc": hc.view(np.int64)}, {"doc_id": pa.int64(), "row": pa.int64(), "lo": pa.int32(), "hi": pa.int32(), "anchor": pa.int32(), "h5": pa.int64(), "hc": pa.int64()})
 
-    return docs.where(F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id long, lo int, hi int, anchor int, h5 long, hc long")
+    return docs.where(F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id long, row long, lo int, hi int, anchor int, h5 long, hc long")
 
 
 def extended(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc_id, first, h10, windows array of hashes) for the contexts wanted (doc_id, spans)."""
+    """(doc_id, row, first, h10, windows array of hashes) for the contexts wanted (doc_id, row, spans)."""
 
     def run(batches):
         import pyarrow as pa
@@ -118,50 +119,59 @@ def extended(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             spans = batch.column("spans")
             o = spans.offsets.to_numpy()
             lo, hi, a = (spans.values.field(k).to_numpy() for k in ("lo", "hi", "anchor"))
-            ids, firsts, tens, windows = [], [], [], []
-            for k, (doc, text) in enumerate(zip(batch.column("doc_id").to_pylist(), raw_texts(batch))):
+            ids, rows, firsts, tens, windows = [], [], [], [], []
+            for k, (doc, row, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), raw_texts(batch))):
                 c = codes.of((text or b"").split())
                 hashed = Hashed(c)
                 for s in range(o[k], o[k + 1]):
-                    if hi[s] > len(c):  # of another row of the same doc_id
-                        continue
                     for first, ten, hs in halves(c, int(lo[s]), int(hi[s]), int(a[s]), hashed):
-                        ids.append(doc), firsts.append(first), tens.append(ten), windows.append(hs)
+                        ids.append(doc), rows.append(row), firsts.append(first), tens.append(ten), windows.append(hs)
             if ids:
                 offsets = np.r_[0, np.cumsum([len(x) for x in windows])].astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(windows).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(firsts, pa.int32()), pa.array(np.array(tens, np.uint64).view(np.int64)), lists], ["doc_id", "first", "h10", "windows"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(firsts, pa.int32()), pa.array(np.array(tens, np.uint64).view(np.int64)), lists], ["doc_id", "row", "first", "h10", "windows"])
 
-    return docs.join(wanted, "doc_id").mapInArrow(run, "doc_id long, first int, h10 long, windows array<long>")
+    return docs.join(wanted, ["doc_id", "row"]).select("doc_id", "row", "text", "spans").mapInArrow(run, "doc_id long, row long, first int, h10 long, windows array<long>")
+
+
+def repeated(rows: DataFrame, key: str) -> DataFrame:
+    """The values of a column that more than one row has."""
+    return stash(rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, lo, hi): stretches of words covered by windows that also start earlier. docs: doc_id, text."""
-    rows = anchored(docs)
-    twice = rows.groupBy("h5").agg(F.count("*").alias("n")).where("n > 1").select("h5")
-    rows = stash(rows.join(twice, "h5", "left_semi"))
-    firsts = stash(rows.groupBy("h5", "hc").agg(F.min(F.struct("doc_id", "lo", "hi", "anchor")).alias("first"), F.count("*").alias("n")))
-    again = firsts.where("n > 1").select("h5", "hc", "first")
-    whole = rows.join(again, ["h5", "hc"]).where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("lo") != F.col("first.lo"))).select("doc_id", "lo", "hi")
-    several = firsts.groupBy("h5").agg(F.count("*").alias("m")).where("m > 1").select("h5")
-    wanted = firsts.join(several, "h5", "left_semi").select("first.*").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi", "anchor")).alias("spans"))
+    """(doc_id, row, lo, hi): stretches of words covered by windows that also start earlier. docs: doc_id, row, text."""
+    place = ["doc_id", "row", "lo"]
+    every = stash(anchored(docs))
+    twice = repeated(every, "h5")
+    rows = stash(every.join(twice, "h5", "left_semi"))
+    discard(every, twice)
+    firsts = stash(rows.groupBy("h5", "hc").agg(F.min(F.struct(*place, "hi", "anchor")).alias("first"), F.count("*").alias("n")))
+    whole = rows.join(firsts.where("n > 1").select("h5", "hc", *[F.col(f"first.{c}").alias(f"first_{c}") for c in place]), ["h5", "hc"])
+    whole = stash(whole.where(" or ".join(f"{c} != first_{c}" for c in place)).select(*place, "hi"))
+    several = repeated(firsts, "h5")
+    wanted = firsts.join(several, "h5", "left_semi").select("first.*").groupBy("doc_id", "row").agg(F.collect_list(F.struct("lo", "hi", "anchor")).alias("spans"))
     tens = stash(extended(docs, wanted))
-    twice = tens.groupBy("h10").agg(F.count("*").alias("n")).where("n > 1").select("h10")
-    windows = tens.join(twice, "h10", "left_semi").select("doc_id", "first", F.posexplode("windows").alias("i", "h20")).select("doc_id", (F.col("first") + F.col("i")).alias("lo"), "h20")
-    first = windows.groupBy("h20").agg(F.min(F.struct("doc_id", "lo")).alias("at"), F.count("*").alias("n")).where("n > 1").select("h20", "at")
-    single = windows.join(first, "h20").where((F.col("doc_id") != F.col("at.doc_id")) | (F.col("lo") != F.col("at.lo"))).select("doc_id", "lo", (F.col("lo") + WINDOW).alias("hi"))
-    return stash(whole.unionByName(single))
+    discard(rows, firsts, several)
+    twice = repeated(tens, "h10")
+    windows = stash(tens.join(twice, "h10", "left_semi").select("doc_id", "row", "first", "h10", F.posexplode("windows").alias("i", "h20")).select("doc_id", "row", (F.col("first") + F.col("i")).alias("lo"), "h10", "h20"))
+    discard(tens, twice)
+    first = stash(windows.groupBy("h10", "h20").agg(F.min(F.struct(*place)).alias("at"), F.count("*").alias("n")).where("n > 1").select("h10", "h20", *[F.col(f"at.{c}").alias(f"first_{c}") for c in place]))
+    single = windows.join(first, ["h10", "h20"]).where(" or ".join(f"{c} != first_{c}" for c in place)).select(*place, (F.col("lo") + WINDOW).alias("hi"))
+    out = stash(whole.unionByName(single).groupBy("doc_id", "row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+    discard(whole, windows, first)
+    return out
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for each row of docs; kept: the words that stay, joined by one space.
 
-    A null text has no words. Texts below 20 words stay whole. Rows that share a doc_id count as one document: what
-    they repeat of each other at the same place stays. Rows without a doc_id stay whole and remove nothing.
+    A null text has no words. Texts below 20 words stay whole. Rows that share a doc_id are documents of their own, in the order of
+    a hash of the text; equal rows count as one and keep the same words. Rows without a doc_id stay whole and remove nothing.
     """
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    spans = repeats(plain).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    both = plain.join(spans, "doc_id", "left").withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<lo:int,hi:int>>")))
+    text = F.col("text").cast("string")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
+    both = plain.join(repeats(plain), ["doc_id", "row"], "left").select("doc_id", "text", F.coalesce("spans", F.array().cast("array<struct<lo:int,hi:int>>")).alias("spans"))
 
     def run(batches):
         import pyarrow as pa

@@ -3,15 +3,14 @@
 A vector's coordinates fall into `lists` slices, and a slice's inner product is a list's score: a row's score is the sum over the
 lists. Rows and queries are dealt into blocks, and each block of rows meets each block of queries.
 
-1. A block sends, for each query, the best scores among the rows that lead its lists: scores of different rows, so
-   the k-th best of all blocks is a safe cutoff.
-2. The cutoff of each query goes to all blocks. A row whose score reaches it has a list score of at least
-   cutoff / lists, so the entries above this uniform threshold are sufficient; the others are not looked at again.
-3. The remaining list scores of these entries are looked up, which gives their exact scores; those that reach the cutoff are
-   sent, and the first k of each query stay.
-
-Sums over dense lists of mixed sign bound poorly, so phase 1 already completes the scores of its few leaders. No step
-gathers a query's rows: a block sends at most k scores in phase 1 and what reaches the cutoff in phase 3.
+1. A block gathers the local scores of the first list and completes those of its leaders. It sends, for each query, the k best of
+   these: scores of different rows, so the k-th best of all blocks is a safe cutoff.
+2. The cutoff of each query goes to all blocks. A row whose score reaches it has a list score of at least cutoff / lists, the
+   uniform threshold. By the product of the lengths only rows of some length can have that in a list: a list is
+   gathered for these alone, and the entries that reach the threshold are sufficient.
+3. Only these entries are resolved: their scores are added up exactly, those that reach the cutoff are sent, and the first k of each query stay.
+
+No step gathers a query's rows: a block sends at most k scores in phase 1 and what reaches the cutoff in phase 3.
 """
 
 from __future__ import annotations
@@ -23,7 +22,9 @@ from pyspark.sql.window import Window as W
 
 from .common import bucket, cut, table
 
-K, LISTS, ROWS, QUERIES, EVERY = 20, 2, 4096, 1024, 20
+K, LISTS, ROWS, QUERIES, EVERY = 20, 2, 8192, 4096, 20
+#: Queries that are scored at once, and entries that are resolved at once.
+PART, PAIRS = 256, 1 << 16
 
 
 def finite(c: str):
@@ -32,9 +33,9 @@ def finite(c: str):
 
 def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
     """(vec_id, q): floor(scale * component). Rows without an id, and vectors that are null or hold null or non-finite
-    components, are left out; rows that share an id count as one, the least vector."""
+    components, are left out."""
     q = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    return vectors.where(F.col("vec_id").isNotNull() & finite("embedding")).select(F.col("vec_id").cast("long").alias("vec_id"), q.alias("q")).groupBy("vec_id").agg(F.min("q").alias("q"))
+    return vectors.where(F.col("vec_id").isNotNull() & finite("embedding")).select(F.col("vec_id").cast("long").alias("vec_id"), q.alias("q"))
 
 
 def blocks(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
@@ -54,20 +55,48 @@ def matrix(column, k: int) -> tuple[np.ndarray, np.ndarray]:
     return block.field("vec_id").to_numpy(), out
 
 
-def list_scores(a: np.ndarray, b: np.ndarray, lists: int) -> list[np.ndarray]:
-    """Inner products of the rows of a and b, by slice of the coordinates; exact integers."""
+def slices(a: np.ndarray, b: np.ndarray, lists: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The rows of a and b by slice of the coordinates, as numbers whose inner products are exact."""
     d = max(a.shape[1], b.shape[1], 1)
     a, b = (np.pad(x, ((0, 0), (0, d - x.shape[1]))) for x in (a, b))
     if int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * d < 2**53:
         a, b = a.astype(np.float64), b.astype(np.float64)  # exact, and faster
     at = [d * i // lists for i in range(lists + 1)]
-    return [a[:, s:e] @ b[:, s:e].T for s, e in zip(at, at[1:])]
+    return [(a[:, s:e], b[:, s:e]) for s, e in zip(at, at[1:])]
+
+
+def lengths(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x.astype(np.float64) ** 2).sum(1))
+
+
+def totals(parts: list[tuple[np.ndarray, np.ndarray]], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Scores of the pairs of rows i and j over all lists."""
+    out = np.zeros(len(i), np.int64)
+    for s in range(0, len(i), PAIRS):
+        x, y = i[s : s + PAIRS], j[s : s + PAIRS]
+        out[s : s + PAIRS] = sum((a[x] * b[y]).sum(1) for a, b in parts)
+    return out
+
+
+def sufficient(parts: list[tuple[np.ndarray, np.ndarray]], tau: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that reach tau / lists in some list, among them all whose scores reach tau."""
+    enough = np.zeros(allowed.shape, bool)
+    for a, b in parts:
+        least = (tau / len(parts))[:, None]
+        la, lb = lengths(a), lengths(b)
+        order = np.argsort(-lb)
+        # lengths from which a query's threshold is out of reach; a little more than it takes, as they are rounded
+        most = (la[:, None] * lb[order][None, :] * (1 + 1e-9) + 1e-6 >= least).sum(1).max(initial=0)
+        some = order[:most]
+        enough[:, some] |= a @ b[some].T >= least
+    return np.nonzero(enough & allowed)
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, lists: int = LISTS, rows: int = ROWS, queries: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose vec_id is divisible by `every`, its k rows of the highest score.
 
-    Ties go to the smaller vec_id; the query's own row is no candidate. Vectors of other lengths count as padded with zeros.
+    Ties go to the smaller vec_id; rows of the query's own vec_id are no candidates. Rows that share a vec_id are candidates of their own, and
+    as queries one whose list holds the best scores of any of them. Vectors of other lengths count as padded with zeros.
     """
     q = cut(quantised(vectors))
     asked = q.where(F.col("vec_id") % every == 0)
@@ -86,33 +115,29 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, lists: int = LISTS
                     ids, v = matrix(batch.column("r"), i)
                     own, a = matrix(batch.column("a"), i)
                     block = batch.column("a").slice(i, 1).flatten()
-                    for s in range(0, len(own), 256):
-                        part = list_scores(a[s : s + 256], v, lists)
-                        out = work(own[s : s + 256], ids, part, own[s : s + 256, None] != ids[None, :], block, s)
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], [f"c{j}" for j in range(len(out))])
+                    tau = block.field("tau").to_numpy(zero_copy_only=False) if "tau" in names else np.zeros(len(own))
+                    for s in range(0, len(own), PART):
+                        x, y = own[s : s + PART], slices(a[s : s + PART], v, lists)
+                        out = work(x, ids, y, x[:, None] != ids[None, :], np.nan_to_num(tau[s : s + PART].astype(np.float64), nan=-np.inf))
+                        yield pa.RecordBatch.from_arrays([pa.array(z) for z in out], [f"c{j}" for j in range(len(out))])
 
+        names = asked.columns
         return pairs.mapInArrow(run, shape)
 
-    def lead(own, ids, part, open_, block, s):
-        total, leads = sum(part), np.zeros(open_.shape, bool)
-        for x in part:
-            best = np.argpartition(-np.where(open_, x, np.iinfo(np.int64).min // 2), min(k, len(ids)) - 1, axis=1)[:, :k]
-            np.put_along_axis(leads, best, True, axis=1)
-        i, j = np.nonzero(leads & open_)
-        order = np.lexsort((-total[i, j], i))
-        i, j = i[order], j[order]
-        keep = np.arange(len(i)) - np.searchsorted(i, i) < k
-        return own[i[keep]], total[i[keep], j[keep]].astype(np.int64)
-
-    def collect(own, ids, part, open_, block, s):
-        tau = block.field("tau").to_pylist()[s : s + len(own)]
-        tau = np.array([-np.inf if x is None else x for x in tau])[:, None]
-        enough = np.logical_or.reduce([x >= tau / lists for x in part]) & open_
-        i, j = np.nonzero(enough)
-        exact = sum(x[i, j] for x in part)
-        keep = exact >= tau[i, 0]
-        i, j = i[keep], j[keep]
-        return own[i], ids[j], exact[keep].astype(np.int64)
+    def lead(own, ids, parts, allowed, tau):
+        a, b = parts[0]
+        first = np.where(allowed, a @ b.T, -np.inf if a.dtype == np.float64 else np.iinfo(np.int64).min)
+        j = np.argpartition(-first.astype(np.float64), min(k, len(ids)) - 1, axis=1)[:, :k]
+        i = np.repeat(np.arange(len(own)), j.shape[1])
+        j = j.ravel()
+        i, j = i[allowed[i, j]], j[allowed[i, j]]
+        return own[i], totals(parts, i, j)
+
+    def collect(own, ids, parts, allowed, tau):
+        i, j = sufficient(parts, tau, allowed)
+        exact = totals(parts, i, j)
+        keep = exact >= tau[i]
+        return own[i[keep]], ids[j[keep]], exact[keep]
 
     sent = meet(asked, lead, "query_id long, score long")
     best = sent.withColumn("n", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score")))).where(F.col("n") <= k)

@@ -41,11 +41,11 @@ def test_recall_against_edit_similarity_alone(spark):
     made = pairs_of_lines(3, 900)
     rows = [(k, x) for i, (_, a, b) in enumerate(made) for k, x in ((2 * i, a), (2 * i + 1, b))]
     for limit in (lines.LIMIT, 4):
-        gone = {r.doc_id for r in lines.deduplicated(frame(spark, rows), limit=limit).where("_n_removed = 1").collect()}
+        gone = {r.doc_id for r in lines.deduplicated(frame(spark, rows), limit=limit).where("n_removed = 1").collect()}
         assert not {d for d in gone if d % 2 == 0}  # all other lines are unlike
         found = {kind: sum(2 * i + 1 in gone for i, m in enumerate(made) if m[0] == kind) / sum(m[0] == kind for m in made) for kind in ("letter", "letters", "words")}
         print(limit, found, len(gone) / len(made))
-        assert found["letter"] >= 0.98 and found["words"] >= 0.9 and found["letters"] >= 0.6, found
+        assert found["letter"] >= 0.98 and found["words"] >= 0.98 and found["letters"] >= 0.5, found
 
 
 def test_short_lines_go_as_exact_copies(spark):
