@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     if (named := sc.getConf().get("spark.checkpoint.dir", None)) is None:
         named = sc.getCheckpointDir()
     if named is None:
-        if not sc.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="spark-shared-")
     if sc.getCheckpointDir() is None:

@@ -1,12 +1,13 @@
 """License scan (operator 8): a trained paragraph classifier whose predictions a template comparison confirms.
 DataFrame, SQL and pyspark.ml (JVM) functions only.
 
-A paragraph is a line; its features are the word bigrams, lower case, that occur in any template (a vocabulary of fixed size). A
-multinomial logistic regression is trained on the templates, whole and in halves, and on paragraphs of a bounded sample of
-the corpus that resemble no template, as class "unknown". The least family probability that counts is calibrated on
-held-out paragraphs of that sample. A prediction is confirmed if the paragraph holds enough of the bigrams of one of
-the family's templates. Scoring explodes all bigrams of all paragraphs and joins the few that a template knows with
-their weights: the sparse dot product is a sum by paragraph. Texts that cannot match a template are left out before.
+A paragraph is a line, or a stretch of SPAN lines (one begins every SPAN / 2 lines) for notices that are wrapped over lines; comment marks count as
+spaces. Its features are the word bigrams, lower case, that occur in any template (a vocabulary of fixed size). A multinomial
+logistic regression is trained on mutilated copies of the templates, which lack every fifth bigram or one end, and, as class
+"unknown", on paragraphs of a bounded sample of the corpus that resemble no template. The least family probability that counts is
+calibrated on other mutilated copies and on held-out paragraphs of that sample. A prediction is confirmed if the paragraph holds enough of the
+bigrams of one of the family's templates. Scoring explodes all bigrams of all paragraphs and joins the few that a template knows with
+their weights and templates: the sparse dot product is a sum by paragraph. Texts that cannot match a template are left out before.
 """
 
 from __future__ import annotations
@@ -23,44 +24,104 @@ from pyspark.sql import functions as F
 from .common import cut, table
 
 UNKNOWN = "unknown"
-#: Documents of the corpus that training reads at most, for class "unknown"; share of them, for calibration only, by hash.
+#: Documents of the corpus that training reads, about, for class "unknown"; share of its paragraphs that is for calibration only, by hash.
 SAMPLE, HELD = 1000, 5
-SIMILARITY, LEAST, FALSE_RATE = 0.8, 0.5, 0.001
+SIMILARITY, LEAST, FALSE_RATE, SPAN = 0.8, 0.5, 0.001, 12
 
-#: Notices by which public licences are applied.
+#: Notices by which public licences are applied, and paragraphs of their texts.
 TEMPLATES = {
+    "AGPL": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "Released under the AGPL.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
+        "See the License for the specific language governing permissions and limitations under the License.",
+        "SPDX-License-Identifier: Apache-2.0",
     ],
+    "Artistic": ["This is free software; you can redistribute it and/or modify it under the terms of the Artistic License", "Released under the Artistic License 2.0.", "SPDX-License-Identifier: Artistic-2.0"],
     "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.',
         "Released under the BSD License.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "SPDX-License-Identifier: BSD-3-Clause",
     ],
-    "CC-BY": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-NC": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC-BY-SA": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0.", "Use, modification and distribution are subject to the Boost Software License, Version 1.0.", "SPDX-License-Identifier: BSL-1.0"],
+    "CC-BY": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "SPDX-License-Identifier: CC-BY-4.0"],
+    "CC-BY-NC": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "SPDX-License-Identifier: CC-BY-NC-4.0"],
+    "CC-BY-NC-SA": ["Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."],
+    "CC-BY-ND": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+    "CC-BY-SA": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "SPDX-License-Identifier: CC-BY-SA-4.0"],
+    "EPL": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License", "SPDX-License-Identifier: EPL-2.0"],
     "GPL": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+        "You should have received a copy of the GNU General Public License along with this program.",
         "Released under the GPL.",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Released under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ],
+    "LGPL": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "Released under the LGPL.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
     ],
-    "LGPL": ["This work is licensed under the GNU Lesser General Public License, version 3.", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"],
     "MIT": [
         "Released under the MIT License.",
         "Licensed under the MIT License.",
-        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software',
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.',
+        "SPDX-License-Identifier: MIT",
+    ],
+    "MPL": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+        "SPDX-License-Identifier: MPL-2.0",
+    ],
+    "public domain": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "Released into the public domain.",
+        "CC0 1.0 Universal Public Domain Dedication",
+        "SPDX-License-Identifier: CC0-1.0",
+        "SPDX-License-Identifier: Unlicense",
+    ],
+    "zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+        "SPDX-License-Identifier: Zlib",
     ],
-    "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "public domain": ["This is free and unencumbered software released into the public domain.", "Released into the public domain.", "CC0 1.0 Universal Public Domain Dedication"],
 }
 
 
+#: What separates words: anything but letters and digits, and but full stops, plus and minus signs inside a word.
+BETWEEN = r"[^\p{L}\p{N}.+-]+|[.+-]+(?![\p{L}\p{N}.+-])|(?<![\p{L}\p{N}.+-])[.+-]+"
+
+
 def words_of(text):
     """Lower-case runs of letters, digits and inner marks, as one array."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}.+-]+"), lambda w: w != "")
+    return F.filter(F.split(F.lower(text), BETWEEN), lambda w: w != "")
 
 
 def bigrams(words):
@@ -70,22 +131,22 @@ def bigrams(words):
     return F.transform(pairs, lambda p: F.concat_ws(" ", p["a"], p["b"]))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, paragraph, text): the lines of each text. row tells rows apart that share a doc_id."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("row"), F.col("text").cast("string").alias("_t"))
-    return lines.select("doc_id", "row", F.posexplode(F.split("_t", "\n")).alias("paragraph", "text"))
+def paragraphs(docs: DataFrame, span: int = SPAN) -> DataFrame:
+    """(doc_id, row, paragraph, many, text): each line of each text, and each stretch of lines under the number of its first; row tells rows
+    apart that share a doc_id, many says whether it is a stretch."""
+    text = F.col("text").cast("string")
+    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), F.split(text, "\n").alias("_l"))
+    one = lines.select("doc_id", "row", F.posexplode("_l").alias("paragraph", "text"), F.lit(False).alias("many"))
+    starts = F.when(F.size("_l") > 1, F.sequence(F.lit(0), F.greatest(F.size("_l") - 2, F.lit(0)), F.lit(span // 2)))
+    several = lines.select("doc_id", "row", F.explode(starts).alias("paragraph"), "_l").select("doc_id", "row", "paragraph", F.array_join(F.slice("_l", F.col("paragraph") + 1, span), " ").alias("text"), F.lit(True).alias("many"))
+    return one.unionByName(several).select("doc_id", "row", "paragraph", "many", "text")
 
 
 def templates(spark: SparkSession, given: dict | None = None) -> DataFrame:
-    """(family, template, grams): a row for each template."""
-    rows = [(f, i, t) for f, ts in (given or TEMPLATES).items() for i, t in enumerate(ts)]
-    return spark.createDataFrame(rows, "family string, template int, text string").select("family", "template", F.array_distinct(bigrams(words_of(F.col("text")))).alias("grams"))
-
-
-def similarity(grams, template):
-    """Share of a template's bigrams that a paragraph holds; the marks of the ends don't count."""
-    inner = F.filter(template, lambda g: ~g.startswith("^") & ~g.endswith(" $"))
-    return F.size(F.array_intersect(inner, grams)) / F.size(inner)
+    """(id, family, grams): a row for each template; the bigrams at the ends, which hold marks of the ends, are left out."""
+    rows = [(i, f, t) for i, (f, t) in enumerate((f, t) for f, ts in (given or TEMPLATES).items() for t in ts)]
+    grams = F.array_distinct(bigrams(words_of(F.col("text"))))
+    return spark.createDataFrame(rows, "id int, family string, text string").select("id", "family", F.filter(grams, lambda g: ~g.startswith("^ ") & ~g.endswith(" $")).alias("grams"))
 
 
 def anchors(given: dict | None = None, at_least: float = SIMILARITY) -> list[str]:
@@ -116,10 +177,11 @@ def any_of(text, words: list[str]):
 
 
 class Model:
-    """Weights of bigrams by class (gram, w array), biases, classes and the calibrated least probability."""
+    """Weights of bigrams by class and the templates that hold them (gram, w array, ids array), biases, classes, the calibrated least
+    probability, and (id, family, number of bigrams) of the templates."""
 
-    def __init__(self, classes, biases, weights, least):
-        self.classes, self.biases, self.weights, self.least = classes, biases, weights, least
+    def __init__(self, classes, biases, weights, least, known):
+        self.classes, self.biases, self.weights, self.least, self.known = classes, biases, weights, least, known
 
     def probabilities(self, sums):
         """Softmax over the classes of sums of weights."""
@@ -130,61 +192,77 @@ class Model:
 
 
 def train(docs: DataFrame, given: dict | None = None, sample: int = SAMPLE) -> Model:
-    """The classifier; reads at most `sample` documents of docs, those of the smallest hashes."""
+    """The classifier; of docs it reads about `sample`, those whose hashes are below a bound that follows from their number."""
     spark = docs.sparkSession
     known = cut(templates(spark, given))
-    families = sorted((given or TEMPLATES))
-    classes = [UNKNOWN, *families]
+    classes = [UNKNOWN, *sorted(given or TEMPLATES)]
     vocabulary = [r[0] for r in known.select(F.explode("grams").alias("g")).distinct().orderBy("g").collect()]
-    few = docs.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(sample)
-    negative = paragraphs(few).where(F.trim("text") != "").select("text", bigrams(words_of(F.col("text"))).alias("grams"))
+    bound = int(min(1.0, sample / max(1, docs.count())) * (1 << 30))
+    few = docs.where(F.pmod(F.xxhash64("doc_id", F.col("text").cast("string")), F.lit(1 << 30)) < bound)
+    negative = paragraphs(few).where(F.trim("text") != "").select("text", F.array_distinct(bigrams(words_of(F.col("text")))).alias("grams"))
     fixed = F.broadcast(known.select(F.col("grams").alias("t")))
-    near = negative.join(fixed, similarity(F.col("grams"), F.col("t")) >= 0.5, "left_anti")  # some paragraphs against fixed templates
+    near = negative.join(fixed, F.size(F.array_intersect("t", "grams")) >= 0.5 * F.size("t"), "left_anti")  # some paragraphs against fixed templates
     negative = cut(near.select("grams", (F.pmod(F.xxhash64("text"), F.lit(HELD)) == 0).alias("held")))
     label = F.array_position(F.array(*map(F.lit, classes)), F.col("family")).cast("double") - 1
-    part = lambda a, b: F.slice("grams", F.floor(F.size("grams") * a).cast("int") + 1, F.ceil(F.size("grams") * (b - a)).cast("int"))
-    positive = known.select(label.alias("label"), F.explode(F.array(F.col("grams"), F.col("grams"), part(0, 0.6), part(0.4, 1))).alias("grams"))
+    lacks = lambda r: F.when(F.size("grams") > 4, F.filter("grams", lambda g, i: i % 5 != r)).otherwise(F.col("grams"))
+    part = lambda a, b: F.slice("grams", F.floor(F.size("grams") * a).cast("int") + 1, F.greatest(F.lit(1), F.ceil(F.size("grams") * (b - a)).cast("int")))
+    positive = known.select(label.alias("label"), F.explode(F.array(lacks(0), lacks(1), lacks(3), part(0, 0.7), part(0.3, 1))).alias("grams"))
     rows = positive.withColumn("weight", F.lit(20.0)).unionByName(negative.where(~F.col("held")).select(F.lit(0.0).alias("label"), "grams", F.lit(1.0).alias("weight")))
     vector = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features").setBinary(True)
     fit = LogisticRegression(family="multinomial", weightCol="weight", regParam=1e-3, maxIter=60).fit(vector.transform(rows))
     n = fit.numClasses
-    w = fit.coefficientMatrix.toArray().T.tolist()
-    weights = spark.createDataFrame(list(zip(vocabulary, w)), "gram string, w array<double>")
-    model = Model(classes[:n], fit.interceptVector.toArray().tolist(), cut(weights), LEAST)
-    held = scored(negative.where("held").withColumn("id", F.xxhash64("grams")), model, ["id"])
-    least = held.where(F.col("family") != UNKNOWN).agg(F.count("*"), F.max("probability")).first()
-    if least[0] > FALSE_RATE * max(1, negative.where("held").count()):
-        model.least = max(LEAST, least[1])
+    w = dict(zip(vocabulary, fit.coefficientMatrix.toArray().T.tolist()))
+    inside = {r.g: sorted(r.ids) for r in known.select("id", F.explode("grams").alias("g")).groupBy("g").agg(F.collect_set("id").alias("ids")).collect()}
+    weights = spark.createDataFrame([(g, w[g], inside[g]) for g in vocabulary], "gram string, w array<double>, ids array<int>")
+    model = Model(classes[:n], fit.interceptVector.toArray().tolist(), cut(weights), LEAST, [(r.id, r.family, r.n) for r in known.select("id", "family", F.size("grams").alias("n")).orderBy("id").collect()])
+    wrong = scored(negative.where("held").withColumn("id", F.xxhash64("grams")), model, ["id"]).where(F.col("family") != UNKNOWN)
+    right = scored(known.select(F.col("id").cast("long").alias("id"), F.col("family").alias("own"), F.explode(F.array(lacks(2), lacks(4))).alias("grams")).withColumn("id", F.col("id") * 2 + F.pmod(F.xxhash64("grams"), F.lit(2))), model, ["id", "own"]).where(F.col("family") == F.col("own"))
+    bad = wrong.agg(F.count("*"), F.max("probability")).first()
+    good = right.agg(F.percentile_approx("probability", 0.05)).first()[0]
+    if bad[0] > FALSE_RATE * max(1, negative.where("held").count()):  # above the wrong ones, but not above what mutilated notices reach
+        model.least = max(LEAST, min(bad[1], good if good is not None else 1.0))
     return model
 
 
 def scored(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
-    """keys, grams (those of the vocabulary), family and probability, for rows that hold any known bigram."""
-    hits = rows.select(*keys, F.explode(F.array_distinct("grams")).alias("gram")).join(F.broadcast(model.weights), "gram")
+    """keys, hits (for each known bigram the templates that hold it), family and probability, for rows that hold any known bigram."""
+    weights = F.broadcast(model.weights)  # of fixed size
+    hits = rows.select(*keys, F.explode(F.array_distinct("grams")).alias("gram")).join(weights.select("gram"), "gram", "left_semi")
+    hits = hits.distinct().join(weights, "gram")  # equal rows count once
     n = len(model.classes)
-    sums = hits.groupBy(*keys).agg(F.collect_list("gram").alias("grams"), *[F.sum(F.col("w")[i]).alias(f"w{i}") for i in range(n)])
-    p = sums.select(*keys, "grams", model.probabilities(F.array(*[F.round(f"w{i}", 9) for i in range(n)])).alias("p"))
+    sums = hits.groupBy(*keys).agg(F.flatten(F.collect_list("ids")).alias("hits"), *[F.sum(F.col("w")[i]).alias(f"w{i}") for i in range(n)])
+    p = sums.select(*keys, "hits", model.probabilities(F.array(*[F.round(f"w{i}", 9) for i in range(n)])).alias("p"))
     best = F.array_max(F.transform("p", lambda x, i: F.struct(x.alias("p"), (-i).alias("i"))))
     p = p.withColumn("best", best)
-    return p.select(*keys, "grams", F.element_at(F.array(*map(F.lit, model.classes)), 1 - F.col("best.i")).alias("family"), F.col("best.p").alias("probability"))
+    return p.select(*keys, "hits", F.element_at(F.array(*map(F.lit, model.classes)), 1 - F.col("best.i")).alias("family"), F.col("best.p").alias("probability"))
 
 
 def scan(docs: DataFrame, model: Model, given: dict | None = None, at_least: float = SIMILARITY) -> DataFrame:
     """(doc_id, paragraph, family, probability, similarity): the paragraphs that are licence notices.
 
     family is a family that the classifier predicts with the calibrated probability and whose templates confirm it, or "unknown" where a
-    template matches but the classifier doesn't agree. Null and empty texts have no paragraphs. Equal rows of docs count once.
+    template matches but the classifier doesn't agree. similarity is the largest share of a template's bigrams that the paragraph holds. A
+    notice that is wrapped over lines goes under the number of the first line of a stretch that holds it, once for each family and row; where a single
+    line of the stretch holds it, the line alone is given. Null and empty texts have no paragraphs. Rows of docs with equal doc_id and text count once.
     """
     words = anchors(given, at_least)
-    rows = paragraphs(docs.where(any_of(F.col("text").cast("string"), words))).where(any_of(F.col("text"), words)).select("doc_id", "row", "paragraph", bigrams(words_of(F.col("text"))).alias("grams"))
-    found = scored(rows, model, ["doc_id", "row", "paragraph"])
-    known = templates(docs.sparkSession, given).select(F.col("family").alias("_f"), F.col("grams").alias("_t"))
-    by = F.broadcast(known.groupBy().agg(F.collect_list(F.struct("_f", "_t")).alias("known")))  # one row, of fixed size
-    found = found.withColumn("one", F.lit(1)).join(by.withColumn("one", F.lit(1)), "one")
-    match = F.array_max(F.transform("known", lambda t: F.struct(similarity(F.col("grams"), t["_t"]).alias("s"), (t["_f"] == F.col("family")).alias("own"), t["_f"].alias("f"))))
+    rows = paragraphs(docs.where(any_of(F.col("text").cast("string"), words))).where(any_of(F.col("text"), words))
+    keys = ["doc_id", "row", "paragraph", "many"]
+    found = scored(rows.select(*keys, bigrams(words_of(F.col("text"))).alias("grams")), model, keys)
+    known = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(f).alias("f"), F.lit(n).alias("n")) for i, f, n in model.known])
+    match = F.array_max(F.transform(known, lambda t: F.struct((F.size(F.filter("hits", lambda h: h == t["id"])) / t["n"]).alias("s"), (t["f"] == F.col("family")).alias("own"), t["f"].alias("f"))))
     found = found.withColumn("m", match).where(F.col("m.s") >= at_least)
     sure = (F.col("probability") >= model.least) & F.col("m.own")
-    return found.select("doc_id", F.col("paragraph").cast("long").alias("paragraph"), F.when(sure, F.col("family")).otherwise(UNKNOWN).alias("family"), F.round("probability", 6).alias("probability"), F.round("m.s", 6).alias("similarity"))
+    found = found.select(*keys, F.when(sure, F.col("family")).otherwise(UNKNOWN).alias("family"), F.round("probability", 6).alias("probability"), F.round("m.s", 6).alias("similarity"), F.col("m.f").alias("template"))
+    found = cut(found)
+    lines = found.where(~F.col("many"))
+    half = F.floor(F.col("paragraph") / (SPAN // 2)).cast("int")  # the stretches that hold a line begin there or one earlier
+    span = F.explode(F.transform(F.sequence(F.greatest(F.lit(0), half - 1), half), lambda x: x * (SPAN // 2)))
+    held = lines.select("doc_id", "row", span.alias("paragraph"), "template").distinct()
+    same = [held["doc_id"].eqNullSafe(found["doc_id"]), held["row"] == found["row"], held["paragraph"] == found["paragraph"], held["template"] == found["template"]]
+    wrapped = found.where("many").join(held, same, "left_anti").groupBy("doc_id", "row", "template").agg(F.min(F.struct("paragraph", "family", "probability", "similarity")).alias("x"))
+    out = lines.select("doc_id", "paragraph", "family", "probability", "similarity").unionByName(wrapped.select("doc_id", "x.*"))
+    return out.withColumn("paragraph", F.col("paragraph").cast("long"))
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,9 @@ from .simhash import unite
 WORDS, CHARS, SIMILARITY, LIMIT = 3, 16, 0.8, 1024
 #: Keys of a line, and the bits that number them; MinHashes (one byte each) that a pair is tested by before its texts are compared, and how many of
 #: these must agree (FEW below SHORT characters, MANY from WIDE on, where a wrong candidate costs most).
-BANDS, BITS, CODES, AGREE, FEW, MANY = 12, 4, 32, 6, 3, 8
+BANDS, BITS, CODES, AGREE, FEW, MANY = 12, 4, 32, 8, 4, 12
+#: Up to so many lines of a key, each pair is compared under its first common key only.
+CROWD = 8
 SHORT, SLACK, WIDE = 64, 1.25, 256
 #: The keys of most lines that are split wherever they go, at most; others hold less than one in HOT of all keys.
 HOT, SAMPLED = 65536, 64
@@ -349,6 +351,20 @@ def within(a: str, b: str, most: int) -> bool:
     return score <= most
 
 
+def everywhere(a: str, b: str, most: int, parts: int = 4, probes: int = 10, width: int = 8, least: int = 2) -> bool:
+    """Whether each quarter of a has windows that b has near the same place: a passage that two other lines share lies in one stretch."""
+    n = len(a) - width
+    for q in range(parts):
+        low, high, hits = n * q // parts, n * (q + 1) // parts, 0
+        for p in range(low, high, max(1, (high - low) // probes)):
+            hits += b.find(a[p : p + width], max(0, p - most), p + width + most) >= 0
+            if hits >= least:
+                break
+        else:
+            return False
+    return True
+
+
 class Bucketed:
     """Lines sorted by their key k, as arrays: sizes, keys by kind of windows (lines, 2, BANDS; 0 for none) and MinHashes."""
 
@@ -364,28 +380,52 @@ class Bucketed:
         if both.any():
             self.keys[both, 1] = np.frombuffer(b"".join(x[4 * BANDS :] for x in own), np.uint32).reshape(-1, BANDS)
 
-    def pairs(self, skip):
-        """(i, j, most) of candidates of one key, in parts; skip(i, j) tells those that need not be looked at.
+    def alike(self, i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether the sizes allow the similarity and enough MinHashes agree, the edit distance that the similarity allows)."""
+        least, most = np.minimum(self.size[i], self.size[j]), np.maximum(self.size[i], self.size[j])
+        most = ((1 - self.similarity) * most + 1e-9).astype(int)
+        enough = np.where(least < SHORT, FEW, np.where(least < WIDE, AGREE, MANY))
+        return (agree >= enough) & (np.abs(self.size[i] - self.size[j]) <= most), most
 
-        Candidates have an edit distance of at most `most` by their sizes, agree in enough MinHashes, and their first common key is in
-        the band of k, so that a pair is compared in one bucket or, with both kinds of keys, two.
+    def pairs(self, skip, batch: int = 256):
+        """(i, j, most) of candidates of one key, in parts: their edit distances may be up to `most`; skip(i, j) tells those that need not be looked at.
+
+        Where few lines share a key, a pair counts only if its first common key is in the band of k, so it is compared in one bucket or, with
+        both kinds of keys, two. Where many do, the pairs that agree best come first: a text and its copies are tied before two
+        copies, which are further apart, would be compared in vain.
         """
         start = np.flatnonzero(np.r_[True, self.k[1:] != self.k[:-1]])
         many = np.diff(np.r_[start, len(self.k)])
+        small = np.repeat(many <= CROWD, many)
         stop = np.repeat(start + many, many)
         band = (self.k.view(np.uint64) & LOW).astype(np.int64)
-        at, size = np.arange(len(self.k)), self.size
-        for d in range(1, int(many.max())):
+        at = np.flatnonzero(small)
+        for d in range(1, CROWD):
             at = at[at + d < stop[at]]
+            if not len(at):
+                break
             i = at[~skip(at, at + d)]
-            most = ((1 - self.similarity) * np.maximum(size[i], size[i + d]) + 1e-9).astype(int)
-            i, most = (x[np.abs(size[i] - size[i + d]) <= most] for x in (i, most))
-            ok = (self.codes[i] == self.codes[i + d]).sum(1) >= np.where(size[i] < SHORT, FEW, np.where(size[i] < WIDE, AGREE, MANY))
+            ok, most = self.alike(i, i + d, (self.codes[i] == self.codes[i + d]).sum(1))
             i, most = i[ok], most[ok]
             same = (self.keys[i] == self.keys[i + d]) & (self.keys[i] != 0)
             ok = same.reshape(len(i), 2 * BANDS).argmax(1) % BANDS == band[i]
             if ok.any():
                 yield i[ok], i[ok] + d, most[ok]
+        for s, n in zip(start[many > CROWD].tolist(), many[many > CROWD].tolist()):
+            agree = np.zeros((n, n), np.uint8)
+            for c in range(CODES):
+                own = self.codes[s : s + n, c]
+                agree += own[:, None] == own[None, :]
+            i, j = np.nonzero(np.triu(agree, 1) >= FEW)
+            ok, most = self.alike(i + s, j + s, agree[i, j])
+            i, j, most = i[ok], j[ok], most[ok]
+            order = np.argsort(-agree[i, j].astype(np.int16), kind="stable")
+            i, j, most = i[order] + s, j[order] + s, most[order]
+            for p in range(0, len(i), batch):
+                x, y, z = i[p : p + batch], j[p : p + batch], most[p : p + batch]
+                open_ = ~skip(x, y)
+                if open_.any():
+                    yield x[open_], y[open_], z[open_]
 
 
 def candidates(found: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -396,7 +436,7 @@ def candidates(found: DataFrame, texts: DataFrame, similarity: float) -> DataFra
 
         for rows in groups(batches, ["k"]):
             seen = np.zeros(len(rows), bool)
-            for i, j, _ in Bucketed(rows, similarity).pairs(lambda i, j: seen[i] & seen[j]):
+            for i, j, _ in Bucketed(rows, similarity).pairs(lambda i, j: seen[i] & seen[j], 1 << 16):
                 seen[i] = seen[j] = True
             if seen.any():
                 yield from rows.select(["k", "fp"]).filter(pa.array(seen)).to_batches()
@@ -405,6 +445,25 @@ def candidates(found: DataFrame, texts: DataFrame, similarity: float) -> DataFra
     return found.join(sketches, "fp").repartition("k").sortWithinPartitions("k").select("k", "fp", "size", "short", "keys", "codes").mapInArrow(run, "k long, fp long")
 
 
+def tie(lines: Bucketed, norms: list[str]) -> np.ndarray:
+    """For each line the first one that links of lines of one key connect it to."""
+    root = np.arange(len(norms))
+    for i, j, most in lines.pairs(lambda i, j: root[i] == root[j]):
+        up: dict[int, int] = {}  # what this part ties together
+        tied = []
+        for x, y, a, b, m in zip(i.tolist(), j.tolist(), root[i].tolist(), root[j].tolist(), most.tolist()):
+            while a in up:
+                a = up[a]
+            while b in up:
+                b = up[b]
+            if a != b and (len(norms[x]) < WIDE or everywhere(norms[x], norms[y], m)) and within(norms[x], norms[y], m):
+                up[max(a, b)] = min(a, b)
+                tied.append((x, y))
+        if tied:
+            root = unite(root, *np.array(tied).T)
+    return root
+
+
 def fuzzy_links(close: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) of lines, each a struct (doc_id, row, line), that connect what linked lines connect. close: (k, fp) of candidates."""
 
@@ -412,11 +471,7 @@ def fuzzy_links(close: DataFrame, texts: DataFrame, similarity: float) -> DataFr
         import pyarrow as pa
 
         for rows in groups(batches, ["k"]):
-            norms, root = rows.column("norm").to_pylist(), np.arange(len(rows))
-            for i, j, most in Bucketed(rows, similarity).pairs(lambda i, j: root[i] == root[j]):
-                tied = np.array([within(norms[x], norms[y], m) for x, y, m in zip(i.tolist(), j.tolist(), most.tolist())], bool)
-                if tied.any():
-                    root[:] = unite(root, i[tied], j[tied])
+            root = tie(Bucketed(rows, similarity), rows.column("norm").to_pylist())
             tied = np.flatnonzero(root != np.arange(len(root)))
             own = [rows.column(c).to_numpy() for c in ("doc_id", "row", "line")]
             yield pa.RecordBatch.from_arrays([pa.array(x[y]) for y in (tied, root[tied]) for x in own], ["d1", "r1", "l1", "d2", "r2", "l2"])
