@@ -24,27 +24,29 @@ def components_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return u * s * sign, (vt * sign[:, None]).T, s**2 / total if total > 0 else np.zeros_like(s)
 
 
-def pca(scaled: DataFrame, keys: list[str], value: str = "z") -> tuple[DataFrame, DataFrame]:
-    """(loadings, ratios): (keys, asset, vec) and (keys, pc, ratio, cum_ratio), for all keys in one job.
+def pca(scaled: DataFrame, keys: list[str], value: str = "z") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(loadings, ratios, scores): (keys, asset, vec), (keys, pc, ratio, cum_ratio) and (keys, dt, pc, value), for all keys in one job.
 
     The rows of a key must hold each of its assets on each of its dates; a key with one date or none gives nothing.
     """
-    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in scaled.select(*keys).schema)
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in scaled.select(*keys, "asset", "dt").schema)
     rows = scaled.select(*keys, "asset", "dt", value)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.pivot(index="dt", columns="asset", values=value).sort_index().dropna()
         head = {k: pdf[k].iloc[0] for k in keys}
         if len(x) < 2:
-            return pd.DataFrame(columns=[*keys, "asset", "vec", "ratios"])
-        _, load, ratio = components_of(x.to_numpy())
-        return pd.DataFrame({**{k: [v] * x.shape[1] for k, v in head.items()}, "asset": x.columns.to_numpy(), "vec": list(load), "ratios": [ratio] * x.shape[1]})
-
-    fit = kept(rows.groupBy(*keys).applyInPandas(run, f"{types}, asset long, vec array<double>, ratios array<double>"))
-    loadings = fit.select(*keys, "asset", "vec")
+            return pd.DataFrame(columns=[*keys, "asset", "dt", "vec", "ratios"])
+        score, load, ratio = components_of(x.to_numpy())
+        assets, dates = x.shape[1], len(x)
+        return pd.DataFrame({**{k: [v] * (assets + dates) for k, v in head.items()}, "asset": pd.array([*x.columns, *[None] * dates], dtype="Int64"), "dt": [None] * assets + list(x.index), "vec": [*load, *score], "ratios": [ratio] * assets + [None] * dates})
+
+    fit = kept(rows.groupBy(*keys).applyInPandas(run, f"{types}, vec array<double>, ratios array<double>"))
+    scores = fit.where(F.col("dt").isNotNull()).select(*keys, "dt", F.posexplode("vec").alias("pc", "value")).withColumn("pc", F.col("pc") + 1)
+    loadings = fit.where(F.col("asset").isNotNull()).select(*keys, "asset", "vec")
     w = W.partitionBy(*keys).orderBy("pc")
-    ratios = fit.groupBy(*keys).agg(F.first("ratios").alias("r")).select(*keys, F.posexplode("r").alias("pc", "ratio")).withColumn("pc", F.col("pc") + 1)
-    return loadings, ratios.withColumn("cum_ratio", F.sum("ratio").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    ratios = fit.groupBy(*keys).agg(F.first("ratios", ignorenulls=True).alias("r")).select(*keys, F.posexplode("r").alias("pc", "ratio")).withColumn("pc", F.col("pc") + 1)
+    return loadings, ratios.withColumn("cum_ratio", F.sum("ratio").over(w.rowsBetween(W.unboundedPreceding, 0))), scores
 
 
 def relevant(ratios: DataFrame, keys: list[str], benchmark: float = 0.5) -> DataFrame:
@@ -61,16 +63,19 @@ def scaled_loadings(loadings: DataFrame, keys: list[str], k: int | None = None)
     return x.groupBy(*keys, "asset").agg(F.transform(F.array_sort(F.collect_list(F.struct("pc", "x"))), lambda s: s["x"]).alias("vec"))
 
 
-def visiting_order(d: np.ndarray) -> tuple[list[int], np.ndarray, list[int]]:
-    """(order, reachability in that order, predecessors) for two points a core: the traversal of a minimum spanning tree from point 0."""
-    n = len(d)
+def visiting_order(x: np.ndarray) -> tuple[list[int], np.ndarray, list[int]]:
+    """(order, reachability in that order, predecessors) for two points a core: the traversal of a minimum spanning tree from point 0.
+
+    Distances are taken from one point at a time, so memory grows with the points, not with their pairs."""
+    n = len(x)
     reach, before, left, order = np.full(n, np.inf), np.full(n, -1), np.ones(n, bool), []
     for _ in range(n):
         i = int(np.where(left, reach, np.inf).argmin()) if np.isfinite(reach[left]).any() else int(np.flatnonzero(left)[0])
         order.append(i)
         left[i] = False
-        better = left & (d[i] < reach)
-        reach[better], before[better] = d[i][better], i
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        better = left & (d < reach)
+        reach[better], before[better] = d[better], i
     return order, reach[order], before[order].tolist()
 
 
@@ -142,8 +147,7 @@ def labels_of(x: np.ndarray, xi: float = 0.05, least: int = 2) -> np.ndarray:
     """Cluster labels from 0, -1 for noise, of points in their order."""
     if len(x) < 2:
         return np.full(len(x), -1)
-    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
-    order, r, before = visiting_order(d)
+    order, r, before = visiting_order(x)
     out, label = np.full(len(x), -1), 0
     for s, e in steep_clusters(r, order, before, xi, least):
         members = order[s : e + 1]
@@ -164,6 +168,11 @@ def cluster(vectors: DataFrame, keys: list[str], xi: float = 0.05) -> DataFrame:
     return vectors.select(*keys, "asset", "vec").groupBy(*keys).applyInPandas(run, f"{types}, asset long, label int")
 
 
+def cluster_counts(labels: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, clusters): how many clusters, noise (-1) left out."""
+    return labels.groupBy(*keys).agg(F.countDistinct(F.when(F.col("label") != -1, F.col("label"))).alias("clusters"))
+
+
 def p_value(t: float) -> float:
     """Response surface for two series and a constant (MacKinnon, 1994)."""
     if t > 0.92:
@@ -180,17 +189,30 @@ def critical(n: int) -> tuple[float, float, float]:
     return tuple(a + b / m + c / m**2 for a, b, c in ((-3.89644, -10.9519, -22.527), (-3.33613, -6.1101, -6.823), (-3.04445, -4.2412, -2.720)))
 
 
-def t_of_level(e: np.ndarray, lags: int, drop: int) -> tuple[float, float]:
-    """(t statistic of the lagged level, AIC) of the change on the level and `lags` changes, the first `drop` rows left out."""
+def design(e: np.ndarray, lags: int, drop: int) -> tuple[np.ndarray, np.ndarray]:
+    """(changes, [level before, `lags` changes before]), the first `drop` rows left out."""
     d = np.diff(e)
-    y = d[drop:]
-    x = np.column_stack([e[drop:-1], *(d[drop - k : len(d) - k] for k in range(1, lags + 1))])
+    return d[drop:], np.column_stack([e[drop:-1], *(d[drop - k : len(d) - k] for k in range(1, lags + 1))])
+
+
+def best_lags(e: np.ndarray, most: int) -> int:
+    """The number of lags of the least AIC on a common sample: the models are nested, so one decomposition gives all their residual sums."""
+    y, x = design(e, most, most)
+    q, r = np.linalg.qr(x)
+    if np.abs(np.diag(r)).min() <= 1e-12 * np.abs(np.diag(r)).max():
+        raise np.linalg.LinAlgError("collinear lags")
+    ssr = y @ y - np.cumsum((q.T @ y) ** 2)
+    return int((len(y) * np.log(ssr / len(y)) + 2 * np.arange(1, most + 2)).argmin())
+
+
+def t_of_level(e: np.ndarray, lags: int) -> float:
+    """The t statistic of the level before in a regression of the change."""
+    y, x = design(e, lags, lags)
     q, rr = np.linalg.qr(x)
     beta = np.linalg.solve(rr, q.T @ y)
     ssr = float(((y - x @ beta) ** 2).sum())
-    n, k = x.shape
     inv = np.linalg.inv(rr)
-    return float(beta[0] / math.sqrt(ssr / (n - k) * (inv[0] @ inv[0]))), n * math.log(ssr / n) + 2 * k
+    return float(beta[0] / math.sqrt(ssr / (len(y) - x.shape[1]) * (inv[0] @ inv[0])))
 
 
 def engle_granger(y: np.ndarray, x: np.ndarray) -> tuple[float, float]:
@@ -207,8 +229,7 @@ def engle_granger(y: np.ndarray, x: np.ndarray) -> tuple[float, float]:
         return -math.inf, 0.0
     most = max(0, min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 1))
     try:
-        best = min(range(most + 1), key=lambda k: t_of_level(e, k, most)[1])
-        t = t_of_level(e, best, best)[0]
+        t = t_of_level(e, best_lags(e, most))
     except (np.linalg.LinAlgError, ValueError):
         return math.nan, math.nan
     return t, p_value(t)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..params import Selection, Strategy
+from ..params import Pick, Trade
 from ..sources.tables import kept
 from .quotes import finite
 
@@ -50,12 +50,13 @@ def spread_stats(df: DataFrame, keys: list[str], spread: str = "spread", year: i
     """(keys, sigma, change_sigma, half_life), sigmas annualised; half-life is infinite without reversion."""
     w = W.partitionBy(*keys).orderBy("dt")
     d = df.withColumn("_lag", F.lag(spread).over(w)).withColumn("_d", F.col(spread) - F.col("_lag"))
-    agg = d.groupBy(*keys).agg(F.stddev_samp(spread).alias("sigma"), F.stddev_samp("_d").alias("change_sigma"), F.regr_slope("_d", "_lag").alias("phi"), F.count("*").alias("n_obs"))
-    return agg.select(*keys, (F.col("sigma") * math.sqrt(year)).alias("sigma"), (F.col("change_sigma") * math.sqrt(year)).alias("change_sigma"), half_life(F.col("phi")).alias("half_life"))
+    agg = d.groupBy(*keys).agg(F.stddev_samp(spread).alias("sigma"), F.stddev_samp("_d").alias("change_sigma"), F.regr_slope("_d", "_lag").alias("phi"), F.count("_lag").alias("n_lag"))
+    return agg.select(*keys, (F.col("sigma") * math.sqrt(year)).alias("sigma"), (F.col("change_sigma") * math.sqrt(year)).alias("change_sigma"), half_life(F.col("phi"), F.col("n_lag")).alias("half_life"))
 
 
-def half_life(phi: Column) -> Column:
-    return F.when(phi.isNull() | (phi >= 0), F.lit(float("inf"))).otherwise(-math.log(2) / phi)
+def half_life(phi: Column, n: Column) -> Column:
+    """Infinite without reversion, and where fewer than three rows have a row before."""
+    return F.when(phi.isNull() | (phi >= 0) | (n < 3), F.lit(float("inf"))).otherwise(-math.log(2) / phi)
 
 
 def dickey_fuller(df: DataFrame, keys: list[str], y: str = "asset1", x: str = "asset2") -> DataFrame:
@@ -76,14 +77,14 @@ def score(p="pval_min", hl="half_life", sigma="spread_change_sigma", dist="pca_d
     return F.when(d.isNotNull(), logp - 0.02 * F.col(hl) - 0.5 * F.col(sigma) + 0.1 / (1 + d))
 
 
-def select_pairs(screened: DataFrame, keys: list[str], s: Selection = Selection()) -> DataFrame:
-    """The best max_pairs of each key that pass the limits, with score and rank; null scores come last."""
-    ok = screened.where((F.col("pval_min") <= s.p_most) & F.col("half_life").between(s.half_life_min, s.half_life_max) & (F.col("overlap_n") >= s.min_overlap)).withColumn("score", score())
+def select_pairs(screened: DataFrame, keys: list[str], s: Pick = Pick()) -> DataFrame:
+    """The best s.most of each key that pass the limits, with score and rank; null scores come last."""
+    ok = screened.where((F.col("pval_min") <= s.p) & F.col("half_life").between(*s.half_life) & (F.col("overlap_n") >= s.overlap)).withColumn("score", score())
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc_nulls_last("score"), "a", "b"))
-    return ok.withColumn("rank", rank).where(F.col("rank") <= s.max_pairs)
+    return ok.withColumn("rank", rank).where(F.col("rank") <= s.most)
 
 
-def positions(df: DataFrame, keys: list[str], s: Strategy = Strategy(), z: str = "z") -> DataFrame:
+def positions(df: DataFrame, keys: list[str], s: Trade = Trade(), z: str = "z") -> DataFrame:
     """(keys, dt, z, position): flat, long (1) or short (-1) by z with hysteresis.
 
     A key's rows are folded in order of dt in the JVM. A null z is flat and forgets; an exit and a new entry never
@@ -97,12 +98,12 @@ def positions(df: DataFrame, keys: list[str], s: Strategy = Strategy(), z: str =
         v, last = row["z"], F.element_at(acc, -1)
         side = last["pos"]
         w = v * side  # as if long: entered below, gone above
-        out = w > -s.exit_z
-        if s.stop_z is not None:
-            out = out | (w < -abs(s.stop_z))
-        if s.max_hold:
-            out = out | (last["hold"] >= s.max_hold)
-        enter = F.when(v > s.entry_z, state(F.lit(-1), F.lit(1))).when(v < -s.entry_z, state(F.lit(1), F.lit(1))).otherwise(flat)
+        out = w > -s.leave
+        if s.stop is not None:
+            out = out | (w < -abs(s.stop))
+        if s.hold:
+            out = out | (last["hold"] >= s.hold)
+        enter = F.when(v > s.enter, state(F.lit(-1), F.lit(1))).when(v < -s.enter, state(F.lit(1), F.lit(1))).otherwise(flat)
         new = F.when(v.isNull(), flat).when(side == 0, enter).when(out, flat).otherwise(state(side, last["hold"] + 1))
         return F.concat(acc, F.array(new))
 
@@ -121,16 +122,28 @@ def portfolio_pnl(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys, "dt").agg(F.avg("pnl").alias("pnl"), F.count("pnl").alias("n_pairs"))
 
 
+def pnl_wide(df: DataFrame, keys: list[str], pairs: list[tuple]) -> DataFrame:
+    """Export: a column "a_b" for each pair given, null on dates without it."""
+    return df.withColumn("_pair", F.concat_ws("_", "a", "b")).groupBy(*keys, "dt").pivot("_pair", [f"{a}_{b}" for a, b in pairs]).agg(F.first("pnl", ignorenulls=True))
+
+
 def equity(df: DataFrame, keys: list[str], order: list[str], start: float = 1.0) -> DataFrame:
     w = (W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     return df.withColumn("equity", start + F.sum("pnl").over(w))
 
 
-def forward_pnl(panel: DataFrame, chosen: DataFrame, keys: list[str], z_window: int, s: Strategy) -> DataFrame:
-    """(keys, a, b, dt, spread, z, position, pnl) of chosen pairs (keys, a, b, beta) on a panel (keys, asset, dt, lp)."""
+def forward_pnl(panel: DataFrame, chosen: DataFrame, keys: list[str], s: Trade = Trade()) -> DataFrame:
+    """(keys, a, b, dt, spread, z, position, pnl) of chosen pairs (keys, a, b, beta) on a panel (keys, asset, dt, lp).
+
+    The spread is that of a on b; where chosen has a column `swapped` that is true, that of b on a.
+    """
     k = [*keys, "a", "b"]
-    both = aligned(panel, chosen, "lp", keys, z_window + 1).withColumn("spread", F.col("asset1") - F.col("beta") * F.col("asset2"))
+    both = aligned(panel, chosen, "lp", keys, s.rows + 1)
+    spread = F.col("asset1") - F.col("beta") * F.col("asset2")
+    if "swapped" in chosen.columns:
+        spread = F.when(F.col("swapped"), F.col("asset2") - F.col("beta") * F.col("asset1")).otherwise(spread)
+    both = both.withColumn("spread", spread)
     from .panel import rolling_zscore
 
-    z = kept(rolling_zscore(both, "spread", "z", z_window, k).select(*k, "dt", "spread", F.round("z", 9).alias("z")))
+    z = kept(rolling_zscore(both, "spread", "z", s.rows, k).select(*k, "dt", "spread", F.round("z", 9).alias("z")))
     return pair_pnl(z.join(positions(z, k, s).select(*k, "dt", "position"), [*k, "dt"]), k)

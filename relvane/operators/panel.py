@@ -60,9 +60,12 @@ def complete_dates(panel: DataFrame, value: str, group: tuple = ("sector",)) ->
     return panel.join(have, [*group, "dt"]).join(n, list(group)).where(F.col("_have") == F.col("_n")).drop("_have", "_n")
 
 
-def scaled(panel: DataFrame, value: str = "price", group: tuple = ("sector",)) -> DataFrame:
-    """Demeaned values' changes, on complete dates, as z-scores."""
-    d = change(demean(panel, value, "_x", (*group, "dt")), "_x", "_r", (*group, "asset"))
+def scaled(panel: DataFrame, value: str = "price", group: tuple = ("sector",), demeaned: str = "prices", fill: str = "pad") -> DataFrame:
+    """Changes on complete dates, as z-scores. The cross-section's mean is taken off the values before, or with demeaned="returns" off the changes."""
+    if demeaned == "returns":
+        d = demean(change(panel, value, "_x", (*group, "asset"), fill), "_x", "_r", (*group, "dt"))
+    else:
+        d = change(demean(panel, value, "_x", (*group, "dt")), "_x", "_r", (*group, "asset"), fill)
     return zscore(complete_dates(d, "_r", group), "_r", "z", (*group, "asset")).select(*group, "asset", "dt", "z")
 
 
@@ -82,11 +85,18 @@ def offset(cal: DataFrame, n: int) -> DataFrame:
     return cal.select("dt", F.lag("dt", n).over(W.orderBy("dt")).alias("back"))
 
 
+def back_from(cal: DataFrame, days: DataFrame, n: int) -> DataFrame:
+    """(dt, back) of the dates given; one that isn't in the calendar is an error."""
+    known = offset(cal, n).withColumn("_known", F.lit(True))
+    back = F.when(F.col("_known"), F.col("back")).otherwise(F.raise_error(F.concat(F.lit("not a trading date: "), F.col("dt").cast("string"))).cast("date"))
+    return days.select("dt").join(known, "dt", "left").select("dt", back.alias("back"))
+
+
 def rebalances(cal: DataFrame, start, end, months: int = 3) -> DataFrame:
     """(rebal_date, next_date): starts of periods, moved to the first calendar date on or after; the last one ends at `end`."""
     first = F.trunc(F.add_months(F.lit(start).cast("date") - 1, 1), "MM") if months == 1 else F.when(F.trunc(F.lit(start).cast("date"), "quarter") == F.lit(start).cast("date"), F.lit(start).cast("date")).otherwise(F.add_months(F.trunc(F.lit(start).cast("date"), "quarter"), 3))
     starts = cal.agg(F.max("dt").alias("last")).select(F.explode(F.sequence(first, F.lit(end).cast("date"), F.expr(f"interval {months} month"))).alias("s"), "last").where(F.col("s") <= F.col("last"))
-    dates = starts.join(F.broadcast(cal), F.col("dt") >= F.col("s")).groupBy("s").agg(F.min("dt").alias("rebal_date")).select("rebal_date").distinct()
+    dates = starts.join(cal, F.col("dt") >= F.col("s")).groupBy("s").agg(F.min("dt").alias("rebal_date")).select("rebal_date").distinct()
     return dates.withColumn("next_date", F.coalesce(F.lead("rebal_date").over(W.orderBy("rebal_date")), F.lit(end).cast("date")))
 
 
@@ -97,17 +107,21 @@ def schedule(cal: DataFrame) -> DataFrame:
     return months.join(before, "dt").where(F.col("selection_date").isNotNull()).select(F.col("dt").alias("rebal_date"), "selection_date")
 
 
-def trailing(panel: DataFrame, cal: DataFrame, dates: DataFrame, n: int) -> DataFrame:
-    """The last n calendar rows up to each rebalance date, that included; dates with fewer are left out.
+def trailing(panel: DataFrame, cal: DataFrame, dates: DataFrame, n: int, least: int | None = None) -> DataFrame:
+    """The last n calendar rows up to each rebalance date, that included; dates with fewer than `least` (n) rows are left out.
 
     A row names the rebalances it serves by the ordinals they span, so the join is an equi-join on ord."""
-    r = dates.join(cal, F.col("rebal_date") == F.col("dt")).where(F.col("ord") >= n - 1).select("rebal_date", F.explode(F.sequence(F.col("ord") - (n - 1), F.col("ord"))).alias("ord"))
+    r = dates.join(cal, F.col("rebal_date") == F.col("dt")).where(F.col("ord") >= (least or n) - 1)
+    r = r.select("rebal_date", F.explode(F.sequence(F.greatest(F.col("ord") - (n - 1), F.lit(0)), F.col("ord"))).alias("ord"))
     return panel.join(cal, "dt").join(r, "ord")
 
 
-def forward(panel: DataFrame, dates: DataFrame) -> DataFrame:
-    """Rows from a rebalance date to the next one; a boundary date is in both."""
-    return panel.join(F.broadcast(dates), F.col("dt").between(F.col("rebal_date"), F.col("next_date")))
+def forward(panel: DataFrame, cal: DataFrame, dates: DataFrame, half_open: bool = False) -> DataFrame:
+    """Rows from a rebalance date to the next one; a boundary date is in both, or with half_open only in the later one.
+
+    The calendar's dates, a few thousand, are matched with the rebalances; the panel joins by equal dates."""
+    inside = (F.col("dt") >= F.col("rebal_date")) & ((F.col("dt") < F.col("next_date")) if half_open else (F.col("dt") <= F.col("next_date")))
+    return panel.join(cal.select("dt").join(dates, inside), "dt")
 
 
 def in_force(cal: DataFrame, selected: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Parameters of the rolling evaluation."""
+"""Parameters of the rolling evaluation, one record for each step of the job. The defaults are fixed values."""
 
 from __future__ import annotations
 
@@ -6,24 +6,30 @@ from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
-class Windows:
-    pca: int = 252
-    coint: int = 504
-    z: int = 60
+class Fit:
+    """Rows back from a rebalance date: for the components, and for the tests of pairs, which need `overlap` common rows."""
+
+    components: int = 252
+    tests: int = 504
+    overlap: int = 200
 
 
 @dataclass(frozen=True)
-class Strategy:
-    entry_z: float = 2.0
-    exit_z: float = 0.5
-    stop_z: float | None = 4.0
-    max_hold: int | None = 60
+class Pick:
+    """What a tested pair must be to be held, and how many are."""
+
+    most: int = 10
+    p: float = 0.05
+    half_life: tuple[float, float] = (5.0, 60.0)
+    overlap: int = 200
 
 
 @dataclass(frozen=True)
-class Selection:
-    max_pairs: int = 10
-    p_most: float = 0.05
-    half_life_min: float = 5.0
-    half_life_max: float = 60.0
-    min_overlap: int = 200
+class Trade:
+    """Bounds of the rolling z-score, in deviations, and the most rows a position is held; None: no bound."""
+
+    rows: int = 60
+    enter: float = 2.0
+    leave: float = 0.5
+    stop: float | None = 4.0
+    hold: int | None = 60

@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..operators import models, pairs, panel
-from ..params import Selection, Strategy, Windows
-from ..sources.tables import kept
+from ..params import Fit, Pick, Trade
+from ..sources.tables import kept, write_artifact
 
 KEYS = ["sector", "rebal_date"]
 
 
-def windows_of(prices: DataFrame, cal: DataFrame, dates: DataFrame, n: int, full: bool = True) -> DataFrame:
+def windows_of(prices: DataFrame, cal: DataFrame, dates: DataFrame, n: int, full: bool = True, least: int | None = None) -> DataFrame:
     """(sector, rebal_date, asset, dt, price, ...): trailing windows; with full, only assets with a price on the window's first date."""
-    w = panel.trailing(prices, cal, dates, n)
+    w = panel.trailing(prices, cal, dates, n, least)
     if not full:
         return w
     first = F.min("dt").over(W.partitionBy(*KEYS))
@@ -27,11 +27,11 @@ def windows_of(prices: DataFrame, cal: DataFrame, dates: DataFrame, n: int, full
     return w.withColumn("_first", first).withColumn("_has", has).where(F.col("_has") == 1).drop("_first", "_has")
 
 
-def factors(prices: DataFrame, cal: DataFrame, dates: DataFrame, n: int, passes: int = 1):
-    """(loadings, ratios) of the scaled returns of each (sector, rebal_date)."""
-    z = kept(windows_of(prices, cal, dates, n).select(*KEYS, "asset", "dt", "price"))
+def factors(prices: DataFrame, cal: DataFrame, dates: DataFrame, n: int, passes: int = 1, least: int | None = None, demeaned: str = "prices"):
+    """(loadings, ratios, scores) of the scaled returns of each (sector, rebal_date), from n rows back (`least` at least)."""
+    z = kept(windows_of(prices, cal, dates, n, least=least).select(*KEYS, "asset", "dt", "price"))
     for _ in range(passes):
-        z = kept(panel.scaled(z, "price", tuple(KEYS)).withColumnRenamed("z", "price"))
+        z = kept(panel.scaled(z, "price", tuple(KEYS), demeaned).withColumnRenamed("z", "price"))
     return models.pca(z.withColumnRenamed("price", "z"), KEYS)
 
 
@@ -59,35 +59,66 @@ def screen(prices: DataFrame, cal: DataFrame, dates: DataFrame, cand: DataFrame,
     return tested.join(fits.select(*k, "alpha", "beta"), k).join(stats, k).withColumn("best_direction", F.when(F.col("first"), "a_on_b").otherwise("b_on_a")).withColumnRenamed("n_obs", "overlap_n").drop("first", "crit_1pct", "crit_5pct", "crit_10pct")
 
 
-def rolling(prices: DataFrame, dates: DataFrame, w: Windows = Windows(), s: Strategy = Strategy(), sel: Selection = Selection(), k: int = 6, passes: int = 2) -> dict[str, DataFrame]:
-    """selected, pair_pnl, portfolio_pnl and equity of a panel (sector, asset, dt, price) at dates (rebal_date, next_date)."""
+def rolling(prices: DataFrame, dates: DataFrame, w: Fit = Fit(), pick: Pick = Pick(), s: Trade = Trade(), k: int = 6, passes: int = 2, half_open: bool = False, direction_aware: bool = False, demeaned: str = "prices") -> dict[str, DataFrame]:
+    """The results of a panel (sector, asset, dt, price) at dates (rebal_date, next_date): loadings, labels, candidates, screened, selected,
+    pair_pnl, portfolio_pnl and equity.
+
+    A date needs w.components and w.tests rows up to it. With half_open a boundary date belongs to the later rebalance alone; with
+    direction_aware the forward spread is that of the winning direction, else always a on b.
+    """
     cal, dates = kept(panel.calendar(prices)), kept(dates)
-    loadings, _ = factors(prices, cal, dates, w.pca + 1, passes)
+    loadings, _, _ = factors(prices, cal, dates, w.components + 1, passes, w.components, demeaned)
     loadings = loadings.select(*KEYS, "asset", F.slice("vec", 1, k).alias("vec"))
     labels = kept(models.cluster(models.scaled_loadings(loadings, KEYS), KEYS))
     cand = kept(candidates(labels, loadings))
-    chosen = kept(pairs.select_pairs(screen(prices, cal, dates, cand, w.coint, sel.min_overlap), KEYS, sel))
-    ahead = panel.log_price(panel.forward(prices, dates))
-    pnl = pairs.forward_pnl(ahead.select(*KEYS, "asset", "dt", "lp"), chosen.select(*KEYS, "a", "b", "beta"), KEYS, w.z, s)
+    screened = kept(screen(prices, cal, dates, cand, w.tests, w.overlap))
+    chosen = kept(pairs.select_pairs(screened, KEYS, pick))
+    ahead = panel.log_price(panel.forward(prices, cal, dates, half_open))
+    swapped = F.lit(direction_aware) & (F.col("best_direction") == "b_on_a")
+    pnl = kept(pairs.forward_pnl(ahead.select(*KEYS, "asset", "dt", "lp"), chosen.select(*KEYS, "a", "b", "beta", swapped.alias("swapped")), KEYS, s))
     total = pairs.portfolio_pnl(pnl, KEYS)
-    return {"selected": chosen, "pair_pnl": pnl, "portfolio_pnl": total, "equity": pairs.equity(total, ["sector"], ["dt", "rebal_date"])}
+    return {"loadings": loadings, "labels": labels, "candidates": cand, "screened": screened, "selected": chosen, "pair_pnl": pnl, "portfolio_pnl": total, "equity": pairs.equity(total, ["sector"], ["dt", "rebal_date"])}
+
+
+def write_artifacts(results: dict[str, DataFrame], path: str) -> None:
+    """A table for each result that is keyed by sector and rebalance date."""
+    for name, df in results.items():
+        write_artifact(df, path, name)
+
 
+def in_order(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    """df with each two columns in the winning order: swapped where `first` is false."""
+    return df.withColumns({c: F.when(F.col("first"), F.col(x)).otherwise(F.col(y)) for a, b in columns for c, x, y in ((a, a, b), (b, b, a))})
 
-def portfolio(prices: DataFrame, dates: DataFrame, w: Windows = Windows(), benchmark: float = 0.5, p_most: float = 0.05) -> DataFrame:
-    """Cointegrated in-cluster pairs at each date, with regression, spread deviations and half-life over the full history."""
+
+def portfolio(prices: DataFrame, dates: DataFrame, w: Fit = Fit(), benchmark: float = 0.5, p_most: float = 0.05, min_obs: int = 50, spread_window: str = "full") -> DataFrame:
+    """Cointegrated in-cluster pairs (permno1 on permno2, the winning order) at each date, with regression, spread deviations and half-life.
+
+    Windows start w.components and w.tests rows before the date. A pair is tested if its sector has min_obs dates in all and neither asset misses a
+    price in the window. The statistics are those of the full history (spread_window="coint": of the window), of which a
+    pair has min_obs rows at least.
+    """
     cal, dates = kept(panel.calendar(prices)), kept(dates)
-    loadings, ratios = factors(prices, cal, dates, w.pca + 1)
+    loadings, ratios, _ = factors(prices, cal, dates, w.components + 1)
     cut = models.relevant(ratios, KEYS, benchmark)
     loadings = kept(loadings.join(cut, KEYS).select(*KEYS, "asset", F.slice("vec", F.lit(1), F.col("k")).alias("vec")))
     labels = kept(models.cluster(models.scaled_loadings(loadings, KEYS), KEYS))
-    cand = kept(candidates(labels, loadings))
+    cand = candidates(labels, loadings)
     k = [*KEYS, "a", "b"]
-    lp = panel.log_price(prices).where(F.col("lp").isNotNull())
-    window = panel.trailing(lp, cal, dates, w.coint).select(*KEYS, "asset", "dt", "lp")
-    both = pairs.aligned(window, cand, "lp", KEYS)
-    arrays = both.groupBy(*k).agg(F.array_sort(F.collect_list(F.struct("dt", "asset1", "asset2"))).alias("s")).select(*k, F.transform("s", lambda r: r["asset1"]).alias("y"), F.transform("s", lambda r: r["asset2"]).alias("x"))
+    lp = panel.log_price(prices)
+    long = lp.groupBy("sector").agg(F.countDistinct("dt").alias("n")).where(F.col("n") >= min_obs).select("sector")
+    window = kept(panel.trailing(lp, cal, dates, w.tests + 1).select(*KEYS, "asset", "dt", "lp"))
+    days = window.groupBy(*KEYS).agg(F.countDistinct("dt").alias("days"))
+    both = kept(pairs.aligned(window, cand.join(long, "sector"), "lp", KEYS, 1).join(days, KEYS).where(F.col("n_obs") == F.col("days")))
+    arrays = both.groupBy(*k, "cluster_id").agg(F.array_sort(F.collect_list(F.struct("dt", "asset1", "asset2"))).alias("s")).select(*k, "cluster_id", F.transform("s", lambda r: r["asset1"]).alias("y"), F.transform("s", lambda r: r["asset2"]).alias("x"))
     tested = kept(models.cointegration(arrays, tie_first=False).withColumn("cointegrated", F.col("p_value") < p_most).where("cointegrated"))
-    full = kept(pairs.aligned(lp.select("sector", "asset", "dt", "lp"), tested.select(*k, "p_value"), "lp", ["sector"]).drop("n_obs"))
-    fits = pairs.ols(full, k)
-    stats = pairs.spread_stats(pairs.with_spread(full, fits, k), k)
-    return tested.join(fits.drop("n_obs"), k).join(stats, k)
+    if spread_window == "coint":
+        history = both.drop("n_obs", "days", "cluster_id", "pca_distance").join(tested.select(*k, "first"), k)
+    else:
+        history = pairs.aligned(lp.select("sector", "asset", "dt", "lp"), tested.select(*k, "first"), "lp", ["sector"], 1).drop("n_obs")
+    history = history.withColumn("n", F.count("*").over(W.partitionBy(*k))).where(F.col("n") >= min_obs).drop("n")
+    history = kept(in_order(history, [("asset1", "asset2")]))
+    fits = pairs.ols(history, k)
+    stats = pairs.spread_stats(pairs.with_spread(history, fits, k), k)
+    out = tested.join(fits.drop("n_obs"), k).join(stats, k)
+    return in_order(out, [("a", "b")]).withColumnsRenamed({"a": "permno1", "b": "permno2"}).drop("first")

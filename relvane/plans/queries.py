@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import models, pairs, panel, quotes
-from ..params import Selection, Strategy, Windows
+from ..params import Fit, Pick, Trade
 from ..sources import tables
 from ..sources.fixtures import view, with_views
 from . import jobs
@@ -17,7 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 PAIR = ["sector", "a", "b"]
-STRATEGY = Strategy(1.0, 0.25, 3.0, 8)
+TRADE = Trade(8, 1.0, 0.25, 3.0, 8)
 START, END = "1993-01-01", "1998-12-31"
 
 
@@ -107,10 +107,10 @@ def adj_close(spark, d):
 
 
 @query("""select 'exchcd' as field, count(exchcd) as n, round(100.0 * count(exchcd) / count(*), 6) as pct from fx_daily q left join fx_names n on q.permno = n.permno and date between namedt and nameendt
- union all select 'prc', count(prc), round(100.0 * count(prc) / count(*), 6) from fx_daily""")
+ union all select 'prc', count(prc), round(100.0 * count(prc) / count(*), 6) from fx_daily union all select 'shrout', count(shrout), round(100.0 * count(shrout) / count(*), 6) from fx_daily""")
 def completeness(spark, d):
     q = quotes.valid_at(view(spark, d, "fx_daily"), view(spark, d, "fx_names"))
-    return quotes.completeness(q, ["exchcd", "prc"]).select("field", "n", *r6("pct"))
+    return quotes.completeness(q, ["exchcd", "prc", "shrout"]).select("field", "n", *r6("pct"))
 
 
 @query("select o_orderpriority as ticker, arg_min(permno, (namedt, permno)) as permno, arg_min(exchcd, (namedt, permno)) as exchcd from fx_names group by 1 order by 1 limit 10")
@@ -173,10 +173,10 @@ def panel_dedup(spark, d):
     return panel.dedup(q).select("sector", "asset", "dt", "price")
 
 
-@query("select dt, " + ", ".join(f"max(price) filter (where asset = {i}) as a{i}" for i in range(5)) + " from fx_panel group by dt")
+@query("select dt, " + ", ".join(f"max(price) filter (where asset = {i}) as a{i}" for i in range(25)) + " from fx_panel group by dt")
 def panel_pivot(spark, d):
-    out = panel.wide(view(spark, d, "fx_panel"), list(range(5)))
-    return out.select("dt", *[F.col(str(i)).alias(f"a{i}") for i in range(5)])
+    out = panel.wide(view(spark, d, "fx_panel"), list(range(25)))
+    return out.select("dt", *[F.col(str(i)).alias(f"a{i}") for i in range(25)])
 
 
 @query("select sector, asset, dt, round(ln(case when price > 0 then price end), 6) as lp from fx_walk")
@@ -251,7 +251,8 @@ def trailing_window(spark, d):
 
 @query(f"with {REBALANCES} select rebal_date, next_date, sector, asset, dt from fx_panel join s on dt between rebal_date and next_date")
 def forward_windows(spark, d):
-    return panel.forward(view(spark, d, "fx_panel"), dates_of(spark, d)).select("rebal_date", "next_date", "sector", "asset", "dt")
+    p = view(spark, d, "fx_panel")
+    return panel.forward(p, panel.calendar(p), dates_of(spark, d)).select("rebal_date", "next_date", "sector", "asset", "dt")
 
 
 @query("select sector, count(*) as n, round(sum(price), 4) as total from fx_panel group by 1")
@@ -290,17 +291,18 @@ def nn_distance(spark, d):
 
 ALIGNED = """al as (select * from (select x.sector, x.asset as a, y.asset as b, x.dt, ln(x.price) as asset1, ln(y.price) as asset2, count(*) over (partition by x.sector, x.asset, y.asset) as n_obs
  from fx_walk x join fx_walk y on x.sector = y.sector and x.dt = y.dt and x.asset < y.asset) t where n_obs >= 50)"""
+WIDE = ALIGNED.replace("fx_walk", "fx_wide_walk")
 FITS = "f as (select sector, a, b, regr_intercept(asset1, asset2) as alpha, regr_slope(asset1, asset2) as beta from al group by 1, 2, 3), sp as (select al.*, alpha, beta, asset1 - alpha - beta * asset2 as spread from al join f using (sector, a, b))"
 
 
-def aligned(spark, d):
-    lp = panel.log_price(view(spark, d, "fx_walk"))
+def aligned(spark, d, name="fx_walk"):
+    lp = panel.log_price(view(spark, d, name))
     both = pairs.combinations(lp.select("sector", "asset").distinct().withColumn("label", F.lit(0)), ["sector"]).drop("label")
     return pairs.aligned(lp, both, "lp", ["sector"]).select(*PAIR, "dt", "asset1", "asset2", "n_obs")
 
 
-def spreads(spark, d):
-    x = aligned(spark, d)
+def spreads(spark, d, name="fx_walk"):
+    x = aligned(spark, d, name)
     return pairs.with_spread(x, pairs.ols(x, PAIR), PAIR)
 
 
@@ -315,7 +317,7 @@ def ols_hedge(spark, d):
 
 
 STATS = f"with {ALIGNED}, {FITS}, l as (select *, lag(spread) over (partition by sector, a, b order by dt) as p from sp)"
-HALF = "case when regr_slope(spread - p, p) < 0 then round(-ln(2) / regr_slope(spread - p, p), 4) else cast('infinity' as double) end as half_life"
+HALF = "case when count(p) >= 3 and regr_slope(spread - p, p) < 0 then round(-ln(2) / regr_slope(spread - p, p), 4) else cast('infinity' as double) end as half_life"
 
 
 @query(f"{STATS} select sector, a, b, round(stddev_samp(spread) * sqrt(252), 6) as sigma, round(stddev_samp(spread - p) * sqrt(252), 6) as change_sigma from l group by 1, 2, 3")
@@ -341,16 +343,24 @@ def df0_stat(spark, d):
     return pairs.dickey_fuller(aligned(spark, d), PAIR).select(*PAIR, F.round("t_stat", 5).alias("t_stat"))
 
 
-SCREENED = """sc as (select sector, a, b, cast(((a * 7 + b * 3) % 10) as double) / 100 as pval_min, cast((a * 5 + b) % 80 as double) as half_life, cast((a + b) % 9 as double) / 10 as spread_change_sigma,
- cast((a * b) % 4 as double) / 2 as pca_distance, 150 + cast((a * 31 + b) % 200 as integer) as overlap_n from (select distinct x.sector, x.asset as a, y.asset as b from fx_walk x join fx_walk y on x.sector = y.sector and x.asset < y.asset) t)"""
+#: A screen of plain aggregates of all pairs of the wide panel: the level of the Dickey-Fuller statistic (as 10 ** t), half-life, change deviation,
+#: the distance of the fit from b alone, and common rows; rounded before they are compared.
+SCREENED = WIDE + """, f as (select sector, a, b, regr_intercept(asset1, asset2) as alpha, regr_slope(asset1, asset2) as beta from al group by 1, 2, 3), sp as (select al.*, alpha, beta, asset1 - alpha - beta * asset2 as spread from al join f using (sector, a, b)),
+ l as (select *, lag(spread) over (partition by sector, a, b order by dt) as p from sp),
+ m as (select sector, a, b, sum(p * p) as ll, sum(p * (spread - p)) as ld, sum((spread - p) * (spread - p)) as dd, count(p) as n, count(*) as overlap_n, regr_slope(spread - p, p) as phi, stddev_samp(spread - p) as s, min(beta) as beta from l group by 1, 2, 3),
+ sc as (select sector, a, b, round(power(10, ld / ll / sqrt((dd - ld / ll * ld) / ((n - 1) * ll))), 6) as pval_min, round(case when phi < 0 then -ln(2) / phi else cast('infinity' as double) end, 4) as half_life,
+ round(s, 6) as spread_change_sigma, round(abs(1 - beta), 6) as pca_distance, cast(overlap_n as integer) as overlap_n from m)"""
 SCORE = """case when nullif(pca_distance, 0) is not null then case when pval_min = 0 then cast('infinity' as double) else -log10(nullif(pval_min, 0)) end - 0.02 * half_life - 0.5 * spread_change_sigma + 0.1 / (1 + pca_distance) end"""
 
 
 def screened(spark, d):
-    lp = view(spark, d, "fx_walk").select("sector", "asset").distinct()
-    x = lp.withColumnRenamed("asset", "a").join(lp.withColumnRenamed("asset", "b"), "sector").where("a < b")
-    a, b = F.col("a"), F.col("b")
-    return x.select(*PAIR, (((a * 7 + b * 3) % 10).cast("double") / 100).alias("pval_min"), ((a * 5 + b) % 80).cast("double").alias("half_life"), (((a + b) % 9).cast("double") / 10).alias("spread_change_sigma"), (((a * b) % 4).cast("double") / 2).alias("pca_distance"), (150 + (a * 31 + b) % 200).cast("int").alias("overlap_n"))
+    al = tables.kept(aligned(spark, d, "fx_wide_walk"))
+    fits = pairs.ols(al, PAIR)
+    stats = pairs.spread_stats(pairs.with_spread(al, fits, PAIR), PAIR, year=1)
+    level = pairs.dickey_fuller(al, PAIR).withColumn("pval_min", F.round(F.pow(F.lit(10.0), F.col("t_stat")), 6))
+    out = fits.join(stats, PAIR).join(level, PAIR)
+    out = out.select(*PAIR, "pval_min", F.round("half_life", 4).alias("half_life"), F.round("change_sigma", 6).alias("spread_change_sigma"), F.round(F.abs(1 - F.col("beta")), 6).alias("pca_distance"), F.col("n_obs").cast("int").alias("overlap_n"))
+    return tables.kept(out)
 
 
 @query(f"with {SCREENED} select sector, a, b, round({SCORE}, 6) as score from sc")
@@ -358,17 +368,18 @@ def pair_score(spark, d):
     return screened(spark, d).select(*PAIR, F.round(pairs.score(), 6).alias("score"))
 
 
-@query(f"""with {SCREENED}, k as (select *, row_number() over (partition by sector order by {SCORE} desc nulls last, a, b) as rank from sc where pval_min <= 0.05 and half_life between 5 and 60 and overlap_n >= 200)
+@query(f"""with {SCREENED}, k as (select *, row_number() over (partition by sector order by {SCORE} desc nulls last, a, b) as rank from sc where pval_min <= 0.05 and half_life between 0.1 and 60 and overlap_n >= 50)
  select sector, a, b, round({SCORE}, 6) as score, cast(rank as integer) as rank from k where rank <= 3""")
 def select_pairs(spark, d):
-    return pairs.select_pairs(screened(spark, d), ["sector"], Selection(max_pairs=3)).select(*PAIR, *r6("score"), "rank")
+    return pairs.select_pairs(screened(spark, d), ["sector"], Pick(3, 0.05, (0.1, 60), 50)).select(*PAIR, *r6("score"), "rank")
 
 
 @query(f"with {SCREENED} select sector, a, b, pval_min from sc where pval_min < 0.05")
 def cointegrated_union(spark, d):
     at = tables.new_folder(spark)
-    tables.write_panel(screened(spark, d).withColumn("cointegrated", F.col("pval_min") < 0.05), at)
-    return tables.read_panel(spark, at).where("cointegrated").select(*PAIR, "pval_min")
+    found = screened(spark, d).withColumn("cointegrated", F.col("pval_min") < 0.05)
+    tables.write_panel(found, at)
+    return tables.read_panel(spark, at, schema=found.schema).where("cointegrated").select(*PAIR, "pval_min")
 
 
 # positions and results
@@ -387,7 +398,7 @@ PNL = POSITIONS + ", g as (select *, coalesce(lag(position) over w, 0) * coalesc
 def traded(spark, d):
     both = aligned(spark, d).withColumn("spread", F.col("asset1") - F.col("asset2"))
     z = panel.rolling_zscore(both, "spread", "z", 8, PAIR).select(*PAIR, "dt", "spread", F.round("z", 9).alias("z"))
-    return pairs.pair_pnl(z.join(pairs.positions(z, PAIR, STRATEGY).select(*PAIR, "dt", "position"), [*PAIR, "dt"]), PAIR)
+    return pairs.pair_pnl(z.join(pairs.positions(z, PAIR, TRADE).select(*PAIR, "dt", "position"), [*PAIR, "dt"]), PAIR)
 
 
 @query(f"{POSITIONS} select sector, a, b, dt, position from p")
@@ -410,6 +421,56 @@ def equity_curve(spark, d):
     return pairs.equity(pairs.portfolio_pnl(traded(spark, d), ["sector"]), ["sector"], ["dt"]).select("sector", "dt", r9("equity"))
 
 
+FORWARD = f"""with recursive {REBALANCES}, pick as (select sector, min(a) as a, max(b) as b from (select x.sector, x.asset as a, y.asset as b from (select distinct sector, asset from fx_walk) x join (select distinct sector, asset from fx_walk) y on x.sector = y.sector and x.asset < y.asset) t group by 1),
+ al as (select * from (select s.rebal_date, pick.sector, a, b, x.dt, ln(x.price) - 0.5 * ln(y.price) as spread, count(*) over (partition by s.rebal_date, pick.sector) as n_obs
+ from s cross join pick join fx_walk x on x.sector = pick.sector and x.asset = a and x.dt between rebal_date and next_date join fx_walk y on y.sector = pick.sector and y.asset = b and y.dt = x.dt) t where n_obs >= 9),
+ z as (select rebal_date, sector, a, b, dt, spread, round((spread - avg(spread) over w) / nullif(stddev_pop(spread) over w, 0), 9) as z from al window w as (partition by rebal_date, sector order by dt rows between 7 preceding and current row)),
+ n as (select *, row_number() over (partition by rebal_date, sector order by dt) as i from z), p as (
+ select rebal_date, sector, a, b, dt, spread, z, i, 0 as hold, 0 as position from (select *, 1 from n where i = 1) t
+ union all select n.rebal_date, n.sector, n.a, n.b, n.dt, n.spread, n.z, n.i,
+  case when n.z is null then 0 when p.position = 0 then case when abs(n.z) > 1.0 then 1 else 0 end when n.z * p.position > -0.25 or n.z * p.position < -3.0 or p.hold >= 8 then 0 else p.hold + 1 end,
+  case when n.z is null then 0 when p.position = 0 then case when n.z > 1.0 then -1 when n.z < -1.0 then 1 else 0 end when n.z * p.position > -0.25 or n.z * p.position < -3.0 or p.hold >= 8 then 0 else p.position end
+ from p join n on n.rebal_date = p.rebal_date and n.sector = p.sector and n.i = p.i + 1)
+ select rebal_date, sector, a, b, dt, position, round(coalesce(lag(position) over w, 0) * coalesce(spread - lag(spread) over w, 0), 9) + 0.0 as pnl from p window w as (partition by rebal_date, sector order by dt)"""
+
+
+@query(FORWARD)
+def forward_pnl(spark, d):
+    """The widest pair of each sector, with a beta of 0.5, from each rebalance date to the next."""
+    p, dates = walks(spark, d), tables.kept(dates_of(spark, d))
+    ahead = panel.log_price(panel.forward(p, panel.calendar(view(spark, d, "fx_panel")), dates)).select(*jobs.KEYS, "asset", "dt", "lp")
+    assets = p.groupBy("sector").agg(F.min("asset").alias("a"), F.max("asset").alias("b")).where("a < b")
+    chosen = ahead.select(*jobs.KEYS).distinct().join(assets, "sector").withColumn("beta", F.lit(0.5))
+    return pairs.forward_pnl(ahead, chosen, jobs.KEYS, TRADE).select(*jobs.KEYS, "a", "b", "dt", "position", r9("pnl"))
+
+
+#: The pairs of the nations of the sample schema's second region, which the wide export lists.
+LISTED = [(a, b) for a in (1, 2, 3, 17, 24) for b in (1, 2, 3, 17, 24) if a < b]
+
+
+@query(f"{PNL} select sector, dt, " + ", ".join(f"max(round(pnl, 9) + 0.0) filter (where a = {a} and b = {b}) as p_{a}_{b}" for a, b in LISTED) + " from g group by 1, 2")
+def pair_pnl_wide(spark, d):
+    out = pairs.pnl_wide(traded(spark, d).withColumn("pnl", r9("pnl")), ["sector"], LISTED)
+    return out.select("sector", "dt", *[F.col(f"{a}_{b}").alias(f"p_{a}_{b}") for a, b in LISTED])
+
+
+@query(f"with {REBALANCES}, o as (select rebal_date, ord from s join fx_calendar on dt = rebal_date where ord >= 51) select rebal_date, sector, asset, round(avg(price), 6) as mean from o join fx_calendar c on c.ord between o.ord - 51 and o.ord join fx_panel p on p.dt = c.dt where sector in ('1', '3') group by 1, 2, 3")
+def artifacts_roundtrip(spark, d):
+    """Written by sector and rebalance date, one sector a second time, and read back by partition."""
+    at = tables.new_folder(spark)
+    p = view(spark, d, "fx_panel")
+    means = panel.trailing(p, panel.calendar(p), dates_of(spark, d), 52).groupBy(*jobs.KEYS, "asset").agg(F.round(F.avg("price"), 6).alias("mean"))
+    jobs.write_artifacts({"means": means.where("sector <> '3'").withColumn("mean", F.when(F.col("sector") == "1", 0.0).otherwise(F.col("mean")))}, at)
+    jobs.write_artifacts({"means": means.where("sector in ('1', '3')")}, at)
+    back = spark.read.schema("asset long, mean double, sector string, rebal_date date").parquet(f"{at}/means")
+    return back.where("sector in ('1', '3')").select("rebal_date", "sector", "asset", "mean")
+
+
+@query("select label % 3 as k, count(distinct case when label <> -1 then label end) as clusters from embeddings group by 1")
+def label_counts(spark, d):
+    return models.cluster_counts(view(spark, d, "embeddings").withColumn("k", F.col("label") % 3), ["k"])
+
+
 @query("select sector, 1 + min(pc) filter (where c > 0.5) - 1 as k from (select *, sum(ratio) over (partition by sector order by pc) as c from (select sector, cast(row_number() over (partition by sector order by total desc, asset) as integer) as pc, total / sum(total) over (partition by sector) as ratio from (select sector, asset, sum(price) as total from fx_panel group by 1, 2) t) u) v group by 1")
 def relevant_pcs(spark, d):
     from pyspark.sql.window import Window as W
@@ -422,21 +483,21 @@ def relevant_pcs(spark, d):
 @query(f"with {REBALANCES}, pick as (select rebal_date, sector, min(asset) as a from s cross join (select distinct sector, asset from fx_panel) t where month(rebal_date) < 7 group by 1, 2) select c.dt, p.rebal_date, sector, a from fx_calendar c join pick p on p.rebal_date = (select max(rebal_date) from pick q where q.rebal_date <= c.dt)")
 def portfolio_in_force(spark, d):
     p = view(spark, d, "fx_panel")
-    pick = dates_of(spark, d).where(F.month("rebal_date") < 7).select("rebal_date").crossJoin(F.broadcast(p.groupBy("sector").agg(F.min("asset").alias("a"))))
+    pick = dates_of(spark, d).where(F.month("rebal_date") < 7).select("rebal_date").crossJoin(p.groupBy("sector").agg(F.min("asset").alias("a")))  # dates x sectors: what is picked
     return panel.in_force(panel.calendar(p), pick).select("dt", "rebal_date", "sector", "a")
 
 
 # models and jobs: rows of matrix steps, held against goldens, planted truth and invariants in the tests
 
-SMALL = (Windows(52, 104, 8), STRATEGY, Selection(10, 0.2, 1, 60, 40))
+SMALL = (Fit(52, 104, 40), Pick(10, 0.2, (1, 60), 40), TRADE)
 
 
-def walks(spark, d):
-    return tables.kept(view(spark, d, "fx_walk"))
+def walks(spark, d, name="fx_walk"):
+    return tables.kept(view(spark, d, name))
 
 
 def factored(spark, d):
-    p = walks(spark, d)
+    p = walks(spark, d, "fx_wide_walk")
     return jobs.factors(p, panel.calendar(p), dates_of(spark, d), 53)
 
 
@@ -450,6 +511,11 @@ def pca_loadings(spark, d):
     return factored(spark, d)[0]
 
 
+@query()
+def factor_returns(spark, d):
+    return factored(spark, d)[2]
+
+
 @query()
 def optics_labels(spark, d):
     return models.cluster(models.scaled_loadings(pca_loadings(spark, d), jobs.KEYS, 2), jobs.KEYS)
@@ -457,22 +523,29 @@ def optics_labels(spark, d):
 
 @query()
 def cluster_counts(spark, d):
-    return optics_labels(spark, d).groupBy(*jobs.KEYS).agg(F.countDistinct(F.when(F.col("label") != -1, F.col("label"))).alias("clusters"))
+    return models.cluster_counts(optics_labels(spark, d), jobs.KEYS)
 
 
 @query()
 def coint_screen(spark, d):
-    s = aligned(spark, d).groupBy(*PAIR).agg(F.array_sort(F.collect_list(F.struct("dt", "asset1", "asset2"))).alias("s"))
+    """Both-way tests of all pairs of a sector; permno1 and permno2 in the winning order."""
+    s = aligned(spark, d, "fx_wide_walk").groupBy(*PAIR).agg(F.array_sort(F.collect_list(F.struct("dt", "asset1", "asset2"))).alias("s"))
     s = s.select(*PAIR, F.transform("s", lambda r: r["asset1"]).alias("y"), F.transform("s", lambda r: r["asset2"]).alias("x"))
-    return models.cointegration(s, tie_first=False).withColumn("cointegrated", F.col("p_value") < 0.05)
+    s = models.cointegration(s, tie_first=False).withColumn("cointegrated", F.col("p_value") < 0.05)
+    return jobs.in_order(s, [("a", "b")]).withColumnsRenamed({"a": "permno1", "b": "permno2"}).drop("first")
 
 
 def evaluated(spark, d):
-    return jobs.rolling(walks(spark, d), dates_of(spark, d), *SMALL, k=2)
+    return jobs.rolling(walks(spark, d, "fx_wide_walk"), dates_of(spark, d), *SMALL, k=2)
 
 
 @query()
 def screen_pairs(spark, d):
+    return evaluated(spark, d)["screened"]
+
+
+@query()
+def selected_pairs(spark, d):
     return evaluated(spark, d)["selected"]
 
 
@@ -483,4 +556,4 @@ def rolling_backtest(spark, d):
 
 @query()
 def portfolio_candidates(spark, d):
-    return jobs.portfolio(walks(spark, d), dates_of(spark, d), SMALL[0])
+    return jobs.portfolio(walks(spark, d, "fx_wide_walk"), dates_of(spark, d), SMALL[0])

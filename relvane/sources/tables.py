@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +11,13 @@ from pyspark.sql import functions as F
 
 
 def new_folder(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir where that is set, else in the warehouse: both are shared by all executors."""
-    return f"{spark.sparkContext.getConf().get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}/kept-{uuid.uuid4().hex}"
+    """A new folder under spark.checkpoint.dir, which all executors share; in local mode one of this machine will do."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="spark-kept-")
+    return f"{shared}/kept-{uuid.uuid4().hex}"
 
 
 def kept(df: DataFrame) -> DataFrame:
@@ -21,14 +28,20 @@ def kept(df: DataFrame) -> DataFrame:
 
 
 def read_quotes(spark: SparkSession, path: str, start=None, end=None, fmt: str = "parquet", schema=None) -> DataFrame:
-    """Quotes from a table partitioned by year; only the years from start to end are read."""
+    """Quotes from a table partitioned by year; only the years from start to end are read, and it is an error if there are none."""
     df = spark.read.format(fmt).options(**({"header": True} if fmt == "csv" else {}))
     df = (df.schema(schema) if schema is not None else df).load(path)
-    return df if start is None else df.where(F.col("year").between(start, end))
+    if start is None:
+        return df
+    df = df.where(F.col("year").between(start, end))
+    if df.select("year").isEmpty():
+        raise FileNotFoundError(f"{path} has no year from {start} to {end}")
+    return df
 
 
-def write_by_year(df: DataFrame, path: str, date: str = "date") -> None:
-    df.withColumn("year", F.year(date)).repartition("year").write.mode("overwrite").partitionBy("year").parquet(path)
+def write_by_year(df: DataFrame, path: str, date: str = "date", key: str = "permno", files: int = 16) -> None:
+    """A folder a year, of at most `files` files, so that a year is the work of as many tasks."""
+    df.withColumn("year", F.year(date)).repartition("year", F.pmod(F.hash(key), F.lit(files))).write.mode("overwrite").partitionBy("year").parquet(path)
 
 
 def write_panel(df: DataFrame, path: str) -> None:
@@ -36,8 +49,10 @@ def write_panel(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("sector").parquet(path)
 
 
-def read_panel(spark: SparkSession, path: str, sector: str | None = None) -> DataFrame:
-    df = spark.read.option("partitionColumnTypeInference.enabled", False).parquet(path).withColumn("sector", F.col("sector").cast("string"))
+def read_panel(spark: SparkSession, path: str, sector: str | None = None, schema=None) -> DataFrame:
+    """A panel, or the rows of a sector. With its schema, a panel without rows can be read too."""
+    df = spark.read.option("partitionColumnTypeInference.enabled", False)
+    df = (df.schema(schema) if schema is not None else df).parquet(path).withColumn("sector", F.col("sector").cast("string"))
     return df if sector is None else df.where(F.col("sector") == sector)
 
 

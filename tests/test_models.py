@@ -4,19 +4,19 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from relvane.operators import models, pairs, panel
-from relvane.params import Strategy
+from relvane.params import Trade
 
 
 def test_positions_golden(spark):
     z = [None, 2.5, 3.0, 1.0, 0.4, 2.1, 4.5, 2.2, -2.5, -0.6, -0.4]
     df = spark.createDataFrame([("k", i, v) for i, v in enumerate(z)], "k string, dt int, z double")
-    got = [r.position for r in pairs.positions(df, ["k"], Strategy(2, 0.5, 4, None)).orderBy("dt").collect()]
+    got = [r.position for r in pairs.positions(df, ["k"], Trade(60, 2, 0.5, 4, None)).orderBy("dt").collect()]
     assert got == [0, -1, -1, -1, 0, -1, 0, -1, 0, 0, 0]
 
 
 def test_positions_max_hold(spark):
     df = spark.createDataFrame([("k", i, 2.5) for i in range(7)], "k string, dt int, z double")
-    assert [r.position for r in pairs.positions(df, ["k"], Strategy(2, 0.5, None, 3)).orderBy("dt").collect()] == [-1, -1, -1, 0, -1, -1, -1]
+    assert [r.position for r in pairs.positions(df, ["k"], Trade(60, 2, 0.5, None, 3)).orderBy("dt").collect()] == [-1, -1, -1, 0, -1, -1, -1]
 
 
 def test_ols_golden(spark):
@@ -55,11 +55,12 @@ def test_pca_invariants(spark):
     r = np.random.default_rng(0)
     x = r.standard_normal((30, 5))
     df = spark.createDataFrame([("s", j, i, float(x[i, j])) for i in range(30) for j in range(5)], "sector string, asset long, dt int, z double")
-    loadings, ratios = models.pca(df, ["sector"])
+    loadings, ratios, scores = models.pca(df, ["sector"])
     v = np.array([r.vec for r in loadings.orderBy("asset").collect()])
     assert np.allclose(v.T @ v, np.eye(5)) and abs(ratios.agg(F.sum("ratio")).first()[0] - 1) < 1e-9
     s, l, _ = models.components_of(x)
     assert np.allclose(s, (x - x.mean(0)) @ l)
+    assert np.allclose([[r.value for r in scores.where(F.col("dt") == i).orderBy("pc").collect()] for i in (0, 7)], s[[0, 7]])
 
 
 def test_two_blocks_are_two_clusters():

@@ -20,4 +20,4 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_entry(spark):
-    assert len(entry.entry(spark).columns) == 8 and set(entry.oracle_sql()) <= set(entry.queries())
+    assert entry.entry(spark).columns == ["sector", "rebal_date", "dt", "pnl", "n_pairs", "equity"] and set(entry.oracle_sql()) <= set(entry.queries())
