@@ -387,12 +387,12 @@ class Bucketed:
         enough = np.where(least < SHORT, FEW, np.where(least < WIDE, AGREE, MANY))
         return (agree >= enough) & (np.abs(self.size[i] - self.size[j]) <= most), most
 
-    def pairs(self, skip, batch: int = 256):
+    def pairs(self, skip):
         """(i, j, most) of candidates of one key, in parts: their edit distances may be up to `most`; skip(i, j) tells those that need not be looked at.
 
         Where few lines share a key, a pair counts only if its first common key is in the band of k, so it is compared in one bucket or, with
-        both kinds of keys, two. Where many do, the pairs that agree best come first: a text and its copies are tied before two
-        copies, which are further apart, would be compared in vain.
+        both kinds of keys, two. Where many do, each line in turn meets the rest, those with the most usual MinHashes first: a text and
+        its copies are tied before two copies, which are further apart, would be compared in vain.
         """
         start = np.flatnonzero(np.r_[True, self.k[1:] != self.k[:-1]])
         many = np.diff(np.r_[start, len(self.k)])
@@ -412,20 +412,20 @@ class Bucketed:
             if ok.any():
                 yield i[ok], i[ok] + d, most[ok]
         for s, n in zip(start[many > CROWD].tolist(), many[many > CROWD].tolist()):
-            agree = np.zeros((n, n), np.uint8)
-            for c in range(CODES):
-                own = self.codes[s : s + n, c]
-                agree += own[:, None] == own[None, :]
-            i, j = np.nonzero(np.triu(agree, 1) >= FEW)
-            ok, most = self.alike(i + s, j + s, agree[i, j])
-            i, j, most = i[ok], j[ok], most[ok]
-            order = np.argsort(-agree[i, j].astype(np.int16), kind="stable")
-            i, j, most = i[order] + s, j[order] + s, most[order]
-            for p in range(0, len(i), batch):
-                x, y, z = i[p : p + batch], j[p : p + batch], most[p : p + batch]
-                open_ = ~skip(x, y)
-                if open_.any():
-                    yield x[open_], y[open_], z[open_]
+            usual = np.zeros(n, np.int64)
+            for own in self.codes[s : s + n].T:
+                usual += np.bincount(own, minlength=256)[own]
+            order = s + np.argsort(-usual, kind="stable")
+            for k in range(n - 1):
+                j = order[k + 1 :]
+                j = j[~skip(order[k], j)]
+                if len(j):
+                    agree = (self.codes[j] == self.codes[order[k]]).sum(1)
+                    i = np.full(len(j), order[k])
+                    ok, most = self.alike(i, j, agree)
+                    if ok.any():
+                        best = np.flatnonzero(ok)[np.argsort(-agree[ok], kind="stable")]
+                        yield i[best], j[best], most[best]
 
 
 def candidates(found: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -436,7 +436,7 @@ def candidates(found: DataFrame, texts: DataFrame, similarity: float) -> DataFra
 
         for rows in groups(batches, ["k"]):
             seen = np.zeros(len(rows), bool)
-            for i, j, _ in Bucketed(rows, similarity).pairs(lambda i, j: seen[i] & seen[j], 1 << 16):
+            for i, j, _ in Bucketed(rows, similarity).pairs(lambda i, j: seen[i] & seen[j]):
                 seen[i] = seen[j] = True
             if seen.any():
                 yield from rows.select(["k", "fp"]).filter(pa.array(seen)).to_batches()

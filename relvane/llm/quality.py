@@ -17,6 +17,7 @@ from .common import raw_texts, table
 
 #: Training reads at most so many labelled documents, those of the smallest hashes of doc_id.
 SAMPLE = 8192
+PLACES = 1 << 40
 BITS, EPOCHS, ALPHA, BETA, L1, L2 = 18, 8, 1.0, 1.0, 0.01, 0.01
 THRESHOLD = 0.3
 TOKEN = re.compile(rb"[A-Za-z0-9_\x80-\xff]+|[^A-Za-z0-9_\x80-\xff\s]+")
@@ -77,13 +78,16 @@ def held_out() -> F.Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> np.ndarray:
-    """Weights learnt from at most `sample` labelled documents of docs that are not held out.
+    """Weights learnt from at most `sample` labelled documents of docs that are not held out, those of the smallest hashes.
 
     Labels without a quality or a document, and held-out rows, are not read; of several labels of a document the highest
     counts. The sample is bounded, so one task trains and 2**bits weights come back, whatever the size of docs.
     """
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "quality").where(~held_out())
-    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(PLACES))
+    bound = int(min(1.0, 1.2 * sample / max(1, known.count())) * PLACES)  # so tasks send about as many ids as are kept
+    known = known.where(place <= bound).orderBy(place, "doc_id").limit(sample)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known), "doc_id")
 
     def read(batches):

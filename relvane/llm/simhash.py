@@ -219,8 +219,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
     own = cut(fingerprints(docs, width))
     values = cut(own.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = connected_components(hamming_links(values.select("fp"), radius, blocks, limit))
-    named = values.join(roots, values.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = cut(values.join(roots, values.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    ids = cut(named.groupBy("root").agg(F.min("least").alias("component_id")))  # two tables, so that Spark can split the join at a large component
     named = cut(named.join(ids, "root").select("fp", "component_id"))
     return own.join(named, "fp").select("doc_id", "fp", "component_id")
 
@@ -348,7 +348,7 @@ def keep_first(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILA
     kinds = stash(own.groupBy("key").agg(F.min(F.struct("doc_id", "row")).alias("least"), F.min("bands").alias("bands")))
     roots = connected_components(jaccard_links(plain, kinds, width, similarity, limit))
     groups = cut(kinds.join(roots, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root")))
-    ids = groups.groupBy("root").agg(F.min("least").alias("first"))
+    ids = cut(groups.groupBy("root").agg(F.min("least").alias("first")))
     groups = groups.join(ids, "root").select("key", "first")
     ident, row, ident2, row2, place = free(docs.columns, "id", "row", "id2", "row2", "place")
     extra = stash(own.join(groups, "key").where(F.struct("doc_id", "row") != F.col("first")).select(F.col("doc_id").alias(ident2), F.col("row").alias(row2)).distinct())

@@ -25,6 +25,16 @@ def components(nodes, links):
     return {n: find(n) for n in nodes}
 
 
+def row_hash(text):
+    """The hash of the text by which rows of a doc_id are ordered."""
+    if text is None:
+        return 42
+    import xxhash
+
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def prose(seed, n, vocabulary=400):
     r = random.Random(seed)
     return " ".join("w%d" % r.randrange(vocabulary) for _ in range(n))

@@ -2,7 +2,7 @@ import random
 
 from relvane.llm import lines
 
-from .brute import components, frame, odd_docs, prose
+from .brute import components, frame, odd_docs, prose, row_hash
 
 
 def distance(a, b):
@@ -20,7 +20,7 @@ def normal(line):
 
 def expected(rows, similarity=0.8):
     """(doc_id, text, lines, removed lines) by edit similarity alone; rows are told apart by doc_id and text, in the order the operator takes."""
-    order = {(d, t): (d, spark_hash(t)) for d, t in rows if d is not None}
+    order = {(d, t): (d, row_hash(t)) for d, t in rows if d is not None}
     first = {}
     for d, t in rows:
         if d is not None:
@@ -45,16 +45,6 @@ def expected(rows, similarity=0.8):
     return sorted(out, key=str)
 
 
-def spark_hash(text):
-    """The hash by which rows of a doc_id are ordered."""
-    if text is None:
-        return 42
-    import xxhash
-
-    h = xxhash.xxh64_intdigest(text.encode(), 42)
-    return h - (1 << 64) if h >> 63 else h
-
-
 def line_docs():
     r = random.Random(2)
     base = [prose(i, 12 + 3 * i) for i in range(8)]

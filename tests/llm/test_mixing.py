@@ -72,6 +72,22 @@ def test_mixed_documents_keep_columns(spark):
     assert max(v for k, v in n.items() if k not in (None, 7)) <= 2 and n[1] == 1 and n[None] == 1
 
 
+def test_rows_that_share_an_id_and_the_order_of_slots(spark):
+    rows = [(i // 2, " ".join("w%d" % (i % 3) for _ in range(5 + i % 7)), "s%d" % (i % 3)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({k: F.lit(1) for k in ("id", "id2", "origin", "hash", "slots", "slot", "_id", "_times")})
+    out = mixing.mixed_documents(df, block=10)
+    assert out.columns == df.columns
+    got = [(r.doc_id, r.text, r.source) for r in out.collect()]
+    pieces = mixing.mix(df, block=10).where("words > 0").collect()
+    text = {(d, s): t for d, t, s in rows}
+    want = Counter((d, text[d, s], s) for d, s, _ in {(r.doc_id, r.source, r.epoch) for r in pieces})
+    assert Counter(got) == want
+    share = Counter(s for _, _, s in got)
+    for k in range(0, len(got) - 60, 30):  # any stretch of the result holds the sources in their shares
+        own = Counter(s for _, _, s in got[k : k + 60])
+        assert all(abs(own[s] - 60 * n / len(got)) < 12 for s, n in share.items())
+
+
 def test_empty_table_and_no_words(spark):
     _, df = docs(spark, [])
     assert mixing.mix(df).collect() == []

@@ -2,22 +2,23 @@ import hashlib
 
 from relvane.llm import substrings
 
-from .brute import frame, odd_docs, prose, words
+from .brute import frame, odd_docs, prose, row_hash, words
 
 
 def expected(rows):
+    """By row: (doc_id, hash of the text, start) is a window's place."""
     first = {}
-    texts = [(d, words(t)) for d, t in rows]
-    for d, ws in texts:
+    texts = [(d, row_hash(t), words(t)) for d, t in rows]
+    for d, h, ws in texts:
         for i in range(len(ws) - 19):
             key = tuple(ws[i : i + 20])
             if d is not None:
-                first[key] = min(first.get(key, (d, i)), (d, i))
+                first[key] = min(first.get(key, (d, h, i)), (d, h, i))
     out = []
-    for d, ws in texts:
+    for d, h, ws in texts:
         gone = set()
         for i in range(len(ws) - 19):
-            if d is not None and first[tuple(ws[i : i + 20])] < (d, i):
+            if d is not None and first[tuple(ws[i : i + 20])] < (d, h, i):
                 gone |= set(range(i, i + 20))
         kept = " ".join(w for i, w in enumerate(ws) if i not in gone)
         out.append((d, len(ws), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
@@ -40,6 +41,13 @@ def test_words_stay_as_by_brute_force(spark):
     assert sorted(((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in got), key=str) == expected(rows)
 
 
+def test_rows_that_share_an_id(spark):
+    p, q = prose(70, 40), prose(71, 40)
+    rows = [(1, p), (2, p), (2, q), (2, q), (3, q + " " + prose(72, 5))]
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in substrings.deduplicated(frame(spark, rows, row=1)).collect()), key=str)
+    assert got == expected(rows) and sorted(r[2] for r in got) == [0, 0, 0, 40, 40]
+
+
 def test_empty_table(spark):
     assert substrings.deduplicated(frame(spark, [])).collect() == []
 

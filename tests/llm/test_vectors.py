@@ -31,25 +31,47 @@ def usable(v):
     return v is not None and all(x is not None and math.isfinite(x) for x in v)
 
 
+def best(data, k=20):
+    """By row; the list of a vec_id is that of its rows together."""
+    good = [(i, [math.floor(64 * x) for x in v]) for i, v in data if i is not None and usable(v)]
+    lists = {}
+    for i, a in good:
+        if i % 20 == 0:
+            lists.setdefault(i, []).extend((-sum(x * y for x, y in zip(a, b)), j) for j, b in good if j != i)
+    return sorted((i, n + 1, j, -x) for i, s in lists.items() for n, (x, j) in enumerate(sorted(s)[:k]))
+
+
 def test_top_k_as_by_brute_force(spark):
     data = rows()
-    good = {i: [math.floor(64 * x) for x in v] for i, v in data if i is not None and usable(v)}
     for kwargs in ({}, {"rows": 50, "queries": 7, "lists": 3}, {"k": 1000}):
-        k = kwargs.get("k", 20)
-        want = []
-        for i, a in good.items():
-            if i % 20 == 0:
-                s = sorted((-sum(x * y for x, y in zip(a, b)), j) for j, b in good.items() if j != i)[:k]
-                want += [(i, n + 1, j, -x) for n, (x, j) in enumerate(s)]
         got = topk.top_k(frame(spark, data), **kwargs)
         assert got.dtypes == [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")]
-        assert sorted(map(tuple, got.collect())) == sorted(want)
+        assert sorted(map(tuple, got.collect())) == best(data, kwargs.get("k", 20))
+
+
+def test_top_k_of_rows_that_share_an_id(spark):
+    data = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [3.0, 3.0]), (2, [0.5, 0.5]), (20, [1.0, 1.0]), (20, [-1.0, 2.0]), (3, [3.0, 3.0])]
+    got = sorted(map(tuple, topk.top_k(frame(spark, data)).collect()))
+    assert got == best(data) and (0, 1, 1, 64 * 192) in got
 
 
 def test_top_k_of_few_rows(spark):
     assert topk.top_k(frame(spark, [])).collect() == []
     assert topk.top_k(frame(spark, [(0, [1.0])])).collect() == []
-    assert [tuple(r) for r in topk.top_k(frame(spark, [(0, [1.0, 1e7]), (1, [1.0, 1e7]), (1, [1.0, 1e7])])).collect()] == [(0, 1, 1, 4096 + (64 * 10**7) ** 2)]
+    big = [(0, [1.0, 1e7]), (1, [1.0, 1e7]), (1, [1.0, 1e7])]
+    assert sorted(map(tuple, topk.top_k(frame(spark, big)).collect())) == [(0, n, 1, 4096 + (64 * 10**7) ** 2) for n in (1, 2)]
+
+
+def test_the_cutoff_spares_work():
+    g = np.random.default_rng(2)
+    a, b = g.integers(-64, 64, (20, 16)), g.integers(-64, 64, (4000, 16)) // g.choice([1, 4, 8], (4000, 1))
+    parts = topk.slices(a, b, 2)
+    score = a @ b.T
+    tau = np.sort(score, axis=1)[:, -20].astype(float)
+    i, j = topk.sufficient(parts, tau, np.ones(score.shape, bool))
+    found = np.zeros(score.shape, bool)
+    found[i, j] = True
+    assert found[score >= tau[:, None]].all() and found.mean() < 0.2
 
 
 def linked(data):
@@ -75,6 +97,12 @@ def test_near_duplicates_as_by_brute_force(spark, members, visitors):
         assert r.kept == (r.vec_id == r.component_id)
 
 
+def test_near_duplicates_of_rows_that_share_an_id(spark):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    got = embeddings.near_duplicates(frame(spark, [(1, a), (1, b), (2, [1.0, 0.01, 0.0]), (3, a), (3, a)])).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 0, 1), (1, 3, 1), (2, 3, 1), (3, 3, 1), (3, 3, 1)]
+
+
 def test_recall_of_the_index(spark, sf_dir):
     r = random.Random(0)
     data = [(x.vec_id, x.embedding) for x in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
