@@ -26,8 +26,8 @@ WORDS, CHARS, SIMILARITY, LIMIT = 3, 16, 0.8, 1024
 #: Keys of a line, and the bits that number them; MinHashes (one byte each) that a pair is tested by before its texts are compared, and how many of
 #: these must agree (FEW below SHORT characters, MANY from WIDE on, where a wrong candidate costs most).
 BANDS, BITS, CODES, AGREE, FEW, MANY = 12, 4, 32, 8, 4, 12
-#: Up to so many lines of a key, each pair is compared under its first common key only.
-CROWD = 8
+#: Up to CROWD lines of a key, each pair is compared under its first common key only; up to TABLE lines, the pairs that agree best come first.
+CROWD, TABLE = 8, 256
 SHORT, SLACK, WIDE = 64, 1.25, 256
 #: The keys of most lines that are split wherever they go, at most; others hold less than one in HOT of all keys.
 HOT, SAMPLED = 65536, 64
@@ -391,8 +391,9 @@ class Bucketed:
         """(i, j, most) of candidates of one key, in parts: their edit distances may be up to `most`; skip(i, j) tells those that need not be looked at.
 
         Where few lines share a key, a pair counts only if its first common key is in the band of k, so it is compared in one bucket or, with
-        both kinds of keys, two. Where many do, each line in turn meets the rest, those with the most usual MinHashes first: a text and
-        its copies are tied before two copies, which are further apart, would be compared in vain.
+        both kinds of keys, two. Where many do, the pairs that agree best come first, or each line in turn meets the rest, those with the
+        most usual MinHashes first: a text and its copies are tied before two copies, which are further apart, would be
+        compared in vain.
         """
         start = np.flatnonzero(np.r_[True, self.k[1:] != self.k[:-1]])
         many = np.diff(np.r_[start, len(self.k)])
@@ -412,6 +413,17 @@ class Bucketed:
             if ok.any():
                 yield i[ok], i[ok] + d, most[ok]
         for s, n in zip(start[many > CROWD].tolist(), many[many > CROWD].tolist()):
+            if n <= TABLE:
+                own = self.codes[s : s + n]
+                agree = (own[:, None, :] == own[None, :, :]).sum(2, dtype=np.uint8)
+                i, j = np.nonzero(np.triu(agree, 1) >= FEW)
+                i, j, agree = i + s, j + s, agree[i, j]
+                ok, most = self.alike(i, j, agree)
+                best = np.flatnonzero(ok & ~skip(i, j))
+                best = best[np.argsort(-agree[best].astype(np.int16), kind="stable")]
+                if len(best):
+                    yield i[best], j[best], most[best]
+                continue
             usual = np.zeros(n, np.int64)
             for own in self.codes[s : s + n].T:
                 usual += np.bincount(own, minlength=256)[own]
