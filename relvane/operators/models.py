@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..sources.tables import kept
+from . import moments
 from .panel import zscore
 
 
@@ -173,20 +174,26 @@ def cluster_counts(labels: DataFrame, keys: list[str]) -> DataFrame:
     return labels.groupBy(*keys).agg(F.countDistinct(F.when(F.col("label") != -1, F.col("label"))).alias("clusters"))
 
 
+def p_values(t: np.ndarray) -> np.ndarray:
+    """Response surface for two series and a constant (MacKinnon, 1994); NaN stays NaN."""
+    low, high = 2.92 + 1.5012 * t + 0.039796 * t * t, 2.1945 + 0.64695 * t - 0.29198 * t * t - 0.042377 * t**3
+    with np.errstate(invalid="ignore"):
+        z = np.where(t <= -2.62, low, high)
+        phi = np.array([0.5 * (1 + math.erf(v)) for v in (z / math.sqrt(2)).tolist()])
+        return np.where(np.isnan(t), np.nan, np.where(t > 0.92, 1.0, np.where(t < -18.86, 0.0, phi)))
+
+
 def p_value(t: float) -> float:
-    """Response surface for two series and a constant (MacKinnon, 1994)."""
-    if t > 0.92:
-        return 1.0
-    if t < -18.86:
-        return 0.0
-    z = 2.92 + 1.5012 * t + 0.039796 * t * t if t <= -2.62 else 2.1945 + 0.64695 * t - 0.29198 * t * t - 0.042377 * t**3
-    return 0.5 * (1 + math.erf(z / math.sqrt(2)))
+    return float(p_values(np.array([t]))[0])
+
+
+#: 1 %, 5 % and 10 % critical values for m = n - 1 of n observations: c + a / m + b / m^2 (MacKinnon, 2010). Fixed values.
+CRITICAL = {"crit_1pct": (-3.89644, -10.9519, -22.527), "crit_5pct": (-3.33613, -6.1101, -6.823), "crit_10pct": (-3.04445, -4.2412, -2.720)}
 
 
 def critical(n: int) -> tuple[float, float, float]:
-    """1 %, 5 % and 10 % critical values for n observations (MacKinnon, 2010)."""
     m = n - 1
-    return tuple(a + b / m + c / m**2 for a, b, c in ((-3.89644, -10.9519, -22.527), (-3.33613, -6.1101, -6.823), (-3.04445, -4.2412, -2.720)))
+    return tuple(a + b / m + c / m**2 for a, b, c in CRITICAL.values())
 
 
 def design(e: np.ndarray, lags: int, drop: int) -> tuple[np.ndarray, np.ndarray]:
@@ -215,43 +222,54 @@ def t_of_level(e: np.ndarray, lags: int) -> float:
     return float(beta[0] / math.sqrt(ssr / (len(y) - x.shape[1]) * (inv[0] @ inv[0])))
 
 
-def engle_granger(y: np.ndarray, x: np.ndarray) -> tuple[float, float]:
-    """(t, p) of the residual's unit-root test, lags chosen by AIC on a common sample; NaN where it can't be had."""
+def direct_t(y: np.ndarray, x: np.ndarray, lags: int | None = None) -> float:
+    """The statistic of the residual of y on x from the rows themselves, lags chosen by AIC on a common sample unless given; NaN where it can't be had."""
     n = len(y)
     if n < 10 or not (np.isfinite(y).all() and np.isfinite(x).all()):
-        return math.nan, math.nan
+        return math.nan
+    if (y == y[0]).all() or (x == x[0]).all():
+        return math.nan
     xc, yc = x - x.mean(), y - y.mean()
     vx, vy = float(xc @ xc), float(yc @ yc)
-    if vx == 0 or vy == 0:
-        return math.nan, math.nan
     e = yc - xc * (float(xc @ yc) / vx)
     if 1 - float(e @ e) / vy >= 1 - 100 * math.sqrt(np.finfo(float).eps):
-        return -math.inf, 0.0
+        return -math.inf
     most = max(0, min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 1))
     try:
-        t = t_of_level(e, best_lags(e, most))
-    except (np.linalg.LinAlgError, ValueError):
-        return math.nan, math.nan
+        return t_of_level(e, best_lags(e, most) if lags is None else lags)
+    except (np.linalg.LinAlgError, ValueError, ZeroDivisionError):
+        return math.nan
+
+
+def engle_granger(y: np.ndarray, x: np.ndarray) -> tuple[float, float]:
+    """(t, p) of the residual's unit-root test of one pair, from its rows."""
+    t = direct_t(y, x)
     return t, p_value(t)
 
 
 def cointegration(pairs: DataFrame, y: str = "y", x: str = "x", tie_first: bool = True) -> DataFrame:
     """pairs with t_stat, p_value, first (the direction y on x won), n_obs and critical values, from arrays y and x.
 
-    Both directions are tested and the lower p wins. Pairs of which a direction fails are left out. Row-wise, no shuffle.
+    Both directions are tested and the lower p wins. Pairs of which a direction fails are left out. A batch of rows at once, no shuffle.
     """
 
     @F.pandas_udf("t1 double, p1 double, t2 double, p2 double, n int")
     def test(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        out = []
-        for u, v in zip(a, b):
-            u, v = np.asarray(u, float), np.asarray(v, float)
-            out.append((*engle_granger(u, v), *engle_granger(v, u), len(u)))
-        return pd.DataFrame(out, columns=["t1", "p1", "t2", "p2", "n"])
+        n = np.array([len(x) for x in a], int)
+        u, v = np.zeros((2, len(n), int(n.max(initial=0))))
+        inside = np.arange(u.shape[1])[None, :] < n[:, None]
+        if inside.any():
+            u[inside], v[inside] = np.concatenate(a.to_list()), np.concatenate(b.to_list())
+        bad = ~(np.isfinite(u) & np.isfinite(v)).all(1) | (n < 1)
+        p = np.flatnonzero(~bad)
+        got = moments.measured(np.where(bad[:, None], 0, u), np.where(bad[:, None], 0, v), n, p, np.zeros(len(p), int), n[p] - 1, True, None, direct_t)
+        t = {d: np.full(len(n), np.nan) for d in (1, 2)}
+        for d in t:
+            t[d][p] = got[f"t{d}"]
+        return pd.DataFrame({"t1": t[1], "p1": p_values(t[1]), "t2": t[2], "p2": p_values(t[2]), "n": n})
 
     s = pairs.withColumn("_t", test(y, x)).where(~F.isnan("_t.p1") & ~F.isnan("_t.p2") & F.col("_t.p1").isNotNull() & F.col("_t.p2").isNotNull())
     first = F.col("_t.p1") <= F.col("_t.p2") if tie_first else F.col("_t.p1") < F.col("_t.p2")
     s = s.withColumn("first", first).withColumn("t_stat", F.when(F.col("first"), F.col("_t.t1")).otherwise(F.col("_t.t2"))).withColumn("p_value", F.when(F.col("first"), F.col("_t.p1")).otherwise(F.col("_t.p2")))
     m = (F.col("_t.n") - 1).cast("double")
-    crit = {"crit_1pct": (-3.89644, -10.9519, -22.527), "crit_5pct": (-3.33613, -6.1101, -6.823), "crit_10pct": (-3.04445, -4.2412, -2.720)}
-    return s.withColumns({k: F.lit(a) + F.lit(b) / m + F.lit(c) / (m * m) for k, (a, b, c) in crit.items()}).withColumn("n_obs", F.col("_t.n")).drop("_t", y, x)
+    return s.withColumns({k: F.lit(a) + F.lit(b) / m + F.lit(c) / (m * m) for k, (a, b, c) in CRITICAL.items()}).withColumn("n_obs", F.col("_t.n")).drop("_t", y, x)

@@ -6,11 +6,13 @@ a shared folder: plans stay short, and what a lost executor had made is read aga
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..operators import models, pairs, panel
+from ..operators import models, moments, pairs, panel
 from ..params import Fit, Pick, Trade
 from ..sources.tables import kept, write_artifact
 
@@ -44,19 +46,24 @@ def candidates(labels: DataFrame, loadings: DataFrame, k: int | None = None) ->
     return a.join(b, [*KEYS, "label"]).where("a < b").select(*KEYS, "a", "b", F.col("label").alias("cluster_id"), pairs.distance("va", "vb").alias("pca_distance"))
 
 
-def screen(prices: DataFrame, cal: DataFrame, dates: DataFrame, cand: DataFrame, n: int, min_overlap: int) -> DataFrame:
-    """Candidates with both-way cointegration, and regression, half-life and deviation in the winning direction."""
-    lp = panel.log_price(windows_of(prices, cal, dates, n, full=False)).where(F.col("lp").isNotNull()).select(*KEYS, "asset", "dt", "lp")
-    k = [*KEYS, "a", "b"]
-    both = kept(pairs.aligned(lp, cand, "lp", KEYS, min_overlap))
-    arrays = both.groupBy(*k, "cluster_id", "pca_distance").agg(F.array_sort(F.collect_list(F.struct("dt", "asset1", "asset2"))).alias("s"))
-    arrays = arrays.select(*k, "cluster_id", "pca_distance", F.transform("s", lambda r: r["asset1"]).alias("y"), F.transform("s", lambda r: r["asset2"]).alias("x"))
-    tested = kept(models.cointegration(arrays).withColumnRenamed("p_value", "pval_min"))
-    won = both.join(tested.select(*k, "first"), k).withColumn("u", F.when(F.col("first"), F.col("asset1")).otherwise(F.col("asset2"))).withColumn("v", F.when(F.col("first"), F.col("asset2")).otherwise(F.col("asset1")))
-    fits = pairs.ols(won, k, "u", "v")
-    spread = won.join(fits.select(*k, "alpha", "beta"), k).withColumn("spread", F.col("u") - F.col("alpha") - F.col("beta") * F.col("v"))
-    stats = pairs.spread_stats(spread, k, year=1).withColumnRenamed("change_sigma", "spread_change_sigma").drop("sigma")
-    return tested.join(fits.select(*k, "alpha", "beta"), k).join(stats, k).withColumn("best_direction", F.when(F.col("first"), "a_on_b").otherwise("b_on_a")).withColumnRenamed("n_obs", "overlap_n").drop("first", "crit_1pct", "crit_5pct", "crit_10pct")
+def spans_of(cal: DataFrame, dates: DataFrame, n: int) -> DataFrame:
+    """(rebal_date, lo, hi): the n calendar rows up to each date, by their ordinals; dates with fewer rows are left out."""
+    r = dates.select("rebal_date").distinct().join(cal, F.col("rebal_date") == F.col("dt")).where(F.col("ord") >= n - 1)
+    return r.select("rebal_date", (F.col("ord") - (n - 1)).alias("lo"), F.col("ord").alias("hi"))
+
+
+def screen(prices: DataFrame, cal: DataFrame, dates: DataFrame, cand: DataFrame, n: int, min_overlap: int, lags: int | None = None) -> DataFrame:
+    """Candidates with both-way cointegration, and regression, half-life and deviation in the winning direction, from n rows up to the date.
+
+    A pair's series travel once, whatever the number of its dates, and its windows are differences of running sums. lags: the
+    number of lags of the test, else chosen by AIC.
+    """
+    arrays = kept(moments.series(panel.log_price(prices), cal, ["sector"]))
+    spans = cand.join(spans_of(cal, dates, n), "rebal_date").withColumn("least", F.lit(min_overlap))
+    tested = moments.winning(moments.windowed(spans, arrays, ["sector"], lags=lags), tie_first=True)
+    out = tested.withColumn("best_direction", F.when(F.col("first"), "a_on_b").otherwise("b_on_a"))
+    out = out.withColumnsRenamed({"p_value": "pval_min", "n_obs": "overlap_n", "change_sigma": "spread_change_sigma"})
+    return out.select(*KEYS, "a", "b", "cluster_id", "pca_distance", "t_stat", "pval_min", "overlap_n", "alpha", "beta", "spread_change_sigma", "half_life", "best_direction")
 
 
 def rolling(prices: DataFrame, dates: DataFrame, w: Fit = Fit(), pick: Pick = Pick(), s: Trade = Trade(), k: int = 6, passes: int = 2, half_open: bool = False, direction_aware: bool = False, demeaned: str = "prices") -> dict[str, DataFrame]:
@@ -71,13 +78,18 @@ def rolling(prices: DataFrame, dates: DataFrame, w: Fit = Fit(), pick: Pick = Pi
     loadings = loadings.select(*KEYS, "asset", F.slice("vec", 1, k).alias("vec"))
     labels = kept(models.cluster(models.scaled_loadings(loadings, KEYS), KEYS))
     cand = kept(candidates(labels, loadings))
-    screened = kept(screen(prices, cal, dates, cand, w.tests, w.overlap))
+    return {"loadings": loadings, "labels": labels, "candidates": cand} | evaluated(prices, cal, dates, cand, w, pick, s, half_open, direction_aware)
+
+
+def evaluated(prices: DataFrame, cal: DataFrame, dates: DataFrame, cand: DataFrame, w: Fit = Fit(), pick: Pick = Pick(), s: Trade = Trade(), half_open: bool = False, direction_aware: bool = False, lags: int | None = None) -> dict[str, DataFrame]:
+    """screened, selected, pair_pnl, portfolio_pnl and equity of candidates (sector, rebal_date, a, b, cluster_id, pca_distance)."""
+    screened = kept(screen(prices, cal, dates, cand, w.tests, w.overlap, lags))
     chosen = kept(pairs.select_pairs(screened, KEYS, pick))
     ahead = panel.log_price(panel.forward(prices, cal, dates, half_open))
     swapped = F.lit(direction_aware) & (F.col("best_direction") == "b_on_a")
     pnl = kept(pairs.forward_pnl(ahead.select(*KEYS, "asset", "dt", "lp"), chosen.select(*KEYS, "a", "b", "beta", swapped.alias("swapped")), KEYS, s))
     total = pairs.portfolio_pnl(pnl, KEYS)
-    return {"loadings": loadings, "labels": labels, "candidates": cand, "screened": screened, "selected": chosen, "pair_pnl": pnl, "portfolio_pnl": total, "equity": pairs.equity(total, ["sector"], ["dt", "rebal_date"])}
+    return {"screened": screened, "selected": chosen, "pair_pnl": pnl, "portfolio_pnl": total, "equity": pairs.equity(total, ["sector"], ["dt", "rebal_date"])}
 
 
 def write_artifacts(results: dict[str, DataFrame], path: str) -> None:
@@ -103,22 +115,22 @@ def portfolio(prices: DataFrame, dates: DataFrame, w: Fit = Fit(), benchmark: fl
     cut = models.relevant(ratios, KEYS, benchmark)
     loadings = kept(loadings.join(cut, KEYS).select(*KEYS, "asset", F.slice("vec", F.lit(1), F.col("k")).alias("vec")))
     labels = kept(models.cluster(models.scaled_loadings(loadings, KEYS), KEYS))
-    cand = candidates(labels, loadings)
-    k = [*KEYS, "a", "b"]
     lp = panel.log_price(prices)
     long = lp.groupBy("sector").agg(F.countDistinct("dt").alias("n")).where(F.col("n") >= min_obs).select("sector")
-    window = kept(panel.trailing(lp, cal, dates, w.tests + 1).select(*KEYS, "asset", "dt", "lp"))
-    days = window.groupBy(*KEYS).agg(F.countDistinct("dt").alias("days"))
-    both = kept(pairs.aligned(window, cand.join(long, "sector"), "lp", KEYS, 1).join(days, KEYS).where(F.col("n_obs") == F.col("days")))
-    arrays = both.groupBy(*k, "cluster_id").agg(F.array_sort(F.collect_list(F.struct("dt", "asset1", "asset2"))).alias("s")).select(*k, "cluster_id", F.transform("s", lambda r: r["asset1"]).alias("y"), F.transform("s", lambda r: r["asset2"]).alias("x"))
-    tested = kept(models.cointegration(arrays, tie_first=False).withColumn("cointegrated", F.col("p_value") < p_most).where("cointegrated"))
+    arrays = kept(moments.series(lp, cal, ["sector"]))
+    spans = kept(spans_of(cal, dates, w.tests + 1))
+    days = lp.select("sector", "dt").distinct().join(cal, "dt").join(spans, F.col("ord").between(F.col("lo"), F.col("hi"))).groupBy(*KEYS).agg(F.count("*").cast("int").alias("least"))
+    cand = candidates(labels, loadings).join(long, "sector").join(spans, "rebal_date").join(days, KEYS).drop("pca_distance")
+    tested = moments.winning(moments.windowed(cand, arrays, ["sector"]), tie_first=False)
+    tested = tested.withColumn("cointegrated", F.col("p_value") < p_most).where("cointegrated")
     if spread_window == "coint":
-        history = both.drop("n_obs", "days", "cluster_id", "pca_distance").join(tested.select(*k, "first"), k)
+        tested = tested.where(F.col("n_obs") >= min_obs)
     else:
-        history = pairs.aligned(lp.select("sector", "asset", "dt", "lp"), tested.select(*k, "first"), "lp", ["sector"], 1).drop("n_obs")
-    history = history.withColumn("n", F.count("*").over(W.partitionBy(*k))).where(F.col("n") >= min_obs).drop("n")
-    history = kept(in_order(history, [("asset1", "asset2")]))
-    fits = pairs.ols(history, k)
-    stats = pairs.spread_stats(pairs.with_spread(history, fits, k), k)
-    out = tested.join(fits.drop("n_obs"), k).join(stats, k)
+        whole = cal.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).withColumn("least", F.lit(min_obs))
+        tested = kept(tested.drop(*moments.PARTS).withColumnRenamed("n_obs", "n_tested"))
+        tested = moments.directed(moments.windowed(tested.crossJoin(F.broadcast(whole)), arrays, ["sector"], test=False)).drop("n_obs").withColumnRenamed("n_tested", "n_obs")  # one row of the calendar's ends
+    m = (F.col("n_obs") - 1).cast("double")
+    out = tested.withColumns({c: F.lit(x) + F.lit(y) / m + F.lit(z) / (m * m) for c, (x, y, z) in models.CRITICAL.items()})
+    out = out.withColumns({c: F.col(c) * math.sqrt(252) for c in ("sigma", "change_sigma")})
+    out = out.select(*KEYS, "a", "b", "cluster_id", "first", "t_stat", "p_value", *models.CRITICAL, "n_obs", "cointegrated", "alpha", "beta", "r2", "resid_std", "sigma", "change_sigma", "half_life")
     return in_order(out, [("a", "b")]).withColumnsRenamed({"a": "permno1", "b": "permno2"}).drop("first")

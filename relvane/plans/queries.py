@@ -536,7 +536,8 @@ def coint_screen(spark, d):
 
 
 def evaluated(spark, d):
-    return jobs.rolling(walks(spark, d, "fx_wide_walk"), dates_of(spark, d), *SMALL, k=2)
+    """On the walks that keep their level over weeks without trades: every window is complete at every scale."""
+    return jobs.rolling(walks(spark, d, "fx_full_walk"), dates_of(spark, d), *SMALL, k=2)
 
 
 @query()
@@ -556,4 +557,4 @@ def rolling_backtest(spark, d):
 
 @query()
 def portfolio_candidates(spark, d):
-    return jobs.portfolio(walks(spark, d, "fx_wide_walk"), dates_of(spark, d), SMALL[0])
+    return jobs.portfolio(walks(spark, d, "fx_full_walk"), dates_of(spark, d), SMALL[0])
