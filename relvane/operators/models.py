@@ -179,7 +179,7 @@ def p_values(t: np.ndarray) -> np.ndarray:
     low, high = 2.92 + 1.5012 * t + 0.039796 * t * t, 2.1945 + 0.64695 * t - 0.29198 * t * t - 0.042377 * t**3
     with np.errstate(invalid="ignore"):
         z = np.where(t <= -2.62, low, high)
-        phi = np.array([0.5 * (1 + math.erf(v)) for v in (z / math.sqrt(2)).tolist()])
+        phi = np.array([0.5 * math.erfc(v) for v in (-z / math.sqrt(2)).tolist()])  # exact in the tail
         return np.where(np.isnan(t), np.nan, np.where(t > 0.92, 1.0, np.where(t < -18.86, 0.0, phi)))
 
 

@@ -70,9 +70,10 @@ def scaled(panel: DataFrame, value: str = "price", group: tuple = ("sector",), d
 
 
 def rolling_zscore(df: DataFrame, value: str, out: str, window: int, keys: list[str], order: str = "dt") -> DataFrame:
-    """Against the mean and population deviation of the last `window` rows; null for a deviation of 0."""
+    """Against the mean and population deviation of the last `window` rows; null for a deviation of 0, up to rounding."""
     w = W.partitionBy(*keys).orderBy(order).rowsBetween(-(window - 1), 0)
-    return df.withColumn(out, F.try_divide(F.col(value) - F.avg(value).over(w), F.nullif(F.stddev_pop(value).over(w), F.lit(0.0))))
+    sd = F.stddev_pop(value).over(w)
+    return df.withColumn(out, F.when(sd > 1e-12, (F.col(value) - F.avg(value).over(w)) / sd))
 
 
 def calendar(panel: DataFrame) -> DataFrame:

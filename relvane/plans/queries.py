@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import models, pairs, panel, quotes
+from ..operators import models, moments, pairs, panel, quotes
 from ..params import Fit, Pick, Trade
 from ..sources import tables
 from ..sources.fixtures import view, with_views
@@ -526,15 +526,104 @@ def cluster_counts(spark, d):
     return models.cluster_counts(optics_labels(spark, d), jobs.KEYS)
 
 
+def arrays_of(spark, d, name):
+    """(arrays of each asset's log prices, all pairs of a sector over the whole calendar)."""
+    p = walks(spark, d, name)
+    cal = tables.kept(panel.calendar(p))
+    arrays = tables.kept(moments.series(panel.log_price(p), cal, ["sector"]))
+    ends = cal.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).withColumn("least", F.lit(50))
+    both = pairs.combinations(arrays.select("sector", "asset", F.lit(0).alias("label")), ["sector"]).drop("label")
+    return arrays, both.crossJoin(F.broadcast(ends))  # one row
+
+
 @query()
 def coint_screen(spark, d):
     """Both-way tests of all pairs of a sector; permno1 and permno2 in the winning order."""
-    s = aligned(spark, d, "fx_wide_walk").groupBy(*PAIR).agg(F.array_sort(F.collect_list(F.struct("dt", "asset1", "asset2"))).alias("s"))
-    s = s.select(*PAIR, F.transform("s", lambda r: r["asset1"]).alias("y"), F.transform("s", lambda r: r["asset2"]).alias("x"))
-    s = models.cointegration(s, tie_first=False).withColumn("cointegrated", F.col("p_value") < 0.05)
+    arrays, both = arrays_of(spark, d, "fx_wide_walk")
+    s = moments.winning(moments.windowed(both, arrays, ["sector"]), tie_first=False).withColumn("cointegrated", F.col("p_value") < 0.05)
+    m = (F.col("n_obs") - 1).cast("double")
+    s = s.withColumns({c: F.lit(x) + F.lit(y) / m + F.lit(z) / (m * m) for c, (x, y, z) in models.CRITICAL.items()})
+    s = s.select(*PAIR, "first", "t_stat", "p_value", "n_obs", *models.CRITICAL, "cointegrated")
     return jobs.in_order(s, [("a", "b")]).withColumnsRenamed({"a": "permno1", "b": "permno2"}).drop("first")
 
 
+#: Moments of the level (l) and of the changes before (1, 2) with each other and with the change (y); what the changes explain is taken off.
+LAGGED = f"""{STATS}, d as (select sector, a, b, dt, p as l, spread - p as y, lag(spread - p) over w as d1, lag(spread - p, 2) over w as d2 from l window w as (partition by sector, a, b order by dt)),
+ m1 as (select sector, a, b, count(*) as n, sum(l * l) as ll, sum(l * y) as ly, sum(y * y) as yy, sum(d1 * d1) as s11, sum(d1 * l) as l1, sum(d1 * y) as y1 from d where d1 is not null group by 1, 2, 3),
+ k1 as (select sector, a, b, 1 as k, n - 2 as free, ll - l1 * l1 / s11 as ll, ly - l1 * y1 / s11 as ly, yy - y1 * y1 / s11 as yy from m1),
+ m2 as (select sector, a, b, count(*) as n, sum(l * l) as ll, sum(l * y) as ly, sum(y * y) as yy, sum(d1 * d1) as s11, sum(d1 * d2) as s12, sum(d2 * d2) as s22, sum(d1 * l) as l1, sum(d2 * l) as l2, sum(d1 * y) as y1, sum(d2 * y) as y2 from d where d2 is not null group by 1, 2, 3),
+ k2 as (select sector, a, b, 2 as k, n - 3 as free, ll - (l1 * l1 * s22 - 2 * l1 * l2 * s12 + l2 * l2 * s11) / (s11 * s22 - s12 * s12) as ll, ly - (l1 * y1 * s22 - (l1 * y2 + l2 * y1) * s12 + l2 * y2 * s11) / (s11 * s22 - s12 * s12) as ly,
+ yy - (y1 * y1 * s22 - 2 * y1 * y2 * s12 + y2 * y2 * s11) / (s11 * s22 - s12 * s12) as yy from m2)"""
+
+
+@query(f"{LAGGED} select sector, a, b, k, round(ly / ll / sqrt((yy - ly * ly / ll) / free / ll), 5) as t_stat from (select * from k1 union all select * from k2) t")
+def df_k_stat(spark, d):
+    """The unit-root statistic of a on b with one and with two lags."""
+    arrays, both = arrays_of(spark, d, "fx_walk")
+    stat = lambda k: moments.windowed(both, arrays, ["sector"], lags=k).select(*PAIR, F.lit(k).alias("k"), F.round("t1", 5).alias("t_stat"))
+    return stat(1).unionByName(stat(2))
+
+
+#: Candidates by fixed labels and loadings, screened without lags: two thirds of a year's cross-section in three labels of each sector.
+#: The normal distribution: erf(x) is exp(-x^2) times the sum of x^(2n+1) / gamma(n + 3/2); in the tail, a continued fraction.
+PHI = """case when z < -2 then exp(-z * z / 2) / sqrt(2 * pi()) / list_reduce(range(80, 0, -1), lambda f, n: n / f - z, -z)
+ else 0.5 * (1 + exp(-z * z / 2) * list_sum(list_transform(range(0, 90), lambda n: power(z / sqrt(2), 2 * n + 1) / gamma(n + 1.5)))) end"""
+P_VALUE = "case when t > 0.92 then 1.0 when t < -18.86 then 0.0 else " + PHI + " end"
+FIXED = f"""{REBALANCES}, cal as (select dt, row_number() over (order by dt) - 1 as ord from (select distinct dt from WALK) t), o as (select rebal_date, ord from s join cal on dt = rebal_date where ord >= 103), x as (select distinct sector, asset from WALK),
+ cand as (select rebal_date, ord, x.sector, x.asset as a, y.asset as b, x.asset % 3 as cluster_id, sqrt(power(x.asset % 7 - y.asset % 7, 2) + power(x.asset % 11 - y.asset % 11, 2)) / 10 as pca_distance from o cross join x join x y on x.sector = y.sector and x.asset % 3 = y.asset % 3 and x.asset < y.asset),
+ al as (select * from (select cand.*, cal.dt, ln(u.price) as u, ln(v.price) as v, count(*) over (partition by rebal_date, cand.sector, a, b) as n_obs from cand join cal on cal.ord between cand.ord - 103 and cand.ord
+  join WALK u on u.asset = a and u.dt = cal.dt join WALK v on v.asset = b and v.dt = cal.dt) t where n_obs >= 40),
+ f as (select rebal_date, sector, a, b, regr_slope(u, v) as b1, regr_intercept(u, v) as a1, regr_slope(v, u) as b2, regr_intercept(v, u) as a2 from al group by 1, 2, 3, 4),
+ e as (select al.*, b1, a1, b2, a2, u - a1 - b1 * v as e1, v - a2 - b2 * u as e2 from al join f using (rebal_date, sector, a, b)),
+ l as (select *, lag(e1) over w as p1, lag(e2) over w as p2 from e window w as (partition by rebal_date, sector, a, b order by dt)),
+ g as (select rebal_date, sector, a, b, min(cluster_id) as cluster_id, min(pca_distance) as pca_distance, count(*) as overlap_n, min(a1) as a1, min(b1) as b1, min(a2) as a2, min(b2) as b2, count(p1) as n,
+  sum(p1 * p1) as ll1, sum(p1 * (e1 - p1)) as ld1, sum(power(e1 - p1, 2)) as dd1, regr_slope(e1 - p1, p1) as phi1, stddev_samp(e1 - p1) as c1, sum(p2 * p2) as ll2, sum(p2 * (e2 - p2)) as ld2, sum(power(e2 - p2, 2)) as dd2, regr_slope(e2 - p2, p2) as phi2, stddev_samp(e2 - p2) as c2 from l group by 1, 2, 3, 4),
+ t as (select *, ld1 / ll1 / sqrt((dd1 - ld1 / ll1 * ld1) / ((n - 1) * ll1)) as t1, ld2 / ll2 / sqrt((dd2 - ld2 / ll2 * ld2) / ((n - 1) * ll2)) as t2 from g),
+ z1 as (select *, {P_VALUE} as q1 from (select *, t1 as t, case when t1 <= -2.62 then 2.92 + 1.5012 * t1 + 0.039796 * t1 * t1 else 2.1945 + 0.64695 * t1 - 0.29198 * t1 * t1 - 0.042377 * power(t1, 3) end as z from t) z),
+ z2 as (select *, {P_VALUE} as q2 from (select * exclude (t, z), t2 as t, case when t2 <= -2.62 then 2.92 + 1.5012 * t2 + 0.039796 * t2 * t2 else 2.1945 + 0.64695 * t2 - 0.29198 * t2 * t2 - 0.042377 * power(t2, 3) end as z from z1) z),
+ sc as (select rebal_date, sector, a, b, cluster_id, pca_distance, overlap_n, case when q1 <= q2 then 'a_on_b' else 'b_on_a' end as best_direction, least(q1, q2) as pval_min, case when q1 <= q2 then t1 else t2 end as t_stat, case when q1 <= q2 then a1 else a2 end as alpha, case when q1 <= q2 then b1 else b2 end as beta,
+  case when q1 <= q2 then c1 else c2 end as spread_change_sigma, case when (case when q1 <= q2 then phi1 else phi2 end) < 0 then -ln(2) / (case when q1 <= q2 then phi1 else phi2 end) else cast('infinity' as double) end as half_life from z2),
+ sel as (select * from (select *, {SCORE} as score, row_number() over (partition by rebal_date, sector order by {SCORE} desc nulls last, a, b) as rank from sc where pval_min <= 0.2 and half_life between 1 and 60 and overlap_n >= 40) t where rank <= 10)"""
+AHEAD = """, fw as (select * from (select sel.rebal_date, sel.sector, a, b, u.dt, ln(u.price) - beta * ln(v.price) as spread, count(*) over (partition by sel.rebal_date, sel.sector, a, b) as n_obs from sel join s on s.rebal_date = sel.rebal_date
+  join WALK u on u.asset = a and u.dt between s.rebal_date and s.next_date join WALK v on v.asset = b and v.dt = u.dt) t where n_obs >= 9),
+ zz as (select rebal_date, sector, a, b, dt, spread, round(case when stddev_pop(spread) over w > 1e-12 then (spread - avg(spread) over w) / (stddev_pop(spread) over w) end, 9) as z from fw window w as (partition by rebal_date, sector, a, b order by dt rows between 7 preceding and current row)),
+ n as (select *, row_number() over (partition by rebal_date, sector, a, b order by dt) as i from zz), p as (
+ select rebal_date, sector, a, b, dt, spread, z, i, 0 as hold, 0 as position from (select *, 1 from n where i = 1) t
+ union all select n.rebal_date, n.sector, n.a, n.b, n.dt, n.spread, n.z, n.i,
+  case when n.z is null then 0 when p.position = 0 then case when abs(n.z) > 1.0 then 1 else 0 end when n.z * p.position > -0.25 or n.z * p.position < -3.0 or p.hold >= 8 then 0 else p.hold + 1 end,
+  case when n.z is null then 0 when p.position = 0 then case when n.z > 1.0 then -1 when n.z < -1.0 then 1 else 0 end when n.z * p.position > -0.25 or n.z * p.position < -3.0 or p.hold >= 8 then 0 else p.position end
+ from p join n on n.rebal_date = p.rebal_date and n.sector = p.sector and n.a = p.a and n.b = p.b and n.i = p.i + 1),
+ pn as (select *, coalesce(lag(position) over w, 0) * coalesce(spread - lag(spread) over w, 0) as pnl from p window w as (partition by rebal_date, sector, a, b order by dt)),
+ tot as (select sector, rebal_date, dt, avg(pnl) as pnl, count(pnl) as n_pairs from pn group by 1, 2, 3)"""
+
+
+def fixed(spark, d, name):
+    """The evaluation from labels and loadings that follow from the assets' numbers, tested without lags."""
+    p = walks(spark, d, name)
+    dates, cal = tables.kept(dates_of(spark, d)), tables.kept(panel.calendar(p))
+    each = p.select("sector", "asset").distinct().join(F.broadcast(dates.select("rebal_date")))  # assets x dates: what the labels and loadings are
+    labels = each.withColumn("label", F.col("asset") % 3)
+    loadings = each.withColumn("vec", F.array(F.col("asset") % 7 / 10.0, F.col("asset") % 11 / 10.0))
+    return jobs.evaluated(p, cal, dates, tables.kept(jobs.candidates(labels, loadings)), *SMALL, lags=0)
+
+
+@query(f"with {FIXED} select rebal_date, sector, a, b, cluster_id, best_direction, cast(overlap_n as integer) as overlap_n, round(pca_distance, 6) as pca_distance, round(t_stat, 6) as t_stat, round(pval_min, 8) as pval_min, round(alpha, 6) as alpha, round(beta, 6) as beta, round(spread_change_sigma, 8) as spread_change_sigma, round(least(half_life, 10000), 2) as half_life from sc".replace("WALK", "fx_wide_walk"))
+def screen_fixed(spark, d):
+    x = fixed(spark, d, "fx_wide_walk")["screened"]
+    return x.select(*jobs.KEYS, "a", "b", "cluster_id", "best_direction", "overlap_n", *r6("pca_distance", "t_stat", "alpha", "beta"), *[F.round(c, 8).alias(c) for c in ("pval_min", "spread_change_sigma")], F.round(F.least("half_life", F.lit(10000)), 2).alias("half_life"))
+
+
+@query(f"with {FIXED} select rebal_date, sector, a, b, cast(rank as integer) as rank, round(score, 3) as score from sel".replace("WALK", "fx_full_walk"))
+def selected_fixed(spark, d):
+    return fixed(spark, d, "fx_full_walk")["selected"].select(*jobs.KEYS, "a", "b", "rank", F.round("score", 3).alias("score"))
+
+
+@query(f"with recursive {FIXED}{AHEAD} select sector, rebal_date, dt, n_pairs, round(pnl, 9) + 0.0 as pnl, round(1 + sum(pnl) over (partition by sector order by dt, rebal_date rows unbounded preceding), 8) as equity from tot".replace("WALK", "fx_full_walk"))
+def rolling_fixed(spark, d):
+    x = fixed(spark, d, "fx_full_walk")["equity"]
+    return x.select("sector", "rebal_date", "dt", "n_pairs", r9("pnl"), F.round("equity", 8).alias("equity"))
+
+
 def evaluated(spark, d):
     """On the walks that keep their level over weeks without trades: every window is complete at every scale."""
     return jobs.rolling(walks(spark, d, "fx_full_walk"), dates_of(spark, d), *SMALL, k=2)
