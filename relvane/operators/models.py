@@ -158,17 +158,6 @@ def labels_of(x: np.ndarray, xi: float = 0.05, least: int = 2) -> np.ndarray:
     return out
 
 
-def cluster(vectors: DataFrame, keys: list[str], xi: float = 0.05) -> DataFrame:
-    """(keys, asset, label) of vectors (keys, asset, vec): density clusters with two points a core, for all keys in one job."""
-    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.select(*keys).schema)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("asset")
-        return pdf[[*keys, "asset"]].assign(label=labels_of(np.stack(pdf["vec"].to_numpy()), xi))
-
-    return vectors.select(*keys, "asset", "vec").groupBy(*keys).applyInPandas(run, f"{types}, asset long, label int")
-
-
 def cluster_counts(labels: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, clusters): how many clusters, noise (-1) left out."""
     return labels.groupBy(*keys).agg(F.countDistinct(F.when(F.col("label") != -1, F.col("label"))).alias("clusters"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..operators import models, moments, pairs, panel
+from ..operators import clusters, models, moments, pairs, panel
 from ..params import Fit, Pick, Trade
 from ..sources.tables import kept, write_artifact
 
@@ -76,7 +76,7 @@ def rolling(prices: DataFrame, dates: DataFrame, w: Fit = Fit(), pick: Pick = Pi
     cal, dates = kept(panel.calendar(prices)), kept(dates)
     loadings, _, _ = factors(prices, cal, dates, w.components + 1, passes, w.components, demeaned)
     loadings = loadings.select(*KEYS, "asset", F.slice("vec", 1, k).alias("vec"))
-    labels = kept(models.cluster(models.scaled_loadings(loadings, KEYS), KEYS))
+    labels = kept(clusters.cluster(models.scaled_loadings(loadings, KEYS), KEYS))
     cand = kept(candidates(labels, loadings))
     return {"loadings": loadings, "labels": labels, "candidates": cand} | evaluated(prices, cal, dates, cand, w, pick, s, half_open, direction_aware)
 
@@ -114,7 +114,7 @@ def portfolio(prices: DataFrame, dates: DataFrame, w: Fit = Fit(), benchmark: fl
     loadings, ratios, _ = factors(prices, cal, dates, w.components + 1)
     cut = models.relevant(ratios, KEYS, benchmark)
     loadings = kept(loadings.join(cut, KEYS).select(*KEYS, "asset", F.slice("vec", F.lit(1), F.col("k")).alias("vec")))
-    labels = kept(models.cluster(models.scaled_loadings(loadings, KEYS), KEYS))
+    labels = kept(clusters.cluster(models.scaled_loadings(loadings, KEYS), KEYS))
     lp = panel.log_price(prices)
     long = lp.groupBy("sector").agg(F.countDistinct("dt").alias("n")).where(F.col("n") >= min_obs).select("sector")
     arrays = kept(moments.series(lp, cal, ["sector"]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import models, moments, pairs, panel, quotes
+from ..operators import clusters, models, moments, pairs, panel, quotes
 from ..params import Fit, Pick, Trade
 from ..sources import tables
 from ..sources.fixtures import view, with_views
@@ -518,7 +518,7 @@ def factor_returns(spark, d):
 
 @query()
 def optics_labels(spark, d):
-    return models.cluster(models.scaled_loadings(pca_loadings(spark, d), jobs.KEYS, 2), jobs.KEYS)
+    return clusters.cluster(models.scaled_loadings(pca_loadings(spark, d), jobs.KEYS, 2), jobs.KEYS)
 
 
 @query()
