@@ -644,6 +644,13 @@ def rolling_backtest(spark, d):
     return evaluated(spark, d)["equity"]
 
 
+@query()
+def rolling_daily(spark, d):
+    """Daily walks, quarterly dates, and the default windows, limits and bounds of the job."""
+    p = walks(spark, d, "fx_days_walk")
+    return jobs.rolling(p, panel.rebalances(panel.calendar(p), START, END))["equity"]
+
+
 @query()
 def portfolio_candidates(spark, d):
     return jobs.portfolio(walks(spark, d, "fx_full_walk"), dates_of(spark, d), SMALL[0])

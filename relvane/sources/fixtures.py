@@ -9,6 +9,10 @@ PRICE = "cast(sum(cast(l_extendedprice as decimal(18,2))) as double) / cast(sum(
 WALK = """select dt, asset, sector, 100 * exp(sum(round(0.02 * (price / m - 1), 6)) over (partition by asset order by dt rows between unbounded preceding and current row)) as price
  from (select dt, asset, sector, price, avg(price) over (partition by asset) as m from {}) t"""
 
+#: A walk without gaps: on dates without trades an asset keeps its level.
+FULL = """select dt, asset, sector, 100 * exp(sum(coalesce(round(0.02 * (price / m - 1), 6), 0)) over (partition by asset order by dt rows between unbounded preceding and current row)) as price
+ from (select c.dt, a.asset, a.sector, w.price, avg(w.price) over (partition by a.asset) as m from (select distinct dt from {0}) c cross join (select distinct asset, sector from {0}) a left join {0} w on w.dt = c.dt and w.asset = a.asset) t"""
+
 #: name: (views it reads, SQL)
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "fx_panel": ((), f"""select cast(date_trunc('week', l_shipdate) as date) as dt, cast(s_nationkey as bigint) as asset, cast(n_regionkey as string) as sector, {PRICE}
@@ -17,8 +21,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
  from lineitem join supplier on l_suppkey = s_suppkey join nation on n_nationkey = s_nationkey join part on l_partkey = p_partkey group by 1, 2, 3"""),
     "fx_walk": (("fx_panel",), WALK.format("fx_panel")),
     "fx_wide_walk": (("fx_wide",), WALK.format("fx_wide")),
-    "fx_full_walk": (("fx_wide",), """select dt, asset, sector, 100 * exp(sum(coalesce(round(0.02 * (price / m - 1), 6), 0)) over (partition by asset order by dt rows between unbounded preceding and current row)) as price
- from (select c.dt, a.asset, a.sector, w.price, avg(w.price) over (partition by a.asset) as m from (select distinct dt from fx_wide) c cross join (select distinct asset, sector from fx_wide) a left join fx_wide w on w.dt = c.dt and w.asset = a.asset) t"""),
+    "fx_full_walk": (("fx_wide",), FULL.format("fx_wide")),
+    "fx_days": ((), f"""select cast(l_shipdate as date) as dt, cast(n_regionkey as bigint)*100 + cast(substr(p_brand,7) as bigint) as asset, cast(n_regionkey as string) as sector, {PRICE}
+ from lineitem join supplier on l_suppkey = s_suppkey join nation on n_nationkey = s_nationkey join part on l_partkey = p_partkey group by 1, 2, 3"""),
+    "fx_days_walk": (("fx_days",), FULL.format("fx_days")),
     "fx_names": ((), """select o_custkey as permno, o_orderstatus, o_orderpriority, namedt, case when nxt is null then date '2099-12-31' else cast(nxt - interval 1 day as date) end as nameendt,
  case o_orderstatus when 'O' then 1 when 'P' then 2 else 3 end as exchcd from (
  select o_custkey, o_orderstatus, o_orderpriority, cast(o_orderdate as date) as namedt, lead(cast(o_orderdate as date)) over (partition by o_custkey order by cast(o_orderdate as date), o_orderkey) as nxt from orders) t
