@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from ..params import Pick, Trade
 from ..sources.tables import kept
 from .quotes import finite
 
+#: Rows of z that are walked through in step, series times rows.
+ROOM = 1 << 22
+
 
 def combinations(labels: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, label, a, b), a < b, of assets with one label; noise (-1) pairs with nothing."""
@@ -84,32 +89,104 @@ def select_pairs(screened: DataFrame, keys: list[str], s: Pick = Pick()) -> Data
     return ok.withColumn("rank", rank).where(F.col("rank") <= s.most)
 
 
+def stepped(state: np.ndarray, v: np.ndarray, s: Trade) -> np.ndarray:
+    """The states after a row of z. A state is 0 (flat), or the rows that a position has been held, below 0 for a short one; held for 1 if s has no limit."""
+    side = np.sign(state)
+    w = v * side  # as if long: entered below, gone above
+    out = w > -s.leave
+    if s.stop is not None:
+        out |= w < -abs(s.stop)
+    if s.hold:
+        out |= np.abs(state) >= s.hold
+    enter = np.where(v > s.enter, -1, np.where(v < -s.enter, 1, 0))
+    return np.where(np.isnan(v), 0, np.where(side == 0, enter, np.where(out, 0, state + side if s.hold else state)))
+
+
+def walked(z: list[np.ndarray], state: np.ndarray, s: Trade, keep: bool) -> tuple[list[np.ndarray], np.ndarray]:
+    """(the positions of each series, the states after its last row), all series in step; state: (series, states to start from)."""
+    size = np.array([len(v) for v in z], int)
+    order, state, out = np.argsort(-size, kind="stable"), state.copy(), [np.zeros(0, np.int64)] * len(z)
+    at = 0
+    while at < len(z):
+        n = max(1, min(len(z) - at, ROOM // max(1, int(size[order[at]]))))  # series of like lengths
+        some = order[at : at + n]
+        rows = np.full((n, int(size[some[0]])), np.nan)
+        inside = np.arange(rows.shape[1])[None, :] < size[some][:, None]
+        rows[inside] = np.concatenate([z[k] for k in some])
+        now, path = state[some], np.zeros(rows.shape if keep else (0, 0), np.int8)
+        ends = np.searchsorted(-size[some], -np.arange(rows.shape[1]))  # how many series have a row there: they come first
+        for t, m in enumerate(ends.tolist()):
+            now[:m] = stepped(now[:m], rows[:m, t, None], s)
+            if keep:
+                path[:m, t] = np.sign(now[:m, 0])
+        state[some] = now
+        if keep:
+            for k, p in zip(some, path):
+                out[k] = p[: size[k]]
+        at += n
+    return out, state
+
+
 def positions(df: DataFrame, keys: list[str], s: Trade = Trade(), z: str = "z") -> DataFrame:
-    """(keys, dt, z, position): flat, long (1) or short (-1) by z with hysteresis.
+    """(keys, dt, z, position): flat, long (1) or short (-1) by z with hysteresis, in the order of dt.
 
-    A key's rows are folded in order of dt in the JVM. A null z is flat and forgets; an exit and a new entry never
-    share a row; a stop isn't tested on entry. For keys of up to a few thousand rows, as a forward window has.
+    A null z is flat and forgets; an exit and a new entry never share a row; a stop isn't tested on entry. Rows are dealt by ranges of
+    (keys, dt), so a key of many rows is cut into pieces. What a piece does to each state that it may be entered with is a map of few states;
+    the maps of a key's pieces, put one after the other, say in which state each is entered, and then all pieces are
+    walked through at once. Most keys are one piece, which is entered flat.
     """
-    state = lambda pos, hold: F.struct(pos.alias("pos"), hold.alias("hold"))
-    flat = state(F.lit(0), F.lit(0))
-    rows = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("dt", F.col(z).alias("z")))).alias("rows"))
-
-    def step(acc, row):
-        v, last = row["z"], F.element_at(acc, -1)
-        side = last["pos"]
-        w = v * side  # as if long: entered below, gone above
-        out = w > -s.leave
-        if s.stop is not None:
-            out = out | (w < -abs(s.stop))
-        if s.hold:
-            out = out | (last["hold"] >= s.hold)
-        enter = F.when(v > s.enter, state(F.lit(-1), F.lit(1))).when(v < -s.enter, state(F.lit(1), F.lit(1))).otherwise(flat)
-        new = F.when(v.isNull(), flat).when(side == 0, enter).when(out, flat).otherwise(state(side, last["hold"] + 1))
-        return F.concat(acc, F.array(new))
-
-    folded = rows.withColumn("s", F.aggregate("rows", F.array(flat), step))
-    both = folded.select(*keys, F.explode(F.arrays_zip("rows", F.slice("s", F.lit(2), F.size("rows")).alias("s"))).alias("x"))
-    return both.select(*keys, F.col("x.rows.dt").alias("dt"), F.col("x.rows.z").alias("z"), F.col("x.s.pos").alias("position"))
+    starts = np.array([0, *(x for h in range(1, (s.hold or 1) + 1) for x in (h, -h))])
+    dealt = kept(df.select(*keys, "dt", F.col(z).cast("double").alias("z")).repartitionByRange(*keys, "dt").withColumn("_piece", F.spark_partition_id()))
+    pieces = dealt.groupBy(*keys, "_piece").agg(F.array_sort(F.collect_list(F.struct("dt", "z"))).alias("_rows"))
+    several = dealt.select(*keys, "_piece").distinct().groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    types = T.StructType([pieces.schema[k] for k in keys])
+    types = types.add("_piece", T.IntegerType())
+
+    def series(batch):
+        flat = batch.column("_rows")
+        o = flat.offsets.to_numpy() - flat.offsets[0].as_py()
+        return np.split(flat.flatten().field("z").to_numpy(zero_copy_only=False).astype(float), o[1:-1]) if len(flat) else []
+
+    def mapped(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            zs = series(batch)
+            _, after = walked(zs, np.tile(starts, (len(zs), 1)), s, False)
+            first = batch.column("_rows").flatten().field("dt").take(pa.array(batch.column("_rows").offsets.to_numpy()[:-1] - batch.column("_rows").offsets[0].as_py()))
+            after = pa.ListArray.from_arrays(pa.array(np.arange(len(zs) + 1, dtype=np.int32) * len(starts)), pa.array(after.ravel().astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in (*keys, "_piece")], first, after], names=[*keys, "_piece", "first", "after"])
+
+    def chained(batches):
+        import pyarrow as pa
+
+        place = {int(v): n for n, v in enumerate(starts)}
+        for batch in batches:
+            parent, piece, state = [], [], []
+            for n, maps in enumerate(batch.column("maps").to_pylist()):
+                now = 0
+                for m in maps:
+                    parent.append(n), piece.append(m["_piece"]), state.append(now)
+                    now = m["after"][place[now]]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k).take(pa.array(parent, pa.int64())) for k in keys], pa.array(piece, pa.int32()), pa.array(state, pa.int32())], names=[*keys, "_piece", "entered"])
+
+    def placed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            zs = series(batch)
+            found, _ = walked(zs, batch.column("entered").to_numpy(zero_copy_only=False).astype(np.int64)[:, None], s, True)
+            offsets = pa.array(np.r_[0, np.cumsum([len(v) for v in zs])].astype(np.int32))
+            found = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*found, np.zeros(0, np.int8)]).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], batch.column("_rows"), found], names=[*keys, "_rows", "_positions"])
+
+    long = T.StructType([*types.fields]).add("first", pieces.schema["_rows"].dataType.elementType["dt"].dataType).add("after", T.ArrayType(T.IntegerType()))
+    maps = pieces.join(several, keys).mapInArrow(mapped, long).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("first", "_piece", "after"))).alias("maps"))
+    entered = maps.mapInArrow(chained, T.StructType([*types.fields]).add("entered", T.IntegerType()))
+    both = pieces.join(entered, [*keys, "_piece"], "left").withColumn("entered", F.coalesce("entered", F.lit(0))).drop("_piece")
+    walked_ = both.mapInArrow(placed, T.StructType([pieces.schema[k] for k in keys]).add("_rows", pieces.schema["_rows"].dataType).add("_positions", T.ArrayType(T.IntegerType())))
+    x = walked_.select(*keys, F.explode(F.arrays_zip("_rows", "_positions")).alias("x"))
+    return x.select(*keys, F.col("x._rows.dt").alias("dt"), F.col("x._rows.z").alias("z"), F.col("x._positions").alias("position"))
 
 
 def pair_pnl(df: DataFrame, keys: list[str]) -> DataFrame:
