@@ -54,10 +54,10 @@ def zscore(panel: DataFrame, value: str, out: str, keys: tuple = ("sector", "ass
 
 
 def complete_dates(panel: DataFrame, value: str, group: tuple = ("sector",)) -> DataFrame:
-    """Only dates on which no asset of the group misses the value."""
-    have = panel.groupBy(*group, "dt").agg(F.count(value).alias("_have"))
+    """Only dates on which no asset of the group misses the value: a count by window against the group's number of assets."""
     n = panel.groupBy(*group).agg(F.countDistinct("asset").alias("_n"))
-    return panel.join(have, [*group, "dt"]).join(n, list(group)).where(F.col("_have") == F.col("_n")).drop("_have", "_n")
+    have = panel.withColumn("_have", F.count(value).over(W.partitionBy(*group, "dt")))
+    return have.join(n, list(group)).where(F.col("_have") == F.col("_n")).drop("_have", "_n")
 
 
 def scaled(panel: DataFrame, value: str = "price", group: tuple = ("sector",), demeaned: str = "prices", fill: str = "pad") -> DataFrame:

@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import filled
+
 #: Exchange codes, link types and share classes that count.
 EXCHANGES = {"NYSE": 1, "AMEX": 2, "NASDAQ": 3}
 LINK_TYPES, LINK_PRIMARY, SHARE_CODES = ("LU", "LC"), ("P", "C"), (10, 11)
 
+#: Columns of the sources by their names in the quote table.
+RENAMED = {
+    "comnam": "company_name", "shrcd": "share_code", "prc": "price", "vol": "volume", "ret": "return", "retx": "return_ex_dividend", "shrout": "shares_outstanding",
+    "openprc": "open_price", "askhi": "ask_high", "bidlo": "bid_low", "cfacshr": "cum_factor_shares", "cfacpr": "cum_factor_price",
+}
+#: Days of a bin of an interval join.
+BIN = 128
+
 
 def finite(c) -> Column:
     """NaN and infinities as null."""
@@ -32,10 +42,29 @@ def exchange_name(code: str = "exchcd") -> Column:
     return out
 
 
+def bins(day: Column, last: Column) -> Column:
+    """The bin of BIN days that a date is in; dates after `last` are in its bin."""
+    return F.floor(F.datediff(F.least(day, last), F.lit("1970-01-01").cast("date")) / BIN).cast("int")
+
+
 def valid_at(quotes: DataFrame, names: DataFrame, how: str = "left") -> DataFrame:
-    """Quotes with the names row whose inclusive interval holds the quote's date: an equi-join on permno with a range test."""
-    n = names.withColumnRenamed("permno", "_permno")
-    return quotes.join(n, (F.col("permno") == F.col("_permno")) & F.col("date").between(F.col("namedt"), F.col("nameendt")), how).drop("_permno")
+    """Quotes with the names row whose inclusive interval holds the quote's date.
+
+    An interval is repeated for each bin of dates that it meets, and rows join on (permno, bin), so a permno of many quotes is the work
+    of as many tasks as it has bins, and a quote is held against the intervals of its bin alone. No interval starts after
+    the last namedt, so from then on one bin will do. A quote is in one bin: no match comes twice.
+    """
+    last = F.broadcast(names.agg(F.max("namedt").alias("_last")))  # one row
+    n = names.withColumnRenamed("permno", "_permno").crossJoin(last).withColumn("_nbin", F.explode(F.sequence(bins(F.col("namedt"), F.col("_last")), F.greatest(bins(F.col("namedt"), F.col("_last")), bins(F.col("nameendt"), F.col("_last")))))).drop("_last")
+    q = quotes.crossJoin(last).withColumn("_bin", bins(F.col("date"), F.col("_last"))).drop("_last")
+    match = (F.col("permno") == F.col("_permno")) & (F.col("_bin") == F.col("_nbin")) & F.col("date").between(F.col("namedt"), F.col("nameendt"))
+    return q.join(n, match, how).drop("_permno", "_nbin", "_bin")
+
+
+def daily(quotes: DataFrame, names: DataFrame, start, end, exchanges: list[str] = ()) -> DataFrame:
+    """Quotes of a range of dates with their names, as the table `quotes`; columns that the sources lack are null."""
+    df = on_exchanges(valid_at(between(quotes, start, end), names), list(exchanges))
+    return filled(df.withColumnsRenamed({k: v for k, v in RENAMED.items() if k in df.columns}), "quotes")
 
 
 def names_on(names: DataFrame, day) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window as W
 
 from ..operators import clusters, models, moments, pairs, panel
 from ..params import Fit, Pick, Trade
+from ..schemas import SCHEMAS, conform
 from ..sources.tables import kept, write_artifact
 
 KEYS = ["sector", "rebal_date"]
@@ -93,9 +94,9 @@ def evaluated(prices: DataFrame, cal: DataFrame, dates: DataFrame, cand: DataFra
 
 
 def write_artifacts(results: dict[str, DataFrame], path: str) -> None:
-    """A table for each result that is keyed by sector and rebalance date."""
+    """A table for each result that is keyed by sector and rebalance date; those that have a schema must conform to it."""
     for name, df in results.items():
-        write_artifact(df, path, name)
+        write_artifact(conform(df, name) if name in SCHEMAS else df, path, name)
 
 
 def in_order(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:

@@ -48,6 +48,16 @@ def quotes_scan(spark, d):
     return quotes.between(view(spark, d, "fx_daily"), "1994-01-01", "1995-12-31")
 
 
+@query("""select q.permno, cast(null as bigint) as permco, date, o_orderpriority as ticker, cast(null as varchar) as company_name, exchcd, 9 + cast(substr(o_orderpriority, 1, 1) as integer) as share_code, cast(prc as double) as price, cast(null as double) as volume,
+ cast(null as double) as "return", cast(null as double) as return_ex_dividend, cast(shrout as double) as shares_outstanding, cast(null as double) as open_price, cast(null as double) as ask_high, cast(null as double) as bid_low, cast(null as double) as cum_factor_shares, round(cast(cfacpr as double), 6) as cum_factor_price
+ from fx_daily q join fx_names n on q.permno = n.permno and date between namedt and nameendt where date between date '1994-01-01' and date '1995-12-31' and exchcd in (1, 3)""")
+def quotes_daily(spark, d):
+    """All columns of the quote table, of two exchanges and two years."""
+    n = view(spark, d, "fx_names").withColumn("ticker", F.col("o_orderpriority")).withColumn("shrcd", F.substring("o_orderpriority", 1, 1).cast("int") + 9)
+    out = quotes.daily(view(spark, d, "fx_daily"), n, "1994-01-01", "1995-12-31", ["NYSE", "NASDAQ"])
+    return out.withColumn("cum_factor_price", F.round("cum_factor_price", 6))
+
+
 @query("select cast(year(date) as integer) as year, count(*) as n from fx_daily group by 1")
 def quotes_by_year(spark, d):
     at = tables.new_folder(spark)
