@@ -1,4 +1,4 @@
-"""Matrix steps, each an Arrow function over a parallel key: PCA and density clustering by (group, window), cointegration by pair."""
+"""Matrix steps: PCA by blocks of assets, the steps of density clustering, and cointegration by batches of pairs."""
 
 from __future__ import annotations
 
@@ -14,6 +14,9 @@ from ..sources.tables import kept
 from . import moments
 from .panel import zscore
 
+#: Assets whose loadings are found at once.
+ASSETS = 1024
+
 
 def components_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(scores, loadings by column, explained-variance ratios) of a dates x assets matrix; a component's largest loading is positive."""
@@ -25,29 +28,81 @@ def components_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return u * s * sign, (vt * sign[:, None]).T, s**2 / total if total > 0 else np.zeros_like(s)
 
 
-def pca(scaled: DataFrame, keys: list[str], value: str = "z") -> tuple[DataFrame, DataFrame, DataFrame]:
+def gram_of(rows: list, t: int) -> np.ndarray:
+    """Inner products of the dates, over assets less their means."""
+    x = np.array(rows, float).reshape(-1, t)
+    x = x - x.mean(1, keepdims=True)
+    return x.T @ x
+
+
+def axes_of(gram: np.ndarray, assets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(axes by row, squared singular values), largest first, as many as dates or assets."""
+    w, u = np.linalg.eigh(gram)
+    k = min(len(w), assets)
+    return u[:, ::-1][:, :k].T, np.maximum(w[::-1][:k], 0)
+
+
+def pca(scaled: DataFrame, keys: list[str], value: str = "z", block: int = ASSETS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(loadings, ratios, scores): (keys, asset, vec), (keys, pc, ratio, cum_ratio) and (keys, dt, pc, value), for all keys in one job.
 
-    The rows of a key must hold each of its assets on each of its dates; a key with one date or none gives nothing.
+    The rows of a key must hold each of its assets on each of its dates; a key with one date or none gives nothing. Assets are dealt into
+    blocks: each sends the inner products of the dates over its assets, dates x dates numbers whatever the assets, whose sum has
+    the components; blocks then find the loadings of their assets. A component's largest loading is positive; one without variance has loadings of 0.
     """
-    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in scaled.select(*keys, "asset", "dt").schema)
-    rows = scaled.select(*keys, "asset", "dt", value)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.pivot(index="dt", columns="asset", values=value).sort_index().dropna()
-        head = {k: pdf[k].iloc[0] for k in keys}
-        if len(x) < 2:
-            return pd.DataFrame(columns=[*keys, "asset", "dt", "vec", "ratios"])
-        score, load, ratio = components_of(x.to_numpy())
-        assets, dates = x.shape[1], len(x)
-        return pd.DataFrame({**{k: [v] * (assets + dates) for k, v in head.items()}, "asset": pd.array([*x.columns, *[None] * dates], dtype="Int64"), "dt": [None] * assets + list(x.index), "vec": [*load, *score], "ratios": [ratio] * assets + [None] * dates})
-
-    fit = kept(rows.groupBy(*keys).applyInPandas(run, f"{types}, vec array<double>, ratios array<double>"))
-    scores = fit.where(F.col("dt").isNotNull()).select(*keys, "dt", F.posexplode("vec").alias("pc", "value")).withColumn("pc", F.col("pc") + 1)
-    loadings = fit.where(F.col("asset").isNotNull()).select(*keys, "asset", "vec")
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in scaled.select(*keys).schema)
+    day = scaled.schema["dt"].dataType.simpleString()
+    series = scaled.groupBy(*keys, "asset").agg(F.array_sort(F.collect_list(F.struct("dt", F.col(value).alias("v")))).alias("s"))
+    n = F.ceil(F.count("*").over(W.partitionBy(*keys)) / block).cast("int")
+    rows = kept(series.withColumn("blocks", n).select(*keys, "asset", F.pmod(F.xxhash64("asset"), F.col("blocks")).cast("int").alias("block"), F.transform("s", lambda r: r["dt"]).alias("dts"), F.transform("s", lambda r: r["v"]).alias("vals")).where(F.size("dts") > 1))
+
+    def head(group, times=1):
+        import pyarrow as pa
+
+        return {k: group[k].combine_chunks().take(pa.array([0] * times)) for k in keys}
+
+    def partial(group):
+        import pyarrow as pa
+
+        dts = group["dts"].combine_chunks().slice(0, 1)
+        gram = gram_of(group["vals"].to_pylist(), len(dts[0]))
+        return pa.table({**head(group), "dts": dts, "gram": [gram.ravel()], "assets": [len(group)], "block": group["block"].combine_chunks().slice(0, 1)})
+
+    def whole(group):
+        import pyarrow as pa
+
+        t = len(group["dts"][0])
+        axes, squares = axes_of(sum(np.array(g).reshape(t, t) for g in group["gram"].to_numpy()), sum(group["assets"].to_pylist()))
+        total = squares.sum()
+        return pa.table({**head(group), "dts": group["dts"].combine_chunks().slice(0, 1), "axes": [axes.ravel()], "squares": [squares], "ratios": [squares / total if total > 0 else squares], "blocks": pa.array([group["block"].to_pylist()], pa.list_(pa.int32()))})
+
+    grams = rows.groupBy(*keys, "block").applyInArrow(partial, f"{types}, dts array<{day}>, gram array<double>, assets long, block int")
+    fit = kept(grams.groupBy(*keys).applyInArrow(whole, f"{types}, dts array<{day}>, axes array<double>, squares array<double>, ratios array<double>, blocks array<int>"))
+
+    def loaded(group, fit):
+        import pyarrow as pa
+
+        squares = np.array(fit["squares"][0].as_py())
+        axes = np.array(fit["axes"][0].as_py()).reshape(len(squares), -1)
+        x = np.stack(group["vals"].to_numpy())
+        x = x - x.mean(1, keepdims=True)
+        some = squares > 1e-12 * squares.sum()
+        load = np.where(some, x @ axes.T / np.sqrt(np.where(some, squares, 1)), 0.0)
+        peak = load[np.abs(load).argmax(0), np.arange(len(squares))]
+        m = len(group)
+        return pa.table({**head(group, m + 1), "asset": pa.array([*group["asset"].to_pylist(), None], pa.int64()), "vec": [*load, peak]})
+
+    dealt = fit.select(*keys, "axes", "squares", F.explode("blocks").alias("block"))
+    raw = kept(rows.select(*keys, "block", "asset", "vals").groupBy(*keys, "block").cogroup(dealt.groupBy(*keys, "block")).applyInArrow(loaded, f"{types}, asset long, vec array<double>"))
+    # of each component the peak of all blocks; its sign turns the component
+    peaks = raw.where(F.col("asset").isNull()).groupBy(*keys).agg(F.collect_list("vec").alias("p"))
+    peaks = peaks.withColumn("sign", F.aggregate("p", F.array_repeat(F.lit(0.0), F.size(F.element_at("p", 1))), lambda s, v: F.zip_with(s, v, lambda x, y: F.when(F.abs(y) > F.abs(x), y).otherwise(x)))).select(*keys, F.transform("sign", lambda x: F.when(x < 0, -1.0).otherwise(1.0)).alias("sign"))
+    loadings = raw.where(F.col("asset").isNotNull()).join(peaks, keys).select(*keys, "asset", F.zip_with("vec", "sign", lambda x, y: x * y).alias("vec"))
+    pcs = fit.join(peaks, keys).select(*keys, "dts", F.posexplode(F.arrays_zip("squares", "ratios", "sign")).alias("pc", "x"), "axes")
     w = W.partitionBy(*keys).orderBy("pc")
-    ratios = fit.groupBy(*keys).agg(F.first("ratios", ignorenulls=True).alias("r")).select(*keys, F.posexplode("r").alias("pc", "ratio")).withColumn("pc", F.col("pc") + 1)
-    return loadings, ratios.withColumn("cum_ratio", F.sum("ratio").over(w.rowsBetween(W.unboundedPreceding, 0))), scores
+    ratios = pcs.select(*keys, (F.col("pc") + 1).alias("pc"), F.col("x.ratios").alias("ratio")).withColumn("cum_ratio", F.sum("ratio").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    axis = F.slice("axes", F.col("pc") * F.size("dts") + 1, F.size("dts"))
+    scores = pcs.select(*keys, (F.col("pc") + 1).alias("pc"), (F.sqrt("x.squares") * F.col("x.sign")).alias("size"), F.explode(F.arrays_zip("dts", axis.alias("axis"))).alias("y"))
+    return loadings, ratios, scores.select(*keys, F.col("y.dts").alias("dt"), "pc", (F.col("y.axis") * F.col("size")).alias("value"))
 
 
 def relevant(ratios: DataFrame, keys: list[str], benchmark: float = 0.5) -> DataFrame:

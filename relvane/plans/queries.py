@@ -507,10 +507,21 @@ def walks(spark, d, name="fx_walk"):
 
 
 def factored(spark, d):
-    p = walks(spark, d, "fx_wide_walk")
+    p = walks(spark, d, "fx_full_walk")
     return jobs.factors(p, panel.calendar(p), dates_of(spark, d), 53)
 
 
+@query(f"""with {REBALANCES}, cal as (select dt, row_number() over (order by dt) - 1 as ord from (select distinct dt from fx_full_walk) t), o as (select rebal_date, ord from s join cal on dt = rebal_date where ord >= 52),
+ w as (select rebal_date, p.* from o join cal on cal.ord between o.ord - 52 and o.ord join fx_full_walk p on p.dt = cal.dt), x as (select *, price - avg(price) over (partition by rebal_date, sector, dt) as x from w),
+ ch as (select *, x / nullif(lag(x) over (partition by rebal_date, sector, asset order by dt), 0) - 1 as r from x), n as (select sector, count(distinct asset) as n from ch group by 1), h as (select rebal_date, sector, dt, count(r) as h from ch group by 1, 2, 3),
+ c as (select ch.* from ch join n using (sector) join h using (rebal_date, sector, dt) where h = n), z as (select *, (r - avg(r) over v) / coalesce(nullif(stddev_pop(r) over v, 0), 1) as z from c window v as (partition by rebal_date, sector, asset)),
+ g as (select a.rebal_date, a.sector, a.asset as a, b.asset as b, sum(a.z * b.z) as g from z a join z b on a.rebal_date = b.rebal_date and a.sector = b.sector and a.dt = b.dt group by 1, 2, 3, 4)
+ select rebal_date, sector, round(sum(g * g) / power(sum(g) filter (where a = b), 2), 6) as concentration from g group by 1, 2""")
+def pca_moments(spark, d):
+    """The sum of the squared ratios, which is that of the squared covariances over the squared total variance."""
+    return factored(spark, d)[1].groupBy(*jobs.KEYS).agg(F.round(F.sum(F.col("ratio") * F.col("ratio")), 6).alias("concentration"))
+
+
 @query()
 def pca_evr(spark, d):
     return factored(spark, d)[1]

@@ -63,6 +63,26 @@ def test_pca_invariants(spark):
     assert np.allclose([[r.value for r in scores.where(F.col("dt") == i).orderBy("pc").collect()] for i in (0, 7)], s[[0, 7]])
 
 
+def test_pca_in_blocks_of_assets(spark):
+    r = np.random.default_rng(7)
+    parts = {"wide": r.standard_normal((12, 50)) * r.uniform(0.5, 3, 50), "tall": r.standard_normal((40, 6)), "one": r.standard_normal((9, 1)), "flat": np.ones((5, 3)), "short": r.standard_normal((1, 4))}
+    df = spark.createDataFrame([(k, 3 * j + 1, i, float(x[i, j])) for k, x in parts.items() for i in range(x.shape[0]) for j in range(x.shape[1])], "sector string, asset long, dt int, z double").repartition(4)
+    for block in (1024, 7):
+        loadings, ratios, scores = models.pca(df, ["sector"], block=block)
+        load = {k: np.array([x.vec for x in loadings.where(F.col("sector") == k).orderBy("asset").collect()]) for k in parts}
+        ratio = {k: np.array([x.ratio for x in ratios.where(F.col("sector") == k).orderBy("pc").collect()]) for k in parts}
+        score = {k: np.array([x.value for x in scores.where(F.col("sector") == k).orderBy("dt", "pc").collect()]) for k in parts}
+        assert not len(load["short"]) and not len(ratio["short"]) and np.all(load["flat"] == 0)
+        for k in ("wide", "tall", "one"):
+            x = parts[k]
+            s, want, e = models.components_of(x)
+            some = e > 1e-9
+            assert np.allclose(ratio[k], e, atol=1e-12) and load[k].shape == want.shape
+            assert np.allclose(load[k][:, some], want[:, some], atol=1e-8)
+            assert np.allclose(score[k].reshape(len(x), -1)[:, some], s[:, some], atol=1e-8)
+    assert models.pca(df.where("false"), ["sector"])[0].collect() == []
+
+
 def test_two_blocks_are_two_clusters():
     r = np.random.default_rng(1)
     x = np.concatenate([r.normal(0, 0.01, (6, 2)), r.normal(5, 0.01, (6, 2)), [[30, -30]]])
