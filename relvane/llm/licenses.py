@@ -14,14 +14,14 @@ from __future__ import annotations
 
 import re
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, stash, table
 
 UNKNOWN = "unknown"
 #: Documents of the corpus that training reads, about, for class "unknown"; share of its paragraphs that is for calibration only, by hash.
@@ -183,12 +183,11 @@ class Model:
     def __init__(self, classes, biases, weights, least, known):
         self.classes, self.biases, self.weights, self.least, self.known = classes, biases, weights, least, known
 
-    def probabilities(self, sums):
-        """Softmax over the classes of sums of weights."""
-        total = F.transform(F.arrays_zip(sums.alias("s"), F.array(*map(F.lit, self.biases)).alias("b")), lambda x: x["s"] + x["b"])
-        top = F.array_max(total)
-        powers = F.transform(total, lambda x: F.exp(x - top))
-        return F.transform(powers, lambda x: x / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
+    def probabilities(self, rows: DataFrame, sums: list[str]) -> DataFrame:
+        """rows with the softmax over the classes in place of each sum of weights."""
+        total = rows.withColumns({c: F.round(c, 9) + F.lit(b) for c, b in zip(sums, self.biases)})
+        powers = total.withColumn("top", F.greatest(*sums) if len(sums) > 1 else F.col(sums[0])).withColumns({c: F.exp(F.col(c) - F.col("top")) for c in sums})
+        return powers.withColumn("top", reduce(add, map(F.col, sums))).withColumns({c: F.col(c) / F.col("top") for c in sums}).drop("top")
 
 
 def train(docs: DataFrame, given: dict | None = None, sample: int = SAMPLE) -> Model:
@@ -200,8 +199,10 @@ def train(docs: DataFrame, given: dict | None = None, sample: int = SAMPLE) -> M
     bound = int(min(1.0, sample / max(1, docs.count())) * (1 << 30))
     few = docs.where(F.pmod(F.xxhash64("doc_id", F.col("text").cast("string")), F.lit(1 << 30)) < bound)
     negative = paragraphs(few).where(F.trim("text") != "").select("text", F.array_distinct(bigrams(words_of(F.col("text")))).alias("grams"))
-    fixed = F.broadcast(known.select(F.col("grams").alias("t")))
-    near = negative.join(fixed, F.size(F.array_intersect("t", "grams")) >= 0.5 * F.size("t"), "left_anti")  # some paragraphs against fixed templates
+    negative = stash(negative)
+    fixed = F.broadcast(known.select("id", F.size("grams").alias("n"), F.explode("grams").alias("gram")))  # of fixed size
+    alike = negative.select("text", F.explode("grams").alias("gram")).join(fixed, "gram").groupBy("text", "id").agg(F.count("*").alias("both"), F.max("n").alias("n")).where("both >= 0.5 * n")
+    near = negative.join(alike.select("text").distinct(), "text", "left_anti")  # paragraphs that hold half of a template teach nothing
     negative = cut(near.select("grams", (F.pmod(F.xxhash64("text"), F.lit(HELD)) == 0).alias("held")))
     label = F.array_position(F.array(*map(F.lit, classes)), F.col("family")).cast("double") - 1
     lacks = lambda r: F.when(F.size("grams") > 4, F.filter("grams", lambda g, i: i % 5 != r)).otherwise(F.col("grams"))
@@ -231,9 +232,9 @@ def scored(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     hits = hits.distinct().join(weights, "gram")  # equal rows count once
     n = len(model.classes)
     sums = hits.groupBy(*keys).agg(F.flatten(F.collect_list("ids")).alias("hits"), *[F.sum(F.col("w")[i]).alias(f"w{i}") for i in range(n)])
-    p = sums.select(*keys, "hits", model.probabilities(F.array(*[F.round(f"w{i}", 9) for i in range(n)])).alias("p"))
-    best = F.array_max(F.transform("p", lambda x, i: F.struct(x.alias("p"), (-i).alias("i"))))
-    p = p.withColumn("best", best)
+    names = [f"w{i}" for i in range(n)]
+    p = model.probabilities(sums, names)  # columns, as a lambda would compute them anew for each element
+    p = p.withColumn("best", F.array_max(F.array(*[F.struct(F.col(c).alias("p"), F.lit(-i).alias("i")) for i, c in enumerate(names)])))
     return p.select(*keys, "hits", F.element_at(F.array(*map(F.lit, model.classes)), 1 - F.col("best.i")).alias("family"), F.col("best.p").alias("probability"))
 
 
@@ -248,7 +249,7 @@ def scan(docs: DataFrame, model: Model, given: dict | None = None, at_least: flo
     words = anchors(given, at_least)
     rows = paragraphs(docs.where(any_of(F.col("text").cast("string"), words))).where(any_of(F.col("text"), words))
     keys = ["doc_id", "row", "paragraph", "many"]
-    found = scored(rows.select(*keys, bigrams(words_of(F.col("text"))).alias("grams")), model, keys)
+    found = cut(scored(rows.select(*keys, bigrams(words_of(F.col("text"))).alias("grams")), model, keys))
     known = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(f).alias("f"), F.lit(n).alias("n")) for i, f, n in model.known])
     match = F.array_max(F.transform(known, lambda t: F.struct((F.size(F.filter("hits", lambda h: h == t["id"])) / t["n"]).alias("s"), (t["f"] == F.col("family")).alias("own"), t["f"].alias("f"))))
     found = found.withColumn("m", match).where(F.col("m.s") >= at_least)
