@@ -4,9 +4,9 @@ Independent codebooks on the two halves of the vectors, of length 1 each, form a
 nearest two centroids. Multi-sequence traversal visits the cells nearest to a vector, in order of the sum of the
 distances of the halves, as many as reach the target recall; what it finds there is verified by the exact cosine.
 
-The codebooks grow with the table, so that a cell keeps about as many members; they and the number of visits are fitted on a bounded
-sample, with neighbours planted at cosines from the threshold to 1, so the recall does not depend on how many near copies a
-sample happens to hold. Equal vectors are one vector with a count, and go by a number of their own, not by vec_id. Vectors
+The codebooks grow with the table, so that a cell keeps about as many members, and the bounded sample that they are fitted on with them. The number
+of visits is fitted on vectors held out of it, with neighbours planted just above the threshold, so the recall holds for vectors that
+the codebooks haven't seen and does not depend on how many near copies a sample happens to hold. Equal vectors are one vector with a count, and go by a number of their own, not by vec_id. Vectors
 travel in the type they came in and are compared in double precision. A cell's members and visitors meet in chunks of
 bounded size, which return counts and a spanning star, no pairs.
 """
@@ -24,6 +24,9 @@ from .simhash import unite
 from .topk import finite
 
 COSINE, SAMPLE, RECALL, MEMBERS, VISITORS = 0.9, 4096, 0.98, 1024, 2048
+#: Vectors of the sample for each centroid, at least, and below which no visits can be fitted; held-out vectors, at most; and the part of the
+#: cosines from the threshold to 1 in which neighbours are planted.
+EACH, FEW, HELD, HARD = 86, 16, 2048, 0.2
 #: Centroids of a half: as many as give about PER_CELL vectors a cell of the grid, between these bounds (a sample can't fit more).
 PER_CELL, LEAST, MOST = 48, 16, 512
 
@@ -46,21 +49,28 @@ def codebook(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
 
 
 class Index:
-    """Codebooks of the halves of vectors of `d` components, and the number of cells to visit."""
+    """Codebooks of the halves of vectors of `d` components, and the number of cells to visit.
+
+    A quarter of the sample takes no part in the codebooks; the number of visits is what it needs to find neighbours planted near the threshold,
+    where they are hardest to find. A sample too small for that has all cells of its small grid visited.
+    """
 
     def __init__(self, sample: np.ndarray, cosine: float, centroids: int, recall: float):
         self.d = sample.shape[1]
         self.h = self.d // 2
-        self.books = [codebook(sample[:, : self.h], centroids), codebook(sample[:, self.h :], centroids)]
+        x, known = (sample, sample) if len(sample) < FEW * centroids else (sample[::4][:HELD], np.delete(sample, np.s_[::4], 0))
+        self.books = [codebook(known[:, : self.h], centroids), codebook(known[:, self.h :], centroids)]
+        self.n = len(self.books[0]) * len(self.books[1])
+        if len(sample) < FEW * centroids:
+            return
         r = np.random.default_rng(1)
-        x = sample[:2048]
         side = r.standard_normal(x.shape)
         side -= (side * x).sum(1, keepdims=True) * x
         side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-12)
-        c = r.uniform(cosine, 1, (len(x), 1))
+        c = r.uniform(cosine, cosine + HARD * (1 - cosine), (len(x), 1))
         y = c * x + np.sqrt(1 - c * c) * side
         ranks = np.minimum(self.rank(x, self.cells(y)), self.rank(y, self.cells(x)))
-        self.n = int(np.quantile(ranks, recall, method="higher")) + 1 if len(x) else 1
+        self.n = min(self.n, int(np.quantile(ranks, recall, method="higher")) + 1)
 
     def rank(self, x: np.ndarray, cell: np.ndarray) -> np.ndarray:
         """How many cells come before the given one of each row."""
@@ -99,11 +109,12 @@ def fit(reps: DataFrame, cosine: float, centroids: int | None, sample: int, reca
     n, d = reps.agg(F.count("*"), F.max(F.size("v"))).first()
     if d is None:
         return None
-    cells = 1 << 30
+    centroids = centroids or int(min(MOST, max(LEAST, (n / PER_CELL) ** 0.5)))
+    cells, sample = 1 << 30, max(sample, EACH * centroids)  # at most EACH * MOST vectors
     least = F.pmod(F.xxhash64(F.lit(5), "rep"), F.lit(cells)) < int(min(1.0, sample / n) * cells) + cells // n
     rows = reps.where(least).orderBy(F.xxhash64(F.lit(5), "rep"), "rep").limit(sample).select("v").collect()  # about `sample` vectors, at most
     flat, offsets = np.concatenate([np.asarray(r.v, float) for r in rows]), np.r_[0, np.cumsum([len(r.v) for r in rows])]
-    return Index(unit(flat, offsets, d), cosine, centroids or int(min(MOST, max(LEAST, (n / PER_CELL) ** 0.5))), recall)
+    return Index(unit(flat, offsets, d), cosine, centroids, recall)
 
 
 def groups(batches, keys: list[str]):
@@ -145,8 +156,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, centroids: int |
 
         ix = shared.value
         for batch in batches:
-            for s in range(0, batch.num_rows, 2048):
-                part = batch.slice(s, 2048)
+            step = max(16, min(2048, (1 << 22) // max(1, ix.n)))
+            for s in range(0, batch.num_rows, step):
+                part = batch.slice(s, step)
                 col = part.column("v")
                 x = unit(col.flatten().to_numpy(zero_copy_only=False), np.asarray(col.offsets) - col.offsets[0].as_py(), ix.d)
                 seen = ix.visits(x, ix.n).astype(np.int32)

@@ -117,6 +117,47 @@ def test_recall_of_the_index(spark, sf_dir):
     assert all(got[i] <= n[i] for i in n) and sum(got.values()) >= 0.95 * sum(n.values())
 
 
+@pytest.mark.parametrize("centroids,kind", [(64, "gauss"), (144, "gauss"), (512, "gauss"), (144, "clustered")])
+def test_recall_on_vectors_that_the_codebooks_have_not_seen(centroids, kind):
+    g, d = np.random.default_rng(3), 64
+    centres = g.standard_normal((40, d))
+
+    def drawn(n):
+        x = g.standard_normal((n, d)) * (0.5 if kind == "clustered" else 1) + (centres[g.integers(0, 40, n)] if kind == "clustered" else 0)
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    index = embeddings.Index(drawn(embeddings.EACH * centroids), 0.9, centroids, embeddings.RECALL)
+    for lo, hi in ((0.9, 0.92), (0.9, 1.0)):
+        x = drawn(600)
+        side = g.standard_normal(x.shape)
+        side -= (side * x).sum(1, keepdims=True) * x
+        side /= np.linalg.norm(side, axis=1, keepdims=True)
+        c = g.uniform(lo, hi, (len(x), 1))
+        y = c * x + np.sqrt(1 - c * c) * side
+        found = np.minimum(index.rank(x, index.cells(y)), index.rank(y, index.cells(x))) < index.n
+        assert found.mean() >= 0.95
+    near = index.visits(x[:5], min(index.n, 300))
+    for v, row in zip(x[:5], near):
+        a, b = (embeddings.distances(h[None, :], book)[0] for h, book in zip((v[: d // 2], v[d // 2 :]), index.books))
+        assert sorted(row.tolist()) == sorted((a[:, None] + b[None, :]).ravel().argsort(kind="stable")[: len(row)].tolist())
+
+
+def test_query_on_a_table_with_planted_copies(spark, sf_dir, tmp_path):
+    g = np.random.default_rng(4)
+    data = [(x.vec_id, x.embedding) for x in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    for i in range(300):
+        v, side = np.array(data[i % 60][1]), g.standard_normal(64)
+        side -= side @ v / (v @ v) * v
+        c = 1.0 if i % 3 == 0 else g.uniform(0.9, 1)
+        data.append((5000 + i, (c * v + math.sqrt(1 - c * c) * np.linalg.norm(v) * side / np.linalg.norm(side)).tolist()))
+    spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumn("label", F.lit(0)).write.parquet(f"{tmp_path}/embeddings.parquet")
+    n, root = linked([(i, [float(np.float32(x)) for x in v]) for i, v in data])
+    got = embeddings.op9_embeddings(spark, str(tmp_path)).collect()
+    assert len(got) == len(data) and sum(n.values()) > 1000
+    assert all(r.n_links <= n[r.vec_id] for r in got) and sum(r.n_links for r in got) >= 0.98 * sum(n.values())
+    assert sum(r.component_id != root[r.vec_id] for r in got) <= 0.02 * len(got)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert embeddings.near_duplicates(frame(spark, [])).collect() == []
     assert [tuple(r) for r in embeddings.near_duplicates(frame(spark, [(4, None)])).collect()] == [(4, 0, 4, True)]
