@@ -235,7 +235,8 @@ def scored(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     names = [f"w{i}" for i in range(n)]
     p = model.probabilities(sums, names)  # columns, as a lambda would compute them anew for each element
     p = p.withColumn("best", F.array_max(F.array(*[F.struct(F.col(c).alias("p"), F.lit(-i).alias("i")) for i, c in enumerate(names)])))
-    return p.select(*keys, "hits", F.element_at(F.array(*map(F.lit, model.classes)), 1 - F.col("best.i")).alias("family"), F.col("best.p").alias("probability"))
+    # cut, as a later filter would be pushed down through all of this and compute it for each class anew
+    return cut(p.select(*keys, "hits", F.element_at(F.array(*map(F.lit, model.classes)), 1 - F.col("best.i")).alias("family"), F.col("best.p").alias("probability")))
 
 
 def scan(docs: DataFrame, model: Model, given: dict | None = None, at_least: float = SIMILARITY) -> DataFrame:
@@ -249,7 +250,7 @@ def scan(docs: DataFrame, model: Model, given: dict | None = None, at_least: flo
     words = anchors(given, at_least)
     rows = paragraphs(docs.where(any_of(F.col("text").cast("string"), words))).where(any_of(F.col("text"), words))
     keys = ["doc_id", "row", "paragraph", "many"]
-    found = cut(scored(rows.select(*keys, bigrams(words_of(F.col("text"))).alias("grams")), model, keys))
+    found = scored(rows.select(*keys, bigrams(words_of(F.col("text"))).alias("grams")), model, keys)
     known = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(f).alias("f"), F.lit(n).alias("n")) for i, f, n in model.known])
     match = F.array_max(F.transform(known, lambda t: F.struct((F.size(F.filter("hits", lambda h: h == t["id"])) / t["n"]).alias("s"), (t["f"] == F.col("family")).alias("own"), t["f"].alias("f"))))
     found = found.withColumn("m", match).where(F.col("m.s") >= at_least)
