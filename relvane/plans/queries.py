@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -342,9 +343,11 @@ def spread_half_life(spark, d):
 
 @query(f"{STATS} select sector, a, b, round(min(alpha), 6) as alpha, round(min(beta), 6) as beta, round(stddev_samp(spread) * sqrt(252), 6) as sigma, round(stddev_samp(spread - p) * sqrt(252), 6) as change_sigma, {HALF} from l group by 1, 2, 3")
 def spread_stats(spark, d):
-    x = spreads(spark, d)
-    s = pairs.spread_stats(x, PAIR).join(pairs.ols(x, PAIR), PAIR)
-    return s.select(*PAIR, *r6("alpha", "beta", "sigma", "change_sigma"), F.round("half_life", 4).alias("half_life"))
+    """From running sums: series travel as arrays, and no long rows of a pair are made."""
+    arrays, both = arrays_of(spark, d, "fx_walk")
+    s = moments.directed(moments.windowed(both.withColumn("first", F.lit(True)), arrays, ["sector"], test=False))
+    year = lambda c: F.round(F.col(c) * math.sqrt(252), 6).alias(c)
+    return s.select(*PAIR, *r6("alpha", "beta"), year("sigma"), year("change_sigma"), F.round("half_life", 4).alias("half_life"))
 
 
 @query(f"""{STATS}, s as (select sector, a, b, sum(p * p) as ll, sum(p * (spread - p)) as ld, sum((spread - p) * (spread - p)) as dd, count(*) as n from l where p is not null group by 1, 2, 3)
