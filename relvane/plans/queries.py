@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clusters, models, moments, pairs, panel, quotes
+from ..operators import clusters, models, moments, neighbours, pairs, panel, quotes
 from ..params import Fit, Pick, Trade
 from ..sources import tables
 from ..sources.fixtures import view, with_views
@@ -297,7 +297,8 @@ def loading_distance(spark, d):
 
 @query(f"select a, round(min(dist), 6) as dist from ({DISTANCES} and a.vec_id <> b.vec_id) t group by a")
 def nn_distance(spark, d):
-    return distances(spark, d).where("a <> b").groupBy("a").agg(F.round(F.min("dist"), 6).alias("dist"))
+    e = view(spark, d, "embeddings").select("label", F.col("vec_id").alias("asset"), F.col("embedding").alias("vec"))
+    return neighbours.nearest(e, ["label"]).select(F.col("asset").alias("a"), *r6("dist"))
 
 
 ALIGNED = """al as (select * from (select x.sector, x.asset as a, y.asset as b, x.dt, ln(x.price) as asset1, ln(y.price) as asset2, count(*) over (partition by x.sector, x.asset, y.asset) as n_obs
