@@ -20,4 +20,5 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_entry(spark):
-    assert entry.entry(spark).columns == ["sector", "rebal_date", "dt", "pnl", "n_pairs", "equity"] and set(entry.oracle_sql()) <= set(entry.queries())
+    df = entry.entry(spark)
+    assert df.columns == ["sector", "rebal_date", "dt", "pnl", "n_pairs", "equity"] and not df.isEmpty() and set(entry.oracle_sql()) <= set(entry.queries())
