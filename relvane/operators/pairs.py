@@ -181,9 +181,12 @@ def positions(df: DataFrame, keys: list[str], s: Trade = Trade(), z: str = "z")
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], batch.column("_rows"), found], names=[*keys, "_rows", "_positions"])
 
     long = T.StructType([*types.fields]).add("first", pieces.schema["_rows"].dataType.elementType["dt"].dataType).add("after", T.ArrayType(T.IntegerType()))
-    maps = pieces.join(several, keys).mapInArrow(mapped, long).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("first", "_piece", "after"))).alias("maps"))
-    entered = maps.mapInArrow(chained, T.StructType([*types.fields]).add("entered", T.IntegerType()))
-    both = pieces.join(entered, [*keys, "_piece"], "left").withColumn("entered", F.coalesce("entered", F.lit(0))).drop("_piece")
+    if several.isEmpty():  # each key is one piece
+        both = pieces.withColumn("entered", F.lit(0)).drop("_piece")
+    else:
+        maps = pieces.join(several, keys).mapInArrow(mapped, long).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("first", "_piece", "after"))).alias("maps"))
+        entered = maps.mapInArrow(chained, T.StructType([*types.fields]).add("entered", T.IntegerType()))
+        both = pieces.join(entered, [*keys, "_piece"], "left").withColumn("entered", F.coalesce("entered", F.lit(0))).drop("_piece")
     walked_ = both.mapInArrow(placed, T.StructType([pieces.schema[k] for k in keys]).add("_rows", pieces.schema["_rows"].dataType).add("_positions", T.ArrayType(T.IntegerType())))
     x = walked_.select(*keys, F.explode(F.arrays_zip("_rows", "_positions")).alias("x"))
     return x.select(*keys, F.col("x._rows.dt").alias("dt"), F.col("x._rows.z").alias("z"), F.col("x._positions").alias("position"))

@@ -411,7 +411,7 @@ PNL = POSITIONS + ", g as (select *, coalesce(lag(position) over w, 0) * coalesc
 
 def traded(spark, d):
     both = aligned(spark, d).withColumn("spread", F.col("asset1") - F.col("asset2"))
-    z = panel.rolling_zscore(both, "spread", "z", 8, PAIR).select(*PAIR, "dt", "spread", F.round("z", 9).alias("z"))
+    z = tables.kept(panel.rolling_zscore(both, "spread", "z", 8, PAIR).select(*PAIR, "dt", "spread", F.round("z", 9).alias("z")))
     return pairs.pair_pnl(z.join(pairs.positions(z, PAIR, TRADE).select(*PAIR, "dt", "position"), [*PAIR, "dt"]), PAIR)
 
 
