@@ -32,27 +32,27 @@ def finite(c: str):
 
 
 def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
-    """(vec_id, q): floor(scale * component). Rows without an id, and vectors that are null or hold null or non-finite
+    """(row, vec_id, q): a number of the row, and floor(scale * component). Rows without an id, and vectors that are null or hold null or non-finite
     components, are left out."""
     q = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    return vectors.where(F.col("vec_id").isNotNull() & finite("embedding")).select(F.col("vec_id").cast("long").alias("vec_id"), q.alias("q"))
+    return vectors.where(F.col("vec_id").isNotNull() & finite("embedding")).select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), q.alias("q"))
 
 
 def blocks(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
     """One row for each block of about `size` rows: (name, list of its rows)."""
     n = max(1, -(-rows.count() // size))
-    return rows.groupBy(bucket(F.col("vec_id"), n=n).alias(f"{name}_block")).agg(F.collect_list(F.struct(*rows.columns)).alias(name)), n
+    return rows.groupBy(bucket(F.col("row"), n=n).alias(f"{name}_block")).agg(F.collect_list(F.struct(*rows.columns)).alias(name)), n
 
 
-def matrix(column, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, vectors) of row k of a column of blocks; short vectors are padded with zeros."""
+def matrix(column, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, ids, vectors) of row k of a column of blocks; short vectors are padded with zeros."""
     block = column.slice(k, 1).flatten()
     q = block.field("q")
     size = np.diff(q.offsets.to_numpy())
     flat = q.flatten().to_numpy(zero_copy_only=False)
     out = np.zeros((len(size), int(size.max(initial=0))), np.int64)
     out[np.arange(out.shape[1])[None, :] < size[:, None]] = flat
-    return block.field("vec_id").to_numpy(), out
+    return block.field("row").to_numpy(), block.field("vec_id").to_numpy(), out
 
 
 def slices(a: np.ndarray, b: np.ndarray, lists: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -95,8 +95,8 @@ def sufficient(parts: list[tuple[np.ndarray, np.ndarray]], tau: np.ndarray, allo
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, lists: int = LISTS, rows: int = ROWS, queries: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose vec_id is divisible by `every`, its k rows of the highest score.
 
-    Ties go to the smaller vec_id; rows of the query's own vec_id are no candidates. Rows that share a vec_id are candidates of their own, and
-    as queries one whose list holds the best scores of any of them. Vectors of other lengths count as padded with zeros.
+    Ties go to the smaller vec_id. Rows that share a vec_id are rows of their own: each is a query with a list of its own, and a candidate of all
+    rows but itself. Vectors of other lengths count as padded with zeros.
     """
     q = cut(quantised(vectors))
     asked = q.where(F.col("vec_id") % every == 0)
@@ -112,13 +112,13 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, lists: int = LISTS
 
             for batch in batches:
                 for i in range(batch.num_rows):
-                    ids, v = matrix(batch.column("r"), i)
-                    own, a = matrix(batch.column("a"), i)
+                    rows, ids, v = matrix(batch.column("r"), i)
+                    own, own_ids, a = matrix(batch.column("a"), i)
                     block = batch.column("a").slice(i, 1).flatten()
                     tau = block.field("tau").to_numpy(zero_copy_only=False) if "tau" in names else np.zeros(len(own))
                     for s in range(0, len(own), PART):
-                        x, y = own[s : s + PART], slices(a[s : s + PART], v, lists)
-                        out = work(x, ids, y, x[:, None] != ids[None, :], np.nan_to_num(tau[s : s + PART].astype(np.float64), nan=-np.inf))
+                        x, y = (own[s : s + PART], own_ids[s : s + PART]), slices(a[s : s + PART], v, lists)
+                        out = work(x, ids, y, x[0][:, None] != rows[None, :], np.nan_to_num(tau[s : s + PART].astype(np.float64), nan=-np.inf))
                         yield pa.RecordBatch.from_arrays([pa.array(z) for z in out], [f"c{j}" for j in range(len(out))])
 
         names = asked.columns
@@ -128,23 +128,23 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, lists: int = LISTS
         a, b = parts[0]
         first = np.where(allowed, a @ b.T, -np.inf if a.dtype == np.float64 else np.iinfo(np.int64).min)
         j = np.argpartition(-first.astype(np.float64), min(k, len(ids)) - 1, axis=1)[:, :k]
-        i = np.repeat(np.arange(len(own)), j.shape[1])
+        i = np.repeat(np.arange(len(own[0])), j.shape[1])
         j = j.ravel()
         i, j = i[allowed[i, j]], j[allowed[i, j]]
-        return own[i], totals(parts, i, j)
+        return own[0][i], totals(parts, i, j)
 
     def collect(own, ids, parts, allowed, tau):
         i, j = sufficient(parts, tau, allowed)
         exact = totals(parts, i, j)
         keep = exact >= tau[i]
-        return own[i[keep]], ids[j[keep]], exact[keep]
-
-    sent = meet(asked, lead, "query_id long, score long")
-    best = sent.withColumn("n", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score")))).where(F.col("n") <= k)
-    cutoffs = best.where(F.col("n") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("tau"))
-    asked = cut(asked.join(cutoffs, "vec_id", "left").select("vec_id", "q", "tau"))
-    found = meet(asked, collect, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return own[0][i[keep]], own[1][i[keep]], ids[j[keep]], exact[keep]
+
+    sent = meet(asked, lead, "query long, score long")
+    best = sent.withColumn("n", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score")))).where(F.col("n") <= k)
+    cutoffs = best.where(F.col("n") == k).select(F.col("query").alias("row"), F.col("score").alias("tau"))
+    asked = cut(asked.join(cutoffs, "row", "left").select("row", "vec_id", "q", "tau"))
+    found = meet(asked, collect, "query long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -32,13 +32,14 @@ def usable(v):
 
 
 def best(data, k=20):
-    """By row; the list of a vec_id is that of its rows together."""
+    """By row: each query row has a list of its own, of all rows but itself."""
     good = [(i, [math.floor(64 * x) for x in v]) for i, v in data if i is not None and usable(v)]
-    lists = {}
-    for i, a in good:
+    out = []
+    for n, (i, a) in enumerate(good):
         if i % 20 == 0:
-            lists.setdefault(i, []).extend((-sum(x * y for x, y in zip(a, b)), j) for j, b in good if j != i)
-    return sorted((i, n + 1, j, -x) for i, s in lists.items() for n, (x, j) in enumerate(sorted(s)[:k]))
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), j) for m, (j, b) in enumerate(good) if m != n)[:k]
+            out += [(i, r + 1, j, -x) for r, (x, j) in enumerate(scores)]
+    return sorted(out)
 
 
 def test_top_k_as_by_brute_force(spark):
