@@ -212,6 +212,8 @@ def windowed(spans: DataFrame, arrays: DataFrame, keys: list[str], test: bool =
     row for each pair, which holds its spans, and twice the arrays of an asset: it doesn't grow with the overlap of windows. lags: their
     number, else chosen by AIC.
     """
+    from .models import direct_t, p_values  # here, as models imports this module; executors get the functions by value
+
     other = [c for c in spans.columns if c not in (*keys, "a", "b")]
     rows = spans.groupBy(*keys, "a", "b").agg(F.collect_list(F.struct(*other)).alias("spans"))
     for side in "ab":
@@ -223,8 +225,6 @@ def windowed(spans: DataFrame, arrays: DataFrame, keys: list[str], test: bool =
     def run(batches):
         import pyarrow as pa
 
-        from . import models
-
         def offsets(column):
             return column.offsets.to_numpy() - column.offsets[0].as_py()
 
@@ -246,9 +246,9 @@ def windowed(spans: DataFrame, arrays: DataFrame, keys: list[str], test: bool =
                 last = before[parent, np.clip(hi - base + 1, 0, wide)] - 1
                 keep = np.flatnonzero(last - first + 1 >= np.maximum(least, 1))
                 p, n = parent[keep], (last - first + 1)[keep]
-                got = measured(x, y, before[:, -1], p, first[keep], last[keep], test, lags, models.direct_t)
+                got = measured(x, y, before[:, -1], p, first[keep], last[keep], test, lags, direct_t)
                 if test:
-                    got |= {f"p{d}": models.p_values(got[f"t{d}"]) for d in (1, 2)}
+                    got |= {f"p{d}": p_values(got[f"t{d}"]) for d in (1, 2)}
                 take = pa.array(p)
                 columns = [batch.column(c).take(take) for c in (*keys, "a", "b")] + [flat.field(c).take(pa.array(keep)) for c in carried]
                 columns += [pa.array(n.astype(np.int32))] + [pa.array(got[c], mask=np.isnan(got[c])) for c in numbers]
