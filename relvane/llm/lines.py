@@ -2,7 +2,7 @@
 
 Lines are normalised (A-Z to lower case, white space to one space); every line that isn't empty then takes part. Two different
 normalised lines of at least `words` words or `chars` characters are linked if their edit similarity, 1 - distance / longer length,
-is at least `similarity` and the search finds them: they share one of BANDS keys and AGREE (FEW or MANY of short or long lines) of CODES further
+is at least `similarity` and the search finds them: they share one of BANDS keys and AGREE of CODES further
 MinHashes of windows of eight bytes. A key is the minimum of the line's windows of 16 bytes under one hash or, for lines below
 SHORT bytes, a pair of minima of windows of eight bytes; lines around SHORT have both kinds. SimHashes of words within a few bits, the method asked for, find a changed
 letter in one line of fifty, so these keys stand in for its blocks (see the README).
@@ -24,11 +24,14 @@ from .simhash import unite
 
 WORDS, CHARS, SIMILARITY, LIMIT = 3, 16, 0.8, 1024
 #: Keys of a line, and the bits that number them; MinHashes (one byte each) that a pair is tested by before its texts are compared, and how many of
-#: these must agree (FEW below SHORT characters, MANY from WIDE on, where a wrong candidate costs most).
-BANDS, BITS, CODES, AGREE, FEW, MANY = 12, 4, 32, 8, 4, 12
-#: Up to CROWD lines of a key, each pair is compared under its first common key only; up to TABLE lines, the pairs that agree best come first.
+#: these must agree.
+BANDS, BITS, CODES, AGREE = 12, 4, 32, 4
+#: Keys of up to CROWD lines are paired together, others one by one; up to TABLE lines, the pairs that agree best come first.
 CROWD, TABLE = 8, 256
-SHORT, SLACK, WIDE = 64, 1.25, 256
+#: Bytes below which a line has keys of short windows, and the factor up to which it has both kinds.
+SHORT, SLACK = 64, 1.25
+#: Cells of a step that pairs of texts make together: small enough for a processor's cache.
+WIDTH = 1 << 16
 #: The keys of most lines that are split wherever they go, at most; others hold less than one in HOT of all keys.
 HOT, SAMPLED = 65536, 64
 STEP, CHUNK = 1.04, 1 << 16
@@ -289,25 +292,6 @@ def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return once.mapInArrow(run, "fp long, doc_id long, row long, line int, norm string, size int, keys binary, codes binary").dropDuplicates(["fp", "doc_id", "row", "line"])
 
 
-def bound(a: list[str], b: list[str], most: int, far: int = 6) -> int:
-    """An upper bound of the edit distance of lists of words, or a number above `most`: what lies between words that both have is rewritten."""
-    n, m = len(a), len(b)
-    i = j = cost = 0
-    while i < n and j < m:
-        if a[i] == b[j]:
-            i, j = i + 1, j + 1
-            continue
-        step = next(((x, s - x) for s in range(1, 2 * far) for x in range(max(0, s - far), min(s, far) + 1) if i + x < n and j + s - x < m and a[i + x] == b[j + s - x]), None)
-        if step is None:
-            return most + 1
-        x, y = step
-        cost += max(sum(map(len, a[i : i + x])) + x, sum(map(len, b[j : j + y])) + y)
-        if cost > most:
-            return cost
-        i, j = i + x, j + y
-    return cost + max(sum(map(len, a[i:])) + n - i, sum(map(len, b[j:])) + m - j)
-
-
 def same_ends(a: str, b: str) -> int:
     """How many characters a and b share at their start."""
     low, high = 0, min(len(a), len(b))
@@ -317,52 +301,94 @@ def same_ends(a: str, b: str) -> int:
     return low
 
 
-def within(a: str, b: str, most: int) -> bool:
-    """Whether the edit distance is at most `most`: by the bound of words, else bit-parallel (Myers, 1999), after cutting what both ends share."""
-    if abs(len(a) - len(b)) > most:
-        return False
-    if bound(a.split(" "), b.split(" "), most) <= most:
-        return True
-    i = same_ends(a, b)
-    a, b = a[i:], b[i:]
-    i = same_ends(a[::-1], b[::-1])
-    a, b = a[: len(a) - i], b[: len(b) - i]
-    if not a or not b:
-        return max(len(a), len(b)) <= most
-    if max(len(a), len(b)) <= most:
-        return True
-    at: dict[str, int] = {}
-    for k, c in enumerate(a):
-        at[c] = at.get(c, 0) | 1 << k
-    m, n = len(a), len(b)
-    full, top, up, down, score = (1 << m) - 1, 1 << (m - 1), (1 << m) - 1, 0, m
-    for k, c in enumerate(b, 1):
-        eq = at.get(c, 0)
-        x = eq | down
-        y = ((((eq & up) + up) ^ up) | eq) & full
-        more, less = down | (full & ~(y | up)), up & y
-        score += bool(more & top) - bool(less & top)
-        more, less = (more << 1 | 1) & full, less << 1 & full
-        up, down = less | (full & ~(x | more)), more & x
-        if k % 64 == 0:  # every way crosses this column in a row that is near one of these
-            rows = range(max(0, k - most) // 32 * 32, min(m, k + most) + 32, 32)
-            if min(k + (up & (1 << i) - 1).bit_count() - (down & (1 << i) - 1).bit_count() + max(0, abs(m - i - n + k) - 32) for i in rows) - 32 > most:
-                return False
-    return score <= most
-
-
-def everywhere(a: str, b: str, most: int, parts: int = 4, probes: int = 10, width: int = 8, least: int = 2) -> bool:
-    """Whether each quarter of a has windows that b has near the same place: a passage that two other lines share lies in one stretch."""
-    n = len(a) - width
-    for q in range(parts):
-        low, high, hits = n * q // parts, n * (q + 1) // parts, 0
-        for p in range(low, high, max(1, (high - low) // probes)):
-            hits += b.find(a[p : p + width], max(0, p - most), p + width + most) >= 0
-            if hits >= least:
-                break
+def codes_of(texts: list[str], height: int, start: int, step: int, fill: int) -> np.ndarray:
+    """(height, texts): a text's characters down a column from row `start` on, in steps of 1 or -1; `fill` elsewhere."""
+    out = np.full((height, len(texts)), fill, np.uint32)
+    size = np.array([len(x) for x in texts])
+    flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    inside = np.arange(len(flat)) - np.repeat(size.cumsum() - size, size)
+    out[start + step * inside, np.repeat(np.arange(len(texts)), size)] = flat
+    return out
+
+
+def banded(a: list[str], b: list[str], most: np.ndarray) -> np.ndarray:
+    """Whether the edit distance of each a (the shorter) and b is at most `most` (at least the difference of the lengths).
+
+    All pairs advance together, one antidiagonal s = i + j of the table of distances at a time. Only diagonals j - i
+    from -K to K are kept, as a way within `most` strays no further; even ones are rows of `even`, odd ones rows 1 to K of `odd`.
+    """
+    m, n = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+    order = np.argsort(m + n, kind="stable")
+    a, b, m, n, most = [a[k] for k in order.tolist()], [b[k] for k in order.tolist()], m[order], n[order], most[order]
+    K = int(((most + n - m) // 2).max())
+    K += K & 1
+    height = int(n.max()) + 2 * K + 2
+    T = height - K - 2
+    left, right = codes_of(a, height, T - 1, -1, 1 << 30), codes_of(b, height, K, 1, 1 << 31)
+    end, number, out = m + n, order, np.zeros(len(order), bool)
+    far, kind = height + 1, np.int32  # more than any distance; a step adds one at most
+    if max(left[left < 1 << 30].max(), right[right < 1 << 31].max()) < 0xFFFE:
+        left, right = np.minimum(left, 0xFFFE).astype(np.uint16), np.minimum(right, 0xFFFF).astype(np.uint16)
+    if 4 * far < 1 << 15:
+        kind = np.int16
+    even, odd = np.full((K + 1, len(a)), far, kind), np.full((K + 2, len(a)), far, kind)
+    even[K // 2] = 0
+    for s in range(1, int(end[-1]) + 1):
+        h = (s + K) // 2  # K is even: of an odd s, half of s - 1 + K
+        if s % 2:
+            way = np.minimum(even[:-1], even[1:])
+            way += 1
+            own = odd[1:-1]
+            own += (left[T - h : T - h + K] != right[h : h + K]).astype(kind)
+            np.minimum(own, way, out=own)
         else:
-            return False
-    return True
+            way = np.minimum(odd[:-1], odd[1:])
+            way += 1
+            even += (left[T - h : T - h + K + 1] != right[h - 1 : h + K]).astype(kind)
+            np.minimum(even, way, out=even)
+        done = int(np.searchsorted(end, s, "right"))
+        if done:
+            at, d = np.arange(done), (n - m)[:done]
+            last = odd[1 + (d + K - 1) // 2, at] if s % 2 else even[(d + K) // 2, at]
+            out[number[:done]] = last <= most[:done]
+        live = None
+        if s % 64 == 0:  # every way crosses one of the last two antidiagonals, and has the rest of the lengths' difference to go
+            least = [(own + np.abs(np.arange(-len(own) + 1, len(own), 2)[:, None] - (n - m))).min(0) for own in (even, odd)]
+            live = np.flatnonzero((np.minimum(*least) <= most) & (end > s))
+            live = live if 4 * len(live) <= 3 * len(end) else None
+        if live is None and done:
+            live = np.arange(done, len(end))
+        if live is not None:
+            if not len(live):
+                break
+            take = slice(int(live[0]), None) if len(live) == len(end) - live[0] else live
+            left, right, even, odd, end, number, m, n, most = left[:, take], right[:, take], even[:, take], odd[:, take], end[take], number[take], m[take], n[take], most[take]
+    return out
+
+
+def within(a: list[str], b: list[str], most: list[int]) -> np.ndarray:
+    """Whether the edit distances of pairs of texts are at most `most`: what both ends share is cut off, the rest compared by banded()."""
+    out = np.zeros(len(a), bool)
+    short, long, size, bounds, number = [], [], [], [], []
+    for k, (x, y, d) in enumerate(zip(a, b, most)):
+        if abs(len(x) - len(y)) > d:
+            continue
+        i = same_ends(x, y)
+        x, y = x[i:], y[i:]
+        i = same_ends(x[::-1], y[::-1])
+        x, y = x[: len(x) - i], y[: len(y) - i]
+        if max(len(x), len(y)) <= d:
+            out[k] = True
+        elif x and y:
+            x, y = (x, y) if len(x) <= len(y) else (y, x)
+            short.append(x), long.append(y), size.append(len(y)), bounds.append(d), number.append(k)
+    for share in (8, 1):  # most copies differ by little: an eighth of the distance first
+        order = [k for k in np.argsort(size, kind="stable").tolist() if not out[number[k]] and len(long[k]) - len(short[k]) <= bounds[k] // share]
+        while order:
+            n = max(8, WIDTH // max(1, bounds[order[-1]] // share))
+            part, order = order[-n:], order[:-n]
+            out[[number[k] for k in part]] = banded([short[k] for k in part], [long[k] for k in part], np.array([bounds[k] // share for k in part]))
+    return out
 
 
 class Bucketed:
@@ -372,6 +398,7 @@ class Bucketed:
         self.k, self.size, self.similarity = rows.column("k").to_numpy(), rows.column("size").to_numpy(), similarity
         self.codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint8).reshape(-1, CODES)
         self.keys = np.zeros((len(self.k), 2, BANDS), np.uint32)
+        self.band = (self.k.view(np.uint64) & LOW).astype(np.int64)
         own = rows.column("keys").to_pylist()
         both = np.array([len(x) for x in own]) > 4 * BANDS
         kind = (rows.column("short").to_numpy() > 0).astype(int)
@@ -380,50 +407,52 @@ class Bucketed:
         if both.any():
             self.keys[both, 1] = np.frombuffer(b"".join(x[4 * BANDS :] for x in own), np.uint32).reshape(-1, BANDS)
 
-    def alike(self, i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(whether the sizes allow the similarity and enough MinHashes agree, the edit distance that the similarity allows)."""
-        least, most = np.minimum(self.size[i], self.size[j]), np.maximum(self.size[i], self.size[j])
-        most = ((1 - self.similarity) * most + 1e-9).astype(int)
-        enough = np.where(least < SHORT, FEW, np.where(least < WIDE, AGREE, MANY))
-        return (agree >= enough) & (np.abs(self.size[i] - self.size[j]) <= most), most
+    def alike(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the pairs (i, j) of one key those that their sizes and MinHashes allow: i, j, the edit distance that they may have, how many MinHashes agree.
+
+        A pair counts only if its first common key is in the band of the key, so it is compared in one bucket or, with both kinds of keys, two.
+        """
+        most = ((1 - self.similarity) * np.maximum(self.size[i], self.size[j]) + 1e-9).astype(int)
+        ok = np.abs(self.size[i] - self.size[j]) <= most
+        i, j, most = i[ok], j[ok], most[ok]
+        agree = (self.codes[i] == self.codes[j]).sum(1, dtype=np.int16)
+        ok = agree >= AGREE
+        i, j, most, agree = i[ok], j[ok], most[ok], agree[ok]
+        same = (self.keys[i] == self.keys[j]) & (self.keys[i] != 0)
+        ok = same.reshape(len(i), 2 * BANDS).argmax(1) % BANDS == self.band[i]
+        return i[ok], j[ok], most[ok], agree[ok]
 
     def pairs(self, skip):
         """(i, j, most) of candidates of one key, in parts: their edit distances may be up to `most`; skip(i, j) tells those that need not be looked at.
 
-        Where few lines share a key, a pair counts only if its first common key is in the band of k, so it is compared in one bucket or, with
-        both kinds of keys, two. Where many do, the pairs that agree best come first, or each line in turn meets the rest, those with the
-        most usual MinHashes first: a text and its copies are tied before two copies, which are further apart, would be
-        compared in vain.
+        A line first meets the line that it agrees with best, then the next two, four and so on, all lines at once; of keys of more than
+        TABLE lines, each line in turn meets the rest, those with the most usual MinHashes first: a text and its copies are tied
+        before two copies, which are further apart, would be compared in vain.
         """
         start = np.flatnonzero(np.r_[True, self.k[1:] != self.k[:-1]])
         many = np.diff(np.r_[start, len(self.k)])
-        small = np.repeat(many <= CROWD, many)
         stop = np.repeat(start + many, many)
-        band = (self.k.view(np.uint64) & LOW).astype(np.int64)
-        at = np.flatnonzero(small)
+        found = []
+        at = np.flatnonzero(np.repeat(many <= CROWD, many))
         for d in range(1, CROWD):
             at = at[at + d < stop[at]]
-            if not len(at):
-                break
-            i = at[~skip(at, at + d)]
-            ok, most = self.alike(i, i + d, (self.codes[i] == self.codes[i + d]).sum(1))
-            i, most = i[ok], most[ok]
-            same = (self.keys[i] == self.keys[i + d]) & (self.keys[i] != 0)
-            ok = same.reshape(len(i), 2 * BANDS).argmax(1) % BANDS == band[i]
-            if ok.any():
-                yield i[ok], i[ok] + d, most[ok]
+            found.append(self.alike(at, at + d))
         for s, n in zip(start[many > CROWD].tolist(), many[many > CROWD].tolist()):
             if n <= TABLE:
-                own = self.codes[s : s + n]
-                agree = (own[:, None, :] == own[None, :, :]).sum(2, dtype=np.uint8)
-                i, j = np.nonzero(np.triu(agree, 1) >= FEW)
-                i, j, agree = i + s, j + s, agree[i, j]
-                ok, most = self.alike(i, j, agree)
-                best = np.flatnonzero(ok & ~skip(i, j))
-                best = best[np.argsort(-agree[best].astype(np.int16), kind="stable")]
-                if len(best):
-                    yield i[best], j[best], most[best]
-                continue
+                i, j = np.triu_indices(n, 1)
+                found.append(self.alike(i + s, j + s))
+        i, j, most, agree = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((-agree, i))
+        i, j, most, width = i[order], j[order], most[order], 1
+        while len(i):
+            ok = ~skip(i, j)
+            i, j, most = i[ok], j[ok], most[ok]
+            rank = np.arange(len(i)) - np.searchsorted(i, i)
+            now = rank < width
+            if now.any():
+                yield i[now], j[now], most[now]
+            i, j, most, width = i[~now], j[~now], most[~now], 2 * width
+        for s, n in zip(start[many > TABLE].tolist(), many[many > TABLE].tolist()):
             usual = np.zeros(n, np.int64)
             for own in self.codes[s : s + n].T:
                 usual += np.bincount(own, minlength=256)[own]
@@ -431,13 +460,9 @@ class Bucketed:
             for k in range(n - 1):
                 j = order[k + 1 :]
                 j = j[~skip(order[k], j)]
+                i, j, most, _ = self.alike(np.full(len(j), order[k]), j)
                 if len(j):
-                    agree = (self.codes[j] == self.codes[order[k]]).sum(1)
-                    i = np.full(len(j), order[k])
-                    ok, most = self.alike(i, j, agree)
-                    if ok.any():
-                        best = np.flatnonzero(ok)[np.argsort(-agree[ok], kind="stable")]
-                        yield i[best], j[best], most[best]
+                    yield i, j, most
 
 
 def candidates(found: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -461,18 +486,9 @@ def tie(lines: Bucketed, norms: list[str]) -> np.ndarray:
     """For each line the first one that links of lines of one key connect it to."""
     root = np.arange(len(norms))
     for i, j, most in lines.pairs(lambda i, j: root[i] == root[j]):
-        up: dict[int, int] = {}  # what this part ties together
-        tied = []
-        for x, y, a, b, m in zip(i.tolist(), j.tolist(), root[i].tolist(), root[j].tolist(), most.tolist()):
-            while a in up:
-                a = up[a]
-            while b in up:
-                b = up[b]
-            if a != b and (len(norms[x]) < WIDE or everywhere(norms[x], norms[y], m)) and within(norms[x], norms[y], m):
-                up[max(a, b)] = min(a, b)
-                tied.append((x, y))
-        if tied:
-            root = unite(root, *np.array(tied).T)
+        close = within([norms[x] for x in i.tolist()], [norms[x] for x in j.tolist()], most.tolist())
+        if close.any():
+            root = unite(root, i[close], j[close])
     return root
 
 

@@ -61,3 +61,25 @@ def frame(spark, rows, **extra):
 
     df = spark.createDataFrame(rows, "doc_id long, text string")
     return df.withColumns({k: F.lit(v) for k, v in extra.items()}).repartition(3)
+
+
+def near(a: str, b: str, most: int) -> bool:
+    """Whether the edit distance is at most `most`, bit-parallel in one long number (Myers, 1999)."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    if not a or not b:
+        return max(len(a), len(b)) <= most
+    at: dict[str, int] = {}
+    for k, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << k
+    m, n = len(a), len(b)
+    full, top, up, down, score = (1 << m) - 1, 1 << (m - 1), (1 << m) - 1, 0, m
+    for k, c in enumerate(b, 1):
+        eq = at.get(c, 0)
+        x = eq | down
+        y = ((((eq & up) + up) ^ up) | eq) & full
+        more, less = down | (full & ~(y | up)), up & y
+        score += bool(more & top) - bool(less & top)
+        more, less = (more << 1 | 1) & full, less << 1 & full
+        up, down = less | (full & ~(x | more)), more & x
+    return score <= most

@@ -2,7 +2,7 @@ import random
 
 from relvane.llm import lines
 
-from .brute import components, frame, odd_docs, prose, row_hash
+from .brute import components, frame, near, odd_docs, prose, row_hash
 
 
 def distance(a, b):
@@ -33,7 +33,7 @@ def expected(rows, similarity=0.8):
     for x, i in enumerate(wide):
         for j in wide[:x]:
             most = int((1 - similarity) * max(len(norms[i]), len(norms[j])) + 1e-9)
-            if lines.within(norms[i], norms[j], most):
+            if near(norms[i], norms[j], most):
                 links.append((j, i))
     root = components(range(len(norms)), links)
     kept = {n: first[norms[root[i]]] for i, n in enumerate(norms)}
@@ -92,24 +92,38 @@ def test_clashing_names(spark):
 
 def test_distance():
     r = random.Random(1)
-    for _ in range(400):
-        a, b = ("".join(r.choice("abc") for _ in range(r.randrange(12))) for _ in range(2))
-        for most in (0, 2, 5):
-            assert lines.within(a, b, most) == (distance(a, b) <= most)
+    a, b = ([("".join(r.choice("abc\u00e9\U0001f600") for _ in range(r.randrange(12)))) for _ in range(1200)] for _ in range(2))
+    most = [r.choice([0, 2, 5]) for _ in a]
+    want = [distance(*x) <= m for *x, m in zip(a, b, most)]
+    assert lines.within(a, b, most).tolist() == want == [near(*x) for x in zip(a, b, most)]
 
 
 def test_distance_of_long_lines():
     r = random.Random(3)
+    a, b, most, want = [], [], [], []
     for _ in range(60):
-        a = "".join(r.choice("abcd ") for _ in range(r.randrange(100, 300)))
-        x = list(a)
+        x = "".join(r.choice("abcd ") for _ in range(r.randrange(100, 300)))
+        y = list(x)
         for _ in range(r.randrange(90)):
-            k = r.randrange(len(x))
-            x[k : k + 1] = r.choice([["q"], [x[k], "z"]])
-        b = "".join(x)
-        d = distance(a, b)
-        for most in (d - 1, d, d + 1, len(a) // 5):
-            assert most < 0 or lines.within(a, b, most) == (d <= most)
+            k = r.randrange(len(y))
+            y[k : k + 1] = r.choice([["q"], [y[k], "z"]])
+        y = "".join(y)
+        d = distance(x, y)
+        for m in {max(0, d - 1), d, d + 1, len(x) // 5}:
+            a.append(x), b.append(y), most.append(m), want.append(d <= m)
+    assert lines.within(a, b, most).tolist() == want == [near(*x) for x in zip(a, b, most)]
+    assert lines.within(a[:1], b[:1], most[:1]).tolist() == want[:1]
+
+
+def test_distance_of_very_long_lines():
+    r = random.Random(4)
+    x = "".join(r.choice("abcdefgh ") for _ in range(9000))
+    y = list(x)
+    for _ in range(700):
+        y[r.randrange(len(y))] = "q"
+    y, z = "".join(y), "".join(r.choice("ijklmnop") for _ in range(9000))
+    d = sum(p != q for p, q in zip(x, y))
+    assert lines.within([x, x, z, x], [y, z, y, x], [d, 1800, 1800, 0]).tolist() == [True, False, False, True]
 
 
 def test_sketches_do_not_depend_on_the_chunk(monkeypatch):

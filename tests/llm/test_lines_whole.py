@@ -4,7 +4,7 @@ import random
 
 from relvane.llm import lines
 
-from .brute import frame, prose
+from .brute import frame, near, prose
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
@@ -32,7 +32,7 @@ def pairs_of_lines(seed, n):
         a = " ".join("".join(r.choice(ALPHABET) for _ in range(r.randrange(2, 10))) for _ in range(size))
         kind = r.choice(["letter", "letters", "words"])
         b = changed(r, a, 1) if kind == "letter" else changed(r, a, max(1, int(r.random() * 0.2 * len(a)))) if kind == "letters" else reworded(r, a, max(1, int(r.random() * 0.2 * size)))
-        if a != b and lines.within(a, b, int(0.2 * max(len(a), len(b)) + 1e-9)):
+        if a != b and near(a, b, int(0.2 * max(len(a), len(b)) + 1e-9)):
             out.append((kind, a, b))
     return out
 
@@ -45,7 +45,7 @@ def test_recall_against_edit_similarity_alone(spark):
         assert not {d for d in gone if d % 2 == 0}  # all other lines are unlike
         found = {kind: sum(2 * i + 1 in gone for i, m in enumerate(made) if m[0] == kind) / sum(m[0] == kind for m in made) for kind in ("letter", "letters", "words")}
         print(limit, found, len(gone) / len(made))
-        assert found["letter"] >= 0.98 and found["words"] >= 0.98 and found["letters"] >= 0.5, found
+        assert found["letter"] >= 0.98 and found["words"] >= 0.98 and found["letters"] >= 0.62, found
 
 
 def test_short_lines_go_as_exact_copies(spark):
