@@ -1,8 +1,11 @@
 """Distance to the nearest other point of a key, exact, by pivots and the triangle inequality.
 
-About the square root of a key's points are pivots, and each point is in the cell of its nearest one. A point first meets its own cell, which bounds
+About CELLS of a key's points are pivots (fewer of small keys), and each point is in the cell of its nearest one. A point first meets its own cell, which bounds
 its distance from above by b. A cell whose pivot is d away and whose members lie within r of it holds nothing nearer than d - r, so
 only cells with d - r <= b are visited. Cells and their visitors meet in pieces of bounded size.
+
+In many dimensions the bounds rule out little, and a point then visits every cell of its key. So there are few cells, and pieces grow with their key, PIECE to
+LARGEST rows: up to CELLS * LARGEST points a key, what is written and shuffled is in proportion to the points.
 """
 
 from __future__ import annotations
@@ -13,14 +16,19 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import kept
 
-#: Points that are held against all pivots, or against as many points, at once.
-PIECE = 1024
+#: Points of a piece: at least and, where a key has more than CELLS pieces, at most; rows of a piece that are compared at once.
+PIECE, LARGEST, CELLS, STEP = 4096, 65536, 16, 512
 
 
 def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T, 0))
 
 
+def pieces(n, piece: int, most: int = CELLS // 2):
+    """How many pieces n rows are: of `piece` rows, or `most` pieces of more rows, up to LARGEST / PIECE times as many."""
+    return F.least(F.ceil(n / piece), F.greatest(F.lit(most), F.ceil(n / (piece * (LARGEST // PIECE))))).cast("int")
+
+
 def vectors_of(column) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(float)
 
@@ -31,7 +39,7 @@ def nearest(vectors: DataFrame, keys: list[str], piece: int = PIECE) -> DataFram
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.select(*keys).schema)
     share = F.pmod(F.xxhash64("asset"), F.lit(1 << 30))
     counts = points.groupBy(*keys).agg(F.count("*").alias("n"), F.min(share).alias("least"))
-    points = kept(points.join(counts.where("n > 1"), keys).withColumn("pivot", (share < (1 << 30) / F.sqrt("n")) | (share == F.col("least"))).withColumn("pieces", F.ceil(F.col("n") / piece)).withColumn("piece", F.pmod(F.xxhash64(F.lit(1), "asset"), F.col("pieces")).cast("int")))
+    points = kept(points.join(counts.where("n > 1"), keys).withColumn("pivot", (share < (1 << 30) / F.greatest(F.sqrt("n"), F.col("n") / F.greatest(F.lit(CELLS), F.col("n") / LARGEST))) | (share == F.col("least"))).withColumn("pieces", F.ceil(F.col("n") / piece)).withColumn("piece", F.pmod(F.xxhash64(F.lit(1), "asset"), F.col("pieces")).cast("int")))
     pivots = points.where("pivot").select(*keys, "pieces", F.col("asset").alias("cell"), F.col("vec").alias("at"))
 
     def spread(pivots):
@@ -53,7 +61,7 @@ def nearest(vectors: DataFrame, keys: list[str], piece: int = PIECE) -> DataFram
         return pa.table({**head(group, len(group)), "asset": group["asset"], "vec": group["vec"], "cell": pivots["cell"].to_numpy()[own], "off": d[np.arange(len(d)), own]})
 
     placed = kept(points.select(*keys, "piece", "asset", "vec").groupBy(*keys, "piece").cogroup(spread(pivots)).applyInArrow(settle, f"{types}, asset long, vec array<double>, cell long, off double"))
-    sizes = kept(placed.groupBy(*keys, "cell").agg(F.max("off").alias("radius"), F.ceil(F.count("*") / piece).cast("int").alias("mine")))
+    sizes = kept(placed.groupBy(*keys, "cell").agg(F.max("off").alias("radius"), pieces(F.count("*"), piece).alias("mine")))
 
     def compare(visitors, members):
         import pyarrow as pa
@@ -61,15 +69,25 @@ def nearest(vectors: DataFrame, keys: list[str], piece: int = PIECE) -> DataFram
         if not len(visitors) or not len(members):
             return pa.table({**head(visitors, 0), "asset": pa.array([], pa.int64()), "dist": pa.array([], pa.float64())})
         x, y, a, b = vectors_of(visitors["v_vec"]), vectors_of(members["vec"]), visitors["v_asset"].to_numpy(), members["asset"].to_numpy()
-        d = apart(x, y)
-        d[a[:, None] == b[None, :]] = np.inf
-        j = d.argmin(1)
-        ok = np.flatnonzero(np.isfinite(d[np.arange(len(x)), j]))
+        j, found = np.zeros(len(x), int), np.zeros(len(x), bool)
+        for s in range(0, len(x), STEP):
+            for t in range(0, len(y), 16 * STEP):
+                d = apart(x[s : s + STEP], y[t : t + 16 * STEP])
+                d[a[s : s + STEP, None] == b[None, t : t + 16 * STEP]] = np.inf
+                k = d.argmin(1)
+                least = d[np.arange(len(d)), k]
+                if t:
+                    better = least < best
+                else:
+                    better, best = np.ones(len(d), bool), np.full(len(d), np.inf)
+                j[s : s + STEP][better], best = (t + k)[better], np.minimum(best, least)
+            found[s : s + STEP] = np.isfinite(best)
+        ok = np.flatnonzero(found)
         return pa.table({**head(visitors, len(ok)), "asset": a[ok], "dist": np.sqrt(((x[ok] - y[j[ok]]) ** 2).sum(1))})
 
     def met(visitors):
         """The least distance of each visitor (keys, asset, vec, cell) to the other members of the cell it visits."""
-        come = visitors.groupBy(*keys, "cell").agg(F.ceil(F.count("*") / piece).cast("int").alias("theirs"))
+        come = visitors.groupBy(*keys, "cell").agg(pieces(F.count("*"), piece).alias("theirs"))
         both = sizes.join(come, [*keys, "cell"])
         part = lambda n: F.pmod(F.xxhash64(F.lit(2), "asset"), F.col(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))

@@ -18,3 +18,22 @@ def test_nearest_as_by_brute_force(spark):
         got = {(x.k, x.asset): x.dist for x in neighbours.nearest(df, ["k"], piece).collect()}
         assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
     assert neighbours.nearest(df.where("false"), ["k"]).collect() == []
+
+
+def test_no_point_travels_more_often_in_larger_keys(spark, tmp_path, monkeypatch):
+    """In many dimensions every cell is visited; how often a point is written for it does not grow with its key."""
+    r, copies = np.random.default_rng(2), []
+    kept = neighbours.kept
+    for n in (500, 4000):
+        rows = []
+
+        def counted(df):
+            out = kept(df)
+            rows.append(out.count())
+            return out
+
+        monkeypatch.setattr(neighbours, "kept", counted)
+        df = spark.createDataFrame([(0, i, v) for i, v in enumerate(r.normal(0, 1, (n, 32)).tolist())], "k int, asset long, vec array<double>")
+        assert neighbours.nearest(df, ["k"]).count() == n
+        copies.append(sum(rows) / n)
+    assert copies[1] < 1.5 * copies[0] and copies[1] < 40
