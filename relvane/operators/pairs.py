@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -12,16 +13,123 @@ from pyspark.sql.window import Window as W
 
 from ..params import Pick, Trade
 from ..sources.tables import kept
+from .neighbours import PIECE, pieces
 from .quotes import finite
 
 #: Rows of z that are walked through in step, series times rows.
 ROOM = 1 << 22
+#: Assets of a block, whose pairs with another block are one row's work, and distances that are worked out at once.
+BLOCK, CELLS = PIECE, 1 << 16
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df by hash of the keys over all shuffle partitions, however few bytes it has: each of its rows is much work."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def combinations(labels: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, label, a, b), a < b, of assets with one label; noise (-1) pairs with nothing."""
-    x = labels.where(F.col("label") != -1)
-    return x.withColumnRenamed("asset", "a").join(x.withColumnRenamed("asset", "b"), [*keys, "label"]).where(F.col("a") < F.col("b"))
+    """(keys, label, a, b), a < b, of assets with one label; noise (-1) pairs with nothing.
+
+    Assets of a label are dealt into blocks, and a block meets another in one place, so a label is as many pieces of work as it has pairs of blocks.
+    """
+    on = [*keys, "label"]
+    x = labels.where(F.col("label") != -1).select(*on, "asset")
+    n = x.groupBy(*on).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_n"))
+    x = x.join(n, on).withColumn("_p", F.pmod(F.xxhash64(F.lit(1), "asset"), "_n").cast("int"))
+    at = [*on, "_i", "_j"]
+    left = x.select(*on, F.col("_p").alias("_i"), F.explode(F.sequence("_p", F.col("_n") - 1)).alias("_j"), F.col("asset").alias("_a"))
+    right = x.select(*on, F.explode(F.sequence(F.lit(0), "_p")).alias("_i"), F.col("_p").alias("_j"), F.col("asset").alias("_b"))
+    both = dealt(left, *at).join(dealt(right, *at), at).where("(_i < _j and _a <> _b) or _a < _b")
+    return both.select(*on, F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+
+
+def rounded(x: np.ndarray, digits: int) -> np.ndarray:
+    """x to so many digits, halves up as Spark's round() has them: near a half the decimal number decides."""
+    scaled = x * 10.0**digits
+    low = np.floor(scaled)
+    out = (low + (scaled - low >= 0.5)) / 10.0**digits
+    for k in np.flatnonzero((np.abs(scaled - low - 0.5) < 1e-4) | ~(np.abs(scaled) < 1e11)).tolist():
+        out[k] = float(Decimal(repr(float(x[k]))).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)) if np.isfinite(x[k]) and abs(x[k]) < 1e15 else x[k]
+    return out
+
+
+def tiles_of(batches, keys: list[str]):
+    """Tables of the rows of one tile each; the rows come sorted by the keys."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    rest: list = []
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        n = len(now)
+        if not n:
+            continue
+        new = np.zeros(n, bool)
+        new[0] = bool(rest) and any(now.column(k)[0].as_py() != rest[0].column(k)[0].as_py() for k in keys)
+        for k in keys:
+            new[1:] |= pc.not_equal(now.column(k).slice(1), now.column(k).slice(0, n - 1)).to_numpy()
+        at = [0, *np.flatnonzero(new).tolist(), n]
+        for s, e in zip(at, at[1:]):
+            if new[s] and rest:
+                yield pa.concat_tables(rest)
+                rest = []
+            if e > s:
+                rest.append(now.slice(s, e - s))
+    if rest:
+        yield pa.concat_tables(rest)
+
+
+def matrix(column) -> tuple[np.ndarray, np.ndarray]:
+    """(vectors as columns, padded by zeros; their lengths, -1 where a vector is null or holds a null)."""
+    import pyarrow.compute as pc
+
+    column = column.combine_chunks()
+    size = pc.list_value_length(column).fill_null(0).to_numpy().astype(int)
+    flat, row = column.flatten(), np.repeat(np.arange(len(size)), size)
+    out = np.zeros((int(size.max(initial=0)), len(size)))
+    out[np.arange(len(row)) - np.repeat(size.cumsum() - size, size), row] = flat.fill_null(0).to_numpy().astype(float)
+    size[column.is_null().to_numpy(zero_copy_only=False)] = -1
+    size[row[flat.is_null().to_numpy(zero_copy_only=False)]] = -1
+    return out, size
+
+
+def distances(vectors: DataFrame, keys: list[str], digits: int) -> DataFrame:
+    """(keys, a, b, dist), a < b, for all pairs of rows (keys, asset, vec) of a key; dist, to so many digits, is null where a vector or component is, or lengths differ.
+
+    A row travels once for each block of its key, at most CELLS of neighbours.pieces() times up to a million rows a key; tiles of two blocks are
+    worked out in parts of CELLS distances, each the sum over the components in their order, as SQL adds them.
+    """
+    x = vectors.dropna(subset=[*keys, "asset"]).select(*keys, F.col("asset").cast("long").alias("asset"), "vec")
+    n = x.groupBy(*keys).agg(pieces(F.count("*"), BLOCK, 16).alias("_n"))
+    x = x.join(n, keys).withColumn("_p", F.pmod(F.xxhash64(F.lit(1), "asset"), "_n").cast("int")).withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    at = [*keys, "_i", "_j"]
+    x = dealt(x.select(*keys, F.least("_p", "_q").alias("_i"), F.greatest("_p", "_q").alias("_j"), "_p", "asset", "vec"), *at).sortWithinPartitions(*at)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for tile in tiles_of(batches, at):
+            i, j, p = tile.column("_i")[0].as_py(), tile.column("_j")[0].as_py(), tile.column("_p").to_numpy()
+            asset, (v, size) = tile.column("asset").to_numpy(), matrix(tile.column("vec"))
+            left, right = np.flatnonzero(p == i), np.flatnonzero(p == j)
+            x, y, b = v[:, left], v[:, right], asset[right]
+            step = max(1, CELLS // max(1, len(right)))
+            for s in range(0, len(left) if len(right) else 0, step):
+                own = left[s : s + step]
+                total, d = np.zeros((2, len(own), len(right)))
+                for u, w in zip(x[:, s : s + step], y):
+                    np.subtract(u[:, None], w[None, :], out=d)
+                    np.multiply(d, d, out=d)
+                    total += d
+                a = asset[own][:, None]
+                take = a < b if i == j else a != b
+                known = ((size[own][:, None] == size[right]) & (size[right] >= 0))[take]
+                first, second = np.minimum(a, b)[take], np.maximum(a, b)[take]
+                dist = pa.array(rounded(np.sqrt(total[take]), digits), mask=None if known.all() else ~known)
+                yield pa.RecordBatch.from_arrays([*[pa.repeat(tile.column(k)[0], len(first)) for k in keys], pa.array(first), pa.array(second), dist], [*keys, "a", "b", "dist"])
+
+    types = T.StructType([x.schema[k] for k in keys]).add("a", "long").add("b", "long").add("dist", "double")
+    return x.mapInArrow(run, types)
 
 
 def distance(u, v) -> Column:
