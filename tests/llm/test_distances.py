@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from relvane.llm import lines
 
-from .brute import near, prose
+from .brute import components, near, prose
 from .test_lines import distance
 
 
@@ -64,3 +65,16 @@ def test_few_pairs_take_the_whole_table(monkeypatch):
             monkeypatch.setattr(lines, name, lambda x, y, d, whole=whole: asked.extend(x) or whole(x, y, d))
     assert lines.within(a, b, most).tolist() == [near(*x) for x in zip(a, b, most)]
     assert len(asked) < 30
+
+
+def test_large_keys_take_few_rounds(monkeypatch):
+    n = lines.TABLE + 44
+    norms = [prose(k, 6)[:30].ljust(30, "x") for k in range(n)]
+    norms[7] = norms[200][:-1] + "?"
+    rows = pa.table({"k": [0] * n, "size": [30] * n, "short": [1] * n, "keys": [b"\1" * 4 * lines.BANDS] * n, "codes": [b"\0" * lines.CODES] * n})
+    asked, whole = [], lines.within
+    monkeypatch.setattr(lines, "within", lambda a, b, most: asked.append(len(a)) or whole(a, b, most))
+    root = lines.tie(lines.Bucketed(rows, 0.8), norms).tolist()
+    want = components(range(n), [(i, j) for j in range(n) for i in range(j) if near(norms[i], norms[j], 6)])
+    assert root == [want[k] for k in range(n)] and root[200] == 7
+    assert len(asked) < 40 and sum(asked) >= n * (n - 1) // 2 - n
