@@ -1,5 +1,6 @@
 import hashlib
 import math
+import os
 from collections import Counter
 
 import pytest
@@ -79,3 +80,11 @@ def test_stages_keep_the_columns(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 60")
     for _, stage in corpus_pipeline.STAGES[1:4]:
         assert stage(spark, docs, sf_dir).columns == docs.columns
+
+
+def test_tables_of_spent_stages_go(spark, small, monkeypatch):
+    at, _ = small
+    made, whole = [], corpus_pipeline.stash
+    monkeypatch.setattr(corpus_pipeline, "stash", lambda df: made.append(whole(df)) or made[-1])
+    assert corpus_pipeline.run(spark, at).count() == made[-1].count()
+    assert [os.path.exists(x.stash_path.removeprefix("file:")) for x in made] == [False, False, False, True]
