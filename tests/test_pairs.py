@@ -35,3 +35,17 @@ def test_halves_are_rounded_as_spark_does(spark):
     x = [0.0, 1.0000005, 2.5e-7, 0.1234565, 123456.1234565, 7.0000015, math.inf, 3e12, 0.9999995, 1e-9]
     want = [r.y for r in spark.createDataFrame([(i, v) for i, v in enumerate(x)], "i int, x double").select("i", F.round("x", 6).alias("y")).orderBy("i").collect()]
     assert pairs.rounded(np.array(x), 6).tolist() == want and np.isnan(pairs.rounded(np.array([np.nan]), 6)[0])
+
+
+def test_vectors_travel_a_few_times(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "BLOCK", 2)
+    seen, whole = [], pairs.dealt
+    monkeypatch.setattr(pairs, "dealt", lambda df, *keys: seen.append(df.count()) or whole(df, *keys))
+    for rows, times in (([(k, i) for k in range(10) for i in range(60)], 3), ([(0, i) for i in range(600)], 8)):
+        df = spark.createDataFrame(rows, "k int, asset long").withColumn("vec", F.array(F.col("asset").cast("double")))
+        got = pairs.distances(df, ["k"], 6)
+        assert seen.pop() <= times * len(rows)
+        assert got.count() == sum(n * (n - 1) // 2 for n in np.bincount([k for k, _ in rows]).tolist())
+    monkeypatch.setattr(pairs, "COMPONENTS", 50)  # a block of wide vectors has few rows
+    pairs.distances(df, ["k"], 6)
+    assert seen.pop() > 10 * len(rows)
